@@ -149,6 +149,10 @@ def survey_line(spark, sf) -> DataFrame:
     return V.survey_line(raw, run_date=rd, run_id=rid, source_system="AZURE", source_file_saved="survey.csv", position=F.col("src_pos"))
 
 
+def survey_line_public(spark, sf) -> DataFrame:
+    return survey_line(spark, sf).drop("src_pos")
+
+
 def survey_rollup(spark, sf) -> DataFrame:
     rd, rid = RUNS["survey"]
     return V.survey_rollup(survey_line(spark, sf), run_date=rd, run_id=rid)
@@ -172,6 +176,10 @@ def scope_master_union(spark, sf) -> DataFrame:
     return M.scope_master_union(lines)
 
 
+def scope_master_public(spark, sf) -> DataFrame:
+    return scope_master_union(spark, sf).drop("src_pos")
+
+
 def floc_attributes_dim(spark, sf) -> DataFrame:
     return M.floc_attributes_dim(scope_master_union(spark, sf))
 
@@ -281,11 +289,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "move_events": move_events,
     "deliveries_line": deliveries_line,
     "deliveries_agg": deliveries_agg,
-    "survey_line": survey_line,
+    "survey_line": survey_line_public,
     "survey_rollup": survey_rollup,
     "unmatched_deliveries": unmatched_deliveries,
     "unmatched_surveys": unmatched_surveys,
-    "scope_master_union": scope_master_union,
+    "scope_master_union": scope_master_public,
     "floc_attributes_dim": floc_attributes_dim,
     "floc_dim_ranked": floc_dim_ranked,
     "rate_card": rate_card,
