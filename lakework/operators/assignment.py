@@ -276,20 +276,27 @@ def latest_events(events: DataFrame) -> DataFrame:
     over anything else, then run id; all descending with nulls last.  The rest
     of the columns complete the order so ties resolve deterministically.
     """
+    cols = [c for c in LATEST_EVENT_COLS if c in events.columns]
+    df = events.select(*cols)
+    if "event_effective_date" not in df.columns:
+        df = df.withColumn("event_effective_date", _null_ts())
     order = [
         F.col("event_effective_date").desc_nulls_last(),
         F.col("run_date").desc_nulls_last(),
         _priority("event_type", EVENT_PRIORITY).desc(),
         F.col("run_id").desc_nulls_last(),
-        F.col("event_type").asc_nulls_last(),
-        F.col("source_file_saved").asc_nulls_last(),
-        F.col("source_sheet").asc_nulls_last(),
-        F.col("visit_no").asc_nulls_last(),
-        F.col("scope_id").asc_nulls_last(),
-        F.col("floc").asc_nulls_last(),
+        *_present(df, ["event_type", "source_file_saved", "source_sheet", "visit_no", "scope_id", "floc"]),
     ]
-    cols = [c for c in LATEST_EVENT_COLS if c in events.columns]
-    return top1(events.select(*cols), ["vendor", "scope_floc_key"], order)
+    return top1(df, ["vendor", "scope_floc_key"], order)
+
+
+def _present(df: DataFrame, names: Sequence[str], desc_nulls_first: Sequence[str] = ()) -> list[Column]:
+    """Ascending (nulls last) tie-break terms for the columns that exist."""
+    out = []
+    for n in names:
+        if n in df.columns:
+            out.append(F.col(n).desc_nulls_first() if n in desc_nulls_first else F.col(n).asc_nulls_last())
+    return out
 
 
 def prepare_assignments(line: DataFrame, *, method: str, asset_class: str, source_dataset: str) -> DataFrame:
@@ -321,15 +328,12 @@ def preferred_assignment(assignments: DataFrame) -> DataFrame:
     """
     order = [
         _priority("assignment_method", METHOD_PRIORITY).desc(),
-        F.col("run_date").desc_nulls_last(),
-        F.col("run_id").desc_nulls_last(),
-        F.col("source_dataset").asc_nulls_last(),
-        F.col("visit_no").asc_nulls_last(),
-        F.col("scope_removal_date").desc_nulls_first(),
-        F.col("source_file_saved").asc_nulls_last(),
-        F.col("source_sheet").asc_nulls_last(),
-        F.col("floc").asc_nulls_last(),
-        F.col("scope_id").asc_nulls_last(),
+        *[F.col(c).desc_nulls_last() for c in ("run_date", "run_id") if c in assignments.columns],
+        *_present(
+            assignments,
+            ["source_dataset", "visit_no", "scope_removal_date", "source_file_saved", "source_sheet", "floc", "scope_id"],
+            desc_nulls_first=["scope_removal_date"],
+        ),
     ]
     return top1(assignments, ["vendor", "scope_floc_key"], order)
 

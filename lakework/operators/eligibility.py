@@ -86,10 +86,12 @@ def standardize_floc_dim(dim: DataFrame) -> DataFrame:
 def attach_floc_attributes(assignments: DataFrame, dim_std: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
     """J-b: left join of the (one row per floc) attribute dimension.
 
-    The dimension is broadcast only behind a bounded row count; a larger one
-    stays a shuffle join.
+    No hint by default: Spark broadcasts the dimension when its estimated size
+    is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE converts the
+    join at run time from the measured shuffle size; both are size checks.
+    ``broadcast_max_rows`` adds an explicit hint behind a bounded row count.
     """
-    d = broadcast_if_small(dim_std) if broadcast_max_rows is None else broadcast_if_small(dim_std, broadcast_max_rows)
+    d = dim_std if broadcast_max_rows is None else broadcast_if_small(dim_std, broadcast_max_rows)
     return assignments.join(d, "floc", "left")
 
 
@@ -162,10 +164,8 @@ def distribution_eligibility(
     df = df.withColumn("asset_class", F.lit("distribution"))
     df = _join_deliveries(df, deliveries)
     z = survey_floc.select("floc", "has_any_mdoc", "has_aerial_mdoc", "has_ground_mdoc")
-    if broadcast_max_rows is not None:
+    if broadcast_max_rows is not None:  # otherwise Spark's own size checks decide (see J-b)
         z = broadcast_if_small(z, broadcast_max_rows)
-    else:
-        z = broadcast_if_small(z)
     # J-d: floc only.  Survey columns that clash with the line keep the line's value.
     clash = [c for c in ("has_any_mdoc", "has_aerial_mdoc", "has_ground_mdoc") if c in df.columns]
     df = df.drop(*clash).join(z, "floc", "left")

@@ -125,18 +125,20 @@ def _rule_index(rules: DataFrame) -> DataFrame:
     )
 
 
-def attach_unit_price(rows: DataFrame, rules: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def attach_unit_price(rows: DataFrame, rules: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
     """Price every row by the most specific matching rule.
 
     ``pricing_match_count`` counts matching rules with a price; status is
     NO_MATCH / MATCHED / MULTI_MATCH by that count.  The price is the first
     non-null one by specificity (object type + voltage, then object type, then
     generic), card order inside a level.  Vendor and bucket match null to null.
-    The rule index is broadcast only when its row count is proven small.
+    The rule index is one row per (vendor, bucket); Spark broadcasts it from
+    its size estimate or at run time (AQE).  ``broadcast_max_rows`` adds an
+    explicit hint behind a bounded row count.
     """
     df = rows.withColumns({c: blank_to_null(c) for c in ("vendor", "billing_bucket", "object_type", "voltage")})
     idx = _rule_index(rules)
-    if bounded_rows(idx, broadcast_max_rows):
+    if broadcast_max_rows is not None and bounded_rows(idx, broadcast_max_rows):
         idx = F.broadcast(idx)
     idx = idx.withColumnsRenamed({"vendor": "__r_vendor", "billing_bucket": "__r_bucket"})
     cond = F.col("vendor").eqNullSafe(F.col("__r_vendor")) & F.col("billing_bucket").eqNullSafe(F.col("__r_bucket"))

@@ -25,12 +25,24 @@ from lakework.plans.roles import BASE_TABLES, MIN_IMAGES, ROLE_RENAMES, ROLE_SQL
 _TABLE_REF = re.compile(r"\bFROM\s+(\w+)\b")
 
 
+def _view_name(sf_dir: str, table: str) -> str:
+    return "lw_" + re.sub(r"\W", "_", sf_dir.rstrip("/").rsplit("/", 1)[-1]) + f"_{abs(hash(sf_dir)) % 10**8}_{table}"
+
+
+def _register(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """A temp view per (data folder, table), resolved once per session."""
+    name = _view_name(sf_dir, table)
+    if not spark.catalog.tableExists(name):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(name)
+    return name
+
+
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture view over the parquet tables of ``sf_dir``."""
 
     def ref(m: re.Match) -> str:
         t = m.group(1)
-        return f"FROM parquet.`{sf_dir}/{t}.parquet`" if t in BASE_TABLES else m.group(0)
+        return f"FROM {_register(spark, sf_dir, t)}" if t in BASE_TABLES else m.group(0)
 
     df = spark.sql(_TABLE_REF.sub(ref, ROLE_SQL[name]))
     renames = ROLE_RENAMES.get(name)
