@@ -162,6 +162,63 @@ ROLE_SQL: dict[str, str] = {
                CASE WHEN substr(o_orderpriority, 1, 1) = '4' THEN o_totalprice + 1 ELSE o_totalprice END AS AMOUNT,
                o_orderstatus AS STATUS
         FROM orders WHERE NOT (o_orderstatus = 'P' AND substr(o_orderpriority, 1, 1) = '1')""",
+    # J10 invoice sheets as a cells table: a header block, the line-table header
+    # and one row per lineitem of the order (message = order).
+    "invoice_cells": f"""
+        WITH hdr AS (SELECT o_orderkey, 'M' || CAST(o_orderkey AS STRING) AS message_id, 5 + o_orderkey % 3 AS hr,
+                            o_orderdate, o_custkey, o_totalprice, o_orderpriority FROM orders),
+             body AS (SELECT 'M' || CAST(l_orderkey AS STRING) AS message_id,
+                             5 + l_orderkey % 3 + row_number() OVER (PARTITION BY l_orderkey
+                                 ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS r,
+                             l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus, l_discount, l_tax,
+                             l_extendedprice, l_shipdate FROM lineitem)
+        SELECT message_id, 0 AS row_idx, 0 AS col_idx, 'INVOICE NUMBER' AS value FROM hdr
+        UNION ALL SELECT message_id, 0, 2, 'INV-' || CAST(o_orderkey AS STRING) FROM hdr
+        UNION ALL SELECT message_id, 1, 0, 'Invoice Date' FROM hdr
+        UNION ALL SELECT message_id, 1, 1, CAST(CAST(o_orderdate AS DATE) AS STRING) FROM hdr
+        UNION ALL SELECT message_id, 2, 0, 'TOTAL QTY OF STRUCTURES' FROM hdr
+        UNION ALL SELECT message_id, 2, 1, 'approx ' || CAST(o_custkey % 50 AS STRING) || ' poles' FROM hdr
+        UNION ALL SELECT message_id, 3, 0, 'INVOICE TOTAL' FROM hdr
+        UNION ALL SELECT message_id, 3, 1, '$' || CAST(o_totalprice AS STRING) FROM hdr
+        UNION ALL SELECT message_id, 4, 0, CASE WHEN substr(o_orderpriority, 1, 1) = '1' THEN 'PO' ELSE 'Payment Terms' END FROM hdr
+        UNION ALL SELECT message_id, 4, 1, CASE WHEN substr(o_orderpriority, 1, 1) = '1' THEN 'PO-' || CAST(o_custkey AS STRING) ELSE 'NET' || CAST(o_custkey % 3 * 15 AS STRING) END FROM hdr
+        UNION ALL SELECT message_id, hr, 0, 'FLOC_ID' FROM hdr
+        UNION ALL SELECT message_id, hr, 1, 'SCE_STRUCT' FROM hdr
+        UNION ALL SELECT message_id, hr, 2, 'PHOTO_LOC' FROM hdr
+        UNION ALL SELECT message_id, hr, 3, 'FLIGHT_DATE' FROM hdr
+        UNION ALL SELECT message_id, hr, 4, 'UPLOAD_DATE' FROM hdr
+        UNION ALL SELECT message_id, hr, 5, 'VENDOR_STATUS' FROM hdr
+        UNION ALL SELECT message_id, hr, 6, 'BLOCK_ID' FROM hdr
+        UNION ALL SELECT message_id, hr, 7, ' UNIT_RATE ' FROM hdr
+        UNION ALL SELECT message_id, r, 0, CASE WHEN l_linenumber = 3 AND l_returnflag = 'N' THEN ''
+                                              WHEN l_discount = 0.1 AND l_tax = 0 THEN 'XX-' || CAST(l_partkey AS STRING)
+                                              ELSE 'OH-' || CAST(l_partkey AS STRING) END FROM body
+        UNION ALL SELECT message_id, r, 1, 'S' || CAST(l_suppkey AS STRING) FROM body
+        UNION ALL SELECT message_id, r, 2, 'D' || CAST(l_orderkey % 20 AS STRING) || '_Assets_' || {_YMD.format(c='l_shipdate')} FROM body
+        UNION ALL SELECT message_id, r, 3, CAST(CAST(l_shipdate AS DATE) AS STRING) FROM body
+        UNION ALL SELECT message_id, r, 4, CAST(month(l_shipdate) AS STRING) || '/' || CAST(day(l_shipdate) AS STRING) || '/' || CAST(year(l_shipdate) AS STRING) FROM body
+        UNION ALL SELECT message_id, r, 5, CASE l_linestatus WHEN 'F' THEN 'COMPLETE' ELSE 'PENDING' END FROM body
+        UNION ALL SELECT message_id, r, 6, CASE WHEN l_linenumber = 5 THEN 'bad'
+                                              ELSE 'D' || lpad(CAST(l_orderkey % 10000 AS STRING), 4, '0') || '-' || lpad(CAST(l_linenumber AS STRING), 4, '0') END FROM body
+        UNION ALL SELECT message_id, r, 7, '$' || CAST(l_extendedprice AS STRING) FROM body""",
+    # J10 attachment files (orders not pending) and e-mail bodies (orders not of priority 5).
+    "invoice_attachment_files": """
+        SELECT 'att__M' || CAST(o_orderkey AS STRING) || '__INV-' || CAST(o_orderkey AS STRING) || '.xlsx' AS file_name
+        FROM orders WHERE o_orderstatus <> 'P'""",
+    "invoice_email_files": """
+        SELECT 'email__M' || CAST(o_orderkey AS STRING) || '_.html' AS file_name,
+               '<html><body><table>'
+               || '<tr><td><span class="l">Supplier</span></td></tr><tr><td><span class="v">Supplier#' || CAST(o_custkey AS STRING) || '</span></td></tr>'
+               || '<tr><td><span>Supplier Invoice #</span></td></tr><tr><td><span> INV-' || CAST(o_orderkey AS STRING) || ' </span></td></tr>'
+               || '<tr><td><span>Invoice Date</span></td></tr><tr><td><span>'
+               || CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) AS STRING)
+                       ELSE CAST(month(o_orderdate) AS STRING) || '/' || CAST(day(o_orderdate) AS STRING) || '/' || CAST(year(o_orderdate) AS STRING) END
+               || '</span></td></tr>'
+               || '<tr><td><span>Company Code</span></td></tr><tr><td><span>CC' || CAST(o_custkey % 10 AS STRING) || '</span></td></tr>'
+               || '<tr><td><span>Total Amount</span></td></tr><tr><td><span>$' || CAST(o_totalprice AS STRING) || ' USD</span></td></tr>'
+               || '<tr><td><span>On behalf of / Preparer</span></td></tr><tr><td><span>Clerk &amp; Co ' || substr(o_orderpriority, 1, 1) || '</span></td></tr>'
+               || '</table></body></html>' AS html
+        FROM orders WHERE substr(o_orderpriority, 1, 1) <> '5'""",
 }
 
 # Spark-side column renames: sheet headers that are not plain identifiers.
@@ -184,6 +241,7 @@ RUNS = {
     "scope_master": ("2026-01-10", "sm-0001"),
     "rate_card": ("2026-01-11", "rc-0001"),
     "eligibility": ("2026-02-01", "elig-0001"),
+    "invoices": ("2026-02-03", "inv-0001"),
 }
 SOURCE_SYSTEM = "INTERNAL"
 MIN_IMAGES = 8
