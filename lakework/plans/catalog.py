@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakework.functions import clean as C
@@ -19,8 +19,9 @@ from lakework.operators import delta as D
 from lakework.operators import dimension as M
 from lakework.operators import eligibility as E
 from lakework.operators import evidence as V
+from lakework.operators import invoices as I
 from lakework.operators import pricing as P
-from lakework.plans.roles import BASE_TABLES, MIN_IMAGES, ROLE_RENAMES, ROLE_SQL, RUNS, SOURCE_SYSTEM
+from lakework.plans.roles import BASE_TABLES, MIN_IMAGES, ROLE_RENAMES, ROLE_SQL, ROLE_SQL_SPARK, RUNS, SOURCE_SYSTEM
 
 _TABLE_REF = re.compile(r"\bFROM\s+(\w+)\b")
 
@@ -44,7 +45,7 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         t = m.group(1)
         return f"FROM {_register(spark, sf_dir, t)}" if t in BASE_TABLES else m.group(0)
 
-    df = spark.sql(_TABLE_REF.sub(ref, ROLE_SQL[name]))
+    df = spark.sql(_TABLE_REF.sub(ref, ROLE_SQL_SPARK.get(name, ROLE_SQL[name])))
     renames = ROLE_RENAMES.get(name)
     return df.withColumnsRenamed(renames) if renames else df
 
@@ -287,6 +288,108 @@ def row_signature(spark, sf) -> DataFrame:
     return raw.select("FLOC", C.row_signature(raw.columns).alias("row_sig"))
 
 
+# --- invoices -----------------------------------------------------------------------
+
+
+def html_fields(spark, sf) -> DataFrame:
+    pages = spark.table(_register(spark, sf, "pages"))
+    lines = I.plain_lines(F.col("html"))
+    return pages.select(
+        "page_id",
+        "url",
+        I.tag_text(F.col("html"), "title").alias("title"),
+        I.tag_text(F.col("html"), "h1").alias("h1"),
+        F.size(lines).alias("n_lines"),
+        F.get(lines, 0).alias("first_line"),
+    )
+
+
+def _cells(spark, sf) -> DataFrame:
+    return role(spark, sf, "invoice_cells")
+
+
+def _attachments(spark, sf) -> DataFrame:
+    return I.attachment_manifest(role(spark, sf, "invoice_attachment_files"))
+
+
+def _emails(spark, sf) -> DataFrame:
+    return I.email_index(role(spark, sf, "invoice_email_files"))
+
+
+def invoice_email_fields(spark, sf) -> DataFrame:
+    return I.email_fields(_emails(spark, sf), "v2")
+
+
+def grid_header_row(spark, sf) -> DataFrame:
+    return I.header_row_v1(_cells(spark, sf))
+
+
+def grid_header_row_v2(spark, sf) -> DataFrame:
+    return I.header_row_v2(_cells(spark, sf))
+
+
+def grid_header_kv(spark, sf) -> DataFrame:
+    return I.header_kv_v1(_cells(spark, sf))
+
+
+def grid_header_kv_v2(spark, sf) -> DataFrame:
+    return I.header_kv_v2(_cells(spark, sf))
+
+
+def grid_lines(spark, sf) -> DataFrame:
+    cells = _cells(spark, sf)
+    return I.line_table(cells, I.header_row_v1(cells), I.LINE_COLS_V1)
+
+
+def invoice_header(spark, sf) -> DataFrame:
+    rd, rid = RUNS["invoices"]
+    cells, emails = _cells(spark, sf), _emails(spark, sf)
+    return I.invoice_header_v1(
+        I.header_kv_v1(cells), I.email_fields(emails, "v1"), _attachments(spark, sf), emails,
+        run_date=rd, run_id=rid, source_system="ARIBA_EMAIL_EXPORT",
+    )
+
+
+def invoice_lines_v1(spark, sf) -> DataFrame:
+    rd, rid = RUNS["invoices"]
+    cells = _cells(spark, sf)
+    table = I.line_table(cells, I.header_row_v1(cells), I.LINE_COLS_V1)
+    return I.invoice_lines_v1(table, invoice_header(spark, sf), run_date=rd, run_id=rid, source_system="ARIBA_EMAIL_EXPORT")
+
+
+def _canonical_v2(spark, sf) -> DataFrame:
+    cells = _cells(spark, sf)
+    return I.canonical_lines_v2(I.line_table(cells, I.header_row_v2(cells), I.LINE_COLS_V1))
+
+
+def file_manifest_status(spark, sf) -> DataFrame:
+    rd, rid = RUNS["invoices"]
+    return I.file_manifest_v2(
+        _attachments(spark, sf), _emails(spark, sf), _canonical_v2(spark, sf),
+        run_date=rd, run_id=rid, source_system="ARIBA_EMAIL_EXPORT",
+    )
+
+
+def invoice_lines_v2(spark, sf) -> DataFrame:
+    rd, rid = RUNS["invoices"]
+    ok = file_manifest_status(spark, sf).filter(F.col("status") == "PARSED_OK").select("message_id")
+    meta = I.email_fields(_emails(spark, sf), "v2").select("message_id", "supplier", "supplier_invoice_number")
+    lines = _canonical_v2(spark, sf).join(ok, "message_id", "left_semi").join(meta, "message_id", "left")
+    w = Window.partitionBy("message_id").orderBy("row_idx")
+    return lines.withColumns(
+        {
+            "run_date": F.lit(rd),
+            "run_id": F.lit(rid),
+            "source_system": F.lit("ARIBA_EMAIL_EXPORT"),
+            "line_number": F.row_number().over(w),
+        }
+    ).drop("row_idx")
+
+
+def invoice_orphans(spark, sf) -> DataFrame:
+    return I.orphans(_attachments(spark, sf), _emails(spark, sf).drop("html"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invoice_eligibility_line": invoice_eligibility_line,
     "eligibility_v1": eligibility_v1,
@@ -313,4 +416,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pricing_status_counts": pricing_status_counts,
     "snapshot_delta": snapshot_delta,
     "row_signature": row_signature,
+    "html_fields": html_fields,
+    "invoice_email_fields": invoice_email_fields,
+    "grid_header_row": grid_header_row,
+    "grid_header_row_v2": grid_header_row_v2,
+    "grid_header_kv": grid_header_kv,
+    "grid_header_kv_v2": grid_header_kv_v2,
+    "grid_lines": grid_lines,
+    "invoice_header": invoice_header,
+    "invoice_lines_v1": invoice_lines_v1,
+    "invoice_lines_v2": invoice_lines_v2,
+    "file_manifest_status": file_manifest_status,
+    "invoice_orphans": invoice_orphans,
 }

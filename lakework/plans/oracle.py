@@ -536,3 +536,233 @@ def build(name: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     return {name: build(name) for name in _FINAL}
+
+
+# --- invoices -------------------------------------------------------------------
+
+_ENTS = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+         ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+
+
+def _unesc(x: str) -> str:
+    for ent, ch in _ENTS:
+        x = f"replace({x}, {_q(ent)}, {_q(ch)})"
+    return x
+
+
+def _norm_label(x: str) -> str:
+    return f"lower(trim(regexp_replace({x}, '\\s+', ' ', 'g')))"
+
+
+def _lines(html: str) -> str:
+    h = f"regexp_replace({html}, '(?is)<\\s*br\\s*/?\\s*>', chr(10), 'g')"
+    h = f"regexp_replace({h}, '(?is)</\\s*(p|tr|td|div|table)\\s*>', chr(10), 'g')"
+    h = f"regexp_replace({h}, '(?is)<[^>]+>', '', 'g')"
+    h = _unesc(h)
+    h = f"regexp_replace(replace({h}, chr(13), chr(10)), '\\n+', chr(10), 'g')"
+    return f"list_filter(list_transform(string_split({h}, chr(10)), lambda x: trim(replace(x, chr(160), ' '))), lambda x: x <> '')"
+
+
+def _tag(html: str, tag: str) -> str:
+    inner = f"regexp_extract({html}, '(?is)<{tag}\\b[^>]*>(.*?)</{tag}\\s*>', 1)"
+    t = _unesc(f"regexp_replace({inner}, '(?is)<[^>]+>', '', 'g')")
+    return f"nullif(trim(regexp_replace({t}, '\\s+', ' ', 'g')), '')"
+
+
+def _span(html: str, label: str) -> str:
+    lab = label.replace("/", "/").replace("#", "#")
+    lab = "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in lab)
+    v = f"regexp_extract({html}, '(?is)>{lab}\\s*</span>.*?>\\s*([^<]+?)\\s*</span>', 1)"
+    return f"nullif(trim(replace({v}, chr(160), ' ')), '')"
+
+
+def _num(x: str) -> str:
+    return f"TRY_CAST(nullif(regexp_extract(replace({x}, ',', ''), '(-?\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE)"
+
+
+def _iso_date(x: str) -> str:
+    return (f"strftime(coalesce(TRY_CAST(nullif(trim({x}), '') AS TIMESTAMP), "
+            f"try_strptime(nullif(trim({x}), ''), '%m/%d/%Y')), '%Y-%m-%d')")
+
+
+_EMAIL = {
+    "on_behalf_of_preparer": "On behalf of / Preparer",
+    "invoice_reconciliation": "Invoice Reconciliation",
+    "supplier_invoice_number": "Supplier Invoice #",
+    "supplier": "Supplier",
+    "invoice_date_text": "Invoice Date",
+    "company_code": "Company Code",
+    "total_amount_text": "Total Amount",
+}
+CTE["em_idx"] = """
+    SELECT regexp_extract(file_name, '(?i)^email__([^_]+)_\\.html$', 1) AS message_id, file_name AS html_file, html
+    FROM invoice_email_files WHERE regexp_matches(file_name, '(?i)^email__([^_]+)_\\.html$')"""
+CTE["att_idx"] = """
+    SELECT regexp_extract(file_name, '(?i)^att__([^_]+)__(.+)\\.xlsx$', 1) AS message_id, file_name AS attachment_file,
+           regexp_extract(file_name, '(?i)^att__([^_]+)__(.+)\\.xlsx$', 2) AS invoice_name_from_attachment
+    FROM invoice_attachment_files WHERE regexp_matches(file_name, '(?i)^att__([^_]+)__(.+)\\.xlsx$')"""
+CTE["em_raw"] = "SELECT message_id, html_file, " + ", ".join(f"{_span('html', lab)} AS {k}" for k, lab in _EMAIL.items()) + " FROM em_idx"
+CTE["em_v1"] = f"""
+    SELECT *, {_iso_date('invoice_date_text')} AS invoice_date,
+           nullif(regexp_extract(total_amount_text, '([A-Z]{{3}})\\s*$', 1), '') AS currency,
+           {_num('total_amount_text')} AS total_amount
+    FROM em_raw"""
+CTE["em_v2"] = f"""
+    SELECT message_id, on_behalf_of_preparer, supplier_invoice_number, supplier,
+           coalesce({_iso_date('invoice_date_text')}, invoice_date_text) AS invoice_date, company_code,
+           {_num('total_amount_text')} AS total_amount_value,
+           nullif(regexp_extract(total_amount_text, '\\b([A-Z]{{3}})\\b', 1), '') AS total_amount_currency
+    FROM em_raw"""
+CTE["g_hr1"] = """
+    SELECT message_id, min(row_idx) AS header_row FROM (
+        SELECT message_id, row_idx FROM invoice_cells
+        WHERE row_idx < 80 AND lower(trim(value)) IN ('floc_id', 'sce_struct', 'photo_loc', 'flight_date', 'upload_date',
+                                                     'vendor_status', 'block_id', 'unit_rate')
+        GROUP BY message_id, row_idx HAVING count(DISTINCT lower(trim(value))) = 8)
+    GROUP BY message_id"""
+CTE["g_hr2"] = f"""
+    SELECT m.message_id, CAST(coalesce(h.hit, 12) AS INTEGER) AS header_row
+    FROM (SELECT DISTINCT message_id FROM invoice_cells) m
+    LEFT JOIN (SELECT message_id, min(row_idx) AS hit FROM invoice_cells
+               WHERE row_idx < 40 AND {_norm_label('value')} IN ('floc_id', 'floc id') GROUP BY message_id) h
+      ON m.message_id = h.message_id"""
+_KV1 = {
+    "cwa_number": ("CWA #", "CWA#", "CWA"),
+    "total_qty_structures": ("TOTAL QTY OF STRUCTURES", "TOTAL QTY", "TOTAL QTY OF STRUCTURE"),
+    "invoice_date_excel": ("INVOICE DATE",),
+    "invoice_number_excel": ("INVOICE NUMBER", "INVOICE #"),
+    "purchase_order_number": ("PURCHASE ORDER NO.", "PURCHASE ORDER NO", "PO", "PO NUMBER"),
+    "change_order_number": ("CHANGE ORDER NO.", "CHANGE ORDER NO", "CHANGE ORDER"),
+    "payment_terms": ("PAYMENT TERMS",),
+    "due_date_excel": ("DUE DATE",),
+    "invoice_total_excel": ("INVOICE TOTAL", "TOTAL"),
+}
+_kv1_case = "CASE " + _norm_label("value") + " " + " ".join(
+    f"WHEN {_q(lab.lower())} THEN {_q(key)}" for key, labs in _KV1.items() for lab in labs) + " END"
+CTE["g_kv1_hits"] = f"""
+    SELECT message_id, row_idx, col_idx, {_kv1_case} AS k,
+           first_value(CASE WHEN trim(value) <> '' THEN value END IGNORE NULLS) OVER (
+               PARTITION BY message_id, row_idx ORDER BY col_idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS rgt
+    FROM invoice_cells WHERE row_idx < 40 AND col_idx < 8"""
+CTE["g_kv1_raw"] = """
+    SELECT message_id, k, arg_max_null(nullif(trim(rgt), ''), row_idx * 1000 + col_idx) AS v
+    FROM g_kv1_hits WHERE k IS NOT NULL GROUP BY message_id, k"""
+CTE["g_kv1"] = "SELECT m.message_id, " + ", ".join(
+    {
+        "invoice_date_excel": f"{_iso_date('kv.invoice_date_excel')} AS invoice_date_excel",
+        "due_date_excel": f"{_iso_date('kv.due_date_excel')} AS due_date_excel",
+        "total_qty_structures": "coalesce(nullif(regexp_extract(kv.total_qty_structures, '\\d+', 0), ''), nullif(trim(kv.total_qty_structures), '')) AS total_qty_structures",
+    }.get(k, f"kv.{k} AS {k}")
+    for k in _KV1
+) + f""", {_num('kv.invoice_total_excel')} AS invoice_total_excel_amount
+    FROM (SELECT DISTINCT message_id FROM invoice_cells) m
+    LEFT JOIN (SELECT message_id, """ + ", ".join(f"max(CASE WHEN k = '{k}' THEN v END) AS {k}" for k in _KV1) + """
+               FROM g_kv1_raw GROUP BY message_id) kv ON m.message_id = kv.message_id"""
+_KV2 = {
+    "cwa_number": "cwa #", "total_qty_structures": "total qty of structures", "invoice_date_xlsx": "invoice date",
+    "invoice_number_xlsx": "invoice number", "purchase_order_number": "purchase order no.",
+    "change_order_number": "change order no.", "payment_terms": "payment terms", "due_date": "due date",
+    "invoice_total_xlsx": "invoice total",
+}
+CTE["g_kv2"] = """
+    SELECT m.message_id, """ + ", ".join(f"kv.{k}" for k in _KV2) + """
+    FROM (SELECT DISTINCT message_id FROM invoice_cells) m
+    LEFT JOIN (
+        SELECT message_id, """ + ", ".join(f"arg_max(b, row_idx) FILTER (WHERE k = {_q(lab)}) AS {k}" for k, lab in _KV2.items()) + f"""
+        FROM (SELECT a.message_id, a.row_idx, a.a, b.b, {_norm_label('a.a')} AS k
+              FROM (SELECT message_id, row_idx, trim(replace(value, chr(160), ' ')) AS a FROM invoice_cells WHERE row_idx < 25 AND col_idx = 0) a
+              JOIN (SELECT message_id, row_idx, trim(replace(value, chr(160), ' ')) AS b FROM invoice_cells WHERE row_idx < 25 AND col_idx = 1) b
+                ON a.message_id = b.message_id AND a.row_idx = b.row_idx
+              WHERE a.a <> '' AND b.b <> '' AND length(a.a) <= 80)
+        GROUP BY message_id) kv ON m.message_id = kv.message_id"""
+_LC = ("FLOC_ID", "SCE_STRUCT", "PHOTO_LOC", "FLIGHT_DATE", "UPLOAD_DATE", "VENDOR_STATUS", "BLOCK_ID", "UNIT_RATE")
+
+
+def _line_table(hr: str) -> str:
+    names = ", ".join(_q(n.lower()) for n in _LC)
+    cols = ", ".join(f"arg_max(b.value, b.col_idx) FILTER (WHERE hd.name = {_q(n.lower())}) AS {n}" for n in _LC)
+    return f"""
+    SELECT b.message_id, b.row_idx, {cols}
+    FROM (SELECT c.message_id, c.row_idx, c.col_idx, c.value FROM invoice_cells c JOIN {hr} h
+            ON c.message_id = h.message_id AND c.row_idx > h.header_row WHERE trim(c.value) <> '') b
+    JOIN (SELECT c.message_id, c.col_idx, {_norm_label('c.value')} AS name FROM invoice_cells c JOIN {hr} h
+            ON c.message_id = h.message_id AND c.row_idx = h.header_row
+          WHERE {_norm_label('c.value')} IN ({names})) hd
+      ON b.message_id = hd.message_id AND b.col_idx = hd.col_idx
+    GROUP BY b.message_id, b.row_idx"""
+
+
+CTE["g_lines1"] = _line_table("g_hr1")
+CTE["g_lines2"] = _line_table("g_hr2")
+_ir, _iid = _run("invoices")
+_INV_LINEAGE = f"{_ir} AS run_date, {_iid} AS run_id, 'ARIBA_EMAIL_EXPORT' AS source_system"
+CTE["inv_hdr"] = f"""
+    SELECT a.message_id, e.supplier, e.supplier_invoice_number, e.invoice_reconciliation, e.on_behalf_of_preparer,
+           e.company_code, e.currency, e.total_amount AS ariba_total_amount, e.invoice_date AS ariba_invoice_date,
+           k.cwa_number, k.purchase_order_number, k.change_order_number, k.payment_terms, k.invoice_number_excel,
+           k.invoice_date_excel, k.due_date_excel, k.total_qty_structures, k.invoice_total_excel_amount,
+           coalesce(k.invoice_number_excel, e.supplier_invoice_number) AS invoice_number,
+           coalesce(k.invoice_date_excel, e.invoice_date) AS invoice_date,
+           a.attachment_file, x.html_file AS email_html_file, {_INV_LINEAGE}
+    FROM att_idx a JOIN em_idx x ON a.message_id = x.message_id
+    LEFT JOIN g_kv1 k ON a.message_id = k.message_id
+    LEFT JOIN em_v1 e ON a.message_id = e.message_id"""
+CTE["inv_lines1"] = f"""
+    SELECT * FROM (
+        SELECT l.message_id, h.invoice_number, h.supplier, trim(l.FLOC_ID) AS floc_id, trim(l.SCE_STRUCT) AS sce_struct,
+               trim(l.PHOTO_LOC) AS photo_loc, {_iso_date('l.FLIGHT_DATE')} AS flight_date,
+               {_iso_date('l.UPLOAD_DATE')} AS upload_date, trim(l.VENDOR_STATUS) AS vendor_status,
+               trim(l.BLOCK_ID) AS block_id, {_num('l.UNIT_RATE')} AS unit_rate,
+               row_number() OVER (PARTITION BY l.message_id ORDER BY l.row_idx) AS line_number,
+               h.attachment_file, h.email_html_file, {_INV_LINEAGE}
+        FROM g_lines1 l JOIN inv_hdr h ON l.message_id = h.message_id)
+    WHERE floc_id IS NOT NULL AND floc_id <> ''"""
+CTE["canon2"] = """
+    SELECT message_id, row_idx, floc_id, sce_struct, folder, flight_date, upload_date, vendor_status, block_id, unit_rate,
+           scope_id, starts_with(coalesce(floc_id, ''), 'OH-') AS floc_is_valid_oh, key AS scope_floc_key,
+           regexp_matches(coalesce(key, ''), '^\\w+\\|OH-') AS scope_floc_key_is_valid
+    FROM (SELECT *, CASE WHEN coalesce(scope_id, '') <> '' AND coalesce(floc_id, '') <> ''
+                         THEN coalesce(scope_id, '') || '|' || coalesce(floc_id, '') END AS key
+          FROM (SELECT message_id, row_idx, trim(FLOC_ID) AS floc_id, trim(SCE_STRUCT) AS sce_struct,
+                       trim(PHOTO_LOC) AS folder, trim(FLIGHT_DATE) AS flight_date, trim(UPLOAD_DATE) AS upload_date,
+                       trim(VENDOR_STATUS) AS vendor_status, trim(BLOCK_ID) AS block_id, trim(UNIT_RATE) AS unit_rate,
+                       nullif(regexp_extract(trim(BLOCK_ID), '^([A-Z][0-9]{4})-', 1), '') AS scope_id
+                FROM g_lines2))
+    WHERE coalesce(floc_id, '') <> ''"""
+CTE["manifest2"] = f"""
+    SELECT a.message_id, a.attachment_file, x.html_file, a.invoice_name_from_attachment, {_INV_LINEAGE},
+           CASE WHEN b.bad_floc_sample IS NOT NULL THEN 'FAILED_VALIDATION_BAD_FLOC' ELSE 'PARSED_OK' END AS status,
+           b.bad_floc_sample
+    FROM att_idx a JOIN em_idx x ON a.message_id = x.message_id
+    LEFT JOIN (SELECT message_id, string_agg(floc_id, ';' ORDER BY row_idx) AS bad_floc_sample
+               FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY row_idx) AS rn
+                     FROM canon2 WHERE NOT coalesce(floc_is_valid_oh, FALSE))
+               WHERE rn <= 5 GROUP BY message_id) b ON a.message_id = b.message_id"""
+
+_FINAL.update({
+    "html_fields": f"""
+        SELECT page_id, url, {_tag('html', 'title')} AS title, {_tag('html', 'h1')} AS h1,
+               len(lines) AS n_lines, lines[1] AS first_line
+        FROM (SELECT *, {_lines('html')} AS lines FROM pages)""",
+    "invoice_email_fields": "SELECT * FROM em_v2",
+    "grid_header_row": "SELECT * FROM g_hr1",
+    "grid_header_row_v2": "SELECT * FROM g_hr2",
+    "grid_header_kv": "SELECT * FROM g_kv1",
+    "grid_header_kv_v2": "SELECT * FROM g_kv2",
+    "grid_lines": "SELECT * FROM g_lines1",
+    "invoice_header": "SELECT * FROM inv_hdr",
+    "invoice_lines_v1": "SELECT * FROM inv_lines1",
+    "invoice_lines_v2": f"""
+        SELECT c.* EXCLUDE (row_idx), e.supplier, e.supplier_invoice_number, {_INV_LINEAGE},
+               row_number() OVER (PARTITION BY c.message_id ORDER BY c.row_idx) AS line_number
+        FROM canon2 c
+        JOIN (SELECT message_id FROM manifest2 WHERE status = 'PARSED_OK') ok ON c.message_id = ok.message_id
+        LEFT JOIN em_v2 e ON c.message_id = e.message_id""",
+    "file_manifest_status": "SELECT * FROM manifest2",
+    "invoice_orphans": """
+        SELECT message_id, 'ATTACHMENT_WITHOUT_HTML' AS orphan_kind, attachment_file AS file_name
+        FROM att_idx a WHERE NOT EXISTS (SELECT 1 FROM em_idx x WHERE x.message_id = a.message_id)
+        UNION ALL
+        SELECT message_id, 'HTML_WITHOUT_ATTACHMENT', html_file
+        FROM em_idx x WHERE NOT EXISTS (SELECT 1 FROM att_idx a WHERE a.message_id = x.message_id)""",
+})
