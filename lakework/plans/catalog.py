@@ -19,7 +19,11 @@ from lakework.operators import delta as D
 from lakework.operators import dimension as M
 from lakework.operators import eligibility as E
 from lakework.operators import evidence as V
+from lakework.operators import history as H
 from lakework.operators import invoices as I
+from lakework.operators import ledger as L
+from lakework.operators import quality as Q
+from lakework.functions import columns as COL
 from lakework.operators import pricing as P
 from lakework.plans.roles import BASE_TABLES, MIN_IMAGES, ROLE_RENAMES, ROLE_SQL, ROLE_SQL_SPARK, RUNS, SOURCE_SYSTEM
 
@@ -390,6 +394,150 @@ def invoice_orphans(spark, sf) -> DataFrame:
     return I.orphans(_attachments(spark, sf), _emails(spark, sf).drop("html"))
 
 
+# --- quality gates ----------------------------------------------------------------
+
+RELEASE_CONTRACT = Q.Contract(
+    name="release_distribution",
+    required=("FLOC", "SCOPE_ID", "VENDOR"),
+    any_of_regex=(r"removal", r"^scope package"),
+    not_all_null=("FLOC", "SCOPE_ID", "SCOPE_REMOVAL_DATE", "EXTRA_COLUMN"),
+)
+# Fixed parameter of the domain check: the valid vendor list.
+VALID_VENDORS = ("V0", "V1", "V2", "v3-legacy")
+
+
+def contract_report(spark, sf) -> DataFrame:
+    return Q.contract_report(role(spark, sf, "release_dist_raw"), RELEASE_CONTRACT)
+
+
+def duplicate_keys_top10(spark, sf) -> DataFrame:
+    return D.duplicate_keys(release_line_distribution(spark, sf), key="scope_floc_key", top=10)
+
+
+def vendor_domain(spark, sf) -> DataFrame:
+    return Q.domain_check(role(spark, sf, "deliveries_raw"), Q.vendor_list(spark, VALID_VENDORS))
+
+
+def null_rates(spark, sf) -> DataFrame:
+    return Q.null_rates(invoice_eligibility_line(spark, sf), ["object_type", "voltage", "assignment_status", "has_any_mdoc"])
+
+
+def vendor_row_counts(spark, sf) -> DataFrame:
+    return L.row_counts_by(deliveries_line(spark, sf), "vendor")
+
+
+# --- ledgers and accumulating tables ---------------------------------------------
+
+
+def invoice_upsert_current(spark, sf) -> DataFrame:
+    cur, new = role(spark, sf, "invoice_load_1"), role(spark, sf, "invoice_load_2")
+    return L.keep_last(cur, new, ["message_id"], order="load_seq")
+
+
+def ledger_upsert(spark, sf) -> DataFrame:
+    return L.upsert(role(spark, sf, "file_ledger"), role(spark, sf, "file_ledger_updates"), ["file_hash"])
+
+
+def not_yet_loaded(spark, sf) -> DataFrame:
+    return L.not_yet_loaded(role(spark, sf, "incoming_files"), role(spark, sf, "file_ledger"))
+
+
+def run_latest_state(spark, sf) -> DataFrame:
+    return L.run_latest_state(role(spark, sf, "run_ledger"))
+
+
+# --- schema helpers, preview and profile -------------------------------------------
+
+SUPPLIER_SCHEMA = "supplier_id bigint, supplier_name string, nation_id int, account_balance double, region string"
+
+
+def schema_conform(spark, sf) -> DataFrame:
+    sup = spark.table(_register(spark, sf, "supplier"))
+    renamed = sup.select(
+        F.col("s_suppkey").alias(" supplier_id "),
+        F.col("s_name").alias("supplier_name"),
+        F.col("s_nationkey").alias("nation_id"),
+        F.col("s_acctbal").alias("account_balance"),
+        F.col("s_acctbal").alias("unused_extra"),
+    )
+    from pyspark.sql.types import _parse_datatype_string
+
+    out, _missing, _extra = COL.conform(COL.strip_names(renamed), _parse_datatype_string(SUPPLIER_SCHEMA))
+    return COL.with_lineage(out, run_date=RUNS["scope_master"][0], run_id=RUNS["scope_master"][1], source_file_saved="supplier.parquet")
+
+
+def preview(spark, sf) -> DataFrame:
+    part = spark.table(_register(spark, sf, "part"))
+    return part.select("p_partkey", "p_name", "p_retailprice").orderBy("p_partkey").limit(200)
+
+
+def profile(spark, sf) -> DataFrame:
+    part = spark.table(_register(spark, sf, "part"))
+    cols = part.columns
+    agg = part.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in cols],
+        *[F.count_distinct(F.col(c)).alias(f"d_{c}") for c in cols],
+    )
+    types = dict(part.dtypes)
+    x = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), F.col(f"n_{c}").alias("nulls"), F.col(f"d_{c}").alias("distinct_values"))
+        for c in cols
+    ]))
+    return agg.select(F.col("__rows").alias("rows"), x.alias("x")).select("x.column", "x.dtype", "rows", "x.nulls", "x.distinct_values")
+
+
+# --- snapshots, vendor views, history, certified invoices -----------------------------
+
+SNAPSHOTS = (("snap-2026-02-01", "2026-02-01 06:00:00", "v1"), ("snap-2026-02-02", "2026-02-02 06:00:00", "v2"))
+
+
+def eligibility_snapshot(spark, sf) -> DataFrame:
+    sid, ts, rv = SNAPSHOTS[1]
+    return H.eligibility_snapshot(invoice_eligibility_line(spark, sf), snapshot_id=sid, as_of_ts=ts, rule_version=rv)
+
+
+def snapshot_summary(spark, sf) -> DataFrame:
+    return H.snapshot_summary(eligibility_snapshot(spark, sf))
+
+
+def ledger_current(spark, sf) -> DataFrame:
+    (s1, t1, r1), (s2, t2, r2) = SNAPSHOTS
+    older = H.eligibility_snapshot(eligibility_v1(spark, sf), snapshot_id=s1, as_of_ts=t1, rule_version=r1)
+    newer = H.eligibility_snapshot(invoice_eligibility_line(spark, sf), snapshot_id=s2, as_of_ts=t2, rule_version=r2)
+    latest = H.latest_snapshot(older.unionByName(newer, allowMissingColumns=True))
+    flags = H.invoice_flags(role(spark, sf, "invoice_line_fact"))
+    return H.ledger_with_flags(latest, flags)
+
+
+def approved_to_invoice(spark, sf) -> DataFrame:
+    return H.approved_view(ledger_current(spark, sf))
+
+
+def blocked_items(spark, sf) -> DataFrame:
+    return H.blocked_view(ledger_current(spark, sf))
+
+
+def invoiced_paid(spark, sf) -> DataFrame:
+    return H.invoiced_paid_view(ledger_current(spark, sf))
+
+
+def assignment_history(spark, sf) -> DataFrame:
+    return H.assignment_history(role(spark, sf, "release_history"))
+
+
+def certified_invoice_versions(spark, sf) -> DataFrame:
+    return H.certified_versions(role(spark, sf, "invoice_versions"))
+
+
+def certified_invoice_current(spark, sf) -> DataFrame:
+    return H.certified_current(certified_invoice_versions(spark, sf))
+
+
+def certified_invoice_lines(spark, sf) -> DataFrame:
+    return H.certified_lines(role(spark, sf, "invoice_version_lines"), certified_invoice_current(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invoice_eligibility_line": invoice_eligibility_line,
     "eligibility_v1": eligibility_v1,
@@ -428,4 +576,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invoice_lines_v2": invoice_lines_v2,
     "file_manifest_status": file_manifest_status,
     "invoice_orphans": invoice_orphans,
+    "contract_report": contract_report,
+    "duplicate_keys_top10": duplicate_keys_top10,
+    "vendor_domain": vendor_domain,
+    "null_rates": null_rates,
+    "vendor_row_counts": vendor_row_counts,
+    "invoice_upsert_current": invoice_upsert_current,
+    "ledger_upsert": ledger_upsert,
+    "not_yet_loaded": not_yet_loaded,
+    "run_latest_state": run_latest_state,
+    "schema_conform": schema_conform,
+    "preview": preview,
+    "profile": profile,
+    "eligibility_snapshot": eligibility_snapshot,
+    "snapshot_summary": snapshot_summary,
+    "ledger_current": ledger_current,
+    "approved_to_invoice": approved_to_invoice,
+    "blocked_items": blocked_items,
+    "invoiced_paid": invoiced_paid,
+    "assignment_history": assignment_history,
+    "certified_invoice_versions": certified_invoice_versions,
+    "certified_invoice_current": certified_invoice_current,
+    "certified_invoice_lines": certified_invoice_lines,
 }

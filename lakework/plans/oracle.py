@@ -766,3 +766,128 @@ _FINAL.update({
         SELECT message_id, 'HTML_WITHOUT_ATTACHMENT', html_file
         FROM em_idx x WHERE NOT EXISTS (SELECT 1 FROM att_idx a WHERE a.message_id = x.message_id)""",
 })
+
+
+# --- quality, ledgers, snapshots, history ---------------------------------------------
+
+_sh = _run("scope_master")
+_FINAL.update({
+    "contract_report": """
+        SELECT * FROM (VALUES
+            ('release_distribution', 'required', 'FLOC', TRUE, CAST(NULL AS VARCHAR)),
+            ('release_distribution', 'required', 'SCOPE_ID', TRUE, NULL),
+            ('release_distribution', 'required', 'VENDOR', TRUE, NULL),
+            ('release_distribution', 'any_of_regex', 'removal', TRUE, 'SCOPE_REMOVAL_DATE'),
+            ('release_distribution', 'any_of_regex', '^scope package', FALSE, NULL),
+            ('release_distribution', 'not_all_null', 'EXTRA_COLUMN', FALSE, 'column missing')
+        ) AS t(name, "check", target, ok, detail)
+        UNION ALL
+        SELECT 'release_distribution', 'not_all_null', c, n > 0, 'non-null values: ' || CAST(n AS VARCHAR)
+        FROM (SELECT count(FLOC) AS a, count(SCOPE_ID) AS b, count(SCOPE_REMOVAL_DATE) AS d FROM release_dist_raw) x,
+             (VALUES ('FLOC'), ('SCOPE_ID'), ('SCOPE_REMOVAL_DATE')) AS v(c),
+             LATERAL (SELECT CASE c WHEN 'FLOC' THEN x.a WHEN 'SCOPE_ID' THEN x.b ELSE x.d END AS n)""",
+    "duplicate_keys_top10": """
+        SELECT scope_floc_key, count(*) AS count FROM rel_dist GROUP BY scope_floc_key HAVING count(*) > 1
+        ORDER BY count DESC, scope_floc_key ASC NULLS FIRST LIMIT 10""",
+    "vendor_domain": """
+        SELECT b.value, array_to_string(list_sort(list_distinct(list(h.hint) FILTER (WHERE h.hint IS NOT NULL))), ';') AS did_you_mean
+        FROM (SELECT DISTINCT vendor AS value FROM deliveries_raw
+              WHERE vendor NOT IN ('V0', 'V1', 'V2', 'v3-legacy')) b
+        LEFT JOIN (SELECT lower(substr(v, 1, 2)) AS p, v AS hint FROM (VALUES ('V0'), ('V1'), ('V2'), ('v3-legacy')) AS t(v)) h
+          ON lower(substr(b.value, 1, 2)) = h.p
+        GROUP BY b.value""",
+    "null_rates": """
+        SELECT c AS "column", n AS rows, k AS nulls, CASE WHEN n > 0 THEN CAST(k AS DOUBLE) / n ELSE 0.0 END AS null_rate
+        FROM (SELECT count(*) AS n,
+                     count(*) FILTER (WHERE object_type IS NULL) AS k1, count(*) FILTER (WHERE voltage IS NULL) AS k2,
+                     count(*) FILTER (WHERE assignment_status IS NULL) AS k3, count(*) FILTER (WHERE has_any_mdoc IS NULL) AS k4
+              FROM elig_v2) x,
+             LATERAL (VALUES ('object_type', x.k1), ('voltage', x.k2), ('assignment_status', x.k3), ('has_any_mdoc', x.k4)) AS v(c, k)""",
+    "vendor_row_counts": "SELECT vendor, count(*) AS row_count FROM dl GROUP BY vendor",
+    "invoice_upsert_current": """
+        SELECT message_id, invoice_number, total_amount, status, load_seq FROM (
+            SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY load_seq DESC NULLS LAST, src DESC,
+                                         invoice_number, total_amount, status) AS rn
+            FROM (SELECT *, 0 AS src FROM invoice_load_1 UNION ALL SELECT *, 1 AS src FROM invoice_load_2))
+        WHERE rn = 1""",
+    "ledger_upsert": """
+        SELECT coalesce(b.file_hash, u.file_hash) AS file_hash, b.path,
+               CASE WHEN u.file_hash IS NOT NULL THEN u.status ELSE b.status END AS status, u.line_count
+        FROM file_ledger b FULL OUTER JOIN file_ledger_updates u ON b.file_hash = u.file_hash""",
+    "not_yet_loaded": """
+        SELECT * FROM incoming_files i
+        WHERE NOT EXISTS (SELECT 1 FROM file_ledger l WHERE l.status = 'LOADED' AND l.file_hash = i.file_hash)""",
+    "run_latest_state": """
+        SELECT run_id, arg_max(status, (event_ts, status)) AS status, min(event_ts) AS started_at,
+               max(event_ts) AS last_event_at, count(*) AS event_count
+        FROM run_ledger GROUP BY run_id""",
+    "schema_conform": f"""
+        SELECT s_suppkey AS supplier_id, s_name AS supplier_name, s_nationkey AS nation_id, s_acctbal AS account_balance,
+               CAST(NULL AS VARCHAR) AS region, {_sh[0]} AS run_date, {_sh[1]} AS run_id, 'supplier.parquet' AS source_file_saved
+        FROM supplier""",
+    "preview": "SELECT p_partkey, p_name, p_retailprice FROM part ORDER BY p_partkey LIMIT 200",
+    "profile": """
+        SELECT c AS "column", t AS dtype, n AS rows, k AS nulls, d AS distinct_values
+        FROM (SELECT count(*) AS n,
+                     count(*) FILTER (WHERE p_partkey IS NULL) AS k1, count(DISTINCT p_partkey) AS d1,
+                     count(*) FILTER (WHERE p_name IS NULL) AS k2, count(DISTINCT p_name) AS d2,
+                     count(*) FILTER (WHERE p_brand IS NULL) AS k3, count(DISTINCT p_brand) AS d3,
+                     count(*) FILTER (WHERE p_type IS NULL) AS k4, count(DISTINCT p_type) AS d4,
+                     count(*) FILTER (WHERE p_size IS NULL) AS k5, count(DISTINCT p_size) AS d5,
+                     count(*) FILTER (WHERE p_retailprice IS NULL) AS k6, count(DISTINCT p_retailprice) AS d6
+              FROM part) x,
+             LATERAL (VALUES ('p_partkey', 'bigint', x.k1, x.d1), ('p_name', 'string', x.k2, x.d2),
+                             ('p_brand', 'string', x.k3, x.d3), ('p_type', 'string', x.k4, x.d4),
+                             ('p_size', 'int', x.k5, x.d5), ('p_retailprice', 'double', x.k6, x.d6)) AS v(c, t, k, d)""",
+})
+
+CTE["snap_v2"] = "SELECT *, 'snap-2026-02-02' AS snapshot_id, TIMESTAMP '2026-02-02 06:00:00' AS as_of_ts, 'v2' AS rule_version FROM elig_v2"
+CTE["snap_v1"] = "SELECT *, 'snap-2026-02-01' AS snapshot_id, TIMESTAMP '2026-02-01 06:00:00' AS as_of_ts, 'v1' AS rule_version FROM elig_v1"
+CTE["inv_flags"] = """
+    SELECT vendor, scope_floc_key, TRUE AS invoiced_flg, bool_or(coalesce(paid_flg, FALSE)) AS paid_flg,
+           count(DISTINCT invoice_id) AS invoice_count
+    FROM invoice_line_fact GROUP BY vendor, scope_floc_key"""
+CTE["ledger_cur"] = """
+    SELECT s.*, coalesce(f.invoiced_flg, FALSE) AS invoiced_flg, coalesce(f.paid_flg, FALSE) AS paid_flg,
+           CAST(coalesce(f.invoice_count, 0) AS BIGINT) AS invoice_count,
+           coalesce(s.approved_to_invoice, FALSE) AS ready_to_invoice_flg
+    FROM (SELECT * FROM (SELECT * FROM snap_v1 UNION ALL BY NAME SELECT * FROM snap_v2)
+          WHERE snapshot_id = (SELECT arg_max(snapshot_id, (as_of_ts, snapshot_id))
+                               FROM (SELECT snapshot_id, as_of_ts FROM snap_v1 UNION ALL SELECT snapshot_id, as_of_ts FROM snap_v2))) s
+    LEFT JOIN inv_flags f ON s.vendor = f.vendor AND s.scope_floc_key = f.scope_floc_key"""
+CTE["cert_versions"] = """
+    SELECT *, row_number() OVER (PARTITION BY invoice_number ORDER BY loaded_at DESC NULLS LAST, message_id DESC) AS version_rank
+    FROM invoice_versions"""
+
+_FINAL.update({
+    "eligibility_snapshot": "SELECT * FROM snap_v2",
+    "snapshot_summary": """
+        SELECT snapshot_id, as_of_ts, rule_version, asset_class, vendor, scope_id, floc_count, approved_count,
+               floc_count - approved_count AS blocked_count,
+               CASE WHEN floc_count > 0 THEN CAST(approved_count AS DOUBLE) / floc_count ELSE 0.0 END AS approved_rate
+        FROM (SELECT snapshot_id, as_of_ts, rule_version, asset_class, vendor, scope_id, count(scope_floc_key) AS floc_count,
+                     count(*) FILTER (WHERE coalesce(approved_to_invoice, FALSE)) AS approved_count
+              FROM snap_v2 GROUP BY ALL)""",
+    "ledger_current": "SELECT * FROM ledger_cur",
+    "approved_to_invoice": "SELECT * FROM ledger_cur WHERE ready_to_invoice_flg AND NOT invoiced_flg",
+    "blocked_items": "SELECT * FROM ledger_cur WHERE NOT ready_to_invoice_flg AND NOT invoiced_flg",
+    "invoiced_paid": """
+        SELECT *, CASE WHEN paid_flg THEN 'PAID' ELSE 'INVOICED_UNPAID' END AS payment_state
+        FROM ledger_cur WHERE invoiced_flg""",
+    "assignment_history": """
+        SELECT floc, scope_id, effective_start_ts,
+               lead(effective_start_ts) OVER (PARTITION BY floc ORDER BY effective_start_ts) AS effective_end_ts,
+               release_count,
+               lead(effective_start_ts) OVER (PARTITION BY floc ORDER BY effective_start_ts) IS NULL AS is_current
+        FROM (SELECT floc, isl, max(scope_id) AS scope_id, min(ts) AS effective_start_ts, count(*) AS release_count
+              FROM (SELECT *, sum(nw) OVER (PARTITION BY floc ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl
+                    FROM (SELECT *, CASE WHEN lag(scope_id) OVER (PARTITION BY floc ORDER BY ts) IS NOT DISTINCT FROM scope_id
+                                         THEN 0 ELSE 1 END AS nw
+                          FROM (SELECT floc, effective_ts AS ts, max(scope_id) AS scope_id FROM release_history GROUP BY floc, effective_ts)))
+              GROUP BY floc, isl)""",
+    "certified_invoice_versions": "SELECT *, version_rank = 1 AS is_effective FROM cert_versions",
+    "certified_invoice_current": "SELECT * EXCLUDE (version_rank), TRUE AS is_effective FROM cert_versions WHERE version_rank = 1",
+    "certified_invoice_lines": """
+        SELECT * FROM invoice_version_lines l
+        WHERE l.message_id IN (SELECT message_id FROM cert_versions WHERE version_rank = 1)""",
+})

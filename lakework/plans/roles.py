@@ -219,6 +219,54 @@ ROLE_SQL: dict[str, str] = {
                || '<tr><td><span>On behalf of / Preparer</span></td></tr><tr><td><span>Clerk &amp; Co ' || substr(o_orderpriority, 1, 1) || '</span></td></tr>'
                || '</table></body></html>' AS html
         FROM orders WHERE substr(o_orderpriority, 1, 1) <> '5'""",
+    # Invoice line fact (invoiced lineitems) keyed like the assignments; paid when shipped out.
+    "invoice_line_fact": """
+        SELECT 'V' || CAST(l_suppkey % 4 AS STRING) AS vendor,
+               (CASE WHEN l_linenumber <= 5 THEN 'D' ELSE 'T' END) || CAST(l_orderkey % 20 AS STRING) || '|FL-' || CAST(l_partkey AS STRING) AS scope_floc_key,
+               'INV-' || CAST(l_orderkey AS STRING) AS invoice_id,
+               l_linestatus = 'F' AS paid_flg
+        FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 30""",
+    # Invoice versions: orders sharing an invoice number are versions of it.
+    "invoice_versions": """
+        SELECT 'INV-' || CAST(o_orderkey % 5000 AS STRING) AS invoice_number, 'M' || CAST(o_orderkey AS STRING) AS message_id,
+               o_orderdate AS loaded_at, o_totalprice AS total_amount, o_orderstatus AS status
+        FROM orders""",
+    "invoice_version_lines": """
+        SELECT 'M' || CAST(l_orderkey AS STRING) AS message_id, l_linenumber AS line_number, 'FL-' || CAST(l_partkey AS STRING) AS floc,
+               l_extendedprice AS amount
+        FROM lineitem""",
+    # Accumulating invoice table: a first load and a later, overlapping load.
+    "invoice_load_1": """
+        SELECT 'M' || CAST(o_orderkey AS STRING) AS message_id, 'INV-' || CAST(o_orderkey AS STRING) AS invoice_number,
+               o_totalprice AS total_amount, o_orderstatus AS status, 1 AS load_seq
+        FROM orders WHERE o_orderdate < DATE '1998-01-01'""",
+    "invoice_load_2": """
+        SELECT 'M' || CAST(o_orderkey AS STRING) AS message_id, 'INV-' || CAST(o_orderkey AS STRING) AS invoice_number,
+               o_totalprice + 1 AS total_amount, CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS status,
+               2 AS load_seq
+        FROM orders WHERE o_orderdate >= DATE '1997-01-01'""",
+    # File registry ledger (one file per order) and updates from the lineitems.
+    "file_ledger": """
+        SELECT 'h' || CAST(o_orderkey AS STRING) AS file_hash, 'drop/att__M' || CAST(o_orderkey AS STRING) || '.xlsx' AS path,
+               CASE WHEN o_orderstatus = 'F' THEN 'LOADED' ELSE 'FAILED' END AS status
+        FROM orders""",
+    "file_ledger_updates": """
+        SELECT 'h' || CAST(l_orderkey AS STRING) AS file_hash, 'RELOADED' AS status, count(*) AS line_count
+        FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey""",
+    "incoming_files": """
+        SELECT DISTINCT 'h' || CAST(l_orderkey AS STRING) AS file_hash, 'drop/att__M' || CAST(l_orderkey AS STRING) || '.xlsx' AS path
+        FROM lineitem""",
+    # Run ledger: every event row is a state record of one run.
+    "run_ledger": """
+        SELECT 'run-' || CAST(user_id % 50 AS STRING) AS run_id, ts AS event_ts,
+               CASE event_type WHEN 'purchase' THEN 'SUCCEEDED' WHEN 'error' THEN 'FAILED' ELSE 'RUNNING' END AS status
+        FROM events""",
+    # Successive releases: per event day, the package an event names for a floc.
+    "release_history": """
+        SELECT 'FL-' || CAST((user_id * 37) % 2000 AS STRING) AS floc,
+               'D' || CAST(event_id % 3 AS STRING) AS scope_id,
+               CAST(ts AS DATE) AS effective_ts
+        FROM events""",
 }
 
 # Spark-only texts for views whose shared form is slow on Spark: the cells
