@@ -538,6 +538,108 @@ def certified_invoice_lines(spark, sf) -> DataFrame:
     return H.certified_lines(role(spark, sf, "invoice_version_lines"), certified_invoice_current(spark, sf))
 
 
+# --- publishing, CSV sources and the drop stream -----------------------------------
+# These write to a fresh folder under the shared scratch location the cluster
+# names in spark.checkpoint.dir, then read the result back.
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from lakework.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/lakework-roundtrip/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def publish_roundtrip_current(spark, sf) -> DataFrame:
+    from lakework.sources import publish as PB
+    from lakework.sources import readers as RD
+
+    root = _scratch(spark, "current")
+    line = release_line_distribution(spark, sf)
+    PB.publish_vendor_partitioned(line.drop("run_date", "run_id"), root, "silver", "scope_release_distribution_line",
+                                  run_date=RUNS["release_dist"][0], run_id=RUNS["release_dist"][1])
+    cur = RD.read_current(spark, root, "silver", "scope_release_distribution_line")
+    return cur.select(*[F.col(c) for c in line.columns])
+
+
+def publish_roundtrip_history(spark, sf) -> DataFrame:
+    from lakework.sources import publish as PB
+    from lakework.sources import readers as RD
+
+    root = _scratch(spark, "history")
+    line = release_line_distribution(spark, sf).drop("run_date", "run_id")
+    for rd, rid in (("2026-01-10", "r1"), ("2026-01-12", "r2"), ("2026-01-15", "r3")):
+        PB.publish_history(line, root, "silver", "release_line", run_date=rd, run_id=rid, partitions=["vendor"])
+    schema = line.schema.add("run_date", "string").add("run_id", "string")
+    hist = RD.read_history(spark, root, "silver", "release_line", schema=schema)
+    return hist.groupBy("vendor", "run_date", "run_id").agg(F.count(F.lit(1)).alias("row_count"), F.count_if("is_active").alias("active_count"))
+
+
+def previous_run_rows(spark, sf) -> DataFrame:
+    from lakework.sources import publish as PB
+    from lakework.sources import readers as RD
+
+    root = _scratch(spark, "previous")
+    line = release_line_distribution(spark, sf).drop("run_date", "run_id")
+    for rd, rid in (("2026-01-10", "r1"), ("2026-01-12", "r2"), ("2026-01-15", "r3")):
+        PB.publish_history(line.withColumn("source_sheet", F.lit(rid)), root, "silver", "release_line", run_date=rd, run_id=rid, partitions=["vendor"])
+    schema = line.schema.add("run_date", "string").add("run_id", "string")
+    hist = RD.read_history(spark, root, "silver", "release_line", schema=schema)
+    return RD.previous_run(hist, "r3")
+
+
+def dynamic_overwrite(spark, sf) -> DataFrame:
+    from lakework.sources import publish as PB
+    from lakework.sources import readers as RD
+
+    root = _scratch(spark, "dynamic")
+    line = release_line_distribution(spark, sf)
+    PB.publish_current(line, root, "silver", "release_line", partitions=["vendor"])
+    v0 = line.filter(F.col("vendor") == "V0").withColumn("source_sheet", F.lit("Distribution-v2"))
+    PB.publish_current(v0, root, "silver", "release_line", partitions=["vendor"])
+    return RD.read_current(spark, root, "silver", "release_line", schema=line.schema).select(*line.columns)
+
+
+def csv_strings_roundtrip(spark, sf) -> DataFrame:
+    from lakework.sources import readers as RD
+
+    path = _scratch(spark, "csv") + "/nation_csv"
+    nation = spark.table(_register(spark, sf, "nation"))
+    out = nation.select(
+        "n_nationkey",
+        F.when(F.col("n_regionkey") == 0, F.lit(None)).when(F.col("n_regionkey") == 1, F.lit("")).otherwise(F.col("n_name")).alias("n_name"),
+        "n_regionkey",
+    )
+    out.write.option("header", True).csv(path)
+    return RD.read_csv_strings(spark, path)
+
+
+def csv_sniffed(spark, sf) -> DataFrame:
+    from lakework.sources import readers as RD
+
+    path = _scratch(spark, "csvsemi") + "/nation_semi"
+    nation = spark.table(_register(spark, sf, "nation"))
+    nation.select(F.col("n_nationkey").alias("n_nationkey;"), F.col("n_name").alias("n_name;"), F.col("n_regionkey").alias("n_regionkey;")) \
+        .write.option("header", True).option("sep", ";").csv(path)
+    return RD.read_csv_sniffed(spark, path)
+
+
+def events_stream_latest(spark, sf) -> DataFrame:
+    from lakework.streaming.drops import upsert_stream
+
+    root = _scratch(spark, "stream")
+    schema = spark.table(_register(spark, sf, "events")).schema
+    q = upsert_stream(
+        spark, sf, schema, root=root, layer="silver", dataset="events_latest", keys=["user_id"],
+        checkpoint=root + "/_checkpoint", order_col="ts", options={"pathGlobFilter": "events.parquet"},
+    )
+    q.awaitTermination()
+    from lakework.sources import readers as RD
+
+    return RD.read_current(spark, root, "silver", "events_latest").select(*schema.names)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invoice_eligibility_line": invoice_eligibility_line,
     "eligibility_v1": eligibility_v1,
@@ -598,4 +700,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "certified_invoice_versions": certified_invoice_versions,
     "certified_invoice_current": certified_invoice_current,
     "certified_invoice_lines": certified_invoice_lines,
+    "publish_roundtrip_current": publish_roundtrip_current,
+    "publish_roundtrip_history": publish_roundtrip_history,
+    "previous_run_rows": previous_run_rows,
+    "dynamic_overwrite": dynamic_overwrite,
+    "csv_strings_roundtrip": csv_strings_roundtrip,
+    "csv_sniffed": csv_sniffed,
+    "events_stream_latest": events_stream_latest,
 }

@@ -891,3 +891,32 @@ _FINAL.update({
         SELECT * FROM invoice_version_lines l
         WHERE l.message_id IN (SELECT message_id FROM cert_versions WHERE version_rank = 1)""",
 })
+
+
+# --- publishing round trips, CSV sources, the drop stream ----------------------------------
+
+_FINAL.update({
+    "publish_roundtrip_current": "SELECT * FROM rel_dist",
+    "publish_roundtrip_history": """
+        SELECT vendor, r.run_date, r.run_id, count(*) AS row_count, count(*) FILTER (WHERE is_active) AS active_count
+        FROM rel_dist, (VALUES ('2026-01-10', 'r1'), ('2026-01-12', 'r2'), ('2026-01-15', 'r3')) AS r(run_date, run_id)
+        GROUP BY vendor, r.run_date, r.run_id""",
+    "previous_run_rows": """
+        SELECT * EXCLUDE (run_date, run_id, source_sheet), 'r2' AS source_sheet, '2026-01-12' AS run_date, 'r2' AS run_id
+        FROM rel_dist""",
+    "dynamic_overwrite": """
+        SELECT * EXCLUDE (source_sheet), CASE WHEN vendor = 'V0' THEN 'Distribution-v2' ELSE source_sheet END AS source_sheet
+        FROM rel_dist""",
+    "csv_strings_roundtrip": """
+        SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey,
+               CASE WHEN n_regionkey IN (0, 1) THEN '' ELSE n_name END AS n_name,
+               CAST(n_regionkey AS VARCHAR) AS n_regionkey
+        FROM nation""",
+    "csv_sniffed": """
+        SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation""",
+    "events_stream_latest": """
+        SELECT event_id, ts, user_id, event_type, value, props FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id, event_type, value, props) AS rn
+            FROM events)
+        WHERE rn = 1""",
+})
