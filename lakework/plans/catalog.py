@@ -30,15 +30,31 @@ from lakework.plans.roles import BASE_TABLES, MIN_IMAGES, ROLE_RENAMES, ROLE_SQL
 _TABLE_REF = re.compile(r"\bFROM\s+(\w+)\b")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition an input that has fewer partitions than the cluster has cores.
+
+    A file written as one row group is read by one task, and every projection
+    fused into the scan stage then runs on one core.  Inputs already split
+    into at least ``defaultParallelism`` partitions (any table at scale) are
+    returned unchanged, so this never adds a shuffle to a large read.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def _view_name(sf_dir: str, table: str) -> str:
     return "lw_" + re.sub(r"\W", "_", sf_dir.rstrip("/").rsplit("/", 1)[-1]) + f"_{abs(hash(sf_dir)) % 10**8}_{table}"
 
 
 def _register(spark: SparkSession, sf_dir: str, table: str) -> str:
-    """A temp view per (data folder, table), resolved once per session."""
+    """A temp view per (data folder, table), resolved once per session.
+
+    The driver tables are single-row-group files, so a scan is one task; the
+    view spreads such an under-split input over the cores (see ``spread``).
+    """
     name = _view_name(sf_dir, table)
     if not spark.catalog.tableExists(name):
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(name)
+        spread(spark.read.parquet(f"{sf_dir}/{table}.parquet")).createOrReplaceTempView(name)
     return name
 
 
