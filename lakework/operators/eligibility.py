@@ -151,18 +151,25 @@ def distribution_eligibility(
     rule_version: str = "v2",
     trim_keys: bool = False,
     broadcast_max_rows: int | None = None,
+    floc_dim: DataFrame | None = None,
 ) -> DataFrame:
     """D12 (v2) / D13 (v1): distribution eligibility line.
 
+    Join order: deliveries on (vendor, scope_floc_key) first, on the hash
+    partitioning the assignments already have; then the floc attribute
+    dimension (``floc_dim``, J-b) and the survey evidence (J-d), both on floc,
+    so that if neither is broadcast one shuffle by floc serves both.
     ``trim_keys`` re-trims the key columns as the reference does on arbitrary
-    input; frames built by this library are already trimmed, and skipping it
-    keeps the join on the existing hash partitioning.
+    input; frames built by this library are already trimmed.
     """
-    df = _with_defaults(scope_current)
+    df = scope_current
     if trim_keys:
         df = _trim_keys(df)
     df = df.withColumn("asset_class", F.lit("distribution"))
     df = _join_deliveries(df, deliveries)
+    if floc_dim is not None:
+        df = attach_floc_attributes(df, floc_dim, broadcast_max_rows)
+    df = _with_defaults(df)
     z = survey_floc.select("floc", "has_any_mdoc", "has_aerial_mdoc", "has_ground_mdoc")
     if broadcast_max_rows is not None:  # otherwise Spark's own size checks decide (see J-b)
         z = broadcast_if_small(z, broadcast_max_rows)
@@ -252,13 +259,21 @@ def transmission_eligibility(
     source_system: str,
     rule_version: str = "v2",
     trim_keys: bool = False,
+    floc_dim: DataFrame | None = None,
+    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
-    """Transmission eligibility: images only; program and bucket ATI (v2)."""
-    df = _with_defaults(scope_current)
+    """Transmission eligibility: images only; program and bucket ATI (v2).
+
+    Deliveries join first (existing partitioning), then the floc dimension.
+    """
+    df = scope_current
     if trim_keys:
         df = _trim_keys(df)
     df = df.withColumns({"asset_class": F.lit("transmission"), "program_bucket": F.lit("TRANS")})
     df = _join_deliveries(df, deliveries)
+    if floc_dim is not None:
+        df = attach_floc_attributes(df, floc_dim, broadcast_max_rows)
+    df = _with_defaults(df)
     if "is_active_assignment" in df.columns:
         active = F.coalesce(F.col("is_active_assignment").cast("boolean"), F.lit(False))
     else:

@@ -245,15 +245,15 @@ def _eligibility(spark, sf, rule_version: str) -> DataFrame:
     rd, rid = RUNS["eligibility"]
     latest = latest_event(spark, sf)
     dim = floc_dim_ranked(spark, sf)
-    dist = E.attach_floc_attributes(current_assignment_for(spark, sf, "Distribution", latest), dim)
-    trans = E.attach_floc_attributes(current_assignment_for(spark, sf, "Transmission", latest), dim)
+    dist = current_assignment_for(spark, sf, "Distribution", latest)
+    trans = current_assignment_for(spark, sf, "Transmission", latest)
     survey = V.standardize_survey_floc(survey_rollup(spark, sf))
     d = E.distribution_eligibility(
-        dist, _deliveries_agg(spark, sf, "distribution"), survey,
+        dist, _deliveries_agg(spark, sf, "distribution"), survey, floc_dim=dim,
         min_images=MIN_IMAGES, run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM, rule_version=rule_version,
     )
     t = E.transmission_eligibility(
-        trans, _deliveries_agg(spark, sf, "transmission"),
+        trans, _deliveries_agg(spark, sf, "transmission"), floc_dim=dim,
         min_images=MIN_IMAGES, run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM, rule_version=rule_version,
     )
     return d.unionByName(t, allowMissingColumns=True)
