@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakework.functions.clean import (
     business_key,
@@ -57,6 +58,28 @@ DELIVERY_LINE_COLS = (
 )
 
 
+DELIVERY_LINE_SCHEMA = T.StructType(
+    [
+        T.StructField("asset_class", T.StringType()),
+        T.StructField("vendor", T.StringType()),
+        T.StructField("floc", T.StringType()),
+        T.StructField("scope_id", T.StringType()),
+        T.StructField("block_id", T.StringType()),
+        T.StructField("scope_floc_key", T.StringType()),
+        T.StructField("date_uploaded", T.DateType()),
+        T.StructField("flight_date", T.DateType()),
+        T.StructField("folder_date", T.DateType()),
+        T.StructField("folder", T.StringType()),
+        T.StructField("image_count", T.LongType()),
+        T.StructField("has_deliveries_evidence", T.BooleanType()),
+        T.StructField("source_system", T.StringType()),
+        T.StructField("run_date", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("source_file_saved", T.StringType()),
+    ]
+)
+
+
 def require_columns(df: DataFrame, required) -> None:
     """Q3: exact-case required columns."""
     missing = [c for c in required if c not in df.columns]

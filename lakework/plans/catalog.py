@@ -483,24 +483,16 @@ def schema_conform(spark, sf) -> DataFrame:
 
 
 def preview(spark, sf) -> DataFrame:
+    from lakework.sources import readers as RD
+
     part = spark.table(_register(spark, sf, "part"))
-    return part.select("p_partkey", "p_name", "p_retailprice").orderBy("p_partkey").limit(200)
+    return RD.preview(part, ["p_partkey", "p_name", "p_retailprice"], n=200, order=["p_partkey"])
 
 
 def profile(spark, sf) -> DataFrame:
-    part = spark.table(_register(spark, sf, "part"))
-    cols = part.columns
-    agg = part.agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in cols],
-        *[F.count_distinct(F.col(c)).alias(f"d_{c}") for c in cols],
-    )
-    types = dict(part.dtypes)
-    x = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), F.col(f"n_{c}").alias("nulls"), F.col(f"d_{c}").alias("distinct_values"))
-        for c in cols
-    ]))
-    return agg.select(F.col("__rows").alias("rows"), x.alias("x")).select("x.column", "x.dtype", "rows", "x.nulls", "x.distinct_values")
+    from lakework.sources import readers as RD
+
+    return RD.profile(spark.table(_register(spark, sf, "part")))
 
 
 # --- snapshots, vendor views, history, certified invoices -----------------------------

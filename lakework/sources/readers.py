@@ -42,7 +42,7 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         df.schema  # resolves the relation: raises now if the path is missing
         return df
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if any(m in str(e) for m in ("PATH_NOT_FOUND", "Path does not exist", "UNABLE_TO_INFER_SCHEMA")):
             return spark.createDataFrame([], schema)
         raise
 
