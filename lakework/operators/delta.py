@@ -165,3 +165,13 @@ def key_delta(prev: DataFrame, cur: DataFrame, *, check_unique: bool = True) ->
         return F.when(from_prev, pv).otherwise(cv)
 
     return classified.select(change_set.alias("change_set"), "_delta_type", *[pick(c).alias(c) for c in cols])
+
+
+def canonical_key_frame(keyed: DataFrame) -> DataFrame:
+    """The minimal canonical frame of a keyed snapshot (floc, scope, removal date, visit)."""
+    return keyed.select(
+        F.col("_floc").alias("floc"),
+        F.col("_scope_id").alias("scope_id"),
+        F.col("_removal_dt").alias("scope_removal_date"),
+        F.col("_visit_no").alias("visit_no"),
+    )

@@ -78,3 +78,22 @@ def run_latest_state(ledger: DataFrame) -> DataFrame:
 def row_counts_by(df: DataFrame, col: str) -> DataFrame:
     """Per-partition counts (for run metrics)."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# Run states of the run ledger.
+RUNNING, SUCCEEDED, FAILED = "RUNNING", "SUCCEEDED", "FAILED"
+
+
+def run_record(spark, run_id: str, status: str, *, pipeline: str, run_date: str, metrics: dict | None = None, error: str | None = None) -> DataFrame:
+    """One ledger row (start, success or failure) with the run metrics as JSON."""
+    import json
+
+    return spark.createDataFrame(
+        [(run_id, pipeline, run_date, status, json.dumps(metrics or {}, sort_keys=True, default=str), error)],
+        "run_id string, pipeline string, run_date string, status string, metrics_json string, error string",
+    ).withColumn("event_ts", F.current_timestamp())
+
+
+def append_run_record(record: DataFrame, path: str) -> None:
+    """Append-only ledger; the state of a run is derived by ``run_latest_state``."""
+    record.write.mode("append").parquet(path)

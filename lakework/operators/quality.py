@@ -90,3 +90,40 @@ def null_rates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def vendor_list(spark: SparkSession, vendors: Sequence[str]) -> DataFrame:
     """The valid vendor list as a one-column frame (a parameter, never data-sized)."""
     return spark.createDataFrame([(v,) for v in vendors], "vendor string")
+
+
+# --- fixed values that must equal the reference's: contract sets per sheet (Q2) ---
+SCOPE_PACKAGE_REGEX = r"^Scope Package\s*#\s*\d+\s*$"
+RELEASE_CONTRACTS = {
+    "Distribution": Contract("release_distribution", required=("FLOC", "SCOPE_ID"), not_all_null=("FLOC",)),
+    "Transmission": Contract("release_transmission", required=("FLOC",), any_of_regex=(SCOPE_PACKAGE_REGEX,), not_all_null=("FLOC",)),
+}
+REMOVAL_CONTRACTS = {
+    "Distribution": Contract("removal_distribution", required=("FLOC", "SCOPE_ID"), not_all_null=("FLOC",)),
+    "Transmission": Contract("removal_transmission", required=("FLOC",), any_of_regex=(SCOPE_PACKAGE_REGEX,), not_all_null=("FLOC",)),
+}
+MOVE_TO_HELO_CONTRACTS = {
+    "Distribution": Contract("move_distribution", required=("FLOC", "SCOPE_ID"), not_all_null=("FLOC", "SCOPE_ID")),
+    "Transmission": Contract("move_transmission", required=("FLOC",), any_of_regex=(SCOPE_PACKAGE_REGEX,), not_all_null=("FLOC",)),
+}
+HELO_CONTRACTS = {
+    "Distribution": Contract("helo_distribution", required=("FLOC", "SCOPE_ID"), not_all_null=("FLOC", "SCOPE_ID")),
+    "Transmission": Contract("helo_transmission", required=("FLOC", "SCOPE_ID"), not_all_null=("FLOC", "SCOPE_ID")),
+}
+# -------------------------------------------------------------------------------------
+
+
+def contracts_for(event_type: str) -> dict[str, Contract]:
+    """Q2: the contract set of an event sheet type."""
+    if event_type == "removal":
+        return REMOVAL_CONTRACTS
+    if event_type == "move_to_helo":
+        return MOVE_TO_HELO_CONTRACTS
+    raise ValueError(f"unknown event type {event_type!r}")
+
+
+def require_contract(df: DataFrame, contract: Contract) -> None:
+    """Q1 as a gate: raise with every failed check (one aggregation for the not-null checks)."""
+    failed = contract_report(df, contract).filter(~F.col("ok")).collect()
+    if failed:
+        raise ValueError(f"contract {contract.name} failed: " + "; ".join(f"{r['check']} {r['target']}" for r in failed))

@@ -406,6 +406,11 @@ def invoice_lines_v2(spark, sf) -> DataFrame:
     ).drop("row_idx")
 
 
+def file_manifest_v1(spark, sf) -> DataFrame:
+    cells = _cells(spark, sf)
+    return I.file_manifest_v1(_attachments(spark, sf), _emails(spark, sf).drop("html"), I.header_row_v1(cells), invoice_lines_v1(spark, sf))
+
+
 def invoice_orphans(spark, sf) -> DataFrame:
     return I.orphans(_attachments(spark, sf), _emails(spark, sf).drop("html"))
 
@@ -686,6 +691,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invoice_lines_v2": invoice_lines_v2,
     "file_manifest_status": file_manifest_status,
     "invoice_orphans": invoice_orphans,
+    "file_manifest_v1": file_manifest_v1,
     "contract_report": contract_report,
     "duplicate_keys_top10": duplicate_keys_top10,
     "vendor_domain": vendor_domain,

@@ -920,3 +920,17 @@ _FINAL.update({
             FROM events)
         WHERE rn = 1""",
 })
+
+
+_FINAL.update({
+    "file_manifest_v1": """
+        SELECT a.attachment_file AS attachment, a.message_id,
+               CASE WHEN x.message_id IS NULL THEN 'SKIPPED_NO_HTML' WHEN h.message_id IS NULL THEN 'SKIPPED_BAD_FORMAT' ELSE 'OK' END AS status,
+               CASE WHEN x.message_id IS NOT NULL AND h.message_id IS NOT NULL THEN CAST(coalesce(c.lines, 0) AS BIGINT) END AS lines,
+               CASE WHEN x.message_id IS NOT NULL AND h.message_id IS NOT NULL THEN c.supplier END AS supplier
+        FROM att_idx a
+        LEFT JOIN em_idx x ON a.message_id = x.message_id
+        LEFT JOIN g_hr1 h ON a.message_id = h.message_id
+        LEFT JOIN (SELECT message_id, count(*) AS lines, max(supplier) AS supplier FROM inv_lines1 GROUP BY message_id) c
+          ON a.message_id = c.message_id""",
+})

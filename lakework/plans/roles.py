@@ -189,7 +189,7 @@ ROLE_SQL: dict[str, str] = {
         UNION ALL SELECT message_id, hr, 4, 'UPLOAD_DATE' FROM hdr
         UNION ALL SELECT message_id, hr, 5, 'VENDOR_STATUS' FROM hdr
         UNION ALL SELECT message_id, hr, 6, 'BLOCK_ID' FROM hdr
-        UNION ALL SELECT message_id, hr, 7, ' UNIT_RATE ' FROM hdr
+        UNION ALL SELECT message_id, hr, 7, CASE WHEN o_orderkey % 17 = 0 THEN 'RATE' ELSE ' UNIT_RATE ' END FROM hdr
         UNION ALL SELECT message_id, r, 0, CASE WHEN l_linenumber = 3 AND l_returnflag = 'N' THEN ''
                                               WHEN l_discount = 0.1 AND l_tax = 0 THEN 'XX-' || CAST(l_partkey AS STRING)
                                               ELSE 'OH-' || CAST(l_partkey AS STRING) END FROM body
@@ -302,7 +302,7 @@ ROLE_SQL_SPARK: dict[str, str] = {
             {_H.format(r="hr", c=4, v="'UPLOAD_DATE'")},
             {_H.format(r="hr", c=5, v="'VENDOR_STATUS'")},
             {_H.format(r="hr", c=6, v="'BLOCK_ID'")},
-            {_H.format(r="hr", c=7, v="' UNIT_RATE '")}
+            {_H.format(r="hr", c=7, v="CASE WHEN o_orderkey % 17 = 0 THEN 'RATE' ELSE ' UNIT_RATE ' END")}
         )) FROM hdr
         UNION ALL
         SELECT message_id, CAST(r AS INT) AS row_idx, b.col_idx, b.value FROM (

@@ -113,3 +113,12 @@ def archive_manifest(spark: SparkSession, path: str, *, run_date: str, run_id: s
         F.lit(run_date).alias("run_date"),
         F.lit(run_id).alias("run_id"),
     )
+
+
+def vendor_export(df: DataFrame, root: str, name: str, *, run_date: str, run_id: str) -> tuple[str, str]:
+    """Vendor-facing CSV files: CURRENT replaced per vendor present, HISTORY appended per run."""
+    base = f"{root.rstrip('/')}/export/{name}"
+    out = _with_run(df, run_date, run_id)
+    out.write.mode("append").option("header", True).partitionBy("vendor", "run_date", "run_id").csv(f"{base}/HISTORY")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy("vendor").csv(f"{base}/CURRENT")
+    return f"{base}/HISTORY", f"{base}/CURRENT"
