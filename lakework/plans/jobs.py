@@ -198,3 +198,30 @@ def invoice_intake_v2(cells: DataFrame, attachment_files: DataFrame, email_files
         layer = "bronze" if name.endswith("manifest") else "silver"
         PB.publish_whole_table(df.drop("run_date", "run_id"), root, layer, name, run_date=run.run_date, run_id=run.run_id)
     return out
+
+
+def invoice_intake_v1(spark: SparkSession, cells: DataFrame, attachment_files: DataFrame, email_files: DataFrame, *, root: str, run: Run,
+                      load_seq: int, source_system: str = "ARIBA_EMAIL_EXPORT") -> dict[str, DataFrame]:
+    """Header and lines of the files that parse; HISTORY per run, CURRENT accumulated.
+
+    CURRENT keeps the last version per message (header) and per (message, line
+    number) (lines); ``load_seq`` orders loads (later wins).  Files without an
+    e-mail or without a line-table header are reported in the manifest, not
+    loaded (a bad file never fails the run).
+    """
+    att = I.attachment_manifest(attachment_files)
+    em = I.email_index(email_files)
+    hdr_rows = I.header_row_v1(cells)
+    ok = att.join(em.select("message_id"), "message_id", "left_semi").join(hdr_rows.select("message_id"), "message_id", "left_semi")
+    header = I.invoice_header_v1(I.header_kv_v1(cells), I.email_fields(em, "v1"), ok, em, run_date=run.run_date, run_id=run.run_id,
+                                 source_system=source_system)
+    lines = I.invoice_lines_v1(I.line_table(cells, hdr_rows, I.LINE_COLS_V1), header, run_date=run.run_date, run_id=run.run_id,
+                               source_system=source_system)
+    manifest = I.file_manifest_v1(att, em.drop("html"), hdr_rows, lines)
+    out = {"vendor_invoice_file_status": manifest}
+    for name, df, keys in (("vendor_invoice_header_v1", header, ["message_id"]), ("vendor_invoice_line_v1", lines, ["message_id", "line_number"])):
+        PB.publish_history(df.drop("run_date", "run_id"), root, "silver", name, run_date=run.run_date, run_id=run.run_id)
+        out[name] = PB.publish_accumulating(spark, df.withColumn("__load_seq", F.lit(load_seq).cast("bigint")), root, "silver", name, keys,
+                                            run_id=run.run_id)
+    PB.publish_history(manifest, root, "bronze", "vendor_invoice_file_status", run_date=run.run_date, run_id=run.run_id)
+    return out

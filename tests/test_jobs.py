@@ -61,3 +61,24 @@ def test_lake_jobs_end_to_end(spark):
     J.rate_card_job(rc, root=root, run=r3, position=F.lit(1))
     priced = J.pricing_job(spark, spark.createDataFrame([("V", "HELO", "ED_POLE", None)], "vendor string, billing_bucket string, object_type string, voltage string"), root=root)
     assert rows(priced, "pricing_match_status", "unit_price") == [("MATCHED", 10.0)]
+
+
+def test_invoice_intake_v1_accumulates(spark):
+    root = tempfile.mkdtemp(prefix="lw-inv-", dir="/tmp")
+    cells = spark.createDataFrame(
+        [("M1", 0, 0, "INVOICE NUMBER"), ("M1", 0, 1, "INV-1"), ("M1", 2, 0, "FLOC_ID"), ("M1", 2, 1, "SCE_STRUCT"), ("M1", 2, 2, "PHOTO_LOC"),
+         ("M1", 2, 3, "FLIGHT_DATE"), ("M1", 2, 4, "UPLOAD_DATE"), ("M1", 2, 5, "VENDOR_STATUS"), ("M1", 2, 6, "BLOCK_ID"), ("M1", 2, 7, "UNIT_RATE"),
+         ("M1", 3, 0, "OH-1"), ("M1", 3, 7, "$1,000.50"), ("M1", 4, 1, "S2"), ("M1", 5, 0, "OH-3"),
+         ("M2", 0, 0, "nothing here")],
+        "message_id string, row_idx int, col_idx int, value string",
+    )
+    att = spark.createDataFrame([("att__M1__INV-1.xlsx",), ("att__M2__X.xlsx",), ("att__M3__Y.xlsx",)], "file_name string")
+    em = spark.createDataFrame([("email__M1_.html", "<span>Supplier</span><span>ACME</span>"), ("email__M2_.html", "")], "file_name string, html string")
+    out = J.invoice_intake_v1(spark, cells, att, em, root=root, run=J.Run("2026-02-01", "i1"), load_seq=1)
+    assert rows(out["vendor_invoice_file_status"], "message_id", "status", "lines") == [
+        ("M1", "OK", 2), ("M2", "SKIPPED_BAD_FORMAT", None), ("M3", "SKIPPED_NO_HTML", None),
+    ]
+    assert rows(out["vendor_invoice_line_v1"], "floc_id", "line_number", "unit_rate") == [("OH-1", 1, 1000.5), ("OH-3", 3, None)]
+    out2 = J.invoice_intake_v1(spark, cells, att, em, root=root, run=J.Run("2026-02-02", "i2"), load_seq=2)
+    assert out2["vendor_invoice_header_v1"].count() == 1
+    assert rows(out2["vendor_invoice_header_v1"], "invoice_number", "supplier") == [("INV-1", "ACME")]
