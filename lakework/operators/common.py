@@ -67,3 +67,23 @@ def joined_unique(
         items = F.array_sort(F.collect_list(F.when(F.col("__n") == n, F.struct(F.col("__p"), F.col("__v")))))
         outs.append(F.nullif(F.concat_ws(sep, F.transform(items, lambda e: e["__v"])), F.lit("")).alias(n))
     return pairs.groupBy(*group).agg(*outs)
+
+
+def number_rows(df: DataFrame, group: Sequence[str], order: str, out: str = "line_number", bucket_size: int = 1 << 16) -> DataFrame:
+    """1..n numbering of the rows of each group by an integer ``order`` (unique within the group).
+
+    A window over a whole group would put a group holding a third of the rows
+    into one task.  Instead the rows are cut into buckets of ``bucket_size``
+    consecutive ``order`` values: a partial aggregation counts each (group,
+    bucket); a window over those counts (one row per bucket) gives each bucket
+    its offset; rows are then numbered inside their bucket, which holds at most
+    ``bucket_size`` rows, and shifted by the offset.
+    """
+    b = F.floor(F.col(order) / F.lit(bucket_size)).cast("bigint")
+    keyed = df.withColumn("__b", b)
+    counts = keyed.groupBy(*group, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
+    joined = keyed.join(offsets, [*group, "__b"])
+    inner = Window.partitionBy(*group, "__b").orderBy(order)
+    return joined.withColumn(out, (F.row_number().over(inner) + F.col("__off")).cast("int")).drop("__b", "__off")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakework.operators.common import top1
+
 
 def assignment_history(assignments: DataFrame, *, floc: str = "floc", scope: str = "scope_id", ts: str = "effective_ts") -> DataFrame:
     """Effective-dated package assignment per floc (gaps and islands).
@@ -121,16 +123,21 @@ def invoiced_paid_view(ledger: DataFrame) -> DataFrame:
 
 
 def certified_versions(headers: DataFrame, *, invoice: str = "invoice_number", loaded: str = "loaded_at", version: str = "message_id") -> DataFrame:
-    """Every version of every invoice with ``is_effective`` for the newest load (then highest version id)."""
-    w = Window.partitionBy(invoice).orderBy(F.col(loaded).desc_nulls_last(), F.col(version).desc())
-    return headers.withColumn("version_rank", F.row_number().over(w)).withColumn(
-        "is_effective", F.col("version_rank") == 1
-    )
+    """Every version of every invoice, ``is_effective`` on the newest load (then highest version id).
+
+    The effective version is a top-1 per invoice (partial limit before the
+    shuffle, so an invoice with very many versions stays cheap), joined back
+    to flag the versions; no window over all versions of an invoice.
+    """
+    eff = top1(headers.select(invoice, loaded, version), [invoice], [F.col(loaded).desc_nulls_last(), F.col(version).desc()])
+    flags = eff.select(invoice, version, F.lit(True).alias("is_effective"))
+    out = headers.join(flags, [invoice, version], "left")
+    return out.withColumn("is_effective", F.coalesce(F.col("is_effective"), F.lit(False)))
 
 
 def certified_current(versions: DataFrame) -> DataFrame:
     """The effective version per invoice."""
-    return versions.filter(F.col("is_effective")).drop("version_rank")
+    return versions.filter(F.col("is_effective"))
 
 
 def certified_lines(lines: DataFrame, current: DataFrame, version: str = "message_id") -> DataFrame:

@@ -885,7 +885,7 @@ _FINAL.update({
                                          THEN 0 ELSE 1 END AS nw
                           FROM (SELECT floc, effective_ts AS ts, max(scope_id) AS scope_id FROM release_history GROUP BY floc, effective_ts)))
               GROUP BY floc, isl)""",
-    "certified_invoice_versions": "SELECT *, version_rank = 1 AS is_effective FROM cert_versions",
+    "certified_invoice_versions": "SELECT * EXCLUDE (version_rank), version_rank = 1 AS is_effective FROM cert_versions",
     "certified_invoice_current": "SELECT * EXCLUDE (version_rank), TRUE AS is_effective FROM cert_versions WHERE version_rank = 1",
     "certified_invoice_lines": """
         SELECT * FROM invoice_version_lines l
