@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,10 +47,13 @@ def _strings(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
-def release_intake(spark: SparkSession, raw: DataFrame, *, root: str, vendor: str, asset_class: str, run: Run, source_file: str = "") -> DataFrame:
+def release_intake(
+    spark: SparkSession, raw: DataFrame, *, root: str, vendor: str, asset_class: str, run: Run, source_file: str = "", metrics: dict | None = None
+) -> DataFrame:
     """Bronze copy, key delta against the previous snapshot, silver line and load header.
 
-    Returns the delta (empty when there is no previous snapshot).
+    Returns the delta (empty when there is no previous snapshot).  ``metrics``
+    (K12) receives line counts observed while the line is written (no extra job).
     """
     ds = RELEASE[asset_class]
     bronze = _strings(raw).withColumn("vendor", F.lit(vendor))
@@ -66,7 +69,18 @@ def release_intake(spark: SparkSession, raw: DataFrame, *, root: str, vendor: st
         PB.publish_delta(delta, root, ds, vendor=vendor, run_date=run.run_date, run_id=run.run_id)
     builder = A.release_line_distribution if asset_class == "Distribution" else A.release_line_transmission
     line = builder(raw, run_date=run.run_date, run_id=run.run_id, source_file_saved=source_file, vendor=vendor)
-    PB.publish_vendor_partitioned(line.drop("run_date", "run_id"), root, "silver", f"{ds}_line", run_date=run.run_date, run_id=run.run_id)
+    obs = Observation(f"release_line_{run.run_id}")
+    observed = line.observe(
+        obs,
+        F.count(F.lit(1)).alias("line_rows"),
+        F.count_if(~F.col("is_active")).alias("inactive_rows"),
+        F.count_if(F.col("scope_id") == "COMP").alias("comp_rows"),
+    )
+    PB.publish_history(observed.drop("run_date", "run_id"), root, "silver", f"{ds}_line", run_date=run.run_date, run_id=run.run_id,
+                       partitions=["vendor"])
+    PB.publish_current(line, root, "silver", f"{ds}_line", partitions=["vendor"])
+    if metrics is not None:
+        metrics.update(obs.get)
     header = PB.load_header(raw, line, dataset=ds, run_date=run.run_date, run_id=run.run_id, vendor=vendor)
     PB.publish_history(header.drop("run_date", "run_id", "vendor").withColumn("vendor", F.lit(vendor)), root, "silver", f"{ds}_header",
                        run_date=run.run_date, run_id=run.run_id, partitions=["vendor"])
@@ -149,8 +163,14 @@ def rate_card_job(raw: DataFrame, *, root: str, run: Run, source_system: str = "
     return rc
 
 
-def eligibility_job(spark: SparkSession, *, root: str, run: Run, min_images: int = 8, source_system: str = "INTERNAL") -> dict[str, DataFrame]:
-    """Eligibility lines (both classes), unmatched evidence, scope summary; five publishes."""
+def eligibility_job(
+    spark: SparkSession, *, root: str, run: Run, min_images: int = 8, source_system: str = "INTERNAL", metrics: dict | None = None
+) -> dict[str, DataFrame]:
+    """Eligibility lines (both classes), unmatched evidence, scope summary; five publishes.
+
+    ``metrics`` (K12/Q9) receives line counts and the null counts left by the
+    dimension join, observed while the line table is written.
+    """
     cur = {ac: RD.read_current(spark, root, "gold", GOLD_CURRENT[ac]) for ac in GOLD_CURRENT}
     dim = E.standardize_floc_dim(RD.read_current(spark, root, "silver", FLOC_DIM))
     dagg = {
@@ -162,6 +182,14 @@ def eligibility_job(spark: SparkSession, *, root: str, run: Run, min_images: int
     dist = E.distribution_eligibility(cur["Distribution"], dagg["distribution"], survey, floc_dim=dim, **kw)
     trans = E.transmission_eligibility(cur["Transmission"], dagg["transmission"], floc_dim=dim, **kw)
     line = dist.unionByName(trans, allowMissingColumns=True)
+    obs = Observation(f"eligibility_{run.run_id}")
+    line = line.observe(
+        obs,
+        F.count(F.lit(1)).alias("line_rows"),
+        F.count_if(F.col("approved_to_invoice")).alias("approved_rows"),
+        F.count_if(F.col("object_type").isNull()).alias("object_type_nulls"),
+        F.count_if(F.col("voltage").isNull()).alias("voltage_nulls"),
+    )
     lin = dict(run_date=run.run_date, run_id=run.run_id, source_system=source_system)
     out = {
         "invoice_eligibility_line": line,
@@ -172,6 +200,8 @@ def eligibility_job(spark: SparkSession, *, root: str, run: Run, min_images: int
     }
     for name, df in out.items():
         PB.publish_whole_table(df.drop("run_date", "run_id"), root, "gold", name, run_date=run.run_date, run_id=run.run_id)
+    if metrics is not None:
+        metrics.update(obs.get)
     return {name: RD.read_current(spark, root, "gold", name) for name in out}
 
 

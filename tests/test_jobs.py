@@ -20,7 +20,9 @@ def test_lake_jobs_end_to_end(spark):
     snap1 = spark.createDataFrame([("A1", "D1", None, "x"), ("A2", "D1", None, "x"), ("A3", "", None, "x")], REL)
     snap2 = spark.createDataFrame([("A1", "D1", None, "y"), ("A3", "", "2026-01-11", "x"), ("A4", "D2", None, "x")], REL)
     assert J.release_intake(spark, snap1, root=root, vendor="V", asset_class="Distribution", run=r1).count() == 0
-    delta = J.release_intake(spark, snap2, root=root, vendor="V", asset_class="Distribution", run=r2)
+    m = {}
+    delta = J.release_intake(spark, snap2, root=root, vendor="V", asset_class="Distribution", run=r2, metrics=m)
+    assert m == {"line_rows": 3, "inactive_rows": 1, "comp_rows": 1}
     assert rows(delta, "_key", "_delta_type") == [
         ("COMP|A3", "removed_soft"), ("D1|A1", "updated_active"), ("D1|A2", "removed_missing_in_current"), ("D2|A4", "added_new"),
     ]
@@ -48,7 +50,9 @@ def test_lake_jobs_end_to_end(spark):
     J.scope_master_job([(lst, "distribution", "DIST_LIST")], root=root, run=r3)
     for ac in ("Transmission",):
         pass
-    out = J.eligibility_job(spark, root=root, run=r3)
+    em = {}
+    out = J.eligibility_job(spark, root=root, run=r3, metrics=em)
+    assert em["line_rows"] == 3 and em["object_type_nulls"] == 1
     line = out["invoice_eligibility_line"]
     got = {r[0]: r[1:] for r in rows(line, "scope_floc_key", "approved_to_invoice", "billing_bucket", "block_reasons")}
     assert got["D2|A4"] == (False, "NON_BILLABLE", "BLOCK_EZ_POLE_DIST_NOT_BILLABLE")
