@@ -304,6 +304,19 @@ def snapshot_delta(spark, sf) -> DataFrame:
     return out.select("change_set", "_delta_type", "_key", "FLOC", "SCOPE_ID", "SCOPE_REMOVAL_DATE", "AMOUNT", "STATUS", "_is_active")
 
 
+def release_load_header(spark, sf) -> DataFrame:
+    from lakework.sources import publish as PB
+
+    rd, rid = RUNS["release_dist"]
+    raw = role(spark, sf, "release_dist_raw")
+    return PB.load_header(raw.drop("vendor"), release_line_distribution(spark, sf), dataset="scope_release_distribution",
+                          run_date=rd, run_id=rid)
+
+
+def canonical_keys(spark, sf) -> DataFrame:
+    return D.canonical_key_frame(D.keyed_distribution(role(spark, sf, "snapshot_cur_raw")))
+
+
 def row_signature(spark, sf) -> DataFrame:
     raw = role(spark, sf, "snapshot_cur_raw")
     return raw.select("FLOC", C.row_signature(raw.columns).alias("row_sig"))
@@ -675,6 +688,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pricing_status_counts": pricing_status_counts,
     "snapshot_delta": snapshot_delta,
     "row_signature": row_signature,
+    "release_load_header": release_load_header,
+    "canonical_keys": canonical_keys,
     "html_fields": html_fields,
     "invoice_email_fields": invoice_email_fields,
     "grid_header_row": grid_header_row,

@@ -934,3 +934,12 @@ _FINAL.update({
         LEFT JOIN (SELECT message_id, count(*) AS lines, max(supplier) AS supplier FROM inv_lines1 GROUP BY message_id) c
           ON a.message_id = c.message_id""",
 })
+
+
+_FINAL.update({
+    "release_load_header": f"""
+        SELECT 'scope_release_distribution' AS dataset, CAST(NULL AS VARCHAR) AS vendor, {_run("release_dist")[0]} AS run_date,
+               {_run("release_dist")[1]} AS run_id, r.n AS raw_rows, 3 AS raw_cols, s.n AS silver_rows
+        FROM (SELECT count(*) AS n FROM release_dist_raw) r, (SELECT count(*) AS n FROM rel_dist) s""",
+    "canonical_keys": "SELECT _floc AS floc, _scope_id AS scope_id, _removal_dt AS scope_removal_date, CAST(NULL AS BIGINT) AS visit_no FROM snap_cur",
+})
