@@ -36,6 +36,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("LAKEWORK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # PySpark 4 records the Python call site of every Column it builds (for
+        # error messages), walking the stack each time; with plans of a few
+        # hundred operators that dominated plan construction.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in SQL_SETTINGS.items():
         builder = builder.config(k, v)
