@@ -68,17 +68,56 @@ def publish_vendor_partitioned(df: DataFrame, root: str, layer: str, dataset: st
     return h, c
 
 
+BUCKET_COL = "__key_bucket"
+
+
+def key_bucket(keys: Sequence[str], buckets: int):
+    """Stable bucket of a key (xxhash64, non-negative modulo)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
 def publish_accumulating(
-    spark: SparkSession, new: DataFrame, root: str, layer: str, dataset: str, keys: Sequence[str], *, run_id: str, order: str = "__load_seq"
+    spark: SparkSession,
+    new: DataFrame,
+    root: str,
+    layer: str,
+    dataset: str,
+    keys: Sequence[str],
+    *,
+    run_id: str,
+    order: str = "__load_seq",
+    buckets: int | None = None,
 ) -> DataFrame:
-    """K5: CURRENT := keep-last-per-key(CURRENT ∪ new), staged so CURRENT is never read while rewritten."""
+    """K5: CURRENT := keep-last-per-key(CURRENT ∪ new), staged so CURRENT is never read while rewritten.
+
+    Without ``buckets`` the whole CURRENT is merged and rewritten.  With
+    ``buckets`` CURRENT is partitioned by a hash bucket of the key: a load reads
+    only the buckets its new rows touch (a semi join on the bucket partition
+    column, which Spark turns into dynamic partition pruning) and replaces only
+    those partitions (dynamic partition overwrite), so a load costs what it
+    touches, not the size of everything loaded so far.
+    """
     cur_path = dataset_path(root, layer, dataset, "CURRENT")
-    current = read_optional(spark, cur_path, new.schema)
-    merged = keep_last(current, new, keys, order=order)
     stage = f"{root.rstrip('/')}/{layer}/{dataset}/_staging/run_id={safe_name(run_id)}"
-    merged.write.mode("overwrite").parquet(stage)
-    spark.read.parquet(stage).write.mode("overwrite").parquet(cur_path)
-    return spark.read.schema(merged.schema).parquet(cur_path)
+    if buckets is None:
+        current = read_optional(spark, cur_path, new.schema)
+        merged = keep_last(current, new, keys, order=order)
+        merged.write.mode("overwrite").parquet(stage)
+        spark.read.parquet(stage).write.mode("overwrite").parquet(cur_path)
+        return spark.read.schema(merged.schema).parquet(cur_path)
+    tagged = new.withColumn(BUCKET_COL, key_bucket(keys, buckets))
+    current = read_optional(spark, cur_path, tagged.schema)
+    # The touched bucket numbers: at most ``buckets`` small integers, so they
+    # can drive a static partition filter (only those folders are listed and read).
+    touched = [r[0] for r in tagged.select(BUCKET_COL).distinct().collect()]
+    current = current.filter(F.col(BUCKET_COL).isin(touched))
+    merged = keep_last(current, tagged, keys, order=order)
+    merged.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
+    (
+        spark.read.schema(merged.schema).parquet(stage)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(cur_path)
+    )
+    return spark.read.schema(merged.schema).parquet(cur_path).drop(BUCKET_COL)
 
 
 def publish_delta(delta: DataFrame, root: str, dataset: str, *, vendor: str, run_date: str, run_id: str) -> str:

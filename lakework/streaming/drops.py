@@ -34,11 +34,13 @@ def upsert_stream(
     order_col: str | None = None,
     max_files_per_trigger: int | None = None,
     options: dict | None = None,
+    buckets: int | None = 64,
 ) -> StreamingQuery:
     """Start an ``availableNow`` stream from ``source`` into an accumulating CURRENT.
 
     ``order_col`` orders rows inside a batch (later wins); batches themselves
-    are ordered by their id.
+    are ordered by their id.  CURRENT is key-bucketed (``buckets``), so a batch
+    rewrites only the buckets its keys fall in.
     """
     reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
     if max_files_per_trigger:
@@ -51,7 +53,7 @@ def upsert_stream(
             batch = top1(batch, list(keys), [F.col(order_col).desc_nulls_last(), *rest])
         publish_accumulating(
             spark, batch.withColumn("__load_seq", F.lit(batch_id).cast("bigint")), root, layer, dataset, keys,
-            run_id=f"batch-{batch_id}",
+            run_id=f"batch-{batch_id}", buckets=buckets,
         )
 
     return (

@@ -89,3 +89,14 @@ def test_drop_stream_upserts_each_file_once(spark):
     q.awaitTermination()
     cur = RD.read_current(spark, root, "silver", "d")
     assert rows(cur, "message_id", "total") == [("m1", 2.0), ("m2", 3.0)]
+
+
+def test_bucketed_accumulating_publish_rewrites_only_touched_buckets(spark):
+    root = _tmp()
+    first = spark.range(0, 200).select(F.col("id").cast("string").alias("k"), F.lit(1).cast("bigint").alias("__load_seq"), F.lit("a").alias("v"))
+    PB.publish_accumulating(spark, first, root, "silver", "acc", ["k"], run_id="1", buckets=16)
+    second = spark.createDataFrame([("5", 2, "b"), ("500", 2, "c")], "k string, __load_seq long, v string")
+    out = PB.publish_accumulating(spark, second, root, "silver", "acc", ["k"], run_id="2", buckets=16)
+    assert out.count() == 201
+    got = {r["k"]: r["v"] for r in out.filter(F.col("k").isin("5", "6", "500")).collect()}
+    assert got == {"5": "b", "6": "a", "500": "c"}
