@@ -92,8 +92,8 @@ def publish_accumulating(
 
     Without ``buckets`` the whole CURRENT is merged and rewritten.  With
     ``buckets`` CURRENT is partitioned by a hash bucket of the key: a load reads
-    only the buckets its new rows touch (a semi join on the bucket partition
-    column, which Spark turns into dynamic partition pruning) and replaces only
+    only the buckets its new rows touch (a partition filter with the touched
+    bucket numbers, at most ``buckets`` small integers) and replaces only
     those partitions (dynamic partition overwrite), so a load costs what it
     touches, not the size of everything loaded so far.
     """
