@@ -304,6 +304,13 @@ def snapshot_delta(spark, sf) -> DataFrame:
     return out.select("change_set", "_delta_type", "_key", "FLOC", "SCOPE_ID", "SCOPE_REMOVAL_DATE", "AMOUNT", "STATUS", "_is_active")
 
 
+def snapshot_delta_transmission(spark, sf) -> DataFrame:
+    prev = D.keyed_transmission(role(spark, sf, "snapshot_trans_prev_raw"))
+    cur = D.keyed_transmission(role(spark, sf, "snapshot_trans_cur_raw"))
+    out = D.key_delta(prev, cur, check_unique=False)
+    return out.select("change_set", "_delta_type", "_key", "FLOC", "Date_Removed", "AMOUNT", "_visit_no", "_is_active")
+
+
 def release_load_header(spark, sf) -> DataFrame:
     from lakework.sources import publish as PB
 
@@ -689,6 +696,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_delta": snapshot_delta,
     "row_signature": row_signature,
     "release_load_header": release_load_header,
+    "snapshot_delta_transmission": snapshot_delta_transmission,
     "canonical_keys": canonical_keys,
     "html_fields": html_fields,
     "invoice_email_fields": invoice_email_fields,

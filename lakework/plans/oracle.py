@@ -943,3 +943,37 @@ _FINAL.update({
         FROM (SELECT count(*) AS n FROM release_dist_raw) r, (SELECT count(*) AS n FROM rel_dist) s""",
     "canonical_keys": "SELECT _floc AS floc, _scope_id AS scope_id, _removal_dt AS scope_removal_date, CAST(NULL AS BIGINT) AS visit_no FROM snap_cur",
 })
+
+
+def _trans_keyed(raw: str) -> str:
+    sig = "sha256(concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in ("AMOUNT", "Date_Removed", "FLOC")) + "))"
+    return f"""
+    SELECT *, _removal_dt IS NULL AS _is_active, _scope_id || '|' || _floc AS _key, {sig} AS _sig FROM (
+        SELECT FLOC, Date_Removed, AMOUNT, trim(s) AS _scope_id, CAST(n AS BIGINT) AS _visit_no, trim(FLOC) AS _floc,
+               {_ts(_lit_nulls('Date_Removed'))} AS _removal_dt
+        FROM (SELECT *, pkg_1 AS s, 1 AS n FROM {raw} UNION ALL SELECT *, pkg_2 AS s, 2 AS n FROM {raw}))
+    WHERE _scope_id IS NOT NULL AND _scope_id <> ''"""
+
+
+CTE["tsnap_prev"] = _trans_keyed("snapshot_trans_prev_raw")
+CTE["tsnap_cur"] = _trans_keyed("snapshot_trans_cur_raw")
+_TCOLS = ("_key", "FLOC", "Date_Removed", "AMOUNT", "_visit_no", "_is_active")
+CTE["tsnap_delta"] = f"""
+    SELECT CASE WHEN dt IN ('added_new', 'reactivated') THEN 'ADDED'
+                WHEN dt IN ('removed_soft', 'removed_missing_in_current') THEN 'REMOVED' ELSE 'UPDATED' END AS change_set,
+           dt AS _delta_type,
+           {", ".join(f"CASE WHEN dt = 'removed_missing_in_current' THEN p_{c} ELSE c_{c} END AS {c}" for c in _TCOLS)}
+    FROM (
+        SELECT *,
+               CASE WHEN c_in AND NOT p_in AND c__is_active THEN 'added_new'
+                    WHEN c_in AND p_in AND NOT p__is_active AND c__is_active THEN 'reactivated'
+                    WHEN c_in AND p_in AND p__is_active AND NOT c__is_active THEN 'removed_soft'
+                    WHEN NOT c_in AND p_in AND p__is_active THEN 'removed_missing_in_current'
+                    WHEN c_in AND p_in AND p__is_active AND c__is_active AND c__sig <> p__sig THEN 'updated_active'
+               END AS dt
+        FROM (SELECT coalesce(c.c_in, FALSE) AS c_in, coalesce(p.p_in, FALSE) AS p_in, c.*, p.*
+              FROM (SELECT TRUE AS c_in, {", ".join(f"{c} AS c_{c}" for c in (*_TCOLS, "_sig"))} FROM tsnap_cur) c
+              FULL OUTER JOIN (SELECT TRUE AS p_in, {", ".join(f"{c} AS p_{c}" for c in (*_TCOLS, "_sig"))} FROM tsnap_prev) p
+              ON c.c__key IS NOT DISTINCT FROM p.p__key))
+    WHERE dt IS NOT NULL"""
+_FINAL["snapshot_delta_transmission"] = "SELECT * FROM tsnap_delta"

@@ -219,6 +219,22 @@ ROLE_SQL: dict[str, str] = {
                || '<tr><td><span>On behalf of / Preparer</span></td></tr><tr><td><span>Clerk &amp; Co ' || substr(o_orderpriority, 1, 1) || '</span></td></tr>'
                || '</table></body></html>' AS html
         FROM orders WHERE substr(o_orderpriority, 1, 1) <> '5'""",
+    # Transmission snapshots of the order book: two package slots per floc.
+    "snapshot_trans_prev_raw": """
+        SELECT 'TW-' || CAST(o_orderkey AS STRING) AS FLOC,
+               CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) AS STRING) END AS Date_Removed,
+               o_totalprice AS AMOUNT,
+               'T' || substr(o_orderpriority, 1, 1) AS pkg_1,
+               CASE WHEN o_custkey % 3 = 0 THEN 'T9' ELSE ' ' END AS pkg_2
+        FROM orders WHERE o_orderdate < DATE '2001-01-01'""",
+    "snapshot_trans_cur_raw": """
+        SELECT 'TW-' || CAST(o_orderkey AS STRING) AS FLOC,
+               CASE WHEN o_orderstatus = 'F' AND substr(o_orderpriority, 1, 1) <> '3' THEN CAST(CAST(o_orderdate AS DATE) AS STRING)
+                    WHEN o_orderstatus = 'O' AND substr(o_orderpriority, 1, 1) = '2' THEN CAST(CAST(o_orderdate AS DATE) AS STRING) END AS Date_Removed,
+               CASE WHEN substr(o_orderpriority, 1, 1) = '4' THEN o_totalprice + 1 ELSE o_totalprice END AS AMOUNT,
+               'T' || substr(o_orderpriority, 1, 1) AS pkg_1,
+               CASE WHEN o_custkey % 3 = 1 THEN 'T9' ELSE '' END AS pkg_2
+        FROM orders WHERE NOT (o_orderstatus = 'P' AND substr(o_orderpriority, 1, 1) = '1')""",
     # Invoice line fact (invoiced lineitems) keyed like the assignments; paid when shipped out.
     "invoice_line_fact": """
         SELECT 'V' || CAST(l_suppkey % 4 AS STRING) AS vendor,
@@ -321,6 +337,8 @@ ROLE_SQL_SPARK: dict[str, str] = {
 
 # Spark-side column renames: sheet headers that are not plain identifiers.
 ROLE_RENAMES: dict[str, dict[str, str]] = {
+    "snapshot_trans_prev_raw": {"pkg_1": "Scope Package #1", "pkg_2": "Scope Package #2"},
+    "snapshot_trans_cur_raw": {"pkg_1": "Scope Package #1", "pkg_2": "Scope Package #2"},
     "release_trans_raw": {"pkg_1": "Scope Package #1", "pkg_2": "scope package  # 2", "pkg_3": "Scope Package#3"},
 }
 
