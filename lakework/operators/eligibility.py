@@ -173,9 +173,12 @@ def distribution_eligibility(
     z = survey_floc.select("floc", "has_any_mdoc", "has_aerial_mdoc", "has_ground_mdoc")
     if broadcast_max_rows is not None:  # otherwise Spark's own size checks decide (see J-b)
         z = broadcast_if_small(z, broadcast_max_rows)
-    # J-d: floc only.  Survey columns that clash with the line keep the line's value.
+    # J-d: floc only.  Where the line already has a flag, the line's column wins
+    # and the survey's is kept as ``<name>_az``.
     clash = [c for c in ("has_any_mdoc", "has_aerial_mdoc", "has_ground_mdoc") if c in df.columns]
-    df = df.drop(*clash).join(z, "floc", "left")
+    if clash:
+        z = z.withColumnsRenamed({c: f"{c}_az" for c in clash})
+    df = df.join(z, "floc", "left")
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in ("has_any_mdoc", "has_aerial_mdoc", "has_ground_mdoc")})
     df = df.withColumn("azure_join_method", F.lit("FLOC_ONLY"))
 

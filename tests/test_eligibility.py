@@ -78,3 +78,10 @@ def test_unmatched(spark):
     extra_z = z.unionByName(spark.createDataFrame([("ZZ", True, True, False)], z.schema))
     us = E.unmatched_surveys(s, extra_z, run_date="x", run_id="y", source_system="T")
     assert rows(us, "floc") == [("ZZ",)]
+
+
+def test_line_flags_win_over_survey_flags(spark):
+    s, d, z = _case(spark, [("ACTIVE_DRONE", "D1", True, 8, False, False, "ED_POLE")])
+    s = s.withColumns({"has_aerial_mdoc": s.is_active_assignment, "has_ground_mdoc": s.is_active_assignment, "has_any_mdoc": s.is_active_assignment})
+    out = E.distribution_eligibility(s, d, z, **RUN)
+    assert rows(out, "floc", "approved_to_invoice", "has_aerial_mdoc") == [("F0", True, True)]
