@@ -39,8 +39,12 @@ def spread(df: DataFrame) -> DataFrame:
     into at least ``defaultParallelism`` partitions (any table at scale) are
     returned unchanged, so this never adds a shuffle to a large read.
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (e.g. Spark Connect): leave the input as is
+        return df
+    return df.repartition(n) if parts < n else df
 
 
 def _view_name(sf_dir: str, table: str) -> str:

@@ -54,8 +54,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a fresh scratch
     folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext access (e.g. Spark Connect)
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="lakework-ckpt-", dir=os.environ.get("LAKEWORK_SCRATCH", "/tmp"))
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:
+            pass
     return d
