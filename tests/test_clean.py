@@ -31,6 +31,9 @@ def test_int_truncates_and_defaults(spark):
     assert one(spark, C.to_int_truncating("v"), "8.9") == 8
     assert one(spark, C.to_int_truncating("v"), "x") == 0
     assert one(spark, C.to_int_truncating("v"), "") == 0
+    assert one(spark, C.to_int_truncating("v"), "NaN") == 0
+    assert one(spark, C.to_int_truncating("v"), "-Infinity") == 0
+    assert one(spark, C.to_int_truncating("v"), "-8.9") == -8
 
 
 def test_dates(spark):
