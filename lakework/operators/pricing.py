@@ -57,7 +57,7 @@ def rate_card(
     obj = opt("object_type", blank_to_null)
     volt = opt("voltage", blank_to_null)
     if found["priority"]:
-        priority = F.coalesce(to_double(q(found["priority"])), F.lit(0.0)).cast("bigint")
+        priority = F.coalesce(to_double(q(found["priority"])).try_cast("bigint"), F.lit(0).cast("bigint"))
     else:
         priority = (
             F.lit(PRIORITY_BASE)
