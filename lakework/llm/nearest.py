@@ -3,8 +3,11 @@
 Unit vectors are cut in two halves, each quantised by its own centroids; a
 cell is a pair of centroids.  A query walks the pairs by the sum of both half
 distances, smallest first, with a heap over the two sorted lists (the
-multi-sequence order), until the cells it has seen hold ``probe`` vectors.  The
+multi-sequence order), until the cells it has seen hold a share of all vectors.  The
 vectors of these cells are ranked by their exact cosine, in double precision.
+The share is fitted with the centroids: within the sample, cells are walked as
+far as ``RECALL`` of the true neighbours need.  Clustered vectors need little, vectors
+without any structure about half.
 
 Equal vectors are one entry that carries its smallest ids: more ids than a
 query asks for (and its own) cannot be among its nearest, ties going to smaller ids.
@@ -31,11 +34,12 @@ from pyspark.sql import functions as F
 from lakework.llm.common import materialize, python_workers
 
 #: Centroids of each half, fitted on at most ``SAMPLE`` distinct vectors; all vectors are indexed.
-CENTROIDS = 24
+CENTROIDS = 16
 SAMPLE = 20_000
 ITERATIONS = 12
-#: A query goes on until its cells hold this many distinct vectors.
-PROBE = 6000
+#: Share of a sample's true neighbours that the walk must reach, and the sample queries that measure it.
+RECALL = 0.955
+RECALL_QUERIES = 400
 #: Largest number of vectors, and of queries, that meet in one task's matrix product.
 BLOCK = 2048
 
@@ -92,6 +96,8 @@ class MultiIndex:
     right: np.ndarray
     #: Distinct vectors in each cell, filled when all are assigned.
     sizes: np.ndarray
+    #: Share of the vectors that a query's cells must hold.
+    share: float = 1.0
 
     @property
     def half(self) -> int:
@@ -121,15 +127,30 @@ class MultiIndex:
         return out
 
 
-def fit(sample: np.ndarray, k: int = CENTROIDS) -> MultiIndex:
+def fit(sample: np.ndarray, k: int = CENTROIDS, nearest: int = 5) -> MultiIndex:
+    """Centroids and the share to walk, from a bounded sample."""
     unit = _unit(sample)
     half = max(1, unit.shape[1] // 2)
     left = centroids(unit[:, :half], k, 1)
     right = centroids(unit[:, half:], k, 2) if unit.shape[1] > half else np.zeros((1, 0))
-    return MultiIndex(left, right, np.zeros(len(left) * len(right), np.int64))
-
-
-def search(vectors: DataFrame, query: Column, k: int = 5, probe: int = PROBE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    model = MultiIndex(left, right, np.zeros(len(left) * len(right), np.int64))
+    cells = model.cells(unit)
+    model.sizes = np.bincount(cells, minlength=len(model.sizes))
+    needs = []
+    for i in range(0, len(unit), max(1, len(unit) // RECALL_QUERIES)):
+        score = unit @ unit[i]
+        score[i] = -np.inf
+        true = np.argpartition(-score, min(nearest, len(unit) - 1))[:nearest]
+        order = model.walk(*(d[0] for d in model.parts(unit[i : i + 1])), len(unit))
+        held = np.zeros(len(model.sizes))
+        held[order] = np.cumsum(model.sizes[order]) - model.sizes[order]
+        needs += [(held[cells[j]] + 1) / len(unit) for j in true if j != i]
+    model.share = float(np.quantile(needs, RECALL)) if needs else 1.0
+    model.sizes = np.zeros_like(model.sizes)
+    return model
+
+
+def search(vectors: DataFrame, query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` nearest found for every row that ``query`` (over id) selects."""
     spark = vectors.sparkSession
     python_workers(spark, BLOCK)
@@ -143,7 +164,7 @@ def search(vectors: DataFrame, query: Column, k: int = 5, probe: int = PROBE, id
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not sample:
         return empty
-    model = fit(np.array([r["v"] for r in sample]))
+    model = fit(np.array([r["v"] for r in sample]), nearest=k)
 
     def assign(batches: Iterator[pa.RecordBatch]):
         for b in batches:
@@ -154,6 +175,7 @@ def search(vectors: DataFrame, query: Column, k: int = 5, probe: int = PROBE, id
     # One number for each pair of centroids, whatever the size of the table.
     for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
         model.sizes[r["cell"]] = r["n"]
+    probe = max(k + 1, int(np.ceil(model.share * model.sizes.sum())))
 
     def visits(batches: Iterator[pa.RecordBatch]):
         for b in batches:

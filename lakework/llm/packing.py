@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 
 from lakework.llm.common import materialize, slices, python_workers, text_or_empty
 
-#: Lengths up to capacity / SMALL are small: placed best-fit after the large ones.
-SMALL = 8
+#: Lengths up to capacity / SMALL are small: placed best-fit after the large ones.  The
+#: plan is made for each of these bounds (1: all are small) and numbers of groups; the one of fewest sequences stays.
+SMALL = (8, 4, 1)
 #: Groups of equal cardinality that the large lengths are rounded up in.
-GROUPS = 24
+GROUPS = (24, 96)
 #: Words kept per worker; the cache is emptied when full and long words are not kept.
 CACHE_WORDS = 300_000
 CACHED_CHARS = 48
@@ -139,14 +140,22 @@ def group_sizes(counts: np.ndarray, least: int, groups: int) -> list[tuple[int,
 
 
 def _best_pattern(sizes: list[int], values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The configuration of greatest value: an unbounded integer knapsack."""
+    """The configuration of greatest value: an unbounded integer knapsack.
+
+    Rooms are valued in blocks no longer than the smallest size, whose values rest on earlier blocks only.
+    """
+    size, width = np.array(sizes), min(sizes)
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1, np.int64)
-    for room in range(1, capacity + 1):
-        best[room] = best[room - 1]
-        for j, s in enumerate(sizes):
-            if s <= room and best[room - s] + values[j] > best[room] + 1e-12:
-                best[room], choice[room] = best[room - s] + values[j], j
+    for low in range(width, capacity + 1, width):
+        rooms = np.arange(low, min(low + width, capacity + 1))
+        before = rooms[None, :] - size[:, None]
+        gain = np.where(before >= 0, best[np.maximum(before, 0)] + values[:, None], -1.0)
+        top = gain.max(axis=0)
+        reached = np.maximum.accumulate(np.concatenate([best[low - 1 : low], top]))
+        new = top > reached[:-1]
+        best[rooms] = reached[1:]
+        choice[rooms[new]] = gain.argmax(axis=0)[new]
     pattern, room = np.zeros(len(sizes), np.int64), capacity
     while room > 0:
         if choice[room] < 0:
@@ -248,12 +257,17 @@ def best_fit(runs: list[Run], counts: dict[int, int], capacity: int) -> list[Run
 
 def plan(counts: np.ndarray, capacity: int) -> list[Run]:
     """Runs that hold exactly ``counts[length]`` pieces of each length."""
+    tries = [(capacity // small, groups) for small in SMALL for groups in (GROUPS if small > 1 else (1,))]
+    return min((grouped_plan(counts, capacity, least, groups) for least, groups in tries), key=lambda runs: sum(r.count for r in runs))
+
+
+def grouped_plan(counts: np.ndarray, capacity: int, least: int, n_groups: int) -> list[Run]:
+    """The plan with lengths above ``least`` in ``n_groups`` groups."""
     full = int(counts[capacity])
     runs = [Run(full, [(capacity, 1)], 0)] if full else []
-    least = capacity // SMALL
     rest = counts.copy()
     rest[capacity] = 0
-    groups = group_sizes(rest, least, GROUPS)
+    groups = group_sizes(rest, least, n_groups)
     if groups:
         sizes, demand = [s for s, _ in groups], np.array([n for _, n in groups], float)
         supply: list[list[list[int]]] = []

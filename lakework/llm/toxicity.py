@@ -43,6 +43,8 @@ THRESHOLD = 0.3
 #: many times as often as in ordinary ones, and this many standard errors apart.
 MARK_TEXTS, MARK_RATIO, MARK_ERRORS = 8, 4.0, 4.0
 TRAILER = bytes(range(160, 192))
+#: Between a dictionary's content and the trailer, so that no match runs over both.
+BORDER = b"\xff\xfe"
 WORD = re.compile(r"[^\W_]+")
 CACHE_WORDS = 300_000
 
@@ -74,7 +76,7 @@ class Scorer:
         self.known: dict[str, int] = {}
         self.compressors = []
         for content in model.dictionaries or ():
-            d = zstandard.ZstdCompressionDict(content + TRAILER, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d = zstandard.ZstdCompressionDict(content + BORDER + TRAILER, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=LEVEL)
             self.compressors.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False))
 
@@ -144,7 +146,7 @@ def _dictionary(samples: list[bytes]) -> bytes:
     import zstandard
 
     try:
-        made = zstandard.train_dictionary(DICTIONARY_BYTES + 256, samples, k=24, d=6, steps=4).as_bytes()
+        made = zstandard.train_dictionary(DICTIONARY_BYTES + 256, samples, k=32, d=8, steps=4).as_bytes()
     except zstandard.ZstdError:
         made = b"".join(dict.fromkeys(samples))
     return made[-DICTIONARY_BYTES:].rjust(DICTIONARY_BYTES, b"\0")
