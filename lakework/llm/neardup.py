@@ -11,9 +11,10 @@ sets, computed exactly, is at least ``SIMILARITY``.  Classes are the connected
 components of the links.
 
 Texts with the same words are one node of the graph.  In a band's bucket every
-text is first compared with one pivot only; buckets whose texts are one component
-then are done.  Further rounds use other pivots, and what pairs of different
-components are left in a bucket are compared in full, so that no pair is left out.
+text is first compared with one pivot only, the text that meets most others; buckets whose texts are one component
+then are done.  In the end the pairs of different components that are left in a
+bucket are all compared, first by sketches, which refuse no similar pair, then in
+full, so that no pair is left out.
 
 Edge cases: words are runs of ASCII letters and digits or non-ASCII characters,
 in lower case; a text of fewer than five words has one shingle, all its words;
@@ -25,10 +26,11 @@ repeat an id are handled alike.  An empty table gives an empty result; other col
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakework.llm.common import materialize, slices, python_workers, text_or_empty
@@ -41,7 +43,12 @@ SIMILARITY = 0.8
 #: 25 bands of 5 registers find a pair of similarity 0.8 with probability 0.99995.
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-#: Pivot rounds go on while each at least halves the pairs that are left to compare.
+#: Size of a parity sketch.
+SKETCH_BITS = 10
+SKETCH_LONGS = (1 << SKETCH_BITS) // 64
+#: Pivot rounds end when the pairs left are at most this many for each place of a
+#: text in a bucket, or when a round leaves more than half of them.
+PAIRS_EACH = 200
 _U = np.uint64
 
 
@@ -94,18 +101,37 @@ def band_keys(kept: np.ndarray) -> np.ndarray:
     return key.astype(np.int64)
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """Parity sketch of a set of hashes: bit k is the parity of the number of them that fall to k."""
+    odd = np.bincount((grams >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def maybe_alike(a: str, b: str) -> Column:
+    """Whether two sets may be ``SIMILARITY`` alike, by sizes (n) and sketches: no pair that is gets refused.
+
+    Sketches differ in no more bits than the sets in elements, and sets of this
+    similarity differ in at most (1 - s) / (1 + s) of their summed sizes.
+    """
+    na, nb = F.col(f"n{a}"), F.col(f"n{b}")
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"s{a}")[i].bitwiseXOR(F.col(f"s{b}")[i])) for i in range(SKETCH_LONGS)])
+    return (F.least(na, nb) >= F.lit(SIMILARITY) * F.greatest(na, nb)) & (apart <= F.lit((1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9) * (na + nb))
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, text_hash, node (fingerprint of the words, null without words) and bands of every row."""
+    """id, text_hash, node (fingerprint of the words, null without words), bands, n and sketch (of the shingle set) of every row."""
     python_workers(docs.sparkSession)
 
     def run(batches):
         for b in slices(batches):
-            nodes, sets, at = [], [], []
+            nodes, sets, at, sizes, sketches = [], [], [], [], []
             for i, text in enumerate(b.column(2).to_pylist()):
                 grams, node = shingles(text)
+                own, count = np.unique(grams, return_counts=True)
                 nodes.append(node)
+                sizes.append(len(own))
+                sketches.append(parity(own) if node is not None else None)
                 if node is not None:
-                    own, count = np.unique(grams, return_counts=True)
                     sets.append((own, 1 + np.log(count)))
                     at.append(i)
             keys: list[np.ndarray | None] = [None] * b.num_rows
@@ -113,12 +139,19 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 for i, k in zip(at, band_keys(registers(sets))):
                     keys[i] = k
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["id", "text_hash", "node", "bands"]
+                [
+                    *b.columns[:2],
+                    pa.array(nodes, pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(sizes, pa.int32()),
+                    pa.array(sketches, pa.list_(pa.int64())),
+                ],
+                ["id", "text_hash", "node", "bands", "n", "sketch"],
             )
 
     t = text_or_empty(text_col)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(t).alias("text_hash"), t.alias("t"))
-    return src.mapInArrow(run, "id long, text_hash long, node binary, bands array<long>")
+    return src.mapInArrow(run, "id long, text_hash long, node binary, bands array<long>, n int, sketch array<long>")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -142,18 +175,12 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter((small >= F.lit(SIMILARITY) * large) & alike).select("a", "b")
 
 
-def _pairs_left(members: DataFrame) -> tuple[int, int]:
-    """(pairs of different components within buckets, rows), from counts by bucket and component."""
-    sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    by_bucket = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-    row = by_bucket.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
-    return int(row["pairs"] or 0), int(row["rows"] or 0)
-
-
-def _open(members: DataFrame) -> DataFrame:
-    """The members of buckets that hold more than one component."""
-    ends = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-    return members.join(materialize(ends, "open-buckets"), "bucket", "left_semi")
+def _crowding(members: DataFrame) -> DataFrame:
+    """Members of buckets with more than one component, with how many of their bucket are in another one (others)."""
+    own = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("own"))
+    whole = own.groupBy("bucket").agg(F.sum("own").alias("whole"))
+    others = own.join(whole, "bucket").select("bucket", "label", (F.col("whole") - F.col("own")).alias("others")).filter("others > 0")
+    return materialize(members.join(materialize(others, "buckets"), ["bucket", "label"]), "members")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -172,29 +199,38 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = texts.join(wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("text_hash")))
     sets = materialize(shingle_sets(found.select("node", "t")).dropDuplicates(["node"]), "shingles")
 
+    sketches = materialize(members.select("node").distinct().join(nodes.select("node", "n", "sketch"), "node"), "sketches")
     labels, linked, before = None, None, None
-    for turn in range(64):
-        left, n = _pairs_left(members)
-        if not left:
+    while True:
+        members = _crowding(members.select("bucket", "node", "label"))
+        left = members.agg(F.sum("others").alias("pairs"), F.count(F.lit(1)).alias("rows")).first()
+        if not left["rows"]:
             break
-        last = left <= 2 * n or (before is not None and left > before / 2)
-        before = left
+        last = left["pairs"] <= 2 * PAIRS_EACH * left["rows"] or (before is not None and left["pairs"] > before / 2)
+        if before is None and left["pairs"] > 2 * left["rows"]:
+            last = False
+        before = left["pairs"]
+        known = members.join(sketches, "node")
+        one, other = (known.select("bucket", *(F.col(c).alias(f"{c[0]}{x}") for c in ("label", "n", "sketch")), F.col("node").alias(x)) for x in "ab")
         if last:
-            other = members.toDF("bucket", "b", "label_b")
-            pairs = members.select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a")).join(other, "bucket").filter("label_a < label_b")
+            pairs = one.join(other, (one["bucket"] == other["bucket"]) & (F.col("la") < F.col("lb")) & maybe_alike("a", "b"))
         else:
-            order = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("b"), F.col("label").alias("label_b"))
-            pivots = materialize(members.groupBy("bucket").agg(F.min(order).alias("p")).select("bucket", "p.b", "p.label_b"), "pivots")
-            pairs = members.select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a")).join(pivots, "bucket").filter("label_a <> label_b")
+            # The texts that meet most others elsewhere are likely originals of many copies.
+            central = materialize(members.groupBy(F.col("node").alias("b")).agg(F.sum("others").alias("weight")), "weights")
+            order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "b")
+            top = other.join(central, "b").withColumn("no", F.row_number().over(order)).filter(F.col("no") == 1)
+            pivots = materialize(top.select(*other.columns), "pivots")
+            pairs = one.join(pivots, (one["bucket"] == pivots["bucket"]) & (F.col("la") != F.col("lb")) & maybe_alike("a", "b"))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         new = materialize(links(materialize(pairs, "pairs"), sets), "links")
         linked = new if linked is None else linked.unionByName(new)
         labels = components(linked)
         if last:
             break
-        moved = members.select("bucket", "node").join(labels.withColumnRenamed("label", "to"), "node", "left")
-        members = materialize(moved.select("bucket", "node", F.coalesce("to", "node").alias("label")), "members")
-        members = materialize(_open(members), "members")
+        # A pivot has met its whole bucket.
+        open_ = members.join(pivots.select("bucket", F.col("b").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node")
+        moved = open_.join(labels.withColumnRenamed("label", "to"), "node", "left").select("bucket", "node", F.coalesce("to", "node").alias("label"))
+        members = materialize(moved, "members")
     if labels is None:
         labels = nodes.select("node", F.col("node").alias("label")).limit(0)
 
