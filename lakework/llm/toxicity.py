@@ -118,7 +118,8 @@ def training_sample(
     h = F.xxhash64(F.col("doc_id").cast("string"), F.lit(11))
     w = Window.partitionBy("y").orderBy("h", "doc_id")
     # Ids are picked first; texts are joined to this bounded number of rows only.
-    picked = marked.withColumn("h", h).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.when(F.col("y") == 1, TOXIC_ROWS).otherwise(ORDINARY_ROWS))
+    top = marked.withColumn("h", h).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= max(TOXIC_ROWS, ORDINARY_ROWS))
+    picked = top.filter(F.col("rank") <= F.when(F.col("y") == 1, TOXIC_ROWS).otherwise(ORDINARY_ROWS))
     text = text_or_empty("text")
     spare = F.greatest(F.length(text) - F.lit(SAMPLE_CHARS), F.lit(0))
     start = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(13)), (spare + 1).cast("long")) + 1).cast("int")
