@@ -22,6 +22,8 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,46 +41,87 @@ SMALL = (8, 4, 1)
 #: Groups of equal cardinality that the large lengths are rounded up in.
 GROUPS = (24, 96)
 #: Words kept per worker; the cache is emptied when full and long words are not kept.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 CACHED_CHARS = 48
 
-_words: dict[str, dict[str, bytes]] = {}
-_tokenizers: dict[str, object] = {}
+#: White space to the tokenizer; U+001C to U+001F are white space to str.split only.
+SEPARATORS = re.compile("[\x1c-\x1f]")
+SPACES = re.compile("[^\\S\x1c-\x1f]+")
+PUNCTUATION = ".,!?;:%&$*"
 
 
-def _tokenizer(path: str):
-    if path not in _tokenizers:
-        import os
+class Encoder:
+    """A worker's tokenizer with the ids of parts it has seen."""
 
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _words[path] = {}
-    return _tokenizers[path], _words[path]
-
-
-def token_bytes(text: str, path: str) -> bytes:
-    """Ids of ``text`` as little-endian unsigned 32-bit integers.
-
-    The tokenizer drops white space before its merges and no rule of it looks
-    across a space, so a text's ids are those of its space-separated parts.
-    """
-    tokenizer, known = _tokenizer(path)
-    parts = text.split(" ")
-    fresh = [p for p in set(parts) if p not in known]
-    if not fresh:
-        return b"".join(map(known.__getitem__, parts))
-    if len(known) + len(fresh) > CACHE_WORDS:
-        known.clear()
-        fresh = list(set(parts))
-    extra = {}
-    for at in range(0, len(fresh), 4096):
-        some = fresh[at : at + 4096]
-        for p, e in zip(some, tokenizer.encode_batch(some, add_special_tokens=False)):
-            raw = np.array(e.ids, "<u4").tobytes()
-            (known if len(p) <= CACHED_CHARS and len(known) < CACHE_WORDS else extra)[p] = raw
-    return b"".join([extra[p] if p in extra else known[p] for p in parts])
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only: encoded as one text, and told apart by the tokens that end a word."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *(4 * ends[:-1]).tolist()], (4 * ends).tolist())]
+
+    def learn(self, parts: set[str]) -> None:
+        """Adds the ids of parts that are not known."""
+        known = self.known
+        # Letters and the plain punctuation behind them are always separated by the tokenizer.
+        split = {p: (stem, p[len(stem) :]) for p in parts if (stem := p.rstrip(PUNCTUATION)).isalpha()}
+        words = [w for w in {stem for stem, _ in split.values()} if w not in known]
+        for at in range(0, len(words), 4096):
+            some = words[at : at + 4096]
+            known.update(zip(some, self.words(some)))
+        others = [u for u in {tail for _, tail in split.values()} | {p for p in parts if p not in split} if u not in known]
+        for at in range(0, len(others), 4096):
+            some = others[at : at + 4096]
+            known.update((u, np.array(e.ids, "<u4").tobytes()) for u, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)))
+        for p, (stem, tail) in split.items():
+            if tail:
+                known[p] = known[stem] + known[tail]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers.
+
+        The tokenizer drops white space before its merges and no rule of it
+        looks across a space, so a text's ids are those of its parts.
+        """
+        split = [parts_of(t) for t in texts]
+        fresh = {p for parts in split for p in set(parts) if p not in self.known}
+        if fresh:
+            self.learn(fresh)
+        find = self.known.__getitem__
+        out = [b"".join(map(find, parts)) for parts in split]
+        for p in fresh:  # words stay, words with punctuation are put together again
+            if len(p) > CACHED_CHARS or p[-1:] in PUNCTUATION and len(p) > 4:
+                del self.known[p]
+        if len(self.known) > CACHE_WORDS:
+            self.known = {"": b""}
+        return out
+
+
+def parts_of(text: str) -> list[str]:
+    """The text's parts between white space, as the tokenizer sees it."""
+    return SPACES.split(text) if SEPARATORS.search(text) else text.split()
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process and file."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,10 +129,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "d
     python_workers(docs.sparkSession)
 
     def run(batches):
+        own = encoder(tokenizer_path)
         for b in slices(batches):
             doc, no, start, size, crc = [], [], [], [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                raw = token_bytes(text, tokenizer_path) + b"\0\0\0\0"
+            for i, ids in zip(b.column(0).to_pylist(), own.encode(b.column(1).to_pylist())):
+                raw = ids + b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[at : at + 4 * capacity]
                     doc.append(i)
