@@ -41,7 +41,7 @@ SMALL = (8, 4, 1)
 #: Groups of equal cardinality that the large lengths are rounded up in.
 GROUPS = (24, 96)
 #: Words kept per worker; the cache is emptied when full and long words are not kept.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_400_000
 CACHED_CHARS = 48
 
 #: White space to the tokenizer; U+001C to U+001F are white space to str.split only.
@@ -75,19 +75,29 @@ class Encoder:
     def learn(self, parts: set[str]) -> None:
         """Adds the ids of parts that are not known."""
         known = self.known
-        # Letters and the plain punctuation behind them are always separated by the tokenizer.
-        split = {p: (stem, p[len(stem) :]) for p in parts if (stem := p.rstrip(PUNCTUATION)).isalpha()}
-        words = [w for w in {stem for stem, _ in split.values()} if w not in known]
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
+        words, marked, others = set(), [], []
+        for p in parts:
+            if p.isalpha():
+                words.add(p)
+            # Letters and the plain punctuation behind them are always separated by the tokenizer.
+            elif (stem := p.rstrip(PUNCTUATION)).isalpha():
+                marked.append(p)
+                if stem not in known:
+                    words.add(stem)
+                others.append(p[len(stem) :])
+            else:
+                others.append(p)
+        fresh = list(words)
+        for at in range(0, len(fresh), 4096):
+            some = fresh[at : at + 4096]
             known.update(zip(some, self.words(some)))
-        others = [u for u in {tail for _, tail in split.values()} | {p for p in parts if p not in split} if u not in known]
-        for at in range(0, len(others), 4096):
-            some = others[at : at + 4096]
+        rest = [u for u in set(others) if u not in known]
+        for at in range(0, len(rest), 4096):
+            some = rest[at : at + 4096]
             known.update((u, np.array(e.ids, "<u4").tobytes()) for u, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)))
-        for p, (stem, tail) in split.items():
-            if tail:
-                known[p] = known[stem] + known[tail]
+        for p in marked:
+            stem = p.rstrip(PUNCTUATION)
+            known[p] = known[stem] + known[p[len(stem) :]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers.
@@ -96,7 +106,7 @@ class Encoder:
         looks across a space, so a text's ids are those of its parts.
         """
         split = [parts_of(t) for t in texts]
-        fresh = {p for parts in split for p in set(parts) if p not in self.known}
+        fresh = set().union(*split).difference(self.known)
         if fresh:
             self.learn(fresh)
         find = self.known.__getitem__
