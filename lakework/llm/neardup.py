@@ -185,15 +185,19 @@ def _crowding(members: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, text_hash, class_id (smallest id of its class), class_size, kept."""
+    # Most texts and bands have no partner; Spark's Bloom filters keep them out of the shuffles of the
+    # two joins with the (smaller) tables of those that have, here from smaller scans on than by default.
+    docs.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1MB")
+    docs.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "256MB")
     rows = materialize(signatures(docs, id_col, text_col), "signatures")
     nodes = top1(rows.filter("node is not null"), ["node"], [F.col("id").asc_nulls_last(), F.col("text_hash")])
     dealt = nodes.select("node", F.explode("bands").alias("bucket"))
-    crowded = materialize(dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket"), "buckets")
+    crowded = materialize(dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets").filter("n > 1")
     members = materialize(dealt.join(crowded, "bucket", "left_semi").select("bucket", "node", F.col("node").alias("label")), "members")
 
     # Shingle sets of the texts that are candidates at all, one text of each node.
-    wanted = members.select("node").distinct().join(nodes.select("node", "id", "text_hash"), "node")
-    wanted = materialize(wanted.select("node", F.col("id").alias("__id"), "text_hash"), "candidates")
+    wanted = members.select("node").distinct().join(nodes.select("node", "id", "text_hash", "n"), "node")
+    wanted = materialize(wanted.select("node", F.col("id").alias("__id"), "text_hash", "n"), "candidates").filter("n > 0")
     t = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(t).alias("h"), t.alias("t"))
     found = texts.join(wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("text_hash")))
