@@ -190,8 +190,9 @@ def loose_date(c: Column | str) -> Column:
     """C17: several formats (weekday stripped), then an embedded ISO date, else the original text."""
     t = blank_to_null(c)
     no_weekday = F.regexp_replace(t, r"(?i)^(monday|tuesday|wednesday|thursday|friday|saturday|sunday),?\s*", "")
-    parsed = _parse_any(no_weekday, LOOSE_DATE_FORMATS)
-    embedded = F.nullif(F.regexp_extract(t, r"(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
+    # A bare year or month is no date.
+    parsed = F.when(~no_weekday.rlike(r"^\s*\d{4}(-\d{1,2})?\s*$"), _parse_any(no_weekday, LOOSE_DATE_FORMATS))
+    embedded = F.nullif(F.regexp_extract(t, r"\b(\d{4}-\d{2}-\d{2})\b", 1), F.lit(""))
     return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), embedded, t)
 
 

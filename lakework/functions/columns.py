@@ -87,7 +87,7 @@ def col_or_default(df: DataFrame, name: str, default, dtype: str) -> Column:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, list[str], list[str]]:
-    """Project to the ordered schema; missing columns become typed nulls.
+    """Project to the ordered schema; missing columns and values that do not fit become typed nulls.
 
     Returns the conformed frame and the missing and extra column names.
     """
@@ -96,7 +96,7 @@ def conform(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, list[str],
     missing = [n for n in wanted if n not in present]
     extra = [c for c in df.columns if c not in set(wanted)]
     cols = [
-        (q(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
+        (q(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields
     ]
     return df.select(*cols), missing, extra

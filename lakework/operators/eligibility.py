@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakework.functions.clean import clean, reasons, safe_ratio
+from lakework.functions.columns import rename_if_absent
 from lakework.operators.common import broadcast_if_small, top1
 
 # --- fixed values that must equal the reference's -------------------------
@@ -320,7 +321,7 @@ def unmatched_deliveries(
     keys = assignments.select(clean("vendor").alias("vendor"), clean("scope_floc_key").alias("scope_floc_key"))
     d = deliveries.withColumns({c: clean(c) for c in ("vendor", "scope_floc_key", "scope_id_any", "floc_any") if c in deliveries.columns})
     out = d.join(keys, ["vendor", "scope_floc_key"], "left_anti")
-    out = out.withColumnRenamed("floc_any", "floc").withColumnRenamed("scope_id_any", "scope_id")
+    out = rename_if_absent(out, {"floc_any": "floc", "scope_id_any": "scope_id"})
     out = out.withColumns(
         {
             "asset_class": F.lit(asset_class),

@@ -273,5 +273,5 @@ def standardize_survey_floc(rollup: DataFrame) -> DataFrame:
         if c in df.columns
     ]
     keep = ["floc", "has_any_mdoc", "has_aerial_mdoc", "has_ground_mdoc", *optional]
-    # The rollup is already one row per floc; dropDuplicates keeps that contract for other inputs.
-    return df.select(*keep).dropDuplicates(["floc"])
+    # The rollup is already one row per floc; other inputs give the first row of a total order.
+    return top1(df.select(*keep), ["floc"], [F.col(c).desc_nulls_last() for c in keep if c != "floc"])

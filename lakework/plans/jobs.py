@@ -21,6 +21,7 @@ from lakework.operators import eligibility as E
 from lakework.operators import evidence as V
 from lakework.operators import invoices as I
 from lakework.operators import pricing as P
+from lakework.operators.common import number_rows
 from lakework.sources import publish as PB
 from lakework.sources import readers as RD
 
@@ -215,7 +216,7 @@ def invoice_intake_v2(cells: DataFrame, attachment_files: DataFrame, email_files
     """Manifest (with whole-file validation), header and lines of the valid invoices."""
     att = I.attachment_manifest(attachment_files)
     em = I.email_index(email_files)
-    canon = I.canonical_lines_v2(I.line_table(cells, I.header_row_v2(cells), I.LINE_COLS_V1))
+    canon = number_rows(I.canonical_lines_v2(I.line_table(cells, I.header_row_v2(cells), I.LINE_COLS_V1)), ["message_id"], "row_idx")
     manifest = I.file_manifest_v2(att, em.drop("html"), canon, run_date=run.run_date, run_id=run.run_id, source_system=source_system)
     ok = manifest.filter(F.col("status") == "PARSED_OK").select("message_id")
     meta = I.email_fields(em, "v2")

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakework.operators.ledger import keep_last
-from lakework.sources.readers import dataset_path, read_optional, safe_name
+from lakework.sources.readers import dataset_path, safe_name
 
 # Fixed value: the leading partition order; other partition keys follow alphabetically.
 PARTITION_ORDER = ("vendor", "run_date", "run_id")
@@ -34,10 +35,11 @@ def _with_run(df: DataFrame, run_date: str, run_id: str) -> DataFrame:
 def publish_history(
     df: DataFrame, root: str, layer: str, dataset: str, *, run_date: str, run_id: str, partitions: Sequence[str] = (), fmt: str = "parquet"
 ) -> str:
-    """K1/K3/K4: append one run to HISTORY, partitioned by run (and ``partitions``)."""
+    """K1/K3/K4: one run of HISTORY, partitioned by run (and ``partitions``); a rerun replaces its own partitions."""
     path = dataset_path(root, layer, dataset, "HISTORY")
     parts = ordered_partitions([*partitions, "run_date", "run_id"])
-    _with_run(df, run_date, run_id).write.mode("append").format(fmt).partitionBy(*parts).save(path)
+    w = _with_run(df, run_date, run_id).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w.format(fmt).partitionBy(*parts).save(path)
     return path
 
 
@@ -76,6 +78,21 @@ def key_bucket(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def _read_own(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A published table with the columns it has itself (those of all its files), or an empty frame of ``schema``."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as e:
+        if any(m in str(e) for m in ("PATH_NOT_FOUND", "Path does not exist", "UNABLE_TO_INFER_SCHEMA")):
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def _with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` with null columns for what only ``other`` has."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in other.schema.fields if f.name not in df.columns})
+
+
 def publish_accumulating(
     spark: SparkSession,
     new: DataFrame,
@@ -90,6 +107,7 @@ def publish_accumulating(
 ) -> DataFrame:
     """K5: CURRENT := keep-last-per-key(CURRENT ∪ new), staged so CURRENT is never read while rewritten.
 
+    Columns that only CURRENT or only the load has are kept, null for the other's rows.
     Without ``buckets`` the whole CURRENT is merged and rewritten.  With
     ``buckets`` CURRENT is partitioned by a hash bucket of the key: a load reads
     only the buckets its new rows touch (a partition filter with the touched
@@ -100,18 +118,19 @@ def publish_accumulating(
     cur_path = dataset_path(root, layer, dataset, "CURRENT")
     stage = f"{root.rstrip('/')}/{layer}/{dataset}/_staging/run_id={safe_name(run_id)}"
     if buckets is None:
-        current = read_optional(spark, cur_path, new.schema)
-        merged = keep_last(current, new, keys, order=order)
+        current = _read_own(spark, cur_path, new.schema)
+        merged = keep_last(_with_columns_of(current, new), _with_columns_of(new, current), keys, order=order)
         merged.write.mode("overwrite").parquet(stage)
         spark.read.parquet(stage).write.mode("overwrite").parquet(cur_path)
         return spark.read.schema(merged.schema).parquet(cur_path)
     tagged = new.withColumn(BUCKET_COL, key_bucket(keys, buckets))
-    current = read_optional(spark, cur_path, tagged.schema)
+    current = _read_own(spark, cur_path, tagged.schema)
     # The touched bucket numbers: at most ``buckets`` small integers, so they
     # can drive a static partition filter (only those folders are listed and read).
     touched = [r[0] for r in tagged.select(BUCKET_COL).distinct().collect()]
-    current = current.filter(F.col(BUCKET_COL).isin(touched))
-    merged = keep_last(current, tagged, keys, order=order)
+    # Compared as the text that a partition folder's name is, whatever type was inferred for it.
+    current = current.filter(F.col(BUCKET_COL).cast("string").isin([str(b) for b in touched])).withColumn(BUCKET_COL, F.col(BUCKET_COL).cast("int"))
+    merged = keep_last(_with_columns_of(current, tagged), _with_columns_of(tagged, current), keys, order=order)
     merged.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
     (
         spark.read.schema(merged.schema).parquet(stage)

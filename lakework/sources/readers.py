@@ -67,13 +67,17 @@ def previous_run(history: DataFrame, current_run_id: str, ledger: DataFrame | No
 
     Order: run date, then the ledger's start time when a run ledger
     (run_id, started_at) is given, then run id.  Never file modification times.
+    A current run that HISTORY does not hold yet comes after all that it holds.
     """
-    runs = history.select("run_id", "run_date").distinct().filter(F.col("run_id") != current_run_id)
+    runs = history.select("run_id", "run_date").distinct()
     if ledger is not None:
         runs = runs.join(ledger.select("run_id", "started_at"), "run_id", "left")
     else:
         runs = runs.withColumn("started_at", F.lit(None).cast("timestamp"))
-    pick = runs.agg(F.max_by("run_id", F.struct("run_date", "started_at", "run_id")).alias("run_id"))
+    place = F.struct("run_date", "started_at", "run_id")
+    own = runs.agg(F.max(F.when(F.col("run_id") == current_run_id, place)).alias("own"))  # one row
+    before = F.col("own").isNull() | (place < F.col("own"))
+    pick = runs.filter(F.col("run_id") != current_run_id).join(F.broadcast(own), before).agg(F.max_by("run_id", place).alias("run_id"))
     return history.join(pick, "run_id", "left_semi")
 
 
