@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakework.functions.clean import clean, literal_nulls, row_signature, to_timestamp_lenient
+from lakework.functions.clean import clean, literal_nulls, to_timestamp_lenient
 from lakework.functions.columns import find_col, q, strip_names
 from lakework.operators.assignment import scope_package_columns
 from lakework.functions.clean import COMP_SCOPE
@@ -113,8 +113,8 @@ def key_delta(prev: DataFrame, cur: DataFrame, *, check_unique: bool = True) ->
     ADDED: ``added_new`` (new and active), ``reactivated`` (inactive → active);
     REMOVED: ``removed_soft`` (active → inactive, current row),
     ``removed_missing_in_current`` (active and gone, previous row);
-    UPDATED: ``updated_active`` (active in both, row signature over the common
-    non-helper columns differs).  Keys match null to null.  Output: one row per
+    UPDATED: ``updated_active`` (active in both, some common non-helper column
+    differs).  Keys match null to null.  Output: one row per
     classified key, ``change_set`` and ``_delta_type`` first, then the columns
     of the side the row comes from.
     """
@@ -123,7 +123,8 @@ def key_delta(prev: DataFrame, cur: DataFrame, *, check_unique: bool = True) ->
         ensure_unique_keys(prev, "PREVIOUS")
     compare = sorted((set(cur.columns) & set(prev.columns)) - set(HELPER_COLS))
     cols = list(dict.fromkeys([*cur.columns, *[c for c in prev.columns if c not in cur.columns]]))
-    sig = row_signature(compare) if compare else F.lit("")
+    # Column by column, null and blank alike; joined texts could agree where columns differ.
+    sig = F.array(*[F.coalesce(q(c).cast("string"), F.lit("")) for c in compare]) if compare else F.array().cast("array<string>")
 
     def side(df: DataFrame, tag: str) -> DataFrame:
         present = [c for c in cols if c in df.columns]

@@ -51,8 +51,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh scratch
-    folder is created and registered.
+    Read from the session; only when it is unset and Spark runs in this process
+    (local tests) a fresh scratch folder is created and registered.  On a cluster
+    a machine-local folder would be incomplete, so there an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -61,6 +62,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # no SparkContext access (e.g. Spark Connect)
             d = None
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="lakework-ckpt-", dir=os.environ.get("LAKEWORK_SCRATCH", "/tmp"))
         try:
             spark.sparkContext.setCheckpointDir(d)

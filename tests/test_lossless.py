@@ -49,3 +49,27 @@ def test_dirty_values_and_bare_years(spark):
     out, missing, extra = conform(df, spark.createDataFrame([], "n int, z string").schema)
     assert rows(out, "n") == [(12,), (None,), (None,)] and missing == ["z"] and extra == ["d"]
     assert rows(df.select(loose_date(F.col("d")).alias("d")), "d") == [("2026",), ("2026-01-05",), ("x12026-01-015",)]
+
+
+def test_delta_compares_columns_not_joined_text(spark):
+    from lakework.operators.delta import key_delta
+
+    schema = "_key string, _is_active boolean, a string, b string"
+    prev = spark.createDataFrame([("k", True, "a|b", "c"), ("l", True, None, "x")], schema)
+    cur = spark.createDataFrame([("k", True, "a", "b|c"), ("l", True, "", "x")], schema)
+    assert rows(key_delta(prev, cur), "_key", "_delta_type") == [("k", "updated_active")]
+
+
+def test_scratch_on_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    from lakework.session import checkpoint_dir
+
+    class Conf(dict):
+        pass
+
+    class Cluster:
+        conf = Conf({"spark.master": "yarn"})
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Cluster())
