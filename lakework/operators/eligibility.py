@@ -96,8 +96,8 @@ def attach_floc_attributes(assignments: DataFrame, dim_std: DataFrame, broadcast
     return assignments.join(d, "floc", "left")
 
 
-def _join_deliveries(df: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """J-c: left join on (vendor, scope_floc_key); missing evidence reads as 0 / false.
+def _join_deliveries(df: DataFrame, deliveries: DataFrame, rule_version: str) -> DataFrame:
+    """J-c: left join on (vendor, scope_floc_key); missing evidence reads as 0 / false (v1: no folder count).
 
     Plain equality keeps the join on the columns the assignment side is already
     hash-partitioned by (W2), so it adds no shuffle on that side.
@@ -109,7 +109,7 @@ def _join_deliveries(df: DataFrame, deliveries: DataFrame) -> DataFrame:
     return out.withColumns(
         {
             "image_count_total": F.coalesce(F.col("image_count_total"), F.lit(0)).cast("bigint"),
-            "folder_count": F.coalesce(F.col("folder_count"), F.lit(0)).cast("bigint"),
+            "folder_count": (F.col("folder_count") if rule_version == "v1" else F.coalesce(F.col("folder_count"), F.lit(0))).cast("bigint"),
             "has_min_images": F.coalesce(F.col("has_min_images"), F.lit(False)),
             "has_gcp_delivery": F.coalesce(F.col("has_gcp_delivery"), F.lit(False)),
         }
@@ -167,7 +167,7 @@ def distribution_eligibility(
     if trim_keys:
         df = _trim_keys(df)
     df = df.withColumn("asset_class", F.lit("distribution"))
-    df = _join_deliveries(df, deliveries)
+    df = _join_deliveries(df, deliveries, rule_version)
     if floc_dim is not None:
         df = attach_floc_attributes(df, floc_dim, broadcast_max_rows)
     df = _with_defaults(df)
@@ -274,7 +274,7 @@ def transmission_eligibility(
     if trim_keys:
         df = _trim_keys(df)
     df = df.withColumns({"asset_class": F.lit("transmission"), "program_bucket": F.lit("TRANS")})
-    df = _join_deliveries(df, deliveries)
+    df = _join_deliveries(df, deliveries, rule_version)
     if floc_dim is not None:
         df = attach_floc_attributes(df, floc_dim, broadcast_max_rows)
     df = _with_defaults(df)

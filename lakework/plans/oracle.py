@@ -393,6 +393,9 @@ def _eligibility_ctes(version: str) -> None:
     LEFT JOIN fdimr f ON c.floc = f.floc
     LEFT JOIN (SELECT * FROM dagg WHERE asset_class = 'transmission') g
       ON c.vendor = g.vendor AND c.scope_floc_key = g.scope_floc_key"""
+    if v == "v1":  # without evidence v1 has no folder count
+        for name in (f"ed0_{v}", f"et0_{v}"):
+            CTE[name] = CTE[name].replace("coalesce(g.folder_count, 0)", "g.folder_count")
     common_t = f"""vendor, scope_id, floc, scope_floc_key"""
     reasons_t = f"""concat_ws(';', CASE WHEN NOT act THEN 'BLOCK_INACTIVE_ASSIGNMENT' END,
                           CASE WHEN img < {MIN_IMAGES} THEN 'BLOCK_MISSING_GCP_MIN_IMAGES' END) AS block_reasons"""
