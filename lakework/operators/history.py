@@ -72,6 +72,16 @@ def snapshot_summary(snap_line: DataFrame) -> DataFrame:
     )
 
 
+def newest_snapshot(registry: DataFrame) -> tuple[str, str, str]:
+    """(snapshot_id, as_of_ts, rule_version) of the newest registered snapshot.
+
+    The registry has one row per published snapshot; knowing the id before the
+    plan is built lets a reader filter the partition statically.
+    """
+    cols = ("snapshot_id", "as_of_ts", "rule_version")
+    return tuple(registry.select(*cols).orderBy(F.desc("as_of_ts"), F.desc("snapshot_id")).first())
+
+
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
     """The rows of the newest snapshot (latest ``as_of_ts``, then snapshot id).
 

@@ -535,10 +535,11 @@ def snapshot_summary(spark, sf) -> DataFrame:
 
 
 def ledger_current(spark, sf) -> DataFrame:
-    (s1, t1, r1), (s2, t2, r2) = SNAPSHOTS
-    older = H.eligibility_snapshot(eligibility_v1(spark, sf), snapshot_id=s1, as_of_ts=t1, rule_version=r1)
-    newer = H.eligibility_snapshot(invoice_eligibility_line(spark, sf), snapshot_id=s2, as_of_ts=t2, rule_version=r2)
-    latest = H.latest_snapshot(older.unionByName(newer, allowMissingColumns=True))
+    """The newest published snapshot with its invoice flags: chosen from the small registry, so no other snapshot is read."""
+    registry = spark.createDataFrame(list(SNAPSHOTS), "snapshot_id string, as_of_ts string, rule_version string")
+    sid, ts, rv = H.newest_snapshot(registry)
+    line = invoice_eligibility_line(spark, sf) if rv == "v2" else eligibility_v1(spark, sf)
+    latest = H.eligibility_snapshot(line, snapshot_id=sid, as_of_ts=ts, rule_version=rv)
     flags = H.invoice_flags(role(spark, sf, "invoice_line_fact"))
     return H.ledger_with_flags(latest, flags)
 

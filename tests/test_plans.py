@@ -36,3 +36,12 @@ def test_no_python_evaluation_in_any_query(spark):
 def test_pricing_is_one_join_without_candidates(spark):
     text = plan_text(entry.queries()["unit_price"](spark, SF))
     assert "Generate" not in text and "Window" not in text
+
+
+def test_ledger_reads_one_snapshot(spark):
+    """The current ledger holds no work of older snapshots: about the scans of one eligibility line."""
+    from lakework.plans import catalog
+
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    sf = "/root/testdata/sf0.001"
+    assert scans(catalog.ledger_current(spark, sf)) <= scans(catalog.invoice_eligibility_line(spark, sf)) + 3
