@@ -1,24 +1,40 @@
+import os
 import zlib
 
+import pytest
+
 from lakework.llm import toxicity
 from lakework.llm.queries import op8_toxicity
 from tests.llm.conftest import EDGE_ROWS
 
 LARGER = "/root/testdata/sf0.1"
+MANY = "/root/testdata/check_s"
 
 
-def test_held_out(spark):
-    got = op8_toxicity(spark, LARGER)
-    labels = spark.read.parquet(f"{LARGER}/labels.parquet").select("doc_id", "toxic")
-    langs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "lang")
-    rows = got.join(labels, "doc_id").join(langs, "doc_id").collect()
-    held = [r for r in rows if r["held_out"]]
+def rates(spark, sf, langs):
+    """(share of toxic, share of ordinary) held-out rows of some languages that are predicted toxic."""
+    got = op8_toxicity(spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    rows = got.join(labels, "doc_id").join(docs, "doc_id").collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
     assert all(r["predicted"] == int(r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in rows)
-    # In this table only English toxic texts hold toxic words.
-    caught = sum(r["predicted"] for r in held if r["toxic"] == 1 and r["lang"] == "en") / sum(r["toxic"] == 1 and r["lang"] == "en" for r in held)
-    false = sum(r["predicted"] for r in held if r["toxic"] == 0) / sum(r["toxic"] == 0 for r in held)
-    assert caught > 0.8 and false < 0.05, (caught, false)
+    held = [r for r in rows if r["held_out"]]
+    toxic = [r["predicted"] for r in held if r["toxic"] == 1 and (langs is None or r["lang"] in langs)]
+    ordinary = [r["predicted"] for r in held if r["toxic"] == 0]
+    return sum(toxic) / len(toxic), sum(ordinary) / len(ordinary)
+
+
+@pytest.mark.skipif(not os.path.isdir(MANY), reason="the larger table is not here")
+def test_held_out_with_many_labels(spark):
+    caught, false = rates(spark, MANY, None)
+    assert caught > 0.97 and false < 0.01, (caught, false)
+
+
+def test_held_out_with_few_labels(spark):
+    """329 toxic rows to learn from; only the English ones hold toxic words, the other labels are noise."""
+    caught, false = rates(spark, LARGER, ["en"])
+    assert caught > 0.7 and false < 0.05, (caught, false)
 
 
 def test_distance_is_of_compressed_lengths():
