@@ -7,9 +7,11 @@ the window's last byte and never stores a short window raw, so the two lengths
 differ by what each dictionary knows of the window.  Length differences of a
 text's windows are calibrated to a probability on rows the dictionaries have not seen.
 
-For the toxic dictionary only words are taken whose beginnings are found in far
+For the toxic dictionary only beginnings of words are taken that are found in far
 more toxic than ordinary texts; on whole texts nearly all of it would be words that are
-common to both, and the distance would measure little else.
+common to both, and the distance would measure little else.  The test for a beginning is a
+binomial tail, which a vocabulary of few texts (a rare language) passes as well.  Windows
+carry the place of each letter, so that only equal beginnings match and not common endings.
 
 Edge cases: null text counts as empty; a text without windows
 gains nothing.  Without rows of both labels the score is the share of toxic
@@ -36,12 +38,18 @@ from lakework.llm.common import id_remainder, slices, python_workers, text_or_em
 ORDINARY_ROWS = 4000
 TOXIC_ROWS = 2500
 SAMPLE_CHARS = 4000
-DICTIONARY_BYTES = 2048
+#: One pair of dictionaries of each size; their gains are added, which evens out the cost of offsets.
+DICTIONARY_BYTES = (2048, 4096, 8192)
 LEVEL = 3
 THRESHOLD = 0.3
-#: A beginning marks toxic words if it is in this many toxic texts at least, this
-#: many times as often as in ordinary ones, and this many standard errors apart.
-MARK_TEXTS, MARK_RATIO, MARK_ERRORS = 8, 4.0, 4.0
+#: A beginning marks toxic words if it is in this many toxic texts at least, this many times
+#: as often as in ordinary ones, and so seldom by chance.
+MARK_TEXTS, MARK_RATIO, MARK_CHANCE = 4, 4.0, 1e-5
+MARK_CHARS = range(4, 10)
+#: A mark goes on by a letter that this share of its texts have.
+MARK_BRANCH = 0.5
+#: Windows of a larger gain are summed over the whole text.
+LEAST_GAIN = 4
 TRAILER = bytes(range(160, 192))
 #: Between a dictionary's content and the trailer, so that no match runs over both.
 BORDER = b"\xff\xfe"
@@ -54,16 +62,31 @@ def windows(text: str) -> list[str]:
 
 
 def beginnings(word: str) -> set[str]:
-    return {g for g in (word[:4], word[:5], word + " ") if len(g) >= 4}
+    return {word[:k] for k in MARK_CHARS if len(word) >= k}
+
+
+def placed(word: str) -> str:
+    """A word with each letter's place behind it."""
+    return "".join(c + chr(min(i, 30)) for i, c in enumerate(word, 1))
+
+
+def chance(a: int, b: int, share: float) -> float:
+    """Probability of at least ``a`` of ``a + b`` by a binomial of this share."""
+    n, k = a + b, np.arange(a, a + b + 1)
+    logs = np.cumsum(np.log(np.arange(1, n + 1)))
+    logs = np.concatenate([[0.0], logs])
+    return float(np.exp(logs[n] - logs[k] - logs[n - k] + k * np.log(share) + (n - k) * np.log1p(-share)).sum())
 
 
 @dataclass
 class ToxicityModel:
-    #: Contents of the ordinary and of the toxic dictionary; None if there is nothing to tell apart.
-    dictionaries: tuple[bytes, bytes] | None
+    #: Contents of the ordinary and of the toxic dictionary, for each size; None if there is nothing to tell apart.
+    dictionaries: tuple[bytes, ...] | None
     #: Of the calibration: intercept first, then one for each of ``features``.
     weights: np.ndarray
     base_rate: float
+    #: Whether the dictionaries hold words with their letters' places.
+    places: bool = False
 
 
 class Scorer:
@@ -81,9 +104,10 @@ class Scorer:
             self.compressors.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False))
 
     def gain(self, window: str) -> int:
-        """Bytes that the toxic dictionary saves over the ordinary one."""
-        raw = f" {window} ".encode() + TRAILER
-        return len(self.compressors[0].compress(raw)) - len(self.compressors[1].compress(raw))
+        """Bytes that the toxic dictionaries save over the ordinary ones."""
+        raw = f" {placed(window) if self.model.places else window} ".encode() + TRAILER
+        size = [len(c.compress(raw)) for c in self.compressors]
+        return sum(size[::2]) - sum(size[1::2])
 
     def gains(self, text: str) -> np.ndarray:
         """Gains of the distinct windows of a text, largest first."""
@@ -99,7 +123,7 @@ class Scorer:
 
     def features(self, text: str) -> np.ndarray:
         g = self.gains(text)
-        return np.array([1.0, g[0], g[:4].sum() - g[0], np.log(len(g))])
+        return np.array([1.0, g[0], g[:4].sum() - g[0], np.log(len(g)), g[g > LEAST_GAIN].sum() / np.sqrt(len(g))])
 
     def score(self, text: str) -> float:
         if self.model.dictionaries is None:
@@ -142,15 +166,15 @@ def distinct_texts(sample: list[tuple[int, str]]) -> list[tuple[int, list[str]]]
     return out
 
 
-def _dictionary(samples: list[bytes]) -> bytes:
+def _dictionary(samples: list[bytes], size: int) -> bytes:
     """Content of a dictionary trained on the samples; the samples themselves where there are too few to train on."""
     import zstandard
 
     try:
-        made = zstandard.train_dictionary(DICTIONARY_BYTES + 256, samples, k=24, d=6, steps=4).as_bytes()
+        made = zstandard.train_dictionary(size + 256, samples, k=24, d=6, steps=4).as_bytes()
     except zstandard.ZstdError:
         made = b"".join(dict.fromkeys(samples))
-    return made[-DICTIONARY_BYTES:].rjust(DICTIONARY_BYTES, b"\0")
+    return made[-size:].rjust(size, b"\0")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -164,13 +188,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1e
     return w
 
 
+def stem(word: str, marks: set[str], texts: Counter) -> str | None:
+    """The word's first mark, longer while most of its texts go on alike; None without a mark."""
+    found = None
+    for g in (word[:k] for k in MARK_CHARS if len(word) >= k):
+        if found is None:
+            found = g if g in marks else None
+        elif texts[g] >= MARK_BRANCH * texts[found]:
+            found = g
+        else:
+            break
+    return found
+
+
 def fit(sample: list[tuple[int, str]], totals: dict[int, int]) -> ToxicityModel:
     """Dictionaries from three quarters of a bounded sample, calibration on the last quarter.
 
     ``totals`` are the labelled rows of each class; they set the classes' weight in the calibration.
     """
     rate = totals.get(1, 0) / max(1, sum(totals.values()))
-    none = ToxicityModel(None, np.zeros(4), rate)
+    none = ToxicityModel(None, np.zeros(5), rate)
     texts = distinct_texts(sample)
     parts = {y: [[w for t, w in texts if t == y][k::4] for k in range(4)] for y in (0, 1)}
     learn = {y: sum(parts[y][:3], []) for y in (0, 1)}
@@ -179,20 +216,21 @@ def fit(sample: list[tuple[int, str]], totals: dict[int, int]) -> ToxicityModel:
     if not all(n.values()) or len({y for y, _ in test}) < 2:
         return none
     found = {y: Counter(g for words in learn[y] for g in {g for w in set(words) for g in beginnings(w)}) for y in (0, 1)}
-    marks = set()
-    for g, a in found[1].items():
-        p, q = (a + 0.5) / (n[1] + 1), (found[0][g] + 0.5) / (n[0] + 1)
-        error = np.sqrt(p * (1 - p) / n[1] + q * (1 - q) / n[0])
-        if a >= min(MARK_TEXTS, max(2, n[1] // 4)) and p > MARK_RATIO * q and p - q > MARK_ERRORS * error:
-            marks.add(g)
-    toxic = ["".join(f" {w}" for w in words if beginnings(w) & marks) for words in learn[1]]
-    ordinary = ["".join(f" {w}" for w in words)[:2000] for words in learn[0]]
-    made = [_dictionary([s.encode() + b" " for s in samples if len(s) >= 8]) for samples in (ordinary, toxic)]
-    model = ToxicityModel((made[0], made[1]), np.zeros(4), rate)
-    scorer = Scorer(model)
-    x = np.array([scorer.features(t) for _, t in test])
+    marks = {
+        g
+        for g, a in found[1].items()
+        if a >= MARK_TEXTS and a + 0.5 > MARK_RATIO * (found[0][g] + 0.5) * (n[1] + 1) / (n[0] + 1) and chance(a, found[0][g], n[1] / (n[0] + n[1])) < MARK_CHANCE
+    }
+    stems = {w: stem(w, marks, found[1]) for w in {w for words in learn[1] for w in words}}
+    toxic = ["".join(f" {placed(stems[w])}" for w in words if stems[w]) for words in learn[1]]
+    ordinary = ["".join(f" {placed(w)}" for w in words)[:4000] for words in learn[0]]
     y = np.array([y for y, _ in test], float)
     share = np.where(y == 1, rate / y.mean(), (1 - rate) / (1 - y.mean()))
+    samples = [[s.encode() + b" " for s in kind if len(s) >= 8] for kind in (ordinary, toxic)]
+    made = tuple(_dictionary(kind, size) for size in DICTIONARY_BYTES for kind in samples)
+    model = ToxicityModel(made, np.zeros(5), rate, True)
+    scorer = Scorer(model)
+    x = np.array([scorer.features(t) for _, t in test])
     model.weights = _logistic(x, y, share)
     return model
 

@@ -37,6 +37,22 @@ def test_held_out_with_few_labels(spark):
     assert caught > 0.7 and false < 0.05, (caught, false)
 
 
+def test_held_out_of_rare_languages():
+    """German, French and Spanish toxic words are in few texts each."""
+    import pandas
+
+    docs, labels = (pandas.read_parquet(f"{LARGER}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.merge(labels, on="doc_id").sort_values("doc_id")
+    held = rows.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)
+    learn = rows[~held]
+    sample = [(y, (t or "")[: toxicity.SAMPLE_CHARS]) for y in (0, 1) for t in learn[learn.toxic == y].text]
+    scorer = toxicity.Scorer(toxicity.fit(sample, {y: int((learn.toxic == y).sum()) for y in (0, 1)}))
+    for lang in ("de", "fr", "es"):
+        own = rows[held & (rows.lang == lang)]
+        hit = own.text.map(lambda t: scorer.score(t or "") >= toxicity.THRESHOLD)
+        assert hit[own.toxic == 1].mean() > 0.5 and hit[own.toxic == 0].mean() < 0.1, lang
+
+
 def test_distance_is_of_compressed_lengths():
     model = toxicity.ToxicityModel((b" friendly house garden".rjust(2048, b"\0"), b" horrible monster insult".rjust(2048, b"\0")), None, 0.5)
     scorer = toxicity.Scorer(model)
