@@ -1,10 +1,10 @@
 """Near duplicates by ProbMinHash (operator 5).
 
-A text is the multiset of its five-word shingles, weighted 1 + ln(count).  Each
+A text is the set of its five-word shingles, each of weight 1, as links compare sets.  Each
 shingle's arrivals form a Poisson process with its weight as rate; a register
 keeps the shingle that arrives first, and a text's arrivals stop as soon as
 they are later than all its registers.  Two texts share a register with the
-probability Jaccard similarity of their weighted shingles (for counts of one,
+probability Jaccard similarity of their weighted shingles (for equal weights
 the plain Jaccard similarity).  Registers are banded; texts that share a band
 are candidates, and a candidate pair is a link if the Jaccard similarity of its shingle
 sets, computed exactly, is at least ``SIMILARITY``.  Classes are the connected
@@ -127,12 +127,12 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             nodes, sets, at, sizes, sketches = [], [], [], [], []
             for i, text in enumerate(b.column(2).to_pylist()):
                 grams, node = shingles(text)
-                own, count = np.unique(grams, return_counts=True)
+                own = np.unique(grams)
                 nodes.append(node)
                 sizes.append(len(own))
                 sketches.append(parity(own) if node is not None else None)
                 if node is not None:
-                    sets.append((own, 1 + np.log(count)))
+                    sets.append((own, np.ones(len(own))))
                     at.append(i)
             keys: list[np.ndarray | None] = [None] * b.num_rows
             if sets:

@@ -96,6 +96,20 @@ def test_large_group_and_chains(spark, seed):
     assert got(neardup.classes(spark.createDataFrame(data, "doc_id long, text string"))) == brute(data)
 
 
+def test_unequal_repetition(spark):
+    """Copies of which one repeats a passage many times: alike as sets, far apart as weighted sets."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for _ in range(20):
+        w = [word() for _ in range(100)]
+        rows += [" ".join(w), " ".join(w[:70] + w[70:] * 200 + [word() for _ in range(6)])]
+    data = list(enumerate(rows))
+    want = brute(data)
+    assert all(size == 2 for _, _, size, _ in want)
+    assert got(neardup.classes(spark.createDataFrame(data, "doc_id long, text string"))) == want
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(50)] + [(7, 7)]
