@@ -29,7 +29,7 @@ from lakework.llm.common import materialize, slices, python_workers, text_or_emp
 MARKS = re.compile(r"[ \t]*((?:>[ \t]?)*)")
 #: A line that only announces a quotation ("On ..., X wrote:") goes with it.
 ATTRIBUTION = re.compile(r"(?i)^\s*(on\b.*\bwrote|.*\b(wrote|schrieb|écrit|escribió))\s*:\s*$")
-#: Lines of fewer letters and digits identify nothing.
+#: Single lines of a longer passage or message identify nothing with fewer normalised characters; whole ones always do.
 LEAST_CHARS = 8
 
 
@@ -51,9 +51,9 @@ def passages(text: str) -> list[tuple[int, list[str]]]:
     return out
 
 
-def _key(text: str) -> bytes | None:
+def _key(text: str, least: int = 1) -> bytes | None:
     n = normalised(text)
-    return hashlib.blake2b(n.encode("utf-8", "surrogatepass"), digest_size=16).digest() if len(n) >= LEAST_CHARS else None
+    return hashlib.blake2b(n.encode("utf-8", "surrogatepass"), digest_size=16).digest() if len(n) >= least else None
 
 
 def unquoted(parts: list[tuple[int, list[str]]]) -> str:
@@ -77,12 +77,11 @@ def parse(text: str) -> tuple[str, list[tuple[int, int, int, bytes]], list[bytes
     quoted, said = [], set()
     for i, (level, lines) in enumerate(parts):
         if level:
-            keys = [_key(" ".join(lines)), *map(_key, lines)]
+            keys = [_key(" ".join(lines)), *(_key(line, LEAST_CHARS) for line in lines)]
             quoted += [(level, i, rank, k) for rank, k in enumerate(keys) if k]
     own = unquoted(parts)
-    for unit in [own, *re.split(r"\n\s*\n", own), *own.split("\n")]:
-        if k := _key(unit):
-            said.add(k)
+    said.update(k for unit in [own, *re.split(r"\n\s*\n", own)] if (k := _key(unit)))
+    said.update(k for line in own.split("\n") if (k := _key(line, LEAST_CHARS)))
     return own, quoted, sorted(said)
 
 

@@ -32,6 +32,12 @@ def test_links_order_and_bodies(spark):
     assert order == [0, 5, 1, 2, 4, 3, 6]
 
 
+def test_short_whole_messages(spark):
+    rows = [(1, 0, "user", "ok"), (1, 1, "user", "为什么？"), (1, 2, "user", "> ok\nfine"), (1, 3, "user", "> 为什么？\n因为"), (1, 4, "user", "Thanks.\n\nBye now"), (1, 5, "user", "> Thanks.\nany time")]
+    got = by_turn(quotes.reply_order(spark.createDataFrame(rows, SCHEMA)), 1)
+    assert {t: r["reply_to"] for t, r in got.items()} == {0: None, 1: None, 2: 0, 3: 1, 4: None, 5: 4}
+
+
 def test_long_chain(spark):
     rows = [(1, 0, "user", "message number 0 starts it")]
     rows += [(1, t, "user", f"> message number {t - 1} starts it\nmessage number {t} starts it") for t in range(1, 40)]
