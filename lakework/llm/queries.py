@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakework.llm import exact, language, licenses, nearest, neardup, packing, pieces, quotes, toxicity, urls
+from lakework.llm import contamination, exact, language, licenses, merkle, nearest, neardup, packing, pieces, quotes, toxicity, urls, variants
 from lakework.llm.common import id_remainder, table
 
 
@@ -69,11 +69,24 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("sn", "rank")
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_exact_dedup, op3_language, op4_packing, op5_neardup,
         op6_licenses, op7_quotation_links, op8_toxicity, op9_nearest, op10_urls,
+        op11_merkle, op12_variants, op13_contamination,
     )
 }
 
