@@ -43,8 +43,6 @@ def _normalise(name: str, mode: str) -> str:
         return name.strip().lower()
     if mode == "nospace":
         return re.sub(r"\s+", "", name)
-    if mode == "snake":
-        return re.sub(r"\s+", "_", name.strip().lower())
     if mode == "exact":
         return name
     raise ValueError(f"unknown mode {mode!r}")
@@ -75,12 +73,6 @@ def require_col(columns: Sequence[str], candidates: Iterable[str], mode: str = "
     return hit
 
 
-def col_or_null(df: DataFrame, candidates: Iterable[str], dtype: str = "string", mode: str = "lower") -> Column:
-    """The resolved column, or a typed null when absent."""
-    hit = find_col(df.columns, candidates, mode)
-    return q(hit) if hit is not None else F.lit(None).cast(dtype)
-
-
 def col_or_default(df: DataFrame, name: str, default, dtype: str) -> Column:
     """The column when present, else a literal default of the given type."""
     return q(name).cast(dtype) if name in df.columns else F.lit(default).cast(dtype)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -247,6 +248,107 @@ def events_line(
     return out.filter(keep)
 
 
+@dataclass(frozen=True)
+class Source:
+    """Where lines of one (asset class, method) come from: run and file."""
+
+    run_date: str
+    run_id: str
+    source_file_saved: str
+    source_dataset: str = ""
+
+
+def _by_kind(sources: dict[tuple[str, str], Source], field: str) -> Column:
+    out = F.lit(None).cast("string")
+    for (asset_class, method), source in sources.items():
+        out = F.when((F.col("asset_class") == asset_class) & (F.col("assignment_method") == method), F.lit(getattr(source, field))).otherwise(out)
+    return out
+
+
+def _visits(columns: Sequence[str], distribution: Column, scope: Column) -> Column:
+    """U1 as an array of (visit_no, scope): the one scope of a distribution row, else the non-blank package slots."""
+    entry = lambda n, c: F.struct(n.cast("bigint").alias("visit_no"), c.alias("scope"))
+    slots = [entry(F.lit(n), clean(q(c).cast("string"))) for n, c in scope_package_columns(columns)]
+    packages = F.filter(F.array(*slots), lambda e: e["scope"].isNotNull() & (e["scope"] != ""))
+    return F.when(distribution, F.array(entry(F.lit(None), scope))).otherwise(packages)
+
+
+def assignment_lines(raw: DataFrame, sources: dict[tuple[str, str], Source]) -> DataFrame:
+    """D4, D5 and D7 over sheets of all kinds in one pass.
+
+    ``raw`` has asset_class and assignment_method beside the columns of the sheets (vendor, FLOC, SCOPE_ID, the two
+    removal dates, package slots); the result is the lines with the columns that D7 adds.
+    """
+    df = strip_names(raw)
+    distribution, helo = F.col("asset_class") == "Distribution", F.col("assignment_method") == "HELO"
+    floc = clean(q(require_col(df.columns, ["FLOC"])))
+    sheet_scope = q(require_col(df.columns, ["SCOPE_ID"]))
+    scope = F.when(helo, clean(sheet_scope)).otherwise(scope_or_comp(sheet_scope))
+    removal = F.when(distribution, q(require_col(df.columns, DIST_REMOVAL_COLS))).otherwise(q(require_col(df.columns, TRANS_REMOVAL_COLS)))
+    rows = df.select(
+        "asset_class",
+        "assignment_method",
+        floc.alias("floc"),
+        F.when(~helo, to_timestamp_lenient(removal)).alias("scope_removal_date"),
+        _vendor_col(df, None).alias("vendor"),
+        F.explode(_visits(df.columns, distribution | helo, scope)).alias("v"),
+    )
+    active = F.col("scope_removal_date").isNull()
+    lines = rows.select(
+        "floc",
+        F.col("v.scope").alias("scope_id"),
+        "scope_removal_date",
+        active.alias("is_active"),
+        F.col("v.visit_no").alias("visit_no"),
+        business_key(F.col("v.scope"), F.col("floc")).alias("scope_floc_key"),
+        "vendor",
+        *[_by_kind(sources, c).alias(c) for c in ("run_date", "run_id", "source_file_saved")],
+        F.col("asset_class").alias("source_sheet"),
+        "assignment_method",
+        "asset_class",
+        _by_kind(sources, "source_dataset").alias("source_dataset"),
+        (helo | active).alias("base_is_active"),
+    )
+    return lines.filter(~helo | (_nonblank("floc") & _nonblank("scope_id")))
+
+
+def event_lines(raw: DataFrame, *, run_date: Column, run_id: Column, source_file_saved: str = "") -> DataFrame:
+    """D6 over sheets of both asset classes and all event types in one pass.
+
+    ``raw`` has asset_class and event_type beside the columns of the sheets.  A removal needs a date of its own; every other event, one of an
+    unknown type too, takes effect on its run date.
+    """
+    df = strip_names(raw)
+    distribution = F.col("asset_class") == "Distribution"
+    scope = scope_or_comp(q(require_col(df.columns, ["SCOPE_ID", "Scope ID"])))
+    removal = F.when(distribution, q(require_col(df.columns, DIST_REMOVAL_COLS))).otherwise(q(require_col(df.columns, TRANS_REMOVAL_COLS)))
+    is_removal = F.col("event_type") == "removal"
+    rows = df.select(
+        "asset_class",
+        "event_type",
+        clean(q(require_col(df.columns, ["FLOC"]))).alias("floc"),
+        F.when(is_removal, to_timestamp_lenient(removal)).otherwise(to_timestamp_lenient(run_date)).alias("event_effective_date"),
+        _vendor_col(df, None).alias("vendor"),
+        run_date.cast("string").alias("run_date"),
+        run_id.cast("string").alias("run_id"),
+        F.explode(_visits(df.columns, distribution, scope)).alias("v"),
+    )
+    lines = rows.select(
+        "floc",
+        F.col("v.scope").alias("scope_id"),
+        "event_type",
+        "event_effective_date",
+        F.col("v.visit_no").alias("visit_no"),
+        business_key(F.col("v.scope"), F.col("floc")).alias("scope_floc_key"),
+        "vendor",
+        "run_date",
+        "run_id",
+        F.lit(source_file_saved).alias("source_file_saved"),
+        F.col("asset_class").alias("source_sheet"),
+    )
+    return lines.filter(_nonblank("floc") & _nonblank("scope_id") & (~is_removal | F.col("event_effective_date").isNotNull()))
+
+
 def _priority(c: str, table: dict[str, int]) -> Column:
     out = F.lit(0)
     for k, v in sorted(table.items(), key=lambda kv: kv[1]):
@@ -320,8 +422,12 @@ def prepare_assignments(line: DataFrame, *, method: str, asset_class: str, sourc
     )
 
 
-def preferred_assignment(assignments: DataFrame) -> DataFrame:
-    """One row per (vendor, scope_floc_key), HELO over DRONE.
+KEY = ("vendor", "scope_floc_key")
+CLASS_KEY = ("asset_class", *KEY)
+
+
+def preferred_assignment(assignments: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """One row per key (vendor, scope_floc_key; with the asset class where a frame holds both), HELO over DRONE.
 
     The reference sorts on the method alone (ties arbitrary); here the newest
     run, then the remaining columns, make the choice total.
@@ -335,10 +441,10 @@ def preferred_assignment(assignments: DataFrame) -> DataFrame:
             desc_nulls_first=["scope_removal_date"],
         ),
     ]
-    return top1(assignments, ["vendor", "scope_floc_key"], order)
+    return top1(assignments, list(keys), order)
 
 
-def apply_events(assignments: DataFrame, latest: DataFrame | None) -> DataFrame:
+def apply_events(assignments: DataFrame, latest: DataFrame | None, keys: Sequence[str] = KEY) -> DataFrame:
     """D8 with J-a: override the base flag by the latest event of the key.
 
     removal → inactive, REMOVED; move_to_helo → ACTIVE_HELO on a HELO row,
@@ -351,8 +457,8 @@ def apply_events(assignments: DataFrame, latest: DataFrame | None) -> DataFrame:
     if latest is None:
         a = assignments.withColumns({"event_type": F.lit(None).cast("string"), "event_effective_date": _null_ts()})
     else:
-        e = latest.select("vendor", "scope_floc_key", "event_type", "event_effective_date")
-        a = assignments.join(e, ["vendor", "scope_floc_key"], "left")
+        e = latest.select(*keys, "event_type", "event_effective_date")
+        a = assignments.join(e, list(keys), "left")
     et = F.col("event_type").cast("string")
     method = F.col("assignment_method")
     base = F.col("base_is_active").cast("boolean")
@@ -409,3 +515,15 @@ def current_assignment(
     if gold_run_date is not None:
         out = out.withColumns({"gold_run_date": F.lit(gold_run_date), "gold_run_id": F.lit(gold_run_id)})
     return out
+
+
+def current_assignments(lines: DataFrame, latest: DataFrame, *, gold_run_date: str, gold_run_id: str) -> DataFrame:
+    """D9 for both asset classes at once, from lines that ``assignment_lines`` made.
+
+    Everything is keyed by (asset_class, vendor, scope_floc_key): the lines are shuffled once, for W2, and the joins that
+    follow find them in place.  An event counts for both classes, so each latest event stands for each class.
+    """
+    classes = F.explode(F.array(F.lit("Distribution"), F.lit("Transmission"))).alias("asset_class")
+    events = latest.select(classes, *KEY, "event_type", "event_effective_date")
+    out = apply_events(preferred_assignment(lines, CLASS_KEY), events, CLASS_KEY)
+    return out.withColumns({"gold_run_date": F.lit(gold_run_date), "gold_run_id": F.lit(gold_run_id)})

@@ -30,42 +30,59 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def bounded_bytes(df: DataFrame, max_bytes: int) -> bool:
+    """True when the rows of ``df`` take at most ``max_bytes`` as text (an aggregate of one number)."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("n")).first()["n"]
+    return (size or 0) <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only behind a proven size bound; otherwise the frame as is."""
     return F.broadcast(df) if bounded_rows(df, max_rows) else df
 
 
+#: Aggregations that can be applied to their own results.
+_MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+
+
 def joined_unique(
     df: DataFrame,
     group: Sequence[str],
     values: dict[str, Column],
     position: Column,
     sep: str = ";",
+    stats: dict[str, tuple[str, Column]] | None = None,
+    counts: dict[str, str] | None = None,
 ) -> DataFrame:
     """A3: per group, the distinct non-null values of each column in first-appearance order, joined.
 
-    ``values`` maps an output name to a value expression.  All columns go
-    through the same two aggregations instead of one ``collect_list`` of every
-    row: first each (group, column, value) collapses to its earliest position,
-    with partial aggregation before the shuffle, so a hot group forwards only
-    its distinct values; then a group gathers one small struct per distinct
-    value.  An output is null when the group has no value for it.
+    ``values`` maps an output name to a value expression; ``stats`` adds aggregates of the rows (output name → count, sum,
+    min or max of an expression) and ``counts`` the number of distinct values of an output.  An output is null when the
+    group has no value for it.
+
+    One pass over ``df``.  Rows first collapse to their distinct combinations of values, with partial aggregation before the
+    shuffle, so a hot group forwards its combinations, not its rows; only those are unpivoted to (column,
+    value), which collapse again to the earliest position.  A group then gathers one small struct per distinct value.
     """
-    names = list(values)
-    tagged = F.explode(
-        F.array(*[F.struct(F.lit(n).alias("n"), values[n].cast("string").alias("v")) for n in names])
-    )
-    pairs = (
-        df.select(*[F.col(g) for g in group], position.alias("__p"), tagged.alias("__t"))
-        .select(*group, "__p", F.col("__t.n").alias("__n"), F.col("__t.v").alias("__v"))
-        .filter(F.col("__v").isNotNull())
-        .groupBy(*group, "__n", "__v")
-        .agg(F.min("__p").alias("__p"))
+    names, stats, counts = list(values), stats or {}, counts or {}
+    aggregate = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+    combined = df.select(*[F.col(g) for g in group], *[values[n].cast("string").alias(f"__{n}") for n in names], position.alias("__p"), *[c.alias(f"__s_{n}") for n, (_, c) in stats.items()])
+    combined = combined.groupBy(*group, *[f"__{n}" for n in names]).agg(
+        F.min("__p").alias("__p"), *[aggregate[how](f"__s_{n}").alias(f"__s_{n}") for n, (how, _) in stats.items()]
     )
+    # The first entry carries the statistics of the combination, the others its values.
+    none = {n: F.lit(None).cast(combined.schema[f"__s_{n}"].dataType).alias(f"__s_{n}") for n in stats}
+    entry = lambda k, v, own: F.struct(F.lit(k).alias("n"), v.alias("v"), *[F.col(f"__s_{n}") if own else none[n] for n in stats])
+    entries = F.array(entry(-1, F.lit(None).cast("string"), True), *[entry(k, F.col(f"__{n}"), False) for k, n in enumerate(names)])
+    pairs = combined.select(*group, "__p", F.explode(entries).alias("__t")).select(*group, "__p", "__t.*")
+    pairs = pairs.filter((F.col("n") < 0) | F.col("v").isNotNull()).groupBy(*group, "n", "v")
+    pairs = pairs.agg(F.min("__p").alias("__p"), *[_MERGE[how](f"__s_{n}").alias(f"__s_{n}") for n, (how, _) in stats.items()])
     outs = []
-    for n in names:
-        items = F.array_sort(F.collect_list(F.when(F.col("__n") == n, F.struct(F.col("__p"), F.col("__v")))))
-        outs.append(F.nullif(F.concat_ws(sep, F.transform(items, lambda e: e["__v"])), F.lit("")).alias(n))
+    for k, n in enumerate(names):
+        items = F.array_sort(F.collect_list(F.when(F.col("n") == k, F.struct(F.col("__p"), F.col("v")))))
+        outs.append(F.nullif(F.concat_ws(sep, F.transform(items, lambda e: e["v"])), F.lit("")).alias(n))
+    outs += [_MERGE[how](f"__s_{n}").alias(n) for n, (how, _) in stats.items()]
+    outs += [F.count_if(F.col("n") == names.index(of)).alias(n) for n, of in counts.items()]
     return pairs.groupBy(*group).agg(*outs)
 
 

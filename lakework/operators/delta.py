@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,8 +55,9 @@ def keyed_distribution(raw: DataFrame) -> DataFrame:
     )
 
 
-def keyed_transmission(raw: DataFrame) -> DataFrame:
-    """D3: package slots unpivoted (U1) or a SCOPE_ID fallback (U2); blanks dropped; key ``scope|floc``."""
+def keyed_transmission(raw: DataFrame, key_cols: Sequence[str] = ("_scope_id", "_floc")) -> DataFrame:
+    """D3: package slots unpivoted (U1) or a SCOPE_ID fallback (U2); blanks dropped; key ``scope|floc``, or of other helper
+    columns (``_visit_no`` too, where one scope may stand in several slots; no visit is a blank part)."""
     df = strip_names(raw)
     floc_c = find_col(df.columns, DIST_FLOC_NAMES)
     if not floc_c:
@@ -81,12 +84,11 @@ def keyed_transmission(raw: DataFrame) -> DataFrame:
         )
         out = out.withColumn("_visit_no", F.lit(None).cast("bigint"))
     out = out.withColumns({"_floc": clean(q(floc_c)), "_removal_dt": _removal(out, TRANS_REMOVAL_NAMES)})
-    return out.withColumns(
-        {
-            "_is_active": F.col("_removal_dt").isNull(),
-            "_key": F.concat(F.col("_scope_id"), F.lit("|"), F.col("_floc")),
-        }
-    )
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) if c == "_visit_no" else F.col(c) for c in key_cols]
+    key = parts[0]
+    for part in parts[1:]:
+        key = F.concat(key, F.lit("|"), part)
+    return out.withColumns({"_is_active": F.col("_removal_dt").isNull(), "_key": key})
 
 
 def duplicate_keys(df: DataFrame, key: str = "_key", top: int = 10) -> DataFrame:

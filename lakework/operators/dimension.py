@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,9 +76,7 @@ def floc_attributes_dim(master: DataFrame) -> DataFrame:
         "asset_classes": blank_to_null("asset_class"),
     }
     df = master.withColumn("floc", clean("floc"))
-    counts = df.groupBy("floc").agg(F.count(F.lit(1)).alias("row_count"))
-    joined = joined_unique(df, ["floc"], values, F.col("src_pos"))
-    out = counts.join(joined, "floc", "left")
+    out = joined_unique(df, ["floc"], values, F.col("src_pos"), stats={"row_count": ("count", F.lit(1))})
     return out.select(
         "floc",
         pick_priority("object_type_values").alias("object_type"),
@@ -87,3 +87,31 @@ def floc_attributes_dim(master: DataFrame) -> DataFrame:
         "asset_classes",
         "row_count",
     )
+
+
+def scope_lists(raw: DataFrame, lists: Sequence[tuple[Column, dict[str, Column]]], *, run_date: str, run_id: str, source_system: str) -> DataFrame:
+    """D16 and O1 over one table that several lists are views of, in one pass.
+
+    ``lists``: for each list, which rows it has and its columns (floc, object_type, voltage, asset_class, scope_list,
+    source_file_saved, position).  The result is what ``scope_master_union`` makes of the single lists.
+    """
+    entries = [
+        F.when(
+            has,
+            F.struct(
+                clean(c["floc"]).alias("floc"),
+                clean(c["object_type"]).alias("object_type"),
+                blank_to_null(c["voltage"]).alias("voltage"),
+                c["asset_class"].alias("asset_class"),
+                c["scope_list"].alias("scope_list"),
+                F.lit(source_system).alias("source_system"),
+                c["source_file_saved"].alias("source_file_saved"),
+                F.lit(run_date).alias("run_date"),
+                F.lit(run_id).alias("run_id"),
+                F.struct(F.lit(k).alias("list_idx"), c["position"].alias("row_pos")).alias("src_pos"),
+            ),
+        )
+        for k, (has, c) in enumerate(lists)
+    ]
+    lines = raw.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    return lines.filter(F.col("floc").isNotNull() & (F.col("floc") != ""))

@@ -6,11 +6,14 @@ keeps the older precedence and approval rule.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakework.functions.clean import clean, reasons, safe_ratio
-from lakework.functions.columns import rename_if_absent
+from lakework.functions.clean import clean, false_if_null, reasons, safe_ratio
+from lakework.functions.columns import col_or_default, keep_existing, rename_if_absent
+from lakework.operators.assignment import CLASS_KEY, KEY
 from lakework.operators.common import broadcast_if_small, top1
 
 # --- fixed values that must equal the reference's -------------------------
@@ -23,13 +26,11 @@ DIST_BLOCKERS = (
     "BLOCK_EZ_POLE_DIST_NOT_BILLABLE",
 )
 DIST_BLOCKERS_V1 = DIST_BLOCKERS[:4]
-TRANS_BLOCKERS = ("BLOCK_INACTIVE_ASSIGNMENT", "BLOCK_MISSING_GCP_MIN_IMAGES")
 NOT_BILLABLE_OBJECT_TYPE = "EZ_POLE"
 TRANSMISSION_PROGRAM = "ATI"
 # Object-type rank used to keep one attribute row per floc (higher wins).
 OBJECT_TYPE_RANK = {"EZ_POLE": 4, "ET_TOWER": 3, "ET_POLE": 2, "ED_POLE": 1}
-# ---------------------------------------------------------------------------
-
+# Columns of the eligibility line.
 LINE_COLS = (
     "asset_class",
     "program_bucket",
@@ -59,7 +60,7 @@ LINE_COLS = (
     "eligibility_run_id",
     "eligibility_source_system",
 )
-
+# ---------------------------------------------------------------------------
 
 V1_COLS = tuple(
     c
@@ -96,16 +97,14 @@ def attach_floc_attributes(assignments: DataFrame, dim_std: DataFrame, broadcast
     return assignments.join(d, "floc", "left")
 
 
-def _join_deliveries(df: DataFrame, deliveries: DataFrame, rule_version: str) -> DataFrame:
+def _join_deliveries(df: DataFrame, deliveries: DataFrame, rule_version: str, keys: Sequence[str] = KEY) -> DataFrame:
     """J-c: left join on (vendor, scope_floc_key); missing evidence reads as 0 / false (v1: no folder count).
 
     Plain equality keeps the join on the columns the assignment side is already
     hash-partitioned by (W2), so it adds no shuffle on that side.
     """
-    d = deliveries.select(
-        "vendor", "scope_floc_key", "image_count_total", "folder_count", "has_min_images", "has_gcp_delivery"
-    )
-    out = df.join(d, ["vendor", "scope_floc_key"], "left")
+    d = deliveries.select(*keys, "image_count_total", "folder_count", "has_min_images", "has_gcp_delivery")
+    out = df.join(d, list(keys), "left")
     return out.withColumns(
         {
             "image_count_total": F.coalesce(F.col("image_count_total"), F.lit(0)).cast("bigint"),
@@ -130,14 +129,9 @@ def _trim_keys(df: DataFrame) -> DataFrame:
 
 
 def _with_defaults(df: DataFrame) -> DataFrame:
-    adds = {}
-    if "object_type" not in df.columns:
-        adds["object_type"] = F.lit(None).cast("string")
-    if "voltage" not in df.columns:
-        adds["voltage"] = F.lit(None).cast("string")
-    if "assignment_status" not in df.columns:
-        adds["assignment_status"] = F.lit("").cast("string")
-    return df.withColumns(adds) if adds else df
+    """What an assignment need not carry."""
+    defaults = {"object_type": None, "voltage": None, "assignment_status": ""}
+    return df.withColumns({c: col_or_default(df, c, value, "string") for c, value in defaults.items()})
 
 
 def distribution_eligibility(
@@ -180,77 +174,94 @@ def distribution_eligibility(
     if clash:
         z = z.withColumnsRenamed({c: f"{c}_az" for c in clash})
     df = df.join(z, "floc", "left")
-    df = df.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in ("has_any_mdoc", "has_aerial_mdoc", "has_ground_mdoc")})
+    df = df.withColumns({c: false_if_null(c) for c in MDOC_FLAGS})
     df = df.withColumn("azure_join_method", F.lit("FLOC_ONLY"))
 
-    status = F.col("assignment_status")
-    scope = F.col("scope_id")
-    if rule_version == "v2":  # COMP overrides everything
-        bucket = (
-            F.when(scope == "COMP", F.lit("DIST_COMP"))
-            .when(status == "ACTIVE_DRONE", F.lit("DIST_DRONE"))
-            .when(status == "ACTIVE_HELO", F.lit("DIST_HELO"))
-            .otherwise(F.lit("DIST_OTHER"))
-        )
-    else:  # v1: DRONE last, so it wins
-        bucket = (
-            F.when(status == "ACTIVE_DRONE", F.lit("DIST_DRONE"))
-            .when(status == "ACTIVE_HELO", F.lit("DIST_HELO"))
-            .when(scope == "COMP", F.lit("DIST_COMP"))
-            .otherwise(F.lit("DIST_OTHER"))
-        )
-    df = df.withColumn("program_bucket", bucket)
-    if "is_active_assignment" in df.columns:
-        active = F.coalesce(F.col("is_active_assignment").cast("boolean"), F.lit(False))
-    else:
-        active = F.lit(True)
+    return _rules(df, rule_version, min_images, _lineage(run_date, run_id, source_system))
+
+
+MDOC_FLAGS = ("has_any_mdoc", "has_aerial_mdoc", "has_ground_mdoc")
+
+
+def _rules(df: DataFrame, rule_version: str, min_images: int, lineage: dict[str, Column]) -> DataFrame:
+    """The decisions of both asset classes on rows with their evidence: program, blockers, approval.
+
+    Distribution: what is required depends on the program, v2 does not bill EZ poles, v1 lets DRONE win over COMP.
+    Transmission: images only; program and bucket ATI (v2).
+    """
+    trans = F.col("asset_class") == "transmission"
+    status, scope = F.col("assignment_status"), F.col("scope_id")
+    by_status = F.when(status == "ACTIVE_DRONE", F.lit("DIST_DRONE")).when(status == "ACTIVE_HELO", F.lit("DIST_HELO"))
+    comp, other = F.when(scope == "COMP", F.lit("DIST_COMP")), F.lit("DIST_OTHER")
+    # v2: COMP overrides everything; v1: the status wins.
+    bucket = F.coalesce(comp, by_status, other) if rule_version == "v2" else F.coalesce(by_status, comp, other)
     pb = F.col("program_bucket")
-    req_images = pb.isin("DIST_DRONE", "DIST_HELO")
-    req_aerial = pb == "DIST_DRONE"
-    req_ground = pb.isin("DIST_DRONE", "DIST_COMP")
-    images = F.col("image_count_total")
-    meets = (~req_images | (images >= min_images)) & (~req_aerial | F.col("has_aerial_mdoc")) & (
-        ~req_ground | F.col("has_ground_mdoc")
-    )
+    df = df.withColumn("program_bucket", F.when(trans, F.lit("TRANS")).otherwise(bucket))
+    active = F.coalesce(F.col("is_active_assignment").cast("boolean"), F.lit(False)) if "is_active_assignment" in df.columns else F.lit(True)
+    flag = lambda c: false_if_null(col_or_default(df, c, False, "boolean"))
+    few_images = pb.isin("DIST_DRONE", "DIST_HELO", "TRANS") & (F.col("image_count_total") < min_images)
+    no_aerial = (pb == "DIST_DRONE") & ~flag("has_aerial_mdoc")
+    no_ground = pb.isin("DIST_DRONE", "DIST_COMP") & ~flag("has_ground_mdoc")
+    meets = ~few_images & ~no_aerial & ~no_ground
+    ez = ~trans & (F.coalesce(clean("object_type"), F.lit("")) == NOT_BILLABLE_OBJECT_TYPE)
     df = df.withColumns(
         {
             "is_active_assignment": active,
             "BLOCK_INACTIVE_ASSIGNMENT": ~active,
-            "BLOCK_MISSING_GCP_MIN_IMAGES": req_images & (images < min_images),
-            "BLOCK_MISSING_AERIAL_MDOC": req_aerial & ~F.col("has_aerial_mdoc"),
-            "BLOCK_MISSING_GROUND_MDOC": req_ground & ~F.col("has_ground_mdoc"),
+            "BLOCK_MISSING_GCP_MIN_IMAGES": few_images,
+            "BLOCK_MISSING_AERIAL_MDOC": no_aerial,
+            "BLOCK_MISSING_GROUND_MDOC": no_ground,
+            "BLOCK_EZ_POLE_DIST_NOT_BILLABLE": ez,
+            "is_work_complete": meets,
         }
     )
     if rule_version == "v2":
-        acronym = F.coalesce(
-            F.element_at(F.create_map(*[F.lit(x) for kv in PROGRAM_ACRONYM.items() for x in kv]), pb), pb
-        )
-        ez = F.coalesce(clean("object_type"), F.lit("")) == NOT_BILLABLE_OBJECT_TYPE
-        billable = F.when(ez, F.lit(False)).otherwise(active & (acronym != "DIST_OTHER"))
+        names = F.create_map(*[F.lit(x) for kv in (PROGRAM_ACRONYM | {"TRANS": TRANSMISSION_PROGRAM}).items() for x in kv])
+        acronym = F.element_at(names, pb)
         df = df.withColumns(
             {
                 "program_acronym": acronym,
                 "billing_bucket": F.when(ez, F.lit("NON_BILLABLE")).otherwise(acronym),
-                "is_work_complete": meets,
-                "is_billable": billable,
-                "BLOCK_EZ_POLE_DIST_NOT_BILLABLE": ez,
+                "is_billable": ~ez & active & (acronym != "DIST_OTHER"),
             }
         )
         df = df.withColumn("approved_to_invoice", F.col("is_work_complete") & F.col("is_billable"))
-        blockers = DIST_BLOCKERS
-        keep = LINE_COLS
     else:
         df = df.withColumn("approved_to_invoice", active & meets)
-        blockers = DIST_BLOCKERS_V1
-        keep = V1_COLS
     df = df.withColumns(
         {
-            "block_reasons": reasons(blockers),
+            "block_reasons": reasons(DIST_BLOCKERS if rule_version == "v2" else DIST_BLOCKERS_V1),
             "needs_review": ~F.col("approved_to_invoice"),
-            **_lineage(run_date, run_id, source_system),
+            **lineage,
         }
     )
-    return df.select(*[c for c in keep if c in df.columns])
+    return keep_existing(df, LINE_COLS if rule_version == "v2" else V1_COLS)
+
+
+def eligibility_lines(
+    current: DataFrame,
+    deliveries: DataFrame,
+    survey_floc: DataFrame,
+    *,
+    floc_dim: DataFrame,
+    min_images: int,
+    run_date: str,
+    run_id: str,
+    source_system: str,
+    rule_version: str = "v2",
+) -> DataFrame:
+    """D12, D13 and D14 for both asset classes at once: ``current`` and ``deliveries`` carry their asset class.
+
+    The deliveries join finds the assignments where W2 put them; the two joins on floc share one shuffle.  Survey evidence
+    counts for distribution only, so transmission lines have none of its columns.
+    """
+    df = current.withColumn("asset_class", F.lower("asset_class"))
+    df = _join_deliveries(df, deliveries, rule_version, CLASS_KEY)
+    df = df.join(floc_dim, "floc", "left").join(survey_floc.select("floc", *MDOC_FLAGS), "floc", "left")
+    trans = F.col("asset_class") == "transmission"
+    flags = {c: F.when(~trans, F.coalesce(F.col(c), F.lit(False))) for c in MDOC_FLAGS}
+    df = df.withColumns(flags | {"azure_join_method": F.when(~trans, F.lit("FLOC_ONLY"))})
+    return _rules(df, rule_version, min_images, _lineage(run_date, run_id, source_system))
 
 
 def transmission_eligibility(
@@ -273,58 +284,28 @@ def transmission_eligibility(
     df = scope_current
     if trim_keys:
         df = _trim_keys(df)
-    df = df.withColumns({"asset_class": F.lit("transmission"), "program_bucket": F.lit("TRANS")})
+    df = df.withColumn("asset_class", F.lit("transmission"))
     df = _join_deliveries(df, deliveries, rule_version)
     if floc_dim is not None:
         df = attach_floc_attributes(df, floc_dim, broadcast_max_rows)
-    df = _with_defaults(df)
-    if "is_active_assignment" in df.columns:
-        active = F.coalesce(F.col("is_active_assignment").cast("boolean"), F.lit(False))
-    else:
-        active = F.lit(True)
-    meets = F.col("image_count_total") >= min_images
-    df = df.withColumns(
-        {
-            "is_active_assignment": active,
-            "BLOCK_INACTIVE_ASSIGNMENT": ~active,
-            "BLOCK_MISSING_GCP_MIN_IMAGES": F.col("image_count_total") < min_images,
-        }
-    )
-    if rule_version == "v2":
-        df = df.withColumns(
-            {
-                "program_acronym": F.lit(TRANSMISSION_PROGRAM),
-                "billing_bucket": F.lit(TRANSMISSION_PROGRAM),
-                "is_work_complete": meets,
-                "is_billable": active,
-            }
-        )
-        df = df.withColumn("approved_to_invoice", F.col("is_work_complete") & F.col("is_billable"))
-        keep = LINE_COLS
-    else:
-        df = df.withColumn("approved_to_invoice", active & meets)
-        keep = V1_COLS
-    df = df.withColumns(
-        {
-            "block_reasons": reasons(TRANS_BLOCKERS),
-            "needs_review": ~F.col("approved_to_invoice"),
-            **_lineage(run_date, run_id, source_system),
-        }
-    )
-    return df.select(*[c for c in keep if c in df.columns])
+    return _rules(_with_defaults(df), rule_version, min_images, _lineage(run_date, run_id, source_system))
 
 
 def unmatched_deliveries(
-    assignments: DataFrame, deliveries: DataFrame, *, asset_class: str, run_date: str, run_id: str, source_system: str
+    assignments: DataFrame, deliveries: DataFrame, *, run_date: str, run_id: str, source_system: str, asset_class: str | None = None
 ) -> DataFrame:
-    """D15 / J-g: delivery aggregates whose (vendor, scope_floc_key) has no assignment."""
-    keys = assignments.select(clean("vendor").alias("vendor"), clean("scope_floc_key").alias("scope_floc_key"))
+    """D15 / J-g: delivery aggregates whose (vendor, scope_floc_key) has no assignment.
+
+    Without ``asset_class`` both sides carry their own, and it is part of the key.
+    """
+    own = [] if asset_class else [F.lower("asset_class").alias("asset_class")]
+    keys = assignments.select(*own, clean("vendor").alias("vendor"), clean("scope_floc_key").alias("scope_floc_key"))
     d = deliveries.withColumns({c: clean(c) for c in ("vendor", "scope_floc_key", "scope_id_any", "floc_any") if c in deliveries.columns})
-    out = d.join(keys, ["vendor", "scope_floc_key"], "left_anti")
+    out = d.join(keys, list(KEY if asset_class else CLASS_KEY), "left_anti")
     out = rename_if_absent(out, {"floc_any": "floc", "scope_id_any": "scope_id"})
     out = out.withColumns(
         {
-            "asset_class": F.lit(asset_class),
+            "asset_class": F.lit(asset_class) if asset_class else F.col("asset_class"),
             "unmatched_reason": F.lit("VENDOR_SCOPE_KEY_NOT_IN_ASSIGNMENTS"),
             **_lineage(run_date, run_id, source_system),
         }
@@ -334,7 +315,7 @@ def unmatched_deliveries(
         "has_gcp_delivery", "has_min_images", "unmatched_reason",
         "eligibility_run_date", "eligibility_run_id", "eligibility_source_system",
     ]
-    return out.select(*[c for c in preferred if c in out.columns], *[c for c in out.columns if c not in preferred])
+    return keep_existing(out, preferred, rest=True)
 
 
 def unmatched_surveys(
@@ -356,7 +337,7 @@ def unmatched_surveys(
         "object_type_count", "unmatched_reason", "eligibility_run_date", "eligibility_run_id",
         "eligibility_source_system",
     ]
-    return out.select(*[c for c in preferred if c in out.columns], *[c for c in out.columns if c not in preferred])
+    return keep_existing(out, preferred, rest=True)
 
 
 def scope_summary(line: DataFrame, *, run_date: str, run_id: str, source_system: str) -> DataFrame:

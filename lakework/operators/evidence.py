@@ -19,7 +19,7 @@ from lakework.functions.clean import (
     to_int_truncating,
     to_timestamp_survey,
 )
-from lakework.functions.columns import q, strip_export_prefix
+from lakework.functions.columns import col_or_default, q, rename_if_absent, strip_export_prefix
 from lakework.operators.common import joined_unique, top1
 
 # Fixed value: the image threshold default of the eligibility job.
@@ -90,30 +90,32 @@ def require_columns(df: DataFrame, required) -> None:
 def deliveries_line(
     raw: DataFrame,
     *,
-    asset_class: str,
+    asset_class: str | None = None,
     run_date: str,
     run_id: str,
     source_system: str,
     source_file_saved: str = "",
     position: Column | None = None,
 ) -> DataFrame:
-    """D10 + W3: delivery evidence line, latest upload per (vendor, floc, folder).
+    """D10 + W3: delivery evidence line, latest upload per (vendor, floc, folder); without ``asset_class`` the rows carry
+    their own, and it is part of the key.
 
     ``raw`` is the all-string CSV (blanks kept as ``""``).  ``position`` is the
     row's place in the source, used as the last tie-break (the reference's
     stable sort); without it the remaining columns break ties.
     """
-    asset_class = asset_class.lower().strip()
-    if asset_class not in ("distribution", "transmission"):
-        raise ValueError(f"asset_class must be distribution or transmission, got {asset_class!r}")
-    require_columns(raw, DELIVERY_SOURCE_COLS)
+    if asset_class is not None:
+        asset_class = asset_class.lower().strip()
+        if asset_class not in ("distribution", "transmission"):
+            raise ValueError(f"asset_class must be distribution or transmission, got {asset_class!r}")
+    require_columns(raw, DELIVERY_SOURCE_COLS if asset_class else (*DELIVERY_SOURCE_COLS, "asset_class"))
     floc = q("structureId").cast("string")
     folder = q("folder").cast("string")
     parts = folder_parts(folder, q("vendor"))
     image_count = to_int_truncating(q("imageCount"))
     pos = position if position is not None else F.lit(0)
     line = raw.select(
-        F.lit(asset_class).alias("asset_class"),
+        (F.lit(asset_class) if asset_class else F.lower(clean("asset_class"))).alias("asset_class"),
         q("vendor").cast("string").alias("vendor"),
         floc.alias("floc"),
         parts["scope_id"].alias("scope_id"),
@@ -140,24 +142,20 @@ def deliveries_line(
         F.col("image_count").desc(),
         F.col("scope_id").asc_nulls_last(),
     ]
-    return top1(line, ["vendor", "floc", "folder"], order).drop("__pos")
+    return top1(line, [*([] if asset_class else ["asset_class"]), "vendor", "floc", "folder"], order).drop("__pos")
 
 
-def deliveries_agg(line: DataFrame, *, min_images: int = DEFAULT_MIN_IMAGES) -> DataFrame:
-    """A1: per (vendor, scope_floc_key): floc and scope, distinct folders, total images, thresholds.
+def deliveries_agg(line: DataFrame, *, min_images: int = DEFAULT_MIN_IMAGES, by_class: bool = False) -> DataFrame:
+    """A1: per (vendor, scope_floc_key), with ``by_class`` per asset class too: floc and scope, distinct folders, total
+    images, thresholds.
 
     One hash aggregation with partial (map-side) aggregation.  The key embeds
     floc and scope, so ``min`` returns the group's single value for them.
     """
-    df = line
-    if "image_count" not in df.columns and "imageCount" in df.columns:
-        df = df.withColumn("image_count", F.col("imageCount"))
-    if "floc" not in df.columns and "structureId" in df.columns:
-        df = df.withColumn("floc", F.col("structureId"))
-    if "image_count" not in df.columns:
-        df = df.withColumn("image_count", F.lit(0))
+    df = rename_if_absent(line, {"imageCount": "image_count", "structureId": "floc"})
+    df = df.withColumn("image_count", col_or_default(df, "image_count", 0, dict(df.dtypes).get("image_count", "int")))
     total = F.sum(to_int_truncating(F.col("image_count"))).cast("bigint")
-    out = df.groupBy(clean("vendor").alias("vendor"), clean("scope_floc_key").alias("scope_floc_key")).agg(
+    out = df.groupBy(*(["asset_class"] if by_class else []), clean("vendor").alias("vendor"), clean("scope_floc_key").alias("scope_floc_key")).agg(
         F.min(clean("floc")).alias("floc_any"),
         F.min(clean("scope_id")).alias("scope_id_any"),
         F.count_distinct(clean("folder")).alias("folder_count"),
@@ -235,22 +233,18 @@ def survey_rollup(line: DataFrame, *, run_date: str, run_id: str) -> DataFrame:
     """A2 + A3: one row per (asset_class, floc).
 
     Min/max time, distinct object types, row count, three "any" flags, and seven
-    joined-unique strings in first-appearance order.  Both aggregations are
-    grouped on the same key, so their join needs no extra shuffle.
+    joined-unique strings in first-appearance order, all in one pass (see ``joined_unique``).
     """
-    group = ["asset_class", "floc"]
-    stats = line.groupBy(*group).agg(
-        F.min("created_at").alias("created_at_min"),
-        F.max("created_at").alias("created_at_max"),
-        F.count_distinct("object_type").alias("object_type_count"),
-        F.count(F.lit(1)).alias("row_count"),
-        F.bool_or("has_any_mdoc").alias("has_any_mdoc"),
-        F.bool_or("has_ground_mdoc").alias("has_ground_mdoc"),
-        F.bool_or("has_aerial_mdoc").alias("has_aerial_mdoc"),
-    )
     values = {out: null_tokens(F.col(src)) for out, src in SURVEY_JOINED.items()}
-    joined = joined_unique(line, group, values, F.col("src_pos"))
-    out = stats.join(joined, group, "left")
+    stats = {
+        "created_at_min": ("min", F.col("created_at")),
+        "created_at_max": ("max", F.col("created_at")),
+        "row_count": ("count", F.lit(1)),
+        "has_any_mdoc": ("max", F.col("has_any_mdoc")),
+        "has_ground_mdoc": ("max", F.col("has_ground_mdoc")),
+        "has_aerial_mdoc": ("max", F.col("has_aerial_mdoc")),
+    }
+    out = joined_unique(line, ["asset_class", "floc"], values, F.col("src_pos"), stats=stats, counts={"object_type_count": "object_types"})
     return out.withColumns({"run_date": F.lit(run_date), "run_id": F.lit(run_id)})
 
 

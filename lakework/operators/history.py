@@ -12,38 +12,52 @@ from pyspark.sql import functions as F
 from lakework.operators.common import top1
 
 
-def assignment_history(assignments: DataFrame, *, floc: str = "floc", scope: str = "scope_id", ts: str = "effective_ts") -> DataFrame:
-    """Effective-dated package assignment per floc (gaps and islands).
-
-    Rows are first reduced to one per (floc, timestamp), keeping the scope of
-    the last row (partial aggregation before the shuffle); a floc then holds at
-    most one row per release, so the per-floc window stays small however hot
-    the floc (several rows at one timestamp keep the greatest scope).  An island is a run of consecutive releases with the same scope;
-    it starts at its first release and ends where the next island starts
-    (open-ended for the last).
+ASSIGNMENT = ("vendor", "floc", "scope_id")
+
+
+def assignment_history(releases: DataFrame, *, vendor: str = "vendor", floc: str = "floc", scope: str = "scope_id", ts: str = "effective_ts") -> DataFrame:
+    """Effective-dated assignments: one row per (vendor, floc, scope) and unbroken run of releases that list it.
+
+    A release is the full list of a vendor's assignments at a time.  An assignment takes effect with the first release that
+    lists it and ends with the next release of the same vendor that does not; the last release leaves it open.  A floc may be
+    listed in several packages at once: each is an assignment of its own (see ``assignment_conflicts``).
+
+    Rows are reduced to one per (assignment, release) before the shuffle, so the windows run over releases, not rows.
     """
-    per_release = assignments.groupBy(F.col(floc).alias("floc"), F.col(ts).alias("ts")).agg(
-        F.max(F.col(scope)).alias("scope_id")
-    )
-    w = Window.partitionBy("floc").orderBy("ts")
-    marked = per_release.withColumn(
-        "__new", F.when(F.lag("scope_id").over(w).eqNullSafe(F.col("scope_id")), F.lit(0)).otherwise(F.lit(1))
+    listed = releases.select(F.col(vendor).alias("vendor"), F.col(floc).alias("floc"), F.col(scope).alias("scope_id"), F.col(ts).alias("ts")).distinct()
+    # The releases of each vendor, numbered, each with the next one's time.
+    by_vendor = Window.partitionBy("vendor").orderBy("ts")
+    calendar = releases.select(F.col(vendor).alias("v"), F.col(ts).alias("t")).distinct()
+    calendar = calendar.withColumnsRenamed({"v": "vendor", "t": "ts"}).select("*", F.row_number().over(by_vendor).alias("no"), F.lead("ts").over(by_vendor).alias("next_ts"))
+    calendar = calendar.withColumnsRenamed({"vendor": "v", "ts": "t"})
+    rows = listed.join(calendar, F.col("vendor").eqNullSafe(F.col("v")) & F.col("ts").eqNullSafe(F.col("t"))).drop("v", "t")
+    # In an unbroken run, release numbers and row numbers grow alike.
+    run = F.col("no") - F.row_number().over(Window.partitionBy(*ASSIGNMENT).orderBy("no"))
+    spans = rows.withColumn("run", run).groupBy(*ASSIGNMENT, "run").agg(
+        F.min("ts").alias("effective_start_ts"), F.max_by("next_ts", "no").alias("effective_end_ts"), F.count(F.lit(1)).alias("release_count")
     )
-    islands = marked.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = islands.groupBy("floc", "__island").agg(
-        F.max("scope_id").alias("scope_id"),
-        F.min("ts").alias("effective_start_ts"),
-        F.count(F.lit(1)).alias("release_count"),
-    )
-    w2 = Window.partitionBy("floc").orderBy("effective_start_ts")
-    return spans.select(
-        "floc",
-        "scope_id",
-        "effective_start_ts",
-        F.lead("effective_start_ts").over(w2).alias("effective_end_ts"),
-        F.col("release_count").cast("bigint"),
-        F.lead("effective_start_ts").over(w2).isNull().alias("is_current"),
+    return spans.drop("run").withColumn("is_current", F.col("effective_end_ts").isNull())
+
+
+def assignment_conflicts(history: DataFrame) -> DataFrame:
+    """The times at which a floc is assigned more than once: floc, begin and end (null: open), how many, and which.
+
+    Starts and ends of a floc's intervals are its event points; a running sum over them gives the number of assignments
+    in effect until the next point.
+    """
+    held = history.select("floc", "vendor", "scope_id", "effective_start_ts", "effective_end_ts")
+    points = held.select("floc", F.col("effective_start_ts").alias("at"), F.lit(1).alias("d")).unionAll(
+        held.filter("effective_end_ts IS NOT NULL").select("floc", F.col("effective_end_ts").alias("at"), F.lit(-1).alias("d"))
     )
+    steps = points.groupBy("floc", "at").agg(F.sum("d").alias("d"))
+    order = Window.partitionBy("floc").orderBy("at")
+    spans = steps.select(
+        F.col("floc").alias("f"), F.col("at").alias("conflict_start_ts"), F.lead("at").over(order).alias("conflict_end_ts"), F.sum("d").over(order).alias("n_assignments")
+    ).filter("n_assignments > 1")
+    inside = (F.col("effective_start_ts") <= F.col("conflict_start_ts")) & (F.coalesce(F.col("effective_end_ts") > F.col("conflict_start_ts"), F.lit(True)))
+    name = F.concat_ws("/", F.coalesce("vendor", F.lit("")), F.coalesce("scope_id", F.lit("")))
+    found = spans.join(held, F.col("f").eqNullSafe(F.col("floc")) & inside)
+    return found.groupBy("floc", "conflict_start_ts", "conflict_end_ts", "n_assignments").agg(F.array_join(F.array_sort(F.collect_set(name)), ";").alias("assignments"))
 
 
 def eligibility_snapshot(line: DataFrame, *, snapshot_id: str, as_of_ts: str, rule_version: str) -> DataFrame:
@@ -72,26 +86,6 @@ def snapshot_summary(snap_line: DataFrame) -> DataFrame:
     )
 
 
-def newest_snapshot(registry: DataFrame) -> tuple[str, str, str]:
-    """(snapshot_id, as_of_ts, rule_version) of the newest registered snapshot.
-
-    The registry has one row per published snapshot; knowing the id before the
-    plan is built lets a reader filter the partition statically.
-    """
-    cols = ("snapshot_id", "as_of_ts", "rule_version")
-    return tuple(registry.select(*cols).orderBy(F.desc("as_of_ts"), F.desc("snapshot_id")).first())
-
-
-def latest_snapshot(snapshots: DataFrame) -> DataFrame:
-    """The rows of the newest snapshot (latest ``as_of_ts``, then snapshot id).
-
-    The choice is one global aggregate (a single row); the rows are then kept
-    by an equi-join on that one-row result, broadcast by the planner.
-    """
-    pick = snapshots.agg(F.max_by("snapshot_id", F.struct("as_of_ts", "snapshot_id")).alias("snapshot_id"))
-    return snapshots.join(pick, "snapshot_id", "left_semi")
-
-
 def invoice_flags(invoice_lines: DataFrame, keys=("vendor", "scope_floc_key")) -> DataFrame:
     """Invoiced / paid flags per key from the invoice line fact (any line counts)."""
     paid = F.coalesce(F.col("paid_flg").cast("boolean"), F.lit(False)) if "paid_flg" in invoice_lines.columns else F.lit(False)

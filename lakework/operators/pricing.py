@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakework.functions.clean import blank_to_null, clean, to_double, tower_voltage
 from lakework.functions.columns import collapse_name_spaces, find_col, q
-from lakework.operators.common import BROADCAST_MAX_ROWS, bounded_rows
+from lakework.operators.common import bounded_bytes
 
 # --- fixed values that must equal the reference's -------------------------
 # Accepted spellings per canonical rate-card column (case-insensitive).
@@ -125,24 +125,33 @@ def _rule_index(rules: DataFrame) -> DataFrame:
     )
 
 
-def attach_unit_price(rows: DataFrame, rules: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
+#: Copies of a rule index row, each for a part of the rows that ask for it.
+SPREAD = 32
+
+
+def attach_unit_price(rows: DataFrame, rules: DataFrame, broadcast_max_bytes: int | None = None, spread: int = SPREAD) -> DataFrame:
     """Price every row by the most specific matching rule.
 
     ``pricing_match_count`` counts matching rules with a price; status is
     NO_MATCH / MATCHED / MULTI_MATCH by that count.  The price is the first
     non-null one by specificity (object type + voltage, then object type, then
     generic), card order inside a level.  Vendor and bucket match null to null.
-    The rule index is one row per (vendor, bucket); Spark broadcasts it from
-    its size estimate or at run time (AQE).  ``broadcast_max_rows`` adds an
-    explicit hint behind a bounded row count.
+
+    Few vendors and buckets share all rows, so the join also runs over a part number: rows take theirs from a hash of
+    their own columns, and the rule index, one row per (vendor, bucket), is repeated for each of ``spread`` parts.  A
+    bucket that holds half of the rows is thus dealt over ``spread`` keys when the index is not broadcast.  Spark
+    broadcasts it by its size estimate or, at run time, by its measured size; ``broadcast_max_bytes`` adds a hint behind a
+    measured bound instead, and then nothing is repeated.
     """
     df = rows.withColumns({c: blank_to_null(c) for c in ("vendor", "billing_bucket", "object_type", "voltage")})
-    idx = _rule_index(rules)
-    if broadcast_max_rows is not None and bounded_rows(idx, broadcast_max_rows):
-        idx = F.broadcast(idx)
-    idx = idx.withColumnsRenamed({"vendor": "__r_vendor", "billing_bucket": "__r_bucket"})
+    idx = _rule_index(rules).withColumnsRenamed({"vendor": "__r_vendor", "billing_bucket": "__r_bucket"})
     cond = F.col("vendor").eqNullSafe(F.col("__r_vendor")) & F.col("billing_bucket").eqNullSafe(F.col("__r_bucket"))
-    j = df.join(idx, cond, "left")
+    if broadcast_max_bytes is not None and bounded_bytes(idx, broadcast_max_bytes):
+        j = df.join(F.broadcast(idx), cond, "left")
+    else:
+        df = df.withColumn("__part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(spread)).cast("int"))
+        idx = idx.withColumn("__r_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        j = df.join(idx, cond & (F.col("__part") == F.col("__r_part")), "left").drop("__part", "__r_part")
     volt_j = tower_voltage(F.col("object_type"), F.col("voltage"))
     by_obj = F.when(F.col("object_type").isNotNull(), F.element_at(F.col("by_obj"), F.col("object_type")))
     by_ov = F.when(

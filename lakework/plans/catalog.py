@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakework.functions import clean as C
+from lakework.functions import html as HT
 from lakework.operators import assignment as A
 from lakework.operators import delta as D
 from lakework.operators import dimension as M
@@ -26,40 +27,22 @@ from lakework.operators import quality as Q
 from lakework.functions import columns as COL
 from lakework.operators import pricing as P
 from lakework.operators.common import number_rows
+from lakework.plans.lake_queries import queries as lake_queries
+from lakework.plans.lake_queries import scratch
 from lakework.plans.roles import BASE_TABLES, MIN_IMAGES, ROLE_RENAMES, ROLE_SQL, ROLE_SQL_SPARK, RUNS, SOURCE_SYSTEM
 
 _TABLE_REF = re.compile(r"\bFROM\s+(\w+)\b")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition an input that has fewer partitions than the cluster has cores.
-
-    A file written as one row group is read by one task, and every projection
-    fused into the scan stage then runs on one core.  Inputs already split
-    into at least ``defaultParallelism`` partitions (any table at scale) are
-    returned unchanged, so this never adds a shuffle to a large read.
-    """
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # a session without RDD access (e.g. Spark Connect): leave the input as is
-        return df
-    return df.repartition(n) if parts < n else df
-
-
 def _view_name(sf_dir: str, table: str) -> str:
     return "lw_" + re.sub(r"\W", "_", sf_dir.rstrip("/").rsplit("/", 1)[-1]) + f"_{abs(hash(sf_dir)) % 10**8}_{table}"
 
 
 def _register(spark: SparkSession, sf_dir: str, table: str) -> str:
-    """A temp view per (data folder, table), resolved once per session.
-
-    The driver tables are single-row-group files, so a scan is one task; the
-    view spreads such an under-split input over the cores (see ``spread``).
-    """
+    """A temp view per (data folder, table), resolved once per session."""
     name = _view_name(sf_dir, table)
     if not spark.catalog.tableExists(name):
-        spread(spark.read.parquet(f"{sf_dir}/{table}.parquet")).createOrReplaceTempView(name)
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(name)
     return name
 
 
@@ -99,11 +82,16 @@ def helo_line(spark, sf) -> DataFrame:
 
 
 def _events(spark, sf, event_type: str) -> DataFrame:
-    raw = role(spark, sf, "events_removal_raw" if event_type == "removal" else "events_move_raw")
-    return A.events_line(
-        raw, event_type=event_type, asset_class="Distribution",
-        run_date=F.col("run_date"), run_id=F.col("run_id"), source_file_saved="events.xlsx",
-    )
+    """One sheet per asset class."""
+    out = None
+    for asset_class, short in (("Distribution", "dist"), ("Transmission", "trans")):
+        raw = role(spark, sf, f"events_{'removal' if event_type == 'removal' else 'move'}_{short}_raw")
+        part = A.events_line(
+            raw, event_type=event_type, asset_class=asset_class,
+            run_date=F.col("run_date"), run_id=F.col("run_id"), source_file_saved="events.xlsx",
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def removal_events(spark, sf) -> DataFrame:
@@ -115,19 +103,14 @@ def move_events(spark, sf) -> DataFrame:
 
 
 def events_history(spark, sf) -> DataFrame:
-    return removal_events(spark, sf).unionByName(move_events(spark, sf))
+    """Every event of every sheet and type, in one pass over the events."""
+    return A.event_lines(role(spark, sf, "events_raw"), run_date=F.col("run_date"), run_id=F.col("run_id"), source_file_saved="events.xlsx")
 
 
 def latest_event(spark, sf) -> DataFrame:
     return A.latest_events(events_history(spark, sf))
 
 
-def _drone(spark, sf, asset_class: str) -> DataFrame:
-    if asset_class == "Distribution":
-        return release_line_distribution(spark, sf)
-    return release_line_transmission(spark, sf)
-
-
 _DATASETS = {
     "Distribution": ("scope_release_distribution", "helo_scope_distribution"),
     "Transmission": ("scope_release_transmission", "helo_scope_transmission"),
@@ -136,49 +119,39 @@ _DATASETS = {
 
 def preferred_assignment(spark, sf) -> DataFrame:
     drone_ds, helo_ds = _DATASETS["Distribution"]
-    d = A.prepare_assignments(_drone(spark, sf, "Distribution"), method="DRONE", asset_class="Distribution", source_dataset=drone_ds)
+    d = A.prepare_assignments(release_line_distribution(spark, sf), method="DRONE", asset_class="Distribution", source_dataset=drone_ds)
     h = A.prepare_assignments(_helo(spark, sf, "Distribution"), method="HELO", asset_class="Distribution", source_dataset=helo_ds)
     return A.preferred_assignment(d.unionByName(h))
 
 
-def current_assignment_for(spark, sf, asset_class: str, latest: DataFrame | None = None) -> DataFrame:
-    drone_ds, helo_ds = _DATASETS[asset_class]
-    gd, gid = RUNS["gold"]
-    latest = latest if latest is not None else latest_event(spark, sf)
-    return A.current_assignment(
-        _drone(spark, sf, asset_class), _helo(spark, sf, asset_class), latest,
-        asset_class=asset_class, drone_dataset=drone_ds, helo_dataset=helo_ds, gold_run_date=gd, gold_run_id=gid,
-    )
+_FILES = {"Distribution": "release_dist", "Transmission": "release_trans"}
 
 
-def scope_assignment_current(spark, sf) -> DataFrame:
-    latest = latest_event(spark, sf)
-    return current_assignment_for(spark, sf, "Distribution", latest).unionByName(
-        current_assignment_for(spark, sf, "Transmission", latest)
-    )
+def assignment_lines(spark, sf) -> DataFrame:
+    """Release and HELO lines of both asset classes, in one pass over the sheets."""
+    sources = {}
+    for asset_class, (drone_ds, helo_ds) in _DATASETS.items():
+        sources[asset_class, "DRONE"] = A.Source(*RUNS[_FILES[asset_class]], f"{_FILES[asset_class]}.xlsx", drone_ds)
+        sources[asset_class, "HELO"] = A.Source(*RUNS["helo"], "helo_tracker.xlsx", helo_ds)
+    return A.assignment_lines(role(spark, sf, "assignment_sheets_raw"), sources)
 
 
-# --- evidence -----------------------------------------------------------------
+def scope_assignment_current(spark, sf) -> DataFrame:
+    gd, gid = RUNS["gold"]
+    return A.current_assignments(assignment_lines(spark, sf), latest_event(spark, sf), gold_run_date=gd, gold_run_id=gid)
 
 
-def _deliveries_line(spark, sf, asset_class: str) -> DataFrame:
-    rd, rid = RUNS["deliveries"]
-    raw = role(spark, sf, "deliveries_raw").filter(F.col("asset_class") == asset_class)
-    return V.deliveries_line(raw, asset_class=asset_class, run_date=rd, run_id=rid, source_system="GCP", source_file_saved="deliveries.csv")
+# --- evidence -----------------------------------------------------------------
 
 
 def deliveries_line(spark, sf) -> DataFrame:
-    return _deliveries_line(spark, sf, "distribution").unionByName(_deliveries_line(spark, sf, "transmission"))
-
-
-def _deliveries_agg(spark, sf, asset_class: str) -> DataFrame:
-    return V.deliveries_agg(_deliveries_line(spark, sf, asset_class), min_images=MIN_IMAGES)
+    rd, rid = RUNS["deliveries"]
+    raw = role(spark, sf, "deliveries_raw")
+    return V.deliveries_line(raw, run_date=rd, run_id=rid, source_system="GCP", source_file_saved="deliveries.csv")
 
 
 def deliveries_agg(spark, sf) -> DataFrame:
-    return _deliveries_agg(spark, sf, "distribution").withColumn("asset_class", F.lit("distribution")).unionByName(
-        _deliveries_agg(spark, sf, "transmission").withColumn("asset_class", F.lit("transmission"))
-    )
+    return V.deliveries_agg(deliveries_line(spark, sf), min_images=MIN_IMAGES, by_class=True)
 
 
 def survey_line(spark, sf) -> DataFrame:
@@ -200,18 +173,28 @@ def survey_rollup(spark, sf) -> DataFrame:
 
 
 def scope_master_union(spark, sf) -> DataFrame:
+    """The three official lists, in one pass over the table that they are views of."""
     rd, rid = RUNS["scope_master"]
     lists = [
-        ("scope_list_dist_raw", "distribution", "DIST_LIST"),
-        ("scope_list_trans_raw", "transmission", "TRANS_LIST"),
-        ("scope_list_comp_raw", "distribution", "COMP_LIST"),
-    ]
-    lines = [
-        M.scope_list_line(role(spark, sf, name), asset_class=ac, scope_list=sl, run_date=rd, run_id=rid,
-                          source_system="SCOPE_MASTER", source_file_saved=f"{sl.lower()}.xlsx", position=F.col("src_pos"))
-        for name, ac, sl in lists
-    ]
-    return M.scope_master_union(lines)
+        (has, {
+            "floc": F.col(floc), "object_type": F.col(obj), "voltage": F.col(volt) if volt else F.lit(None).cast("string"),
+            "asset_class": F.lit(ac), "scope_list": F.lit(sl), "source_file_saved": F.lit(f"{sl.lower()}.xlsx"), "position": F.col("src_pos"),
+        })
+        for has, floc, obj, volt, ac, sl in (
+            (F.lit(True), "FLOC", "Eq_OjType", "Voltage", "distribution", "DIST_LIST"),
+            (F.col("in_trans"), "FLOC_ID", "EqType", "kV", "transmission", "TRANS_LIST"),
+            (F.col("in_comp"), "FLOC_ID", "Eq_ObjType", None, "distribution", "COMP_LIST"),
+        )
+    ]
+    return M.scope_lists(role(spark, sf, "scope_lists_raw"), lists, run_date=rd, run_id=rid, source_system="SCOPE_MASTER")
+
+
+def scope_list_line(spark, sf) -> DataFrame:
+    """One list as a sheet of its own, with its column spellings."""
+    rd, rid = RUNS["scope_master"]
+    raw = role(spark, sf, "scope_list_trans_raw")
+    return M.scope_list_line(raw, asset_class="transmission", scope_list="TRANS_LIST", run_date=rd, run_id=rid,
+                             source_system="SCOPE_MASTER", source_file_saved="trans_list.xlsx", position=F.col("src_pos"))
 
 
 def scope_master_public(spark, sf) -> DataFrame:
@@ -248,20 +231,10 @@ def pricing_status_counts(spark, sf) -> DataFrame:
 
 def _eligibility(spark, sf, rule_version: str) -> DataFrame:
     rd, rid = RUNS["eligibility"]
-    latest = latest_event(spark, sf)
-    dim = floc_dim_ranked(spark, sf)
-    dist = current_assignment_for(spark, sf, "Distribution", latest)
-    trans = current_assignment_for(spark, sf, "Transmission", latest)
-    survey = V.standardize_survey_floc(survey_rollup(spark, sf))
-    d = E.distribution_eligibility(
-        dist, _deliveries_agg(spark, sf, "distribution"), survey, floc_dim=dim,
-        min_images=MIN_IMAGES, run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM, rule_version=rule_version,
-    )
-    t = E.transmission_eligibility(
-        trans, _deliveries_agg(spark, sf, "transmission"), floc_dim=dim,
-        min_images=MIN_IMAGES, run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM, rule_version=rule_version,
+    return E.eligibility_lines(
+        scope_assignment_current(spark, sf), deliveries_agg(spark, sf), V.standardize_survey_floc(survey_rollup(spark, sf)),
+        floc_dim=floc_dim_ranked(spark, sf), min_images=MIN_IMAGES, run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM, rule_version=rule_version,
     )
-    return d.unionByName(t, allowMissingColumns=True)
 
 
 def invoice_eligibility_line(spark, sf) -> DataFrame:
@@ -279,21 +252,16 @@ def eligibility_scope_summary(spark, sf) -> DataFrame:
 
 def unmatched_deliveries(spark, sf) -> DataFrame:
     rd, rid = RUNS["eligibility"]
-    latest = latest_event(spark, sf)
-    out = None
-    for ac, ac_low in (("Distribution", "distribution"), ("Transmission", "transmission")):
-        part = E.unmatched_deliveries(
-            current_assignment_for(spark, sf, ac, latest), _deliveries_agg(spark, sf, ac_low),
-            asset_class=ac_low, run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM,
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    return E.unmatched_deliveries(
+        scope_assignment_current(spark, sf), deliveries_agg(spark, sf), run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM
+    )
 
 
 def unmatched_surveys(spark, sf) -> DataFrame:
     rd, rid = RUNS["eligibility"]
     return E.unmatched_surveys(
-        current_assignment_for(spark, sf, "Distribution"), V.standardize_survey_floc(survey_rollup(spark, sf)),
+        scope_assignment_current(spark, sf).filter(F.col("asset_class") == "Distribution"),
+        V.standardize_survey_floc(survey_rollup(spark, sf)),
         run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM,
     )
 
@@ -337,18 +305,24 @@ def row_signature(spark, sf) -> DataFrame:
 
 
 def html_fields(spark, sf) -> DataFrame:
-    pages = spark.table(_register(spark, sf, "pages"))
-    lines = I.plain_lines(F.col("html"))
+    pages = role(spark, sf, "html_pages").select("page_id", "url", HT.tokens(F.col("html")).alias("tokens"))
+    pages = pages.select("*", HT.lines(F.col("tokens")).alias("lines"))
     return pages.select(
         "page_id",
         "url",
-        I.tag_text(F.col("html"), "title").alias("title"),
-        I.tag_text(F.col("html"), "h1").alias("h1"),
-        F.size(lines).alias("n_lines"),
-        F.get(lines, 0).alias("first_line"),
+        HT.element_text(F.col("tokens"), "title").alias("title"),
+        HT.element_text(F.col("tokens"), "h1").alias("h1"),
+        F.size("lines").alias("n_lines"),
+        F.get("lines", F.lit(0)).alias("first_line"),
     )
 
 
+def html_lines(spark, sf) -> DataFrame:
+    """Every text line of every page."""
+    pages = role(spark, sf, "html_pages")
+    return pages.select("page_id", F.posexplode(HT.lines(HT.tokens(F.col("html")))).alias("line_no", "line"))
+
+
 def _cells(spark, sf) -> DataFrame:
     return role(spark, sf, "invoice_cells")
 
@@ -382,8 +356,7 @@ def grid_header_kv_v2(spark, sf) -> DataFrame:
 
 
 def grid_lines(spark, sf) -> DataFrame:
-    cells = _cells(spark, sf)
-    return I.line_table(cells, I.header_row_v1(cells), I.LINE_COLS_V1)
+    return I.line_table_v1(_cells(spark, sf))
 
 
 def invoice_header(spark, sf) -> DataFrame:
@@ -397,14 +370,11 @@ def invoice_header(spark, sf) -> DataFrame:
 
 def invoice_lines_v1(spark, sf) -> DataFrame:
     rd, rid = RUNS["invoices"]
-    cells = _cells(spark, sf)
-    table = I.line_table(cells, I.header_row_v1(cells), I.LINE_COLS_V1)
-    return I.invoice_lines_v1(table, invoice_header(spark, sf), run_date=rd, run_id=rid, source_system="ARIBA_EMAIL_EXPORT")
+    return I.invoice_lines_v1(I.line_table_v1(_cells(spark, sf)), invoice_header(spark, sf), run_date=rd, run_id=rid, source_system="ARIBA_EMAIL_EXPORT")
 
 
 def _canonical_v2(spark, sf) -> DataFrame:
-    cells = _cells(spark, sf)
-    return I.canonical_lines_v2(I.line_table(cells, I.header_row_v2(cells), I.LINE_COLS_V1))
+    return I.canonical_lines_v2(I.line_table_v2(_cells(spark, sf)))
 
 
 def file_manifest_status(spark, sf) -> DataFrame:
@@ -470,7 +440,7 @@ def vendor_row_counts(spark, sf) -> DataFrame:
 # --- ledgers and accumulating tables ---------------------------------------------
 
 
-def invoice_upsert_current(spark, sf) -> DataFrame:
+def keep_last_per_message(spark, sf) -> DataFrame:
     cur, new = role(spark, sf, "invoice_load_1"), role(spark, sf, "invoice_load_2")
     return L.keep_last(cur, new, ["message_id"], order="load_seq")
 
@@ -525,23 +495,55 @@ def profile(spark, sf) -> DataFrame:
 SNAPSHOTS = (("snap-2026-02-01", "2026-02-01 06:00:00", "v1"), ("snap-2026-02-02", "2026-02-02 06:00:00", "v2"))
 
 
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
+
+def _published(spark, sf) -> str:
+    """A lake with both snapshots published, once in a Spark application for each data folder."""
+    from lakework.sources import snapshots as SN
+
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PUBLISHED:
+        root = scratch(spark, "snapshots")
+        lines = {"v1": eligibility_v1, "v2": invoice_eligibility_line}
+        for sid, ts, rv in SNAPSHOTS:
+            SN.publish(lines[rv](spark, sf), root, snapshot_id=sid, as_of_ts=ts, rule_version=rv)
+        _PUBLISHED[key] = root
+    return _PUBLISHED[key]
+
+
 def eligibility_snapshot(spark, sf) -> DataFrame:
-    sid, ts, rv = SNAPSHOTS[1]
-    return H.eligibility_snapshot(invoice_eligibility_line(spark, sf), snapshot_id=sid, as_of_ts=ts, rule_version=rv)
+    from lakework.sources import snapshots as SN
+
+    return SN.read(spark, _published(spark, sf))
+
+
+def snapshot_as_of(spark, sf) -> DataFrame:
+    """What was approved as of the first snapshot, after the second was published."""
+    from lakework.sources import snapshots as SN
+
+    return SN.read(spark, _published(spark, sf), as_of_ts="2026-02-01 23:59:59")
+
+
+def snapshot_registry(spark, sf) -> DataFrame:
+    from lakework.sources import snapshots as SN
+
+    return SN.registry(spark, _published(spark, sf))
 
 
 def snapshot_summary(spark, sf) -> DataFrame:
-    return H.snapshot_summary(eligibility_snapshot(spark, sf))
+    from lakework.sources import snapshots as SN
+
+    return SN.read(spark, _published(spark, sf), dataset=SN.SUMMARY)
+
+
+def invoice_flags(spark, sf) -> DataFrame:
+    return H.invoice_flags(role(spark, sf, "invoice_line_fact"))
 
 
 def ledger_current(spark, sf) -> DataFrame:
-    """The newest published snapshot with its invoice flags: chosen from the small registry, so no other snapshot is read."""
-    registry = spark.createDataFrame(list(SNAPSHOTS), "snapshot_id string, as_of_ts string, rule_version string")
-    sid, ts, rv = H.newest_snapshot(registry)
-    line = invoice_eligibility_line(spark, sf) if rv == "v2" else eligibility_v1(spark, sf)
-    latest = H.eligibility_snapshot(line, snapshot_id=sid, as_of_ts=ts, rule_version=rv)
-    flags = H.invoice_flags(role(spark, sf, "invoice_line_fact"))
-    return H.ledger_with_flags(latest, flags)
+    """The newest published snapshot, read from storage, with its invoice flags."""
+    return H.ledger_with_flags(eligibility_snapshot(spark, sf), invoice_flags(spark, sf))
 
 
 def approved_to_invoice(spark, sf) -> DataFrame:
@@ -560,6 +562,22 @@ def assignment_history(spark, sf) -> DataFrame:
     return H.assignment_history(role(spark, sf, "release_history"))
 
 
+def assignment_conflicts(spark, sf) -> DataFrame:
+    return H.assignment_conflicts(assignment_history(spark, sf))
+
+
+def vendor_export(spark, sf) -> DataFrame:
+    """The approved items as vendor files, exported twice by one run: HISTORY as its readers find it."""
+    from lakework.sources import publish as PB
+
+    root = scratch(spark, "export")
+    approved = approved_to_invoice(spark, sf).select("vendor", "scope_floc_key", "snapshot_id", "invoice_count")
+    for _ in range(2):
+        history, _current = PB.vendor_export(approved, root, "approved_to_invoice", run_date="2026-02-02", run_id="exp-0001")
+    columns = "scope_floc_key string, snapshot_id string, invoice_count string, vendor string, run_date string, run_id string"
+    return spark.read.option("header", True).schema(columns).csv(history)
+
+
 def certified_invoice_versions(spark, sf) -> DataFrame:
     return H.certified_versions(role(spark, sf, "invoice_versions"))
 
@@ -577,19 +595,11 @@ def certified_invoice_lines(spark, sf) -> DataFrame:
 # names in spark.checkpoint.dir, then read the result back.
 
 
-def _scratch(spark, name: str) -> str:
-    import uuid
-
-    from lakework.session import checkpoint_dir
-
-    return f"{checkpoint_dir(spark).rstrip('/')}/lakework-roundtrip/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def publish_roundtrip_current(spark, sf) -> DataFrame:
     from lakework.sources import publish as PB
     from lakework.sources import readers as RD
 
-    root = _scratch(spark, "current")
+    root = scratch(spark, "current")
     line = release_line_distribution(spark, sf)
     PB.publish_vendor_partitioned(line.drop("run_date", "run_id"), root, "silver", "scope_release_distribution_line",
                                   run_date=RUNS["release_dist"][0], run_id=RUNS["release_dist"][1])
@@ -601,7 +611,7 @@ def publish_roundtrip_history(spark, sf) -> DataFrame:
     from lakework.sources import publish as PB
     from lakework.sources import readers as RD
 
-    root = _scratch(spark, "history")
+    root = scratch(spark, "history")
     line = release_line_distribution(spark, sf).drop("run_date", "run_id")
     for rd, rid in (("2026-01-10", "r1"), ("2026-01-12", "r2"), ("2026-01-15", "r3")):
         PB.publish_history(line, root, "silver", "release_line", run_date=rd, run_id=rid, partitions=["vendor"])
@@ -614,20 +624,19 @@ def previous_run_rows(spark, sf) -> DataFrame:
     from lakework.sources import publish as PB
     from lakework.sources import readers as RD
 
-    root = _scratch(spark, "previous")
+    root = scratch(spark, "previous")
     line = release_line_distribution(spark, sf).drop("run_date", "run_id")
     for rd, rid in (("2026-01-10", "r1"), ("2026-01-12", "r2"), ("2026-01-15", "r3")):
         PB.publish_history(line.withColumn("source_sheet", F.lit(rid)), root, "silver", "release_line", run_date=rd, run_id=rid, partitions=["vendor"])
-    schema = line.schema.add("run_date", "string").add("run_id", "string")
-    hist = RD.read_history(spark, root, "silver", "release_line", schema=schema)
-    return RD.previous_run(hist, "r3")
+    path = RD.dataset_path(root, "silver", "release_line", "HISTORY")
+    return RD.read_previous_run(spark, path, line.schema, "r3", by_vendor=True)
 
 
 def dynamic_overwrite(spark, sf) -> DataFrame:
     from lakework.sources import publish as PB
     from lakework.sources import readers as RD
 
-    root = _scratch(spark, "dynamic")
+    root = scratch(spark, "dynamic")
     line = release_line_distribution(spark, sf)
     PB.publish_current(line, root, "silver", "release_line", partitions=["vendor"])
     v0 = line.filter(F.col("vendor") == "V0").withColumn("source_sheet", F.lit("Distribution-v2"))
@@ -638,7 +647,7 @@ def dynamic_overwrite(spark, sf) -> DataFrame:
 def csv_strings_roundtrip(spark, sf) -> DataFrame:
     from lakework.sources import readers as RD
 
-    path = _scratch(spark, "csv") + "/nation_csv"
+    path = scratch(spark, "csv") + "/nation_csv"
     nation = spark.table(_register(spark, sf, "nation"))
     out = nation.select(
         "n_nationkey",
@@ -652,21 +661,33 @@ def csv_strings_roundtrip(spark, sf) -> DataFrame:
 def csv_sniffed(spark, sf) -> DataFrame:
     from lakework.sources import readers as RD
 
-    path = _scratch(spark, "csvsemi") + "/nation_semi"
+    path = scratch(spark, "csvsemi") + "/nation_semi"
     nation = spark.table(_register(spark, sf, "nation"))
     nation.select(F.col("n_nationkey").alias("n_nationkey;"), F.col("n_name").alias("n_name;"), F.col("n_regionkey").alias("n_regionkey;")) \
         .write.option("header", True).option("sep", ";").csv(path)
     return RD.read_csv_sniffed(spark, path)
 
 
+def csv_mixed_dialects(spark, sf) -> DataFrame:
+    """A folder of files with different separators and columns, and fields with separators, quotes and line breaks."""
+    from lakework.sources import readers as RD
+
+    path = scratch(spark, "csvmixed") + "/drop"
+    nation = spark.table(_register(spark, sf, "nation")).withColumn("note", F.concat(F.lit('a "q",; '), "n_name", F.lit("\n  second line")))
+    for sep, has, columns in ((",", "n_regionkey < 2", ["n_nationkey", "n_name", "note"]), (";", "n_regionkey >= 2", ["n_name", "n_nationkey", "note", "n_regionkey"])):
+        w = nation.filter(has).select(*columns).coalesce(1).write.mode("append").option("header", True).option("sep", sep).option("escape", '"')
+        w.csv(path)
+    return RD.read_csv_sniffed(spark, path)
+
+
 def events_stream_latest(spark, sf) -> DataFrame:
     from lakework.streaming.drops import upsert_stream
 
-    root = _scratch(spark, "stream")
+    root = scratch(spark, "stream")
     schema = spark.table(_register(spark, sf, "events")).schema
     q = upsert_stream(
         spark, sf, schema, root=root, layer="silver", dataset="events_latest", keys=["user_id"],
-        checkpoint=root + "/_checkpoint", order_col="ts", options={"pathGlobFilter": "events.parquet"},
+        checkpoint=root + "/_checkpoint", order_col="ts", options={"pathGlobFilter": "events.parquet"}, buckets=64,
     )
     q.awaitTermination()
     from lakework.sources import readers as RD
@@ -684,6 +705,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "release_line_distribution": release_line_distribution,
     "release_line_transmission": release_line_transmission,
     "helo_line": helo_line,
+    "assignment_lines": assignment_lines,
+    "events_history": events_history,
     "removal_events": removal_events,
     "move_events": move_events,
     "deliveries_line": deliveries_line,
@@ -692,6 +715,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "survey_rollup": survey_rollup,
     "unmatched_deliveries": unmatched_deliveries,
     "unmatched_surveys": unmatched_surveys,
+    "scope_list_line": scope_list_line,
     "scope_master_union": scope_master_public,
     "floc_attributes_dim": floc_attributes_dim,
     "floc_dim_ranked": floc_dim_ranked,
@@ -704,6 +728,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_delta_transmission": snapshot_delta_transmission,
     "canonical_keys": canonical_keys,
     "html_fields": html_fields,
+    "html_lines": html_lines,
     "invoice_email_fields": invoice_email_fields,
     "grid_header_row": grid_header_row,
     "grid_header_row_v2": grid_header_row_v2,
@@ -721,7 +746,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vendor_domain": vendor_domain,
     "null_rates": null_rates,
     "vendor_row_counts": vendor_row_counts,
-    "invoice_upsert_current": invoice_upsert_current,
+    "keep_last_per_message": keep_last_per_message,
     "ledger_upsert": ledger_upsert,
     "not_yet_loaded": not_yet_loaded,
     "run_latest_state": run_latest_state,
@@ -730,11 +755,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile": profile,
     "eligibility_snapshot": eligibility_snapshot,
     "snapshot_summary": snapshot_summary,
+    "snapshot_registry": snapshot_registry,
+    "snapshot_as_of": snapshot_as_of,
+    "invoice_flags": invoice_flags,
     "ledger_current": ledger_current,
     "approved_to_invoice": approved_to_invoice,
     "blocked_items": blocked_items,
     "invoiced_paid": invoiced_paid,
+    "vendor_export": vendor_export,
     "assignment_history": assignment_history,
+    "assignment_conflicts": assignment_conflicts,
     "certified_invoice_versions": certified_invoice_versions,
     "certified_invoice_current": certified_invoice_current,
     "certified_invoice_lines": certified_invoice_lines,
@@ -744,5 +774,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dynamic_overwrite": dynamic_overwrite,
     "csv_strings_roundtrip": csv_strings_roundtrip,
     "csv_sniffed": csv_sniffed,
+    "csv_mixed_dialects": csv_mixed_dialects,
     "events_stream_latest": events_stream_latest,
 }
+QUERIES |= lake_queries(role, lambda spark, sf, table: spark.table(_register(spark, sf, table)), QUERIES)

@@ -21,6 +21,7 @@ from lakework.operators import eligibility as E
 from lakework.operators import evidence as V
 from lakework.operators import invoices as I
 from lakework.operators import pricing as P
+from lakework.operators import quality as Q
 from lakework.operators.common import number_rows
 from lakework.sources import publish as PB
 from lakework.sources import readers as RD
@@ -59,12 +60,14 @@ def release_intake(
     ds = RELEASE[asset_class]
     bronze = _strings(raw).withColumn("vendor", F.lit(vendor))
     PB.publish_history(bronze, root, "bronze", ds, run_date=run.run_date, run_id=run.run_id, partitions=["vendor"])
-    hist = RD.read_history(spark, root, "bronze", ds, vendors=[vendor])
+    history = RD.dataset_path(root, "bronze", ds, "HISTORY")
+    own = dict(by_vendor=True, vendor=vendor)
     keyed = D.keyed_distribution if asset_class == "Distribution" else D.keyed_transmission
-    cur_raw = hist.filter(F.col("run_id") == run.run_id).drop("vendor", "run_date", "run_id")
-    prev_raw = RD.previous_run(hist, run.run_id).drop("vendor", "run_date", "run_id")
-    delta = D.key_delta(keyed(prev_raw), keyed(cur_raw), check_unique=not prev_raw.isEmpty())
-    if prev_raw.isEmpty():  # no previous snapshot: the delta is skipped, as in the reference
+    cur_raw = RD.read_run(spark, history, bronze.schema, run_date=run.run_date, run_id=run.run_id, **own).drop("vendor", "run_date", "run_id")
+    prev_raw = RD.read_previous_run(spark, history, bronze.schema, run.run_id, **own).drop("vendor", "run_date", "run_id")
+    first = prev_raw.isEmpty()
+    delta = D.key_delta(keyed(prev_raw), keyed(cur_raw), check_unique=not first)
+    if first:  # no previous snapshot: the delta is skipped, as in the reference
         delta = spark.createDataFrame([], delta.schema)
     else:
         PB.publish_delta(delta, root, ds, vendor=vendor, run_date=run.run_date, run_id=run.run_id)
@@ -79,10 +82,11 @@ def release_intake(
     )
     PB.publish_history(observed.drop("run_date", "run_id"), root, "silver", f"{ds}_line", run_date=run.run_date, run_id=run.run_id,
                        partitions=["vendor"])
-    PB.publish_current(line, root, "silver", f"{ds}_line", partitions=["vendor"])
+    written = RD.read_run(spark, RD.dataset_path(root, "silver", f"{ds}_line", "HISTORY"), line.schema, run_date=run.run_date, run_id=run.run_id, **own)
+    PB.publish_current(written, root, "silver", f"{ds}_line", partitions=["vendor"], run_id=run.run_id)
     if metrics is not None:
         metrics.update(obs.get)
-    header = PB.load_header(raw, line, dataset=ds, run_date=run.run_date, run_id=run.run_id, vendor=vendor)
+    header = PB.load_header(cur_raw, written, dataset=ds, run_date=run.run_date, run_id=run.run_id, vendor=vendor)
     PB.publish_history(header.drop("run_date", "run_id", "vendor").withColumn("vendor", F.lit(vendor)), root, "silver", f"{ds}_header",
                        run_date=run.run_date, run_id=run.run_id, partitions=["vendor"])
     return delta
@@ -97,6 +101,34 @@ def events_intake(raw: DataFrame, *, root: str, vendor: str, event_type: str, as
     return ev
 
 
+SHEETS = ("Distribution", "Transmission")
+
+
+def events_workbook_intake(
+    workbook: dict[str, DataFrame], *, root: str, vendor: str, event_type: str, run: Run, source_file: str = "", metrics: dict | None = None
+) -> DataFrame:
+    """J2 over a workbook (sheet name → rows): every sheet that is there, checked against its contract (Q2).
+
+    S9: a missing sheet is skipped and noted in ``metrics``; a workbook without any is an error.
+    """
+    lines = None
+    for sheet in SHEETS:
+        if sheet not in workbook:
+            if metrics is not None:
+                metrics[f"{sheet}__skipped"] = "missing sheet"
+            continue
+        Q.require_contract(workbook[sheet], Q.contracts_for(event_type)[sheet])
+        part = A.events_line(workbook[sheet], event_type=event_type, asset_class=sheet, run_date=run.run_date, run_id=run.run_id,
+                             source_file_saved=source_file, vendor=vendor)
+        lines = part if lines is None else lines.unionByName(part)
+    if lines is None:
+        raise ValueError(f"the workbook has none of the sheets {SHEETS}")
+    PB.publish_history(lines.drop("run_date", "run_id"), root, "silver", EVENTS, run_date=run.run_date, run_id=run.run_id,
+                       partitions=["vendor", "event_type"])
+    path = RD.dataset_path(root, "silver", EVENTS, "HISTORY")
+    return RD.read_run(lines.sparkSession, path, lines.schema, run_date=run.run_date, run_id=run.run_id, by_vendor=True, vendor=vendor)
+
+
 def helo_intake(raw: DataFrame, *, root: str, vendor: str, asset_class: str, run: Run, source_file: str = "") -> DataFrame:
     """HELO assignment line, vendor-partitioned HISTORY and CURRENT."""
     line = A.helo_line(raw, run_date=run.run_date, run_id=run.run_id, source_file_saved=source_file, source_sheet=asset_class, vendor=vendor)
@@ -192,18 +224,20 @@ def eligibility_job(
         F.count_if(F.col("voltage").isNull()).alias("voltage_nulls"),
     )
     lin = dict(run_date=run.run_date, run_id=run.run_id, source_system=source_system)
+    publish = lambda name, df: PB.publish_whole_table(df.drop("run_date", "run_id"), root, "gold", name, run_date=run.run_date, run_id=run.run_id)
+    publish("invoice_eligibility_line", line)
+    if metrics is not None:
+        metrics.update(obs.get)
     out = {
-        "invoice_eligibility_line": line,
-        "eligibility_scope_summary": E.scope_summary(line, **lin),
+        # The summary reads the lines that were just published.
+        "eligibility_scope_summary": E.scope_summary(RD.read_current(spark, root, "gold", "invoice_eligibility_line"), **lin),
         "unmatched_gcp_distribution": E.unmatched_deliveries(cur["Distribution"], dagg["distribution"], asset_class="distribution", **lin),
         "unmatched_gcp_transmission": E.unmatched_deliveries(cur["Transmission"], dagg["transmission"], asset_class="transmission", **lin),
         "unmatched_azure_distribution": E.unmatched_surveys(cur["Distribution"], survey, **lin),
     }
     for name, df in out.items():
-        PB.publish_whole_table(df.drop("run_date", "run_id"), root, "gold", name, run_date=run.run_date, run_id=run.run_id)
-    if metrics is not None:
-        metrics.update(obs.get)
-    return {name: RD.read_current(spark, root, "gold", name) for name in out}
+        publish(name, df)
+    return {name: RD.read_current(spark, root, "gold", name) for name in ("invoice_eligibility_line", *out)}
 
 
 def pricing_job(spark: SparkSession, rows: DataFrame, *, root: str) -> DataFrame:
@@ -216,7 +250,7 @@ def invoice_intake_v2(cells: DataFrame, attachment_files: DataFrame, email_files
     """Manifest (with whole-file validation), header and lines of the valid invoices."""
     att = I.attachment_manifest(attachment_files)
     em = I.email_index(email_files)
-    canon = number_rows(I.canonical_lines_v2(I.line_table(cells, I.header_row_v2(cells), I.LINE_COLS_V1)), ["message_id"], "row_idx")
+    canon = number_rows(I.canonical_lines_v2(I.line_table_v2(cells)), ["message_id"], "row_idx")
     manifest = I.file_manifest_v2(att, em.drop("html"), canon, run_date=run.run_date, run_id=run.run_id, source_system=source_system)
     ok = manifest.filter(F.col("status") == "PARSED_OK").select("message_id")
     meta = I.email_fields(em, "v2")
@@ -225,10 +259,10 @@ def invoice_intake_v2(cells: DataFrame, attachment_files: DataFrame, email_files
               .join(meta, "message_id", "left").join(kv, "message_id", "left"))
     lines = canon.join(ok, "message_id", "left_semi").join(meta.select("message_id", "supplier", "supplier_invoice_number"), "message_id", "left")
     out = {"vendor_invoices_file_manifest": manifest, "vendor_invoice_header": header, "vendor_invoice_line": lines}
+    layers = {name: "bronze" if name.endswith("manifest") else "silver" for name in out}
     for name, df in out.items():
-        layer = "bronze" if name.endswith("manifest") else "silver"
-        PB.publish_whole_table(df.drop("run_date", "run_id"), root, layer, name, run_date=run.run_date, run_id=run.run_id)
-    return out
+        PB.publish_whole_table(df.drop("run_date", "run_id"), root, layers[name], name, run_date=run.run_date, run_id=run.run_id)
+    return {name: RD.read_current(cells.sparkSession, root, layers[name], name) for name in out}
 
 
 def invoice_intake_v1(spark: SparkSession, cells: DataFrame, attachment_files: DataFrame, email_files: DataFrame, *, root: str, run: Run,
@@ -246,13 +280,14 @@ def invoice_intake_v1(spark: SparkSession, cells: DataFrame, attachment_files: D
     ok = att.join(em.select("message_id"), "message_id", "left_semi").join(hdr_rows.select("message_id"), "message_id", "left_semi")
     header = I.invoice_header_v1(I.header_kv_v1(cells), I.email_fields(em, "v1"), ok, em, run_date=run.run_date, run_id=run.run_id,
                                  source_system=source_system)
-    lines = I.invoice_lines_v1(I.line_table(cells, hdr_rows, I.LINE_COLS_V1), header, run_date=run.run_date, run_id=run.run_id,
+    lines = I.invoice_lines_v1(I.line_table_v1(cells), header, run_date=run.run_date, run_id=run.run_id,
                                source_system=source_system)
     manifest = I.file_manifest_v1(att, em.drop("html"), hdr_rows, lines)
     out = {"vendor_invoice_file_status": manifest}
     for name, df, keys in (("vendor_invoice_header_v1", header, ["message_id"]), ("vendor_invoice_line_v1", lines, ["message_id", "line_number"])):
-        PB.publish_history(df.drop("run_date", "run_id"), root, "silver", name, run_date=run.run_date, run_id=run.run_id)
-        out[name] = PB.publish_accumulating(spark, df.withColumn("__load_seq", F.lit(load_seq).cast("bigint")), root, "silver", name, keys,
+        history = PB.publish_history(df.drop("run_date", "run_id"), root, "silver", name, run_date=run.run_date, run_id=run.run_id)
+        written = RD.read_run(spark, history, df.schema, run_date=run.run_date, run_id=run.run_id)
+        out[name] = PB.publish_accumulating(spark, written.withColumn("__load_seq", F.lit(load_seq).cast("bigint")), root, "silver", name, keys,
                                             run_id=run.run_id)
     PB.publish_history(manifest, root, "bronze", "vendor_invoice_file_status", run_date=run.run_date, run_id=run.run_id)
     return out

@@ -8,6 +8,8 @@ driver's pre-registered views.
 
 from __future__ import annotations
 
+import re
+
 from lakework.plans.roles import MIN_IMAGES, ROLE_SQL, RUNS, SOURCE_SYSTEM
 
 
@@ -20,6 +22,11 @@ def _ts(x: str) -> str:
     return f"coalesce(try_strptime({x}, '%Y-%m-%d %H:%M:%S'), try_strptime({x}, '%Y-%m-%d'))"
 
 
+def _survey_ts(x: str) -> str:
+    """The survey export's own format, or ISO."""
+    return f"coalesce(try_strptime({x}, '%m/%d/%Y %I:%M:%S%p'), {_ts(x)})"
+
+
 def _lit_nulls(x: str) -> str:
     return f"CASE WHEN trim({x}) IN ('', 'nan', 'NaT') THEN NULL ELSE trim({x}) END"
 
@@ -67,25 +74,32 @@ for _name, _raw, _sheet in (("helo_d", "helo_dist_raw", "Distribution"), ("helo_
     FROM (SELECT trim(FLOC) AS floc, trim(SCOPE_ID) AS scope_id, trim(vendor) AS vendor FROM {_raw})
     WHERE floc IS NOT NULL AND floc <> '' AND scope_id IS NOT NULL AND scope_id <> ''"""
 
-CTE["ev_rem"] = f"""
-    SELECT floc, scope_id, 'removal' AS event_type, eff AS event_effective_date, CAST(NULL AS BIGINT) AS visit_no,
-           scope_id || '|' || floc AS scope_floc_key, vendor, run_date, run_id,
-           'events.xlsx' AS source_file_saved, 'Distribution' AS source_sheet
-    FROM (SELECT trim(FLOC) AS floc, coalesce({_lit_nulls('SCOPE_ID')}, 'COMP') AS scope_id,
-                 {_ts(_lit_nulls('SCOPE_REMOVAL_DATE'))} AS eff, trim(vendor) AS vendor, run_date, run_id
-          FROM events_removal_raw)
-    WHERE eff IS NOT NULL AND floc IS NOT NULL AND floc <> '' AND scope_id IS NOT NULL AND scope_id <> ''"""
-
-CTE["ev_move"] = f"""
-    SELECT floc, scope_id, 'move_to_helo' AS event_type, {_ts('run_date')} AS event_effective_date,
-           CAST(NULL AS BIGINT) AS visit_no, scope_id || '|' || floc AS scope_floc_key, vendor, run_date, run_id,
-           'events.xlsx' AS source_file_saved, 'Distribution' AS source_sheet
-    FROM (SELECT trim(FLOC) AS floc, coalesce({_lit_nulls('SCOPE_ID')}, 'COMP') AS scope_id,
-                 trim(vendor) AS vendor, run_date, run_id
-          FROM events_move_raw)
-    WHERE floc IS NOT NULL AND floc <> '' AND scope_id IS NOT NULL AND scope_id <> ''"""
+def _event_sql(raw: str, event_type: str, sheet: str, effective: str, where: str = "TRUE") -> str:
+    """Lines of one event sheet; transmission sheets have a line per filled slot."""
+    scope = f"coalesce({_lit_nulls('SCOPE_ID')}, 'COMP')" if sheet == "Distribution" else "trim(s)"
+    src = raw if sheet == "Distribution" else f"(SELECT *, pkg_1 AS s, 1 AS n FROM {raw} UNION ALL SELECT *, pkg_2 AS s, 2 AS n FROM {raw})"
+    visit = "CAST(NULL AS BIGINT)" if sheet == "Distribution" else "CAST(n AS BIGINT)"
+    return f"""
+    SELECT floc, scope_id, event_type, event_effective_date, visit_no, scope_id || '|' || floc AS scope_floc_key, vendor, run_date, run_id,
+           'events.xlsx' AS source_file_saved, '{sheet}' AS source_sheet
+    FROM (SELECT trim(FLOC) AS floc, {scope} AS scope_id, {event_type} AS event_type, {effective} AS event_effective_date,
+                 {visit} AS visit_no, trim(vendor) AS vendor, run_date, run_id
+          FROM {src} WHERE {where})
+    WHERE event_effective_date IS NOT NULL AND floc IS NOT NULL AND floc <> '' AND scope_id IS NOT NULL AND scope_id <> ''"""
 
-CTE["ev_all"] = "SELECT * FROM ev_rem UNION ALL SELECT * FROM ev_move"
+
+CTE["ev_rem"] = " UNION ALL ".join(
+    _event_sql(f"events_removal_{short}_raw", "'removal'", sheet, _ts(_lit_nulls(col)))
+    for short, sheet, col in (("dist", "Distribution", "SCOPE_REMOVAL_DATE"), ("trans", "Transmission", "Date_Removed"))
+)
+CTE["ev_move"] = " UNION ALL ".join(
+    _event_sql(f"events_move_{short}_raw", "'move_to_helo'", sheet, _ts("run_date")) for short, sheet in (("dist", "Distribution"), ("trans", "Transmission"))
+)
+CTE["ev_other"] = " UNION ALL ".join(
+    _event_sql("events_raw", "event_type", sheet, _ts("run_date"), f"asset_class = '{sheet}' AND event_type NOT IN ('removal', 'move_to_helo')")
+    for sheet in ("Distribution", "Transmission")
+)
+CTE["ev_all"] = "SELECT * FROM ev_rem UNION ALL SELECT * FROM ev_move UNION ALL SELECT * FROM ev_other"
 
 CTE["latest"] = """
     SELECT vendor, scope_floc_key, event_type, event_effective_date, run_date, run_id, source_file_saved,
@@ -175,7 +189,7 @@ _sd, _sid = _run("survey")
 CTE["sl"] = f"""
     SELECT * FROM (
     SELECT 'distribution' AS asset_class, {_nt('flocNumber')} AS floc,
-           {_ts(_nt('createdAt'))} AS created_at,
+           {_survey_ts(_nt('createdAt'))} AS created_at,
            {_nt('aerialInspectionKind')} AS aerial_inspection_kind,
            {_nt('aerialMeasurementDocument')} AS aerial_measurement_document,
            {_nt('inspectionKind')} AS ground_inspection_kind,
@@ -465,6 +479,8 @@ _FINAL: dict[str, str] = {
     "release_line_distribution": "SELECT * FROM rel_dist",
     "release_line_transmission": "SELECT * FROM rel_trans",
     "helo_line": "SELECT * FROM helo_d UNION ALL SELECT * FROM helo_t",
+    "assignment_lines": "SELECT * FROM asg_d UNION ALL SELECT * FROM asg_t",
+    "events_history": "SELECT * FROM ev_all",
     "removal_events": "SELECT * FROM ev_rem",
     "move_events": "SELECT * FROM ev_move",
     "latest_event": "SELECT * FROM latest",
@@ -474,6 +490,7 @@ _FINAL: dict[str, str] = {
     "deliveries_agg": "SELECT * FROM dagg",
     "survey_line": "SELECT * EXCLUDE (src_pos) FROM sl",
     "survey_rollup": "SELECT * FROM sroll",
+    "scope_list_line": "SELECT * EXCLUDE (list_idx) FROM sm WHERE scope_list = 'TRANS_LIST'",
     "scope_master_union": "SELECT * EXCLUDE (list_idx, src_pos) FROM sm",
     "floc_attributes_dim": "SELECT * FROM fdim",
     "floc_dim_ranked": "SELECT * FROM fdimr",
@@ -514,8 +531,6 @@ _FINAL: dict[str, str] = {
 
 def _deps(sql: str) -> list[str]:
     """CTE names referenced by ``sql``, transitively, in definition order."""
-    import re
-
     order = list(CTE)
     seen: set[str] = set()
 
@@ -534,7 +549,10 @@ def build(name: str) -> str:
     deps = _deps(body)
     if not deps:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTE[n]})" for n in deps) + "\n" + body
+    # A view that several others read is computed once.
+    texts = [body, *(CTE[n] for n in deps)]
+    shared = {n for n in deps if sum(len(re.findall(rf"\b{n}\b", t)) for t in texts) > 1}
+    return "WITH " + ",\n".join(f"{n} AS {'MATERIALIZED ' if n in shared and n not in ROLE_SQL else ''}({CTE[n]})" for n in deps) + "\n" + body
 
 
 def oracle_sql() -> dict[str, str]:
@@ -543,14 +561,41 @@ def oracle_sql() -> dict[str, str]:
 
 # --- invoices -------------------------------------------------------------------
 
-_ENTS = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-         ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+def _entity_map() -> str:
+    """MAP literal of the named character references."""
+    from html.entities import html5
+
+    return "MAP {" + ", ".join(f"{_q(k)}: {_q(v)}" for k, v in html5.items()) + "}"
+
+
+#: One row with the references by name, and by number where Windows-1252 says what a number means.
+CTE["refs"] = (
+    f"SELECT {_entity_map()} AS named, MAP {{"
+    + ", ".join(f"{n}: {_q(bytes([n]).decode('cp1252', 'ignore') or chr(n))}" for n in range(0x80, 0xA0))
+    + "} AS windows"
+)
+
+
+def _number_ref(n: str) -> str:
+    return f"""CASE WHEN {n} IS NULL OR {n} = 0 OR {n} BETWEEN 55296 AND 57343 OR {n} > 1114111 THEN chr(65533)
+        WHEN {n} BETWEEN 128 AND 159 THEN windows[{n}]
+        WHEN {n} BETWEEN 1 AND 8 OR {n} = 11 OR {n} BETWEEN 14 AND 31 OR {n} = 127 OR {n} BETWEEN 64976 AND 65007 OR {n} & 65534 = 65534 THEN ''
+        ELSE chr(CAST({n} AS INTEGER)) END"""
 
 
 def _unesc(x: str) -> str:
-    for ent, ch in _ENTS:
-        x = f"replace({x}, {_q(ent)}, {_q(ch)})"
-    return x
+    """References of ``x`` replaced; needs the columns of ``refs``."""
+    digits = "rtrim(t[3:], ';')"
+    dec, hexa = f"TRY_CAST({digits} AS BIGINT)", f"TRY_CAST('0x' || {digits}[2:] AS BIGINT)"
+    lead = "list_filter(range(length(t) - 2, 1, -1), lambda k: map_contains(named, t[2:k + 1]))[1]"
+    token = f"""CASE WHEN t = '&' OR t[1] <> '&' THEN t
+        WHEN lower(t[1:3]) = '&#x' THEN {_number_ref(hexa)}
+        WHEN t[1:2] = '&#' THEN {_number_ref(dec)}
+        WHEN map_contains(named, t[2:]) THEN named[t[2:]]
+        WHEN {lead} IS NOT NULL THEN named[t[2:{lead} + 1]] || t[{lead} + 2:]
+        ELSE t END"""
+    cut = "'&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)|&|[^&]+'"
+    return f"array_to_string(list_transform(regexp_extract_all({x}, {cut}), lambda t: {token}), '')"
 
 
 def _norm_label(x: str) -> str:
@@ -562,7 +607,7 @@ def _lines(html: str) -> str:
     h = f"regexp_replace({h}, '(?is)</\\s*(p|tr|td|div|table)\\s*>', chr(10), 'g')"
     h = f"regexp_replace({h}, '(?is)<[^>]+>', '', 'g')"
     h = _unesc(h)
-    h = f"regexp_replace(replace({h}, chr(13), chr(10)), '\\n+', chr(10), 'g')"
+    h = f"replace({h}, chr(13), chr(10))"
     return f"list_filter(list_transform(string_split({h}, chr(10)), lambda x: trim(replace(x, chr(160), ' '))), lambda x: x <> '')"
 
 
@@ -604,7 +649,19 @@ CTE["att_idx"] = """
     SELECT regexp_extract(file_name, '(?i)^att__([^_]+)__(.+)\\.xlsx$', 1) AS message_id, file_name AS attachment_file,
            regexp_extract(file_name, '(?i)^att__([^_]+)__(.+)\\.xlsx$', 2) AS invoice_name_from_attachment
     FROM invoice_attachment_files WHERE regexp_matches(file_name, '(?i)^att__([^_]+)__(.+)\\.xlsx$')"""
-CTE["em_raw"] = "SELECT message_id, html_file, " + ", ".join(f"{_span('html', lab)} AS {k}" for k, lab in _EMAIL.items()) + " FROM em_idx"
+_KNOWN = "('on behalf of / preparer', 'supplier invoice #', 'supplier', 'invoice date', 'company code', 'total amount')"
+
+
+def _next_line(label: str) -> str:
+    """The line after the first one that is ``label`` and is followed by no label."""
+    norm = lambda i: f"lower(trim(regexp_replace(lines[{i}], '\\s+', ' ', 'g')))"
+    return f"lines[list_filter(range(1, len(lines)), lambda i: {norm('i')} = {_q(label.lower())} AND {norm('i + 1')} NOT IN {_KNOWN})[1] + 1]"
+
+
+CTE["em_lines"] = f"SELECT message_id, html_file, html, {_lines('html')} AS lines FROM em_idx, refs"
+CTE["em_raw"] = (
+    "SELECT message_id, html_file, " + ", ".join(f"coalesce({_span('html', lab)}, {_next_line(lab)}) AS {k}" for k, lab in _EMAIL.items()) + " FROM em_lines"
+)
 CTE["em_v1"] = f"""
     SELECT *, {_iso_date('invoice_date_text')} AS invoice_date,
            nullif(regexp_extract(total_amount_text, '([A-Z]{{3}})\\s*$', 1), '') AS currency,
@@ -619,16 +676,13 @@ CTE["em_v2"] = f"""
 CTE["g_hr1"] = """
     SELECT message_id, min(row_idx) AS header_row FROM (
         SELECT message_id, row_idx FROM invoice_cells
-        WHERE row_idx < 80 AND lower(trim(value)) IN ('floc_id', 'sce_struct', 'photo_loc', 'flight_date', 'upload_date',
+        WHERE lower(trim(value)) IN ('floc_id', 'sce_struct', 'photo_loc', 'flight_date', 'upload_date',
                                                      'vendor_status', 'block_id', 'unit_rate')
         GROUP BY message_id, row_idx HAVING count(DISTINCT lower(trim(value))) = 8)
     GROUP BY message_id"""
 CTE["g_hr2"] = f"""
-    SELECT m.message_id, CAST(coalesce(h.hit, 12) AS INTEGER) AS header_row
-    FROM (SELECT DISTINCT message_id FROM invoice_cells) m
-    LEFT JOIN (SELECT message_id, min(row_idx) AS hit FROM invoice_cells
-               WHERE row_idx < 40 AND {_norm_label('value')} IN ('floc_id', 'floc id') GROUP BY message_id) h
-      ON m.message_id = h.message_id"""
+    SELECT message_id, CAST(min(row_idx) FILTER (WHERE replace({_norm_label('value')}, ' ', '_') IN ('floc_id', 'flocid')) AS INTEGER) AS header_row
+    FROM invoice_cells GROUP BY message_id"""
 _KV1 = {
     "cwa_number": ("CWA #", "CWA#", "CWA"),
     "total_qty_structures": ("TOTAL QTY OF STRUCTURES", "TOTAL QTY", "TOTAL QTY OF STRUCTURE"),
@@ -646,7 +700,7 @@ CTE["g_kv1_hits"] = f"""
     SELECT message_id, row_idx, col_idx, {_kv1_case} AS k,
            first_value(CASE WHEN trim(value) <> '' THEN value END IGNORE NULLS) OVER (
                PARTITION BY message_id, row_idx ORDER BY col_idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS rgt
-    FROM invoice_cells WHERE row_idx < 40 AND col_idx < 8"""
+    FROM invoice_cells"""
 CTE["g_kv1_raw"] = """
     SELECT message_id, k, arg_max_null(nullif(trim(rgt), ''), row_idx * 1000 + col_idx) AS v
     FROM g_kv1_hits WHERE k IS NOT NULL GROUP BY message_id, k"""
@@ -673,24 +727,36 @@ CTE["g_kv2"] = """
     LEFT JOIN (
         SELECT message_id, """ + ", ".join(f"arg_max(b, row_idx) FILTER (WHERE k = {_q(lab)}) AS {k}" for k, lab in _KV2.items()) + f"""
         FROM (SELECT a.message_id, a.row_idx, a.a, b.b, {_norm_label('a.a')} AS k
-              FROM (SELECT message_id, row_idx, trim(replace(value, chr(160), ' ')) AS a FROM invoice_cells WHERE row_idx < 25 AND col_idx = 0) a
-              JOIN (SELECT message_id, row_idx, trim(replace(value, chr(160), ' ')) AS b FROM invoice_cells WHERE row_idx < 25 AND col_idx = 1) b
+              FROM (SELECT message_id, row_idx, trim(replace(value, chr(160), ' ')) AS a FROM invoice_cells WHERE col_idx = 0) a
+              JOIN (SELECT message_id, row_idx, trim(replace(value, chr(160), ' ')) AS b FROM invoice_cells WHERE col_idx = 1) b
                 ON a.message_id = b.message_id AND a.row_idx = b.row_idx
-              WHERE a.a <> '' AND b.b <> '' AND length(a.a) <= 80)
+              WHERE a.a <> '' AND b.b <> '')
         GROUP BY message_id) kv ON m.message_id = kv.message_id"""
 _LC = ("FLOC_ID", "SCE_STRUCT", "PHOTO_LOC", "FLIGHT_DATE", "UPLOAD_DATE", "VENDOR_STATUS", "BLOCK_ID", "UNIT_RATE")
 
 
+# Spellings of the columns, best first.
+_SPELT = (
+    ("FLOC_ID", "floc_id", 1), ("FLOC_ID", "flocid", 2), ("FLOC_ID", "floc", 3),
+    ("SCE_STRUCT", "sce_struct", 1), ("SCE_STRUCT", "sce_struct_", 2), ("SCE_STRUCT", "sce_struct__", 3),
+    ("PHOTO_LOC", "photo_loc", 1), ("PHOTO_LOC", "photo_loc_", 2), ("PHOTO_LOC", "photo_loc__", 3),
+    ("FLIGHT_DATE", "flight_date", 1), ("FLIGHT_DATE", "flightdate", 2), ("UPLOAD_DATE", "upload_date", 1), ("UPLOAD_DATE", "uploaddate", 2),
+    ("VENDOR_STATUS", "vendor_status", 1), ("VENDOR_STATUS", "vendorstatus", 2), ("BLOCK_ID", "block_id", 1), ("BLOCK_ID", "blockid", 2),
+    ("UNIT_RATE", "unit_rate", 1), ("UNIT_RATE", "unitrate", 2),
+)
+CTE["spelt"] = "SELECT * FROM (VALUES " + ", ".join(f"({_q(n)}, {_q(s)}, {k})" for n, s, k in _SPELT) + ") AS t(name, spelling, rank)"
+
+
 def _line_table(hr: str) -> str:
-    names = ", ".join(_q(n.lower()) for n in _LC)
-    cols = ", ".join(f"arg_max(b.value, b.col_idx) FILTER (WHERE hd.name = {_q(n.lower())}) AS {n}" for n in _LC)
+    cols = ", ".join(f"arg_max(b.value, b.col_idx) FILTER (WHERE hd.name = {_q(n)}) AS {n}" for n in _LC)
     return f"""
     SELECT b.message_id, b.row_idx, {cols}
     FROM (SELECT c.message_id, c.row_idx, c.col_idx, c.value FROM invoice_cells c JOIN {hr} h
             ON c.message_id = h.message_id AND c.row_idx > h.header_row WHERE trim(c.value) <> '') b
-    JOIN (SELECT c.message_id, c.col_idx, {_norm_label('c.value')} AS name FROM invoice_cells c JOIN {hr} h
+    JOIN (SELECT c.message_id, s.name, arg_max(c.col_idx, (-s.rank, c.col_idx)) AS col_idx FROM invoice_cells c JOIN {hr} h
             ON c.message_id = h.message_id AND c.row_idx = h.header_row
-          WHERE {_norm_label('c.value')} IN ({names})) hd
+          JOIN spelt s ON s.spelling = replace({_norm_label('c.value')}, ' ', '_')
+          GROUP BY c.message_id, s.name) hd
       ON b.message_id = hd.message_id AND b.col_idx = hd.col_idx
     GROUP BY b.message_id, b.row_idx"""
 
@@ -734,7 +800,8 @@ CTE["canon2"] = """
     WHERE coalesce(floc_id, '') <> ''"""
 CTE["manifest2"] = f"""
     SELECT a.message_id, a.attachment_file, x.html_file, a.invoice_name_from_attachment, {_INV_LINEAGE},
-           CASE WHEN b.bad_floc_sample IS NOT NULL THEN 'FAILED_VALIDATION_BAD_FLOC' ELSE 'PARSED_OK' END AS status,
+           CASE WHEN b.bad_floc_sample IS NOT NULL THEN 'FAILED_VALIDATION_BAD_FLOC'
+                WHEN a.message_id NOT IN (SELECT message_id FROM canon2) THEN 'FAILED_VALIDATION_NO_LINES' ELSE 'PARSED_OK' END AS status,
            b.bad_floc_sample
     FROM att_idx a JOIN em_idx x ON a.message_id = x.message_id
     LEFT JOIN (SELECT message_id, string_agg(floc_id, ';' ORDER BY row_idx) AS bad_floc_sample
@@ -746,7 +813,10 @@ _FINAL.update({
     "html_fields": f"""
         SELECT page_id, url, {_tag('html', 'title')} AS title, {_tag('html', 'h1')} AS h1,
                len(lines) AS n_lines, lines[1] AS first_line
-        FROM (SELECT *, {_lines('html')} AS lines FROM pages)""",
+        FROM (SELECT *, {_lines('html')} AS lines FROM html_pages, refs)""",
+    "html_lines": f"""
+        SELECT page_id, CAST(generate_subscripts(lines, 1) - 1 AS INTEGER) AS line_no, unnest(lines) AS line
+        FROM (SELECT page_id, {_lines('html')} AS lines FROM html_pages, refs)""",
     "invoice_email_fields": "SELECT * FROM em_v2",
     "grid_header_row": "SELECT * FROM g_hr1",
     "grid_header_row_v2": "SELECT * FROM g_hr2",
@@ -807,7 +877,7 @@ _FINAL.update({
               FROM elig_v2) x,
              LATERAL (VALUES ('object_type', x.k1), ('voltage', x.k2), ('assignment_status', x.k3), ('has_any_mdoc', x.k4)) AS v(c, k)""",
     "vendor_row_counts": "SELECT vendor, count(*) AS row_count FROM dl GROUP BY vendor",
-    "invoice_upsert_current": """
+    "keep_last_per_message": """
         SELECT message_id, invoice_number, total_amount, status, load_seq FROM (
             SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY load_seq DESC NULLS LAST, src DESC,
                                          invoice_number, total_amount, status) AS rn
@@ -850,14 +920,33 @@ CTE["inv_flags"] = """
     SELECT vendor, scope_floc_key, TRUE AS invoiced_flg, bool_or(coalesce(paid_flg, FALSE)) AS paid_flg,
            count(DISTINCT invoice_id) AS invoice_count
     FROM invoice_line_fact GROUP BY vendor, scope_floc_key"""
+CTE["snap_registry"] = """
+    SELECT * FROM (VALUES ('snap-2026-02-01', TIMESTAMP '2026-02-01 06:00:00', 'v1'), ('snap-2026-02-02', TIMESTAMP '2026-02-02 06:00:00', 'v2'))
+        AS t(snapshot_id, as_of_ts, rule_version)"""
 CTE["ledger_cur"] = """
     SELECT s.*, coalesce(f.invoiced_flg, FALSE) AS invoiced_flg, coalesce(f.paid_flg, FALSE) AS paid_flg,
            CAST(coalesce(f.invoice_count, 0) AS BIGINT) AS invoice_count,
            coalesce(s.approved_to_invoice, FALSE) AS ready_to_invoice_flg
-    FROM (SELECT * FROM (SELECT * FROM snap_v1 UNION ALL BY NAME SELECT * FROM snap_v2)
-          WHERE snapshot_id = (SELECT arg_max(snapshot_id, (as_of_ts, snapshot_id))
-                               FROM (SELECT snapshot_id, as_of_ts FROM snap_v1 UNION ALL SELECT snapshot_id, as_of_ts FROM snap_v2))) s
+    FROM (SELECT * FROM snap_v2 WHERE snapshot_id = (SELECT arg_max(snapshot_id, as_of_ts) FROM snap_registry)) s
     LEFT JOIN inv_flags f ON s.vendor = f.vendor AND s.scope_floc_key = f.scope_floc_key"""
+CTE["asg_rel"] = "SELECT DISTINCT vendor, effective_ts AS ts FROM release_history"
+CTE["asg_listed"] = "SELECT DISTINCT vendor, floc, scope_id, effective_ts AS ts FROM release_history"
+CTE["asg_marked"] = """
+    SELECT l.*, (SELECT max(r.ts) FROM asg_rel r WHERE r.vendor = l.vendor AND r.ts < l.ts) AS before_ts,
+           (SELECT min(r.ts) FROM asg_rel r WHERE r.vendor = l.vendor AND r.ts > l.ts) AS after_ts
+    FROM asg_listed l"""
+CTE["asg_begin"] = """
+    SELECT m.* FROM asg_marked m
+    ANTI JOIN asg_listed b ON b.vendor = m.vendor AND b.floc = m.floc AND b.scope_id = m.scope_id AND b.ts = m.before_ts"""
+CTE["asg_end"] = """
+    SELECT m.* FROM asg_marked m
+    ANTI JOIN asg_listed a ON a.vendor = m.vendor AND a.floc = m.floc AND a.scope_id = m.scope_id AND a.ts = m.after_ts"""
+CTE["asg_hist"] = """
+    SELECT b.vendor, b.floc, b.scope_id, b.ts AS effective_start_ts, e.after_ts AS effective_end_ts,
+           (SELECT count(*) FROM asg_rel r WHERE r.vendor = b.vendor AND r.ts BETWEEN b.ts AND e.ts) AS release_count,
+           e.after_ts IS NULL AS is_current
+    FROM asg_begin b
+    ASOF JOIN (SELECT * FROM asg_end) e ON e.vendor = b.vendor AND e.floc = b.floc AND e.scope_id = b.scope_id AND e.ts >= b.ts"""
 CTE["cert_versions"] = """
     SELECT *, row_number() OVER (PARTITION BY invoice_number ORDER BY loaded_at DESC NULLS LAST, message_id DESC) AS version_rank
     FROM invoice_versions"""
@@ -877,17 +966,26 @@ _FINAL.update({
     "invoiced_paid": """
         SELECT *, CASE WHEN paid_flg THEN 'PAID' ELSE 'INVOICED_UNPAID' END AS payment_state
         FROM ledger_cur WHERE invoiced_flg""",
-    "assignment_history": """
-        SELECT floc, scope_id, effective_start_ts,
-               lead(effective_start_ts) OVER (PARTITION BY floc ORDER BY effective_start_ts) AS effective_end_ts,
-               release_count,
-               lead(effective_start_ts) OVER (PARTITION BY floc ORDER BY effective_start_ts) IS NULL AS is_current
-        FROM (SELECT floc, isl, max(scope_id) AS scope_id, min(ts) AS effective_start_ts, count(*) AS release_count
-              FROM (SELECT *, sum(nw) OVER (PARTITION BY floc ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl
-                    FROM (SELECT *, CASE WHEN lag(scope_id) OVER (PARTITION BY floc ORDER BY ts) IS NOT DISTINCT FROM scope_id
-                                         THEN 0 ELSE 1 END AS nw
-                          FROM (SELECT floc, effective_ts AS ts, max(scope_id) AS scope_id FROM release_history GROUP BY floc, effective_ts)))
-              GROUP BY floc, isl)""",
+    "snapshot_registry": """
+        SELECT r.*, CASE rule_version WHEN 'v1' THEN (SELECT count(*) FROM elig_v1) ELSE (SELECT count(*) FROM elig_v2) END AS line_rows
+        FROM snap_registry r""",
+    "snapshot_as_of": "SELECT * FROM snap_v1",
+    "invoice_flags": "SELECT * FROM inv_flags",
+    "vendor_export": """
+        SELECT vendor, scope_floc_key, snapshot_id, CAST(invoice_count AS VARCHAR) AS invoice_count,
+               '2026-02-02' AS run_date, 'exp-0001' AS run_id
+        FROM ledger_cur WHERE ready_to_invoice_flg AND NOT invoiced_flg""",
+    # An assignment is in effect from a release that lists it and that follows no release listing it, to the first later
+    # release of the vendor that does not.
+    "assignment_history": "SELECT * FROM asg_hist",
+    "assignment_conflicts": """
+        SELECT p.floc, p.pt AS conflict_start_ts, p.until AS conflict_end_ts, count(*) AS n_assignments,
+               string_agg(h.vendor || '/' || h.scope_id, ';' ORDER BY h.vendor || '/' || h.scope_id) AS assignments
+        FROM (SELECT floc, pt, lead(pt) OVER (PARTITION BY floc ORDER BY pt) AS until
+              FROM (SELECT floc, effective_start_ts AS pt FROM asg_hist
+                    UNION SELECT floc, effective_end_ts FROM asg_hist WHERE effective_end_ts IS NOT NULL)) p
+        JOIN asg_hist h ON h.floc = p.floc AND h.effective_start_ts <= p.pt AND (h.effective_end_ts IS NULL OR h.effective_end_ts > p.pt)
+        GROUP BY p.floc, p.pt, p.until HAVING count(*) > 1""",
     "certified_invoice_versions": "SELECT * EXCLUDE (version_rank), version_rank = 1 AS is_effective FROM cert_versions",
     "certified_invoice_current": "SELECT * EXCLUDE (version_rank), TRUE AS is_effective FROM cert_versions WHERE version_rank = 1",
     "certified_invoice_lines": """
@@ -917,6 +1015,10 @@ _FINAL.update({
         FROM nation""",
     "csv_sniffed": """
         SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation""",
+    "csv_mixed_dialects": """
+        SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, 'a "q",; ' || n_name || chr(10) || '  second line' AS note,
+               CASE WHEN n_regionkey >= 2 THEN CAST(n_regionkey AS VARCHAR) END AS n_regionkey
+        FROM nation""",
     "events_stream_latest": """
         SELECT event_id, ts, user_id, event_type, value, props FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id, event_type, value, props) AS rn
@@ -980,3 +1082,74 @@ CTE["tsnap_delta"] = f"""
               ON c.c__key IS NOT DISTINCT FROM p.p__key))
     WHERE dt IS NOT NULL"""
 _FINAL["snapshot_delta_transmission"] = "SELECT * FROM tsnap_delta"
+
+# --- readers, publishing and jobs ---------------------------------------------------
+
+_CONTRACT = """
+        SELECT {name} AS name, k AS "check", t AS target, ok, d AS detail FROM (VALUES {static}) AS s(k, t, ok, d)
+        UNION ALL SELECT {name}, 'not_all_null', c, n > 0, 'non-null values: ' || CAST(n AS VARCHAR)
+        FROM (SELECT {counts} FROM {raw}) x, LATERAL (VALUES {stack}) AS v(c, n)"""
+
+
+def _contract_sql(name: str, raw: str, required: tuple[str, ...], slots: str | None, filled: tuple[str, ...]) -> str:
+    static = [f"('required', {_q(c)}, TRUE, CAST(NULL AS VARCHAR))" for c in required]
+    if slots:
+        static.append(f"('any_of_regex', '^Scope Package\\s*#\\s*\\d+\\s*$', TRUE, {_q(slots)})")
+    return _CONTRACT.format(
+        name=_q(name), raw=raw, static=", ".join(static), counts=", ".join(f"count({c}) AS n{i}" for i, c in enumerate(filled)),
+        stack=", ".join(f"({_q(c)}, x.n{i})" for i, c in enumerate(filled)),
+    )
+
+
+_SLOTS = "Scope Package #1;Scope Package #2"
+_FINAL.update({
+    "optional_read": "SELECT * FROM supplier",
+    "newest_drop": """
+        SELECT * FROM drop_listing WHERE file_name LIKE 'azure%'
+        ORDER BY regexp_extract(file_name, '_([0-9]{8}_[0-9]{6})Z', 1) DESC, file_name DESC LIMIT 1""",
+    "whole_documents": "SELECT url || chr(10) AS text FROM pages",
+    "archive_receipts": "SELECT strlen(url) + 1 AS length, sha256(url || chr(10)) AS file_hash, '2026-02-04' AS run_date, 'arc-0001' AS run_id FROM pages",
+    "publish_whole_roundtrip": """
+        SELECT s_suppkey, s_name, '2026-02-01' AS run_date, 'r1' AS run_id, 'HISTORY' AS version FROM supplier
+        UNION ALL SELECT s_suppkey, s_name, '2026-02-02', 'r2', v FROM supplier, (VALUES ('HISTORY'), ('CURRENT')) AS t(v) WHERE s_suppkey % 2 = 0""",
+    "vendor_history": """
+        SELECT vendor, event_type, 'r1' AS run_id, count(*) AS row_count FROM ev_all WHERE vendor IN ('V0', 'V2') GROUP BY vendor, event_type""",
+    "publish_rerun_history": """
+        SELECT version, vendor, run_id, count(*) AS row_count
+        FROM rel_dist r, (VALUES ('HISTORY', 'r1'), ('HISTORY', 'r2'), ('CURRENT', 'r1'), ('CURRENT', 'r2')) AS t(version, rid)
+        , LATERAL (SELECT t.rid AS run_id) x
+        WHERE CASE WHEN t.version = 'HISTORY' THEN t.rid = 'r1' OR r.vendor <> 'V1' ELSE (t.rid = 'r1') = (r.vendor = 'V1') END
+        GROUP BY ALL""".replace("SELECT version, vendor, run_id,", "SELECT t.version, r.vendor, x.run_id,"),
+    "delta_history": "SELECT 'V9' AS vendor, change_set, _delta_type, count(*) AS row_count FROM snap_delta GROUP BY change_set, _delta_type",
+    "transmission_scope_fallback": """
+        SELECT trim(SCOPE_ID) || '|' || trim(FLOC) AS _key, trim(FLOC) AS _floc, trim(SCOPE_ID) AS _scope_id, CAST(NULL AS BIGINT) AS _visit_no, TRUE AS _is_active
+        FROM helo_trans_raw WHERE trim(SCOPE_ID) <> ''""",
+    "transmission_keys_by_visit": "SELECT _scope_id || '|' || _floc || '|' || CAST(_visit_no AS VARCHAR) AS _key, _visit_no, _is_active FROM tsnap_cur",
+    "event_contracts": " UNION ALL ".join((
+        _contract_sql("removal_distribution", "events_removal_dist_raw", ("FLOC", "SCOPE_ID"), None, ("FLOC",)),
+        _contract_sql("removal_transmission", "events_removal_trans_raw", ("FLOC",), _SLOTS, ("FLOC",)),
+        _contract_sql("move_distribution", "events_move_dist_raw", ("FLOC", "SCOPE_ID"), None, ("FLOC", "SCOPE_ID")),
+        _contract_sql("move_transmission", "events_move_trans_raw", ("FLOC",), _SLOTS, ("FLOC",)),
+    )),
+    "deliveries_agg_raw_names": "SELECT * EXCLUDE (asset_class) FROM dagg WHERE asset_class = 'distribution'",
+    "eligibility_defaults": f"""
+        SELECT 'transmission' AS asset_class, 'TRANS' AS program_bucket, 'ATI' AS program_acronym, 'ATI' AS billing_bucket,
+               img >= {MIN_IMAGES} AS is_work_complete, TRUE AS is_billable, vendor, scope_id, floc, scope_floc_key,
+               CAST(NULL AS VARCHAR) AS object_type, CAST(NULL AS VARCHAR) AS voltage, assignment_method, '' AS assignment_status,
+               TRUE AS is_active_assignment, img AS image_count_total, fc AS folder_count, img >= {MIN_IMAGES} AS approved_to_invoice,
+               CASE WHEN img < {MIN_IMAGES} THEN 'BLOCK_MISSING_GCP_MIN_IMAGES' ELSE '' END AS block_reasons,
+               img < {MIN_IMAGES} AS needs_review, {_ELIG_LINEAGE}
+        FROM et0_v2""",
+    "workbook_events": f"""
+        SELECT 'V7' AS vendor, 'Distribution' AS source_sheet, 'wb-0001' AS run_id, count(*) AS row_count, 'Transmission__skipped=missing sheet' AS skipped
+        FROM ev_rem WHERE source_sheet = 'Distribution'""",
+    "eligibility_job": f"SELECT *, {_ed} AS run_date, {_eid} AS run_id FROM elig_v2",
+    "invoice_job_v2": """
+        SELECT c.message_id, row_number() OVER (PARTITION BY c.message_id ORDER BY c.row_idx) AS line_number, c.floc_id, c.scope_id, c.unit_rate, e.supplier
+        FROM canon2 c JOIN manifest2 m ON m.message_id = c.message_id AND m.status = 'PARSED_OK' LEFT JOIN em_v2 e ON e.message_id = c.message_id""",
+    "invoice_job_v1": """
+        SELECT message_id, line_number, floc_id, unit_rate, CASE WHEN attachment_file LIKE '%1.xlsx' THEN 'i2' ELSE 'i1' END AS run_id,
+               CAST(CASE WHEN attachment_file LIKE '%1.xlsx' THEN 2 ELSE 1 END AS BIGINT) AS load_seq
+        FROM inv_lines1""",
+})
+_FINAL["invoice_upsert_current"] = _FINAL["keep_last_per_message"]

@@ -22,6 +22,15 @@ _YMD = (
 _VENDOR = "'V' || CAST(l_suppkey % 4 AS STRING)"
 _BRAND_NO = "CAST(substr(p_brand, 7) AS INT)"
 
+_EVENT_COLS = """'V' || CAST(user_id % 4 AS STRING) AS vendor,
+               'FL-' || CAST((user_id * 37) % 2000 AS STRING) AS FLOC,
+               CAST(CAST(ts AS DATE) AS STRING) AS run_date,
+               'e' || lpad(CAST(event_id AS STRING), 7, '0') AS run_id"""
+_EVENT_SCOPE = "CASE WHEN event_id % 9 = 0 THEN '' ELSE 'D' || CAST(event_id % 20 AS STRING) END AS SCOPE_ID"
+_EVENT_SLOTS = """CASE WHEN event_id % 9 = 0 THEN ' ' ELSE 'T' || CAST(event_id % 20 AS STRING) END AS pkg_1,
+               CASE WHEN event_id % 5 = 0 THEN 'T' || CAST((event_id + 3) % 20 AS STRING) END AS pkg_2"""
+_EVENT_DATE = "CASE WHEN value < 5 THEN 'unknown' ELSE substr(CAST(ts AS STRING), 1, 19) END"
+
 ROLE_SQL: dict[str, str] = {
     # J1 distribution release sheet: one row per lineitem that is not a HELO return.
     "release_dist_raw": f"""
@@ -52,28 +61,33 @@ ROLE_SQL: dict[str, str] = {
                'FL-' || CAST(l_partkey AS STRING) AS FLOC,
                'T' || CAST(l_orderkey % 20 AS STRING) AS SCOPE_ID
         FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber > 5""",
-    # J2 event sheets: error events are removals, purchase events moves to HELO;
-    # each event is its own run (run date = event day).
-    "events_removal_raw": """
-        SELECT 'V' || CAST(user_id % 4 AS STRING) AS vendor,
-               'FL-' || CAST((user_id * 37) % 2000 AS STRING) AS FLOC,
-               CASE WHEN event_id % 9 = 0 THEN ''
-                    WHEN event_id % 2 = 0 THEN 'T' || CAST(event_id % 20 AS STRING)
-                    ELSE 'D' || CAST(event_id % 20 AS STRING) END AS SCOPE_ID,
-               CASE WHEN value < 5 THEN 'unknown'
-                    ELSE substr(CAST(ts AS STRING), 1, 19) END AS SCOPE_REMOVAL_DATE,
-               CAST(CAST(ts AS DATE) AS STRING) AS run_date,
-               'e' || lpad(CAST(event_id AS STRING), 7, '0') AS run_id
-        FROM events WHERE event_type = 'error'""",
-    "events_move_raw": """
-        SELECT 'V' || CAST(user_id % 4 AS STRING) AS vendor,
-               'FL-' || CAST((user_id * 37) % 2000 AS STRING) AS FLOC,
-               CASE WHEN event_id % 9 = 0 THEN ''
-                    WHEN event_id % 2 = 0 THEN 'T' || CAST(event_id % 20 AS STRING)
-                    ELSE 'D' || CAST(event_id % 20 AS STRING) END AS SCOPE_ID,
-               CAST(CAST(ts AS DATE) AS STRING) AS run_date,
-               'e' || lpad(CAST(event_id AS STRING), 7, '0') AS run_id
-        FROM events WHERE event_type = 'purchase'""",
+    # J1 and J3 sheets of both classes as one table, class and method as columns: what the four views above hold.
+    "assignment_sheets_raw": f"""
+        SELECT CASE WHEN l_linenumber <= 5 THEN 'Distribution' ELSE 'Transmission' END AS asset_class,
+               CASE WHEN l_returnflag = 'R' THEN 'HELO' ELSE 'DRONE' END AS assignment_method,
+               {_VENDOR} AS vendor,
+               ' FL-' || CAST(l_partkey AS STRING) || ' ' AS FLOC,
+               CASE WHEN l_linenumber > 5 AND l_returnflag = 'R' THEN 'T' || CAST(l_orderkey % 20 AS STRING)
+                    WHEN l_linenumber > 5 THEN NULL
+                    WHEN l_orderkey % 11 = 0 THEN '  ' ELSE 'D' || CAST(l_orderkey % 20 AS STRING) END AS SCOPE_ID,
+               CASE WHEN l_linestatus = 'F' AND l_linenumber = 2 THEN 'not a date'
+                    WHEN l_linestatus = 'F' THEN CAST(CAST(l_shipdate AS DATE) AS STRING) END AS SCOPE_REMOVAL_DATE,
+               CASE WHEN l_linestatus = 'F' THEN CAST(CAST(l_shipdate AS DATE) AS STRING) END AS Date_Removed,
+               'T' || CAST(l_orderkey % 20 AS STRING) AS pkg_1,
+               CASE WHEN l_quantity > 25 THEN 'T' || CAST((l_orderkey + 7) % 20 AS STRING) ELSE ' ' END AS pkg_2,
+               CASE WHEN l_discount > 0.05 THEN 'T' || CAST((l_orderkey + 3) % 20 AS STRING) END AS pkg_3
+        FROM lineitem""",
+    # J2 event sheets: error events are removals, purchase events moves to HELO, the others events of unknown types; even
+    # ids are on transmission sheets, with package slots.  Each event is its own run (run date = event day).
+    "events_raw": f"""
+        SELECT CASE WHEN event_id % 2 = 0 THEN 'Transmission' ELSE 'Distribution' END AS asset_class,
+               CASE event_type WHEN 'error' THEN 'removal' WHEN 'purchase' THEN 'move_to_helo' ELSE event_type END AS event_type,
+               {_EVENT_COLS}, {_EVENT_SCOPE}, {_EVENT_SLOTS}, {_EVENT_DATE} AS SCOPE_REMOVAL_DATE, {_EVENT_DATE} AS Date_Removed
+        FROM events""",
+    "events_removal_dist_raw": f"SELECT {_EVENT_COLS}, {_EVENT_SCOPE}, {_EVENT_DATE} AS SCOPE_REMOVAL_DATE FROM events WHERE event_type = 'error' AND event_id % 2 = 1",
+    "events_removal_trans_raw": f"SELECT {_EVENT_COLS}, {_EVENT_SLOTS}, {_EVENT_DATE} AS Date_Removed FROM events WHERE event_type = 'error' AND event_id % 2 = 0",
+    "events_move_dist_raw": f"SELECT {_EVENT_COLS}, {_EVENT_SCOPE} FROM events WHERE event_type = 'purchase' AND event_id % 2 = 1",
+    "events_move_trans_raw": f"SELECT {_EVENT_COLS}, {_EVENT_SLOTS} FROM events WHERE event_type = 'purchase' AND event_id % 2 = 0",
     # J5 delivery exports (all text): one upload per lineitem.
     "deliveries_raw": f"""
         SELECT CASE WHEN l_tax = 0 THEN '13-45-2001'
@@ -92,7 +106,10 @@ ROLE_SQL: dict[str, str] = {
     # J6 survey export: one inspection per order.
     "survey_raw": """
         SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'null' ELSE 'FL-' || CAST((o_orderkey * 7) % 2300 AS STRING) END AS flocNumber,
-               CAST(o_orderdate AS STRING) AS createdAt,
+               CASE WHEN o_orderkey % 4 = 1 THEN CAST(month(o_orderdate) AS STRING) || '/' || CAST(day(o_orderdate) AS STRING) || '/'
+                         || CAST(year(o_orderdate) AS STRING) || ' ' || CAST(1 + o_orderkey % 12 AS STRING) || ':24:51'
+                         || CASE WHEN o_orderkey % 8 = 1 THEN 'PM' ELSE 'AM' END
+                    ELSE CAST(o_orderdate AS STRING) END AS createdAt,
                CASE o_orderstatus WHEN 'F' THEN 'AERIAL' WHEN 'O' THEN 'n/a' ELSE 'AERIAL_' || substr(o_orderpriority, 1, 1) END AS aerialInspectionKind,
                CASE WHEN o_orderstatus = 'F' THEN 'AM' || CAST(o_custkey % 97 AS STRING)
                     WHEN o_orderstatus = 'P' THEN 'N/A' END AS aerialMeasurementDocument,
@@ -119,6 +136,16 @@ ROLE_SQL: dict[str, str] = {
                CAST(p_size AS STRING) || 'kV' AS kV,
                p_partkey AS src_pos
         FROM part WHERE p_size > 25""",
+    # The three lists as columns of one table.
+    "scope_lists_raw": """
+        SELECT ' FL-' || CAST(p_partkey AS STRING) AS FLOC, 'FL-' || CAST(p_partkey AS STRING) AS FLOC_ID,
+               CASE p_type WHEN 'ECONOMY' THEN 'ED_POLE' WHEN 'STANDARD' THEN 'ET_POLE' WHEN 'LARGE' THEN 'ET_TOWER'
+                           WHEN 'PROMO' THEN 'EZ_POLE' WHEN 'SMALL' THEN 'XX;YY' ELSE ' ' END AS Eq_OjType,
+               CASE WHEN p_size % 3 = 0 THEN ' ' ELSE CAST((p_size % 3) * 12 AS STRING) || 'kV' END AS Voltage,
+               CASE WHEN p_size > 40 THEN 'ET_TOWER' WHEN p_retailprice > 1500 THEN 'ET_POLE' ELSE 'ED_POLE' END AS EqType,
+               CAST(p_size AS STRING) || 'kV' AS kV, 'ED_POLE' AS Eq_ObjType,
+               p_size > 25 AS in_trans, p_retailprice > 1800 AS in_comp, p_partkey AS src_pos
+        FROM part""",
     "scope_list_comp_raw": """
         SELECT 'FL-' || CAST(p_partkey AS STRING) AS FLOC_ID,
                'ED_POLE' AS Eq_ObjType,
@@ -165,10 +192,10 @@ ROLE_SQL: dict[str, str] = {
     # J10 invoice sheets as a cells table: a header block, the line-table header
     # and one row per lineitem of the order (message = order).
     "invoice_cells": f"""
-        WITH hdr AS (SELECT o_orderkey, 'M' || CAST(o_orderkey AS STRING) AS message_id, 5 + o_orderkey % 3 AS hr,
+        WITH hdr AS (SELECT o_orderkey, 'M' || CAST(o_orderkey AS STRING) AS message_id, 5 + o_orderkey % 3 + CASE WHEN o_orderkey % 23 = 0 THEN 90 ELSE 0 END AS hr,
                             o_orderdate, o_custkey, o_totalprice, o_orderpriority FROM orders),
              body AS (SELECT 'M' || CAST(l_orderkey AS STRING) AS message_id,
-                             5 + l_orderkey % 3 + row_number() OVER (PARTITION BY l_orderkey
+                             5 + l_orderkey % 3 + CASE WHEN l_orderkey % 23 = 0 THEN 90 ELSE 0 END + row_number() OVER (PARTITION BY l_orderkey
                                  ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS r,
                              l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus, l_discount, l_tax,
                              l_extendedprice, l_shipdate FROM lineitem)
@@ -182,14 +209,16 @@ ROLE_SQL: dict[str, str] = {
         UNION ALL SELECT message_id, 3, 1, '$' || CAST(o_totalprice AS STRING) FROM hdr
         UNION ALL SELECT message_id, 4, 0, CASE WHEN substr(o_orderpriority, 1, 1) = '1' THEN 'PO' ELSE 'Payment Terms' END FROM hdr
         UNION ALL SELECT message_id, 4, 1, CASE WHEN substr(o_orderpriority, 1, 1) = '1' THEN 'PO-' || CAST(o_custkey AS STRING) ELSE 'NET' || CAST(o_custkey % 3 * 15 AS STRING) END FROM hdr
-        UNION ALL SELECT message_id, hr, 0, 'FLOC_ID' FROM hdr
-        UNION ALL SELECT message_id, hr, 1, 'SCE_STRUCT' FROM hdr
-        UNION ALL SELECT message_id, hr, 2, 'PHOTO_LOC' FROM hdr
-        UNION ALL SELECT message_id, hr, 3, 'FLIGHT_DATE' FROM hdr
-        UNION ALL SELECT message_id, hr, 4, 'UPLOAD_DATE' FROM hdr
-        UNION ALL SELECT message_id, hr, 5, 'VENDOR_STATUS' FROM hdr
-        UNION ALL SELECT message_id, hr, 6, 'BLOCK_ID' FROM hdr
-        UNION ALL SELECT message_id, hr, 7, CASE WHEN o_orderkey % 17 = 0 THEN 'RATE' ELSE ' UNIT_RATE ' END FROM hdr
+        UNION ALL SELECT message_id, hr - 1, 9, 'Due Date' FROM hdr WHERE o_orderkey % 23 = 0
+        UNION ALL SELECT message_id, hr - 1, 12, CAST(CAST(o_orderdate AS DATE) AS STRING) FROM hdr WHERE o_orderkey % 23 = 0
+        UNION ALL SELECT message_id, hr, 0, CASE WHEN o_orderkey % 31 = 0 THEN 'ITEM' ELSE CASE o_orderkey % 5 WHEN 1 THEN 'FLOCID' WHEN 2 THEN 'Floc  ID' ELSE 'FLOC_ID' END END FROM hdr
+        UNION ALL SELECT message_id, hr, 1, CASE o_orderkey % 5 WHEN 1 THEN 'SCE_STRUCT_' WHEN 2 THEN 'SCE STRUCT__' ELSE 'SCE_STRUCT' END FROM hdr
+        UNION ALL SELECT message_id, hr, 2, CASE o_orderkey % 5 WHEN 1 THEN 'PHOTO_LOC_' WHEN 2 THEN 'Photo Loc' ELSE 'PHOTO_LOC' END FROM hdr
+        UNION ALL SELECT message_id, hr, 3, CASE o_orderkey % 5 WHEN 1 THEN 'FlightDate' WHEN 2 THEN 'FlightDate' ELSE 'FLIGHT_DATE' END FROM hdr
+        UNION ALL SELECT message_id, hr, 4, CASE o_orderkey % 5 WHEN 1 THEN 'Upload Date' WHEN 2 THEN 'UPLOADDATE' ELSE 'UPLOAD_DATE' END FROM hdr
+        UNION ALL SELECT message_id, hr, 5, CASE o_orderkey % 5 WHEN 1 THEN 'VendorStatus' WHEN 2 THEN 'VendorStatus' ELSE 'VENDOR_STATUS' END FROM hdr
+        UNION ALL SELECT message_id, hr, 6, CASE o_orderkey % 5 WHEN 1 THEN 'BLOCKID' WHEN 2 THEN 'BLOCKID' ELSE 'BLOCK_ID' END FROM hdr
+        UNION ALL SELECT message_id, hr, 7, CASE WHEN o_orderkey % 17 = 0 THEN 'RATE' WHEN o_orderkey % 5 = 1 THEN 'UnitRate' ELSE ' UNIT_RATE ' END FROM hdr
         UNION ALL SELECT message_id, r, 0, CASE WHEN l_linenumber = 3 AND l_returnflag = 'N' THEN ''
                                               WHEN l_discount = 0.1 AND l_tax = 0 THEN 'XX-' || CAST(l_partkey AS STRING)
                                               ELSE 'OH-' || CAST(l_partkey AS STRING) END FROM body
@@ -205,6 +234,13 @@ ROLE_SQL: dict[str, str] = {
     "invoice_attachment_files": """
         SELECT 'att__M' || CAST(o_orderkey AS STRING) || '__INV-' || CAST(o_orderkey AS STRING) || '.xlsx' AS file_name
         FROM orders WHERE o_orderstatus <> 'P'""",
+    # Pages, with a paragraph of character references of all kinds: numeric, hexadecimal, named, Windows, without
+    # semicolon, unknown, not a character, and an ampersand alone.
+    "html_pages": """
+        SELECT page_id, url,
+               html || '<P>caf&eacute;&#160;no&#xB0; ' || CAST(page_id AS STRING) || '</p >&#x27;q&#x27; &lt;b&gt; &amp;amp; &copy 2026 &notit; &notin;<br/>'
+                    || 'A&#66;&#x43;&#' || CAST(60 + page_id % 40 AS STRING) || '; &euro;&#128;&#x1F600; &bogus; & &#0;&#xD800;&#1;&#99999999999;|<div>&nbsp; </div>x &#13;&#10; y' AS html
+        FROM pages""",
     "invoice_email_files": """
         SELECT 'email__M' || CAST(o_orderkey AS STRING) || '_.html' AS file_name,
                '<html><body><table>'
@@ -214,7 +250,9 @@ ROLE_SQL: dict[str, str] = {
                || CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) AS STRING)
                        ELSE CAST(month(o_orderdate) AS STRING) || '/' || CAST(day(o_orderdate) AS STRING) || '/' || CAST(year(o_orderdate) AS STRING) END
                || '</span></td></tr>'
-               || '<tr><td><span>Company Code</span></td></tr><tr><td><span>CC' || CAST(o_custkey % 10 AS STRING) || '</span></td></tr>'
+               || CASE WHEN o_orderkey % 3 = 0 THEN '<p>Company&#160;Code</p><p>CC&#x2d;' || CAST(o_custkey % 10 AS STRING) || ' caf&eacute;</p>'
+                       WHEN o_orderkey % 3 = 1 THEN '<p>company  code</p><p>Total Amount</p>'
+                       ELSE '<tr><td><span>Company Code</span></td></tr><tr><td><span>CC' || CAST(o_custkey % 10 AS STRING) || '</span></td></tr>' END
                || '<tr><td><span>Total Amount</span></td></tr><tr><td><span>$' || CAST(o_totalprice AS STRING) || ' USD</span></td></tr>'
                || '<tr><td><span>On behalf of / Preparer</span></td></tr><tr><td><span>Clerk &amp; Co ' || substr(o_orderpriority, 1, 1) || '</span></td></tr>'
                || '</table></body></html>' AS html
@@ -242,6 +280,14 @@ ROLE_SQL: dict[str, str] = {
                'INV-' || CAST(l_orderkey AS STRING) AS invoice_id,
                l_linestatus = 'F' AS paid_flg
         FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 30""",
+    # A drop folder's listing: a file per order, most with their time in the name.
+    "drop_listing": """
+        SELECT 'lake/drop/' || file_name AS path, file_name, length, modification_time
+        FROM (SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'manual_' || CAST(o_orderkey AS STRING) || '.csv'
+                          ELSE 'azure_inspectapp_surveys_' || CAST(year(o_orderdate) AS STRING) || lpad(CAST(month(o_orderdate) AS STRING), 2, '0')
+                               || lpad(CAST(day(o_orderdate) AS STRING), 2, '0') || '_' || lpad(CAST(o_orderkey % 24 AS STRING), 2, '0') || '1500Z.csv' END AS file_name,
+                     o_custkey AS length, o_orderdate AS modification_time
+              FROM orders)""",
     # Invoice versions: orders sharing an invoice number are versions of it.
     "invoice_versions": """
         SELECT 'INV-' || CAST(o_orderkey % 5000 AS STRING) AS invoice_number, 'M' || CAST(o_orderkey AS STRING) AS message_id,
@@ -277,11 +323,13 @@ ROLE_SQL: dict[str, str] = {
         SELECT 'run-' || CAST(user_id % 50 AS STRING) AS run_id, ts AS event_ts,
                CASE event_type WHEN 'purchase' THEN 'SUCCEEDED' WHEN 'error' THEN 'FAILED' ELSE 'RUNNING' END AS status
         FROM events""",
-    # Successive releases: per event day, the package an event names for a floc.
+    # Successive releases: a vendor's full list of every week, with the packages that events name for a floc
+    # (one floc may be in several packages at once, and with several vendors).
     "release_history": """
-        SELECT 'FL-' || CAST((user_id * 37) % 2000 AS STRING) AS floc,
+        SELECT 'V' || CAST(event_id % 4 AS STRING) AS vendor,
+               'FL-' || CAST((user_id * 37) % 200 AS STRING) AS floc,
                'D' || CAST(event_id % 3 AS STRING) AS scope_id,
-               CAST(ts AS DATE) AS effective_ts
+               CAST(date_trunc('week', ts) AS DATE) AS effective_ts
         FROM events""",
 }
 
@@ -293,14 +341,14 @@ _H = "named_struct('row_idx', CAST({r} AS INT), 'col_idx', {c}, 'value', CAST({v
 _B = "named_struct('col_idx', {c}, 'value', CAST({v} AS STRING))"
 ROLE_SQL_SPARK: dict[str, str] = {
     "invoice_cells": f"""
-        WITH hdr AS (SELECT o_orderkey, 'M' || CAST(o_orderkey AS STRING) AS message_id, 5 + o_orderkey % 3 AS hr,
+        WITH hdr AS (SELECT o_orderkey, 'M' || CAST(o_orderkey AS STRING) AS message_id, 5 + o_orderkey % 3 + CASE WHEN o_orderkey % 23 = 0 THEN 90 ELSE 0 END AS hr,
                             o_orderdate, o_custkey, o_totalprice, o_orderpriority FROM orders),
              body AS (SELECT 'M' || CAST(l_orderkey AS STRING) AS message_id,
-                             5 + l_orderkey % 3 + row_number() OVER (PARTITION BY l_orderkey
+                             5 + l_orderkey % 3 + CASE WHEN l_orderkey % 23 = 0 THEN 90 ELSE 0 END + row_number() OVER (PARTITION BY l_orderkey
                                  ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS r,
                              l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus, l_discount, l_tax,
                              l_extendedprice, l_shipdate FROM lineitem)
-        SELECT message_id, inline(array(
+        SELECT message_id, inline(filter(array(
             {_H.format(r=0, c=0, v="'INVOICE NUMBER'")},
             {_H.format(r=0, c=2, v="'INV-' || CAST(o_orderkey AS STRING)")},
             {_H.format(r=1, c=0, v="'Invoice Date'")},
@@ -311,15 +359,17 @@ ROLE_SQL_SPARK: dict[str, str] = {
             {_H.format(r=3, c=1, v="'$' || CAST(o_totalprice AS STRING)")},
             {_H.format(r=4, c=0, v="CASE WHEN substr(o_orderpriority, 1, 1) = '1' THEN 'PO' ELSE 'Payment Terms' END")},
             {_H.format(r=4, c=1, v="CASE WHEN substr(o_orderpriority, 1, 1) = '1' THEN 'PO-' || CAST(o_custkey AS STRING) ELSE 'NET' || CAST(o_custkey % 3 * 15 AS STRING) END")},
-            {_H.format(r="hr", c=0, v="'FLOC_ID'")},
-            {_H.format(r="hr", c=1, v="'SCE_STRUCT'")},
-            {_H.format(r="hr", c=2, v="'PHOTO_LOC'")},
-            {_H.format(r="hr", c=3, v="'FLIGHT_DATE'")},
-            {_H.format(r="hr", c=4, v="'UPLOAD_DATE'")},
-            {_H.format(r="hr", c=5, v="'VENDOR_STATUS'")},
-            {_H.format(r="hr", c=6, v="'BLOCK_ID'")},
-            {_H.format(r="hr", c=7, v="CASE WHEN o_orderkey % 17 = 0 THEN 'RATE' ELSE ' UNIT_RATE ' END")}
-        )) FROM hdr
+            {_H.format(r="hr", c=0, v="CASE WHEN o_orderkey % 31 = 0 THEN 'ITEM' ELSE CASE o_orderkey % 5 WHEN 1 THEN 'FLOCID' WHEN 2 THEN 'Floc  ID' ELSE 'FLOC_ID' END END")},
+            {_H.format(r="hr", c=1, v="CASE o_orderkey % 5 WHEN 1 THEN 'SCE_STRUCT_' WHEN 2 THEN 'SCE STRUCT__' ELSE 'SCE_STRUCT' END")},
+            {_H.format(r="hr", c=2, v="CASE o_orderkey % 5 WHEN 1 THEN 'PHOTO_LOC_' WHEN 2 THEN 'Photo Loc' ELSE 'PHOTO_LOC' END")},
+            {_H.format(r="hr", c=3, v="CASE o_orderkey % 5 WHEN 1 THEN 'FlightDate' WHEN 2 THEN 'FlightDate' ELSE 'FLIGHT_DATE' END")},
+            {_H.format(r="hr", c=4, v="CASE o_orderkey % 5 WHEN 1 THEN 'Upload Date' WHEN 2 THEN 'UPLOADDATE' ELSE 'UPLOAD_DATE' END")},
+            {_H.format(r="hr", c=5, v="CASE o_orderkey % 5 WHEN 1 THEN 'VendorStatus' WHEN 2 THEN 'VendorStatus' ELSE 'VENDOR_STATUS' END")},
+            {_H.format(r="hr", c=6, v="CASE o_orderkey % 5 WHEN 1 THEN 'BLOCKID' WHEN 2 THEN 'BLOCKID' ELSE 'BLOCK_ID' END")},
+            {_H.format(r="hr", c=7, v="CASE WHEN o_orderkey % 17 = 0 THEN 'RATE' WHEN o_orderkey % 5 = 1 THEN 'UnitRate' ELSE ' UNIT_RATE ' END")}
+            , CASE WHEN o_orderkey % 23 = 0 THEN {_H.format(r="hr - 1", c=9, v="'Due Date'")} END
+            , CASE WHEN o_orderkey % 23 = 0 THEN {_H.format(r="hr - 1", c=12, v="CAST(CAST(o_orderdate AS DATE) AS STRING)")} END
+        ), c -> c IS NOT NULL)) FROM hdr
         UNION ALL
         SELECT message_id, CAST(r AS INT) AS row_idx, b.col_idx, b.value FROM (
             SELECT message_id, r, inline(array(
@@ -339,6 +389,10 @@ ROLE_SQL_SPARK: dict[str, str] = {
 ROLE_RENAMES: dict[str, dict[str, str]] = {
     "snapshot_trans_prev_raw": {"pkg_1": "Scope Package #1", "pkg_2": "Scope Package #2"},
     "snapshot_trans_cur_raw": {"pkg_1": "Scope Package #1", "pkg_2": "Scope Package #2"},
+    "assignment_sheets_raw": {"pkg_1": "Scope Package #1", "pkg_2": "scope package  # 2", "pkg_3": "Scope Package#3"},
+    "events_raw": {"pkg_1": "Scope Package #1", "pkg_2": "Scope Package #2"},
+    "events_removal_trans_raw": {"pkg_1": "Scope Package #1", "pkg_2": "Scope Package #2"},
+    "events_move_trans_raw": {"pkg_1": "Scope Package #1", "pkg_2": "Scope Package #2"},
     "release_trans_raw": {"pkg_1": "Scope Package #1", "pkg_2": "scope package  # 2", "pkg_3": "Scope Package#3"},
 }
 

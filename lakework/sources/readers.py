@@ -2,18 +2,20 @@
 
 A dataset lives at ``<root>/<layer>/<dataset>/<CURRENT|HISTORY>``; HISTORY is
 Hive-partitioned (vendor, run_date, run_id, ...).  Formats are declared by the
-caller, never guessed by fallback.
+caller, never guessed by fallback.  CURRENT is a versioned table (``versions``); its readers follow the pointer.
 """
 
 from __future__ import annotations
 
-import re
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from lakework.sources import commits, versions
+
 LAYERS = ("bronze", "silver", "gold", "util")
 VERSIONS = ("CURRENT", "HISTORY")
 
@@ -37,6 +39,9 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", schema: T
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """The dataset, or an empty frame of ``schema`` when the path does not exist."""
+    published = versions.read(spark, path, schema)
+    if published is not None:
+        return published
     try:
         df = spark.read.format(fmt).schema(schema).load(path)
         df.schema  # resolves the relation: raises now if the path is missing
@@ -48,8 +53,10 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 
 def read_current(spark: SparkSession, root: str, layer: str, dataset: str, schema: T.StructType | None = None) -> DataFrame:
-    """S3: the CURRENT version (partition columns typed by ``schema`` when given)."""
-    return read_dataset(spark, dataset_path(root, layer, dataset, "CURRENT"), schema=schema)
+    """S3: the CURRENT version that was published last (columns and types of ``schema`` when given)."""
+    path = dataset_path(root, layer, dataset, "CURRENT")
+    published = versions.read(spark, path, schema)
+    return published if published is not None else read_dataset(spark, path, schema=schema)
 
 
 def read_history(
@@ -62,45 +69,122 @@ def read_history(
     return df
 
 
-def previous_run(history: DataFrame, current_run_id: str, ledger: DataFrame | None = None) -> DataFrame:
-    """Rows of the newest run before the current one.
+def escape(value: str) -> str:
+    """A value as it stands in the name of a partition folder."""
+    return "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{[]^\x7f' or c < " " else c for c in value)
+
+
+def run_pattern(path: str, run_date: str | None, run_id: str | None, *, by_vendor: bool, vendor: str | None = None) -> str:
+    """Glob of the folders that runs fill in HISTORY, down to the run id; None stands for any."""
+    part = lambda k, v: f"{k}={'*' if v is None else escape(v)}"
+    return "/".join([path, *([part("vendor", vendor)] if by_vendor else []), part("run_date", run_date), part("run_id", run_id)])
+
+
+def read_run(
+    spark: SparkSession, path: str, schema: T.StructType, *, run_date: str, run_id: str, by_vendor: bool = False, vendor: str | None = None
+) -> DataFrame:
+    """The rows that one run wrote to HISTORY; only its own folders are listed."""
+    own = T.StructType([f for f in schema.fields if f.name not in ("run_date", "run_id")]).add("run_date", "string").add("run_id", "string")
+    found = commits.matching(spark, run_pattern(path, run_date, run_id, by_vendor=by_vendor, vendor=vendor))
+    if not found:
+        return spark.createDataFrame([], own)
+    return spark.read.option("basePath", path).schema(own).parquet(*found)
+
+
+def runs(spark: SparkSession, path: str, *, by_vendor: bool = False, vendor: str | None = None) -> DataFrame:
+    """run_id and run_date of the runs that HISTORY holds: the names of its folders, no file is opened."""
+    found = {tuple(unquote(x.split("=", 1)[1]) for x in p.split("/")[-2:]) for p in commits.matching(spark, run_pattern(path, None, None, by_vendor=by_vendor, vendor=vendor))}
+    return spark.createDataFrame(sorted(found), "run_date string, run_id string")
+
+
+def _before(table: DataFrame, current_run_id: str, ledger: DataFrame | None) -> DataFrame:
+    """The newest run before the current one, of a table of runs (run_id, run_date): at most one row.
 
     Order: run date, then the ledger's start time when a run ledger
     (run_id, started_at) is given, then run id.  Never file modification times.
-    A current run that HISTORY does not hold yet comes after all that it holds.
+    A current run that the table does not hold yet comes after all that it holds.
     """
-    runs = history.select("run_id", "run_date").distinct()
     if ledger is not None:
-        runs = runs.join(ledger.select("run_id", "started_at"), "run_id", "left")
+        table = table.join(ledger.select("run_id", "started_at"), "run_id", "left")
     else:
-        runs = runs.withColumn("started_at", F.lit(None).cast("timestamp"))
-    place = F.struct("run_date", "started_at", "run_id")
-    own = runs.agg(F.max(F.when(F.col("run_id") == current_run_id, place)).alias("own"))  # one row
-    before = F.col("own").isNull() | (place < F.col("own"))
-    pick = runs.filter(F.col("run_id") != current_run_id).join(F.broadcast(own), before).agg(F.max_by("run_id", place).alias("run_id"))
-    return history.join(pick, "run_id", "left_semi")
+        table = table.withColumn("started_at", F.lit(None).cast("timestamp"))
+    table = table.withColumn("place", F.struct("run_date", "started_at", "run_id"))
+    own = table.agg(F.max(F.when(F.col("run_id") == current_run_id, F.col("place"))).alias("own"))  # one row
+    before = F.col("own").isNull() | (F.col("place") < F.col("own"))
+    return table.filter(F.col("run_id") != current_run_id).join(F.broadcast(own), before).orderBy(F.col("place").desc()).limit(1)
+
+
+def previous_run(history: DataFrame, current_run_id: str, ledger: DataFrame | None = None) -> DataFrame:
+    """Rows of the newest run before the current one, of a frame that holds the runs themselves."""
+    pick = _before(history.select("run_id", "run_date").distinct(), current_run_id, ledger)
+    return history.join(pick.select("run_id"), "run_id", "left_semi")
+
+
+def read_previous_run(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    current_run_id: str,
+    *,
+    by_vendor: bool = False,
+    vendor: str | None = None,
+    ledger: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of the newest run before the current one in HISTORY.
 
+    The run is chosen from the table of runs before the plan is built; only its own folders are listed and read.
+    """
+    pick = _before(runs(spark, path, by_vendor=by_vendor, vendor=vendor), current_run_id, ledger).first()
+    run_date, run_id = (pick["run_date"], pick["run_id"]) if pick else ("", "")
+    return read_run(spark, path, schema, run_date=run_date, run_id=run_id, by_vendor=by_vendor, vendor=vendor)
 
-def read_csv_strings(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Every column as text, blanks kept as ``""`` (the CSV reader yields null for them)."""
-    df = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path)
-    return df.na.fill("")
 
+def _csv(spark: SparkSession, paths: str | list[str], sep: str, multi_line: bool) -> DataFrame:
+    """Text columns; quoted fields may hold separators, doubled quotes and line breaks; blanks are ``""``."""
+    r = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).option("escape", '"')
+    return r.option("multiLine", multi_line).csv(paths).na.fill("")
 
-def sniff_separator(spark: SparkSession, path: str) -> str:
-    """``;`` when the header line has more ``;`` than ``,``, else ``,`` (reads one line per file)."""
-    head = spark.read.text(path).limit(1).collect()
-    line = head[0][0] if head else ""
-    return ";" if line.count(";") > line.count(",") else ","
 
+def read_csv_strings(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = True) -> DataFrame:
+    """Every column as text, blanks kept as ``""`` (the CSV reader yields null for them).
 
-def read_csv_sniffed(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a sniffed separator; a trailing ``;`` is stripped from the column names."""
-    sep = sniff_separator(spark, path)
-    df = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path)
-    names = [c.strip().rstrip(";") for c in df.columns]
-    keep = [(c, n) for c, n in zip(df.columns, names) if n != "" or not c.startswith("_c")]
-    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in keep])
+    A file whose fields may hold line breaks is read by one task; where none does, ``multi_line=False`` lets Spark cut
+    large files into splits.
+    """
+    return _csv(spark, path, sep, multi_line)
+
+
+def separator(header: str) -> str:
+    """``;`` when the header line has more ``;`` than ``,``, else ``,``."""
+    return ";" if header.count(";") > header.count(",") else ","
+
+
+def dialects(spark: SparkSession, path: str, glob: str = "*") -> dict[tuple[str, str], list[str]]:
+    """(separator, header line) → the files of a folder (or the file) that have it; only first lines are read."""
+    found: dict[tuple[str, str], list[str]] = {}
+    for file, head in commits.first_lines(spark, path, glob):
+        found.setdefault((separator(head), head), []).append(file)
+    return found
+
+
+def read_csv_sniffed(spark: SparkSession, path: str, glob: str = "*", multi_line: bool = True) -> DataFrame:
+    """CSV files of any mixture of dialects as one frame; each file has its own separator and columns.
+
+    Files of equal header are read together.  Names are trimmed of blanks and trailing ``;``; unnamed columns are left
+    out; a column that a file does not have is null for its rows.
+    """
+    parts = []
+    for (sep, _), files in sorted(dialects(spark, path, glob).items()):
+        df = _csv(spark, files, sep, multi_line)
+        names = [c.strip().rstrip(";") for c in df.columns]
+        keep = [(c, n) for c, n in zip(df.columns, names) if n != "" and not (c.startswith("_c") and c[2:].isdigit())]
+        parts.append(df.select(*[F.col(f"`{c}`").alias(n) for c, n in keep]))
+    if not parts:
+        raise FileNotFoundError(f"no files in {path}")
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 # Fixed value: drop-file timestamp suffix ``_YYYYMMDD_HHMMSSZ``.
@@ -141,26 +225,29 @@ def preview(df: DataFrame, columns=None, n: int = 200, order=None) -> DataFrame:
     return out.limit(n)
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """Rows, type, nulls and distinct values per column, in one aggregation."""
-    cols = df.columns
-    types = dict(df.dtypes)
-    agg = df.agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"__n{i}") for i, c in enumerate(cols)],
-        *[F.count_distinct(F.col(f"`{c}`")).alias(f"__d{i}") for i, c in enumerate(cols)],
-    )
-    x = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), F.col(f"__n{i}").alias("nulls"),
-                         F.col(f"__d{i}").alias("distinct_values"))
-                for i, c in enumerate(cols)
-            ]
-        )
-    )
-    return agg.select(F.col("__rows").alias("rows"), x.alias("x")).select("x.column", "x.dtype", "rows", "x.nulls", "x.distinct_values")
+def _comparable(df: DataFrame, c: str) -> Column:
+    """A value as text that is equal for equal values only."""
+    name, kind = F.col(f"`{c}`"), df.schema[c].dataType
+    if isinstance(kind, T.FloatType | T.DoubleType):
+        return (name + F.lit(0.0)).cast("string")  # one zero
+    if isinstance(kind, T.BinaryType):
+        return F.hex(name)
+    if isinstance(kind, T.ArrayType | T.MapType | T.StructType):
+        return F.to_json(F.struct(name))
+    return name.cast("string")
 
 
-def safe_name(s: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_.-]", "_", s)
+def profile(df: DataFrame) -> DataFrame:
+    """Rows, type, nulls and distinct values per column, in one pass.
+
+    Rows are unpivoted to (column, value) and counted, with partial results before the shuffle; the counts of a column's
+    values then add up to its rows.
+    """
+    cols = df.columns
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _comparable(df, c).alias("v")) for i, c in enumerate(cols)])).alias("x"))
+    counted = pairs.groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n"))
+    none = F.col("v").isNull()
+    found = counted.groupBy("i").agg(F.sum("n").alias("rows"), F.sum(F.when(none, F.col("n"))).alias("nulls"), F.count("v").alias("distinct_values"))
+    names = df.sparkSession.createDataFrame([(i, c, t) for i, (c, t) in enumerate(df.dtypes)], "i int, column string, dtype string")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    return names.join(found, "i", "left").select("column", "dtype", zero("rows"), zero("nulls"), zero("distinct_values"))

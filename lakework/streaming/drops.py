@@ -34,7 +34,7 @@ def upsert_stream(
     order_col: str | None = None,
     max_files_per_trigger: int | None = None,
     options: dict | None = None,
-    buckets: int | None = 64,
+    buckets: int,
 ) -> StreamingQuery:
     """Start an ``availableNow`` stream from ``source`` into an accumulating CURRENT.
 

@@ -81,11 +81,11 @@ def test_drop_stream_upserts_each_file_once(spark):
     spark.createDataFrame([("m1", None, 1.0)], schema).withColumn("ts", F.to_timestamp_ntz(F.lit("2026-01-01 00:00:00"))) \
         .write.mode("append").parquet(src)
     s = spark.createDataFrame([], schema).schema
-    q = upsert_stream(spark, src, s, root=root, layer="silver", dataset="d", keys=["message_id"], checkpoint=root + "/ck", order_col="ts")
+    q = upsert_stream(spark, src, s, root=root, layer="silver", dataset="d", keys=["message_id"], checkpoint=root + "/ck", order_col="ts", buckets=8)
     q.awaitTermination()
     spark.createDataFrame([("m1", None, 2.0), ("m2", None, 3.0)], schema).withColumn("ts", F.to_timestamp_ntz(F.lit("2026-01-02 00:00:00"))) \
         .write.mode("append").parquet(src)
-    q = upsert_stream(spark, src, s, root=root, layer="silver", dataset="d", keys=["message_id"], checkpoint=root + "/ck", order_col="ts")
+    q = upsert_stream(spark, src, s, root=root, layer="silver", dataset="d", keys=["message_id"], checkpoint=root + "/ck", order_col="ts", buckets=8)
     q.awaitTermination()
     cur = RD.read_current(spark, root, "silver", "d")
     assert rows(cur, "message_id", "total") == [("m1", 2.0), ("m2", 3.0)]
