@@ -10,7 +10,9 @@ at most ``capacity`` numbers, and is made on the driver from these:
    generation (a linear programme over the group sizes, priced by an integer
    knapsack), then rounded down; what is left over is packed best-fit decreasing;
 3. actual lengths are substituted group by group, longest first;
-4. small pieces go best-fit into what the substitution left open.
+4. small pieces go best-fit into what the substitution left open;
+5. while the plan needs more sequences than its tokens do, the emptiest sequences, up to half of all, are taken apart and
+   their pieces packed again, best-fit decreasing.
 
 The plan is a list of runs: how many consecutive sequences hold the same exact
 lengths.  Spark numbers the pieces of each length and looks their place up.
@@ -27,6 +29,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +38,13 @@ from pyspark.sql import functions as F
 
 from lakework.llm.common import materialize, slices, python_workers, text_or_empty
 
-#: Lengths up to capacity / SMALL are small: placed best-fit after the large ones.  The
-#: plan is made for each of these bounds (1: all are small) and numbers of groups; the one of fewest sequences stays.
-SMALL = (8, 4, 1)
-#: Groups of equal cardinality that the large lengths are rounded up in.
-GROUPS = (24, 96)
+#: Lengths up to capacity / SMALL are small: placed best-fit after the large ones.
+SMALL = (3, 2.5, 4, 8, 2.05)
+#: Groups of equal cardinality that the large lengths are rounded up in.  The plan is made for each bound and number of
+#: groups until one needs no more sequences than its tokens do; else the one of fewest sequences stays.
+GROUPS = (24, 96, 192)
+#: Shares of the sequences, those with most room, that are taken apart and packed again.
+REPACK = (0.05, 0.1, 0.2, 0.3, 0.4, 0.5)
 #: Words kept per worker; the cache is emptied when full and long words are not kept.
 CACHE_WORDS = 1_400_000
 CACHED_CHARS = 48
@@ -47,7 +52,17 @@ CACHED_CHARS = 48
 #: White space to the tokenizer; U+001C to U+001F are white space to str.split only.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 SPACES = re.compile("[^\\S\x1c-\x1f]+")
-PUNCTUATION = ".,!?;:%&$*"
+PUNCTUATION = ".,!?;:%&$*#"
+#: A full stop or comma behind neither letter nor digit: part of a longer run of signs.
+IN_RUN = re.compile(r"[.,](?<![^\W_].)")
+#: Words whose letters have one lower case and no decompositions to put together.
+SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿĀ-įıĲ-ɏ]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: bytes without a printable Latin-1 character, in order, stand for characters from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in plain)}
 
 
 class Encoder:
@@ -62,6 +77,17 @@ class Encoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.raw = [int(i).to_bytes(4, "little") for i in range(len(self.ends_word))]
+        self.letters = byte_letters()
+
+    def simple_word(self, word: str) -> bytes:
+        """Ids of a word of simple letters: the merges alone, on the word as the steps before them leave it."""
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.tokenize(word)])
 
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters only: encoded as one text, and told apart by the tokens that end a word."""
@@ -76,14 +102,20 @@ class Encoder:
         """Adds the ids of parts that are not known."""
         known = self.known
         words, marked, others = set(), [], []
+        simple, word = SIMPLE.fullmatch, self.simple_word
         for p in parts:
-            if p.isalpha():
+            if simple(p):
+                known[p] = word(p)
+            elif p.isalpha():
                 words.add(p)
             # Letters and the plain punctuation behind them are always separated by the tokenizer.
             elif (stem := p.rstrip(PUNCTUATION)).isalpha():
                 marked.append(p)
                 if stem not in known:
-                    words.add(stem)
+                    if simple(stem):
+                        known[stem] = word(stem)
+                    else:
+                        words.add(stem)
                 others.append(p[len(stem) :])
             else:
                 others.append(p)
@@ -120,8 +152,16 @@ class Encoder:
 
 
 def parts_of(text: str) -> list[str]:
-    """The text's parts between white space, as the tokenizer sees it."""
-    return SPACES.split(text) if SEPARATORS.search(text) else text.split()
+    """The text's parts between white space, as the tokenizer sees it; where no sign stands next to them, full stops and
+    commas at the end of a part are parts of their own, as the tokenizer has them."""
+    if SEPARATORS.search(text):
+        return SPACES.split(text)
+    # The tokenizer lower-cases too, but finds its own marks before; two letters have no lower case of their own.
+    if "<|" not in text and "İ" not in text and "Σ" not in text:
+        text = text.lower()
+    if not IN_RUN.search(text):
+        text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
+    return text.split()
 
 
 _encoders: dict[str, Encoder] = {}
@@ -309,10 +349,33 @@ def best_fit(runs: list[Run], counts: dict[int, int], capacity: int) -> list[Run
     return [r for rs in by_room.values() for r in rs]
 
 
+def repacked(runs: list[Run], n: int, capacity: int) -> list[Run]:
+    """The same pieces with the ``n`` emptiest sequences taken apart and packed again."""
+    kept, loose = [], {}
+    for r in reversed(sorted(runs, key=lambda r: r.room)):  # of equal room, the last made first
+        took = min(r.count, n)
+        n -= took
+        for length, each in r.items if took else ():
+            loose[length] = loose.get(length, 0) + each * took
+        if r.count > took:
+            kept.append(Run(r.count - took, r.items, r.room))
+    return best_fit(kept, loose, capacity)
+
+
 def plan(counts: np.ndarray, capacity: int) -> list[Run]:
     """Runs that hold exactly ``counts[length]`` pieces of each length."""
-    tries = [(capacity // small, groups) for small in SMALL for groups in (GROUPS if small > 1 else (1,))]
-    return min((grouped_plan(counts, capacity, least, groups) for least, groups in tries), key=lambda runs: sum(r.count for r in runs))
+    size = lambda runs: sum(r.count for r in runs)
+    least = -(-int(counts @ np.arange(len(counts))) // capacity)
+    best: list[Run] | None = None
+    for small, groups in product(SMALL, GROUPS):
+        made = grouped_plan(counts, capacity, int(capacity // small), groups)
+        for share in (0.0, *REPACK):
+            tried = repacked(made, int(size(made) * share), capacity) if share else made
+            if best is None or size(tried) < size(best):
+                best = tried
+            if size(best) <= least:
+                return best
+    return best
 
 
 def grouped_plan(counts: np.ndarray, capacity: int, least: int, n_groups: int) -> list[Run]:
