@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakework.session import checkpoint_dir
@@ -82,3 +82,32 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterato
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def smallest(rows: DataFrame, order: list[str], wanted: dict, counts: dict, by: str | None = None) -> list:
+    """The first ``wanted[label]`` rows of each label by ``order``, whose first column is a hash (long); a list on the driver.
+
+    ``counts`` says how many rows a label has at most.  From it follows a hash below which about twice the wanted rows lie, and only
+    those are passed on, so no task gets more, however many tasks there are.  Where they are too few (rows that the
+    count includes and ``rows`` does not), the bound is raised.
+    """
+    label = F.col(by) if by else F.lit(None)
+    shares = {k: min(1.0, (2 * wanted[k] + 100) / max(n, 1)) for k, n in counts.items() if k in wanted and n}
+    found: list = []
+    while shares:
+        bound = F.lit(None).cast("long")
+        for k, share in shares.items():
+            limit = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+            bound = F.when(label.eqNullSafe(F.lit(k)), F.lit(limit)).otherwise(bound)
+        w = Window.partitionBy(label.alias("__label")).orderBy(*order) if by else Window.orderBy(*order)
+        most = F.lit(None).cast("long")
+        for k in shares:
+            most = F.when(label.eqNullSafe(F.lit(k)), F.lit(wanted[k])).otherwise(most)
+        got = rows.filter(F.col(order[0]) <= bound).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).collect()
+        mine = {k: [r for r in got if (r[by] if by else None) == k] for k in shares}
+        done = [k for k, own in mine.items() if len(own) >= wanted[k] or shares[k] >= 1.0]
+        for k in done:
+            found += mine[k]
+            del shares[k]
+        shares = {k: min(1.0, 8 * s) for k, s in shares.items()}
+    return found

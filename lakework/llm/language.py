@@ -20,11 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from lakework.llm.common import id_remainder, slices, python_workers
+from lakework.llm.common import id_remainder, python_workers, slices, smallest
 
 #: The classifier is fitted on at most this many rows of each label, of each at
 #: most ``BLOCK`` characters from a place chosen by hash; the first
@@ -98,7 +98,8 @@ class Scorer:
         shared = present[:, self.model.grams].astype(np.float32) @ self.held
         return shared / np.sqrt(np.maximum(own, 1))[:, None] * self.scale
 
-    def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
+    def score(self, texts: list[str | None]) -> list[tuple[str, float, int]]:
+        """Label, score and number of letters of each text."""
         blocks, owner, weight = [], [], []
         for i, text in enumerate(texts):
             if not text:
@@ -122,10 +123,10 @@ class Scorer:
         out = []
         for row, m in zip(total, mass):
             if not m:
-                out.append(("und", 0.0))
+                out.append(("und", 0.0, 0))
             else:
                 best = int(np.argmax(row))
-                out.append((self.model.labels[best], float(np.clip((row[best] / m + 1) / 2, 0, 1))))
+                out.append((self.model.labels[best], float(np.clip((row[best] / m + 1) / 2, 0, 1)), int(m)))
         return out
 
 
@@ -135,12 +136,13 @@ def training_sample(docs: DataFrame, learn: Column, label_col: str, id_col: str,
     text = F.col(text_col).cast("string")
     spare = F.greatest(F.length(text) - F.lit(BLOCK), F.lit(0))
     start = (F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), (spare + 1).cast("long")) + 1).cast("int")
-    rows = docs.filter(learn & F.col(label_col).isNotNull() & text.rlike(r"\p{L}")).select(
-        F.col(label_col).cast("string").alias("label"), order.alias("h"), F.substr(text, start, F.lit(BLOCK)).alias("text")
-    )
-    w = Window.partitionBy("label").orderBy("h", "text")
-    top = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= TRAIN_ROWS)
-    return [(r["label"], r["text"]) for r in sorted(top.collect(), key=lambda r: (r["label"], r["rank"]))]
+    label = F.col(label_col).cast("string").alias("label")
+    labelled = docs.filter(learn & F.col(label_col).isNotNull())
+    # One row per label; texts are not read for it.
+    counts = {r["label"]: r["n"] for r in labelled.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = labelled.filter(text.rlike(r"\p{L}")).select(label, order.alias("h"), F.substr(text, start, F.lit(BLOCK)).alias("text"))
+    top = smallest(rows, ["h", "text"], dict.fromkeys(counts, TRAIN_ROWS), counts, by="label")
+    return [(r["label"], r["text"]) for r in sorted(top, key=lambda r: (r["label"], r["rank"]))]
 
 
 def fit(sample: list[tuple[str, str]]) -> LanguageModel:
@@ -177,23 +179,42 @@ def fit(sample: list[tuple[str, str]]) -> LanguageModel:
     return model
 
 
-def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", label_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
-    """``docs`` with the predicted label and its score (0 to 1) appended, replacing columns of these names."""
+def identify(
+    docs: DataFrame, model: LanguageModel, text_col: str = "text", label_out: str = "lang_pred", score_out: str = "score", letters_out: str | None = None
+) -> DataFrame:
+    """``docs`` with the predicted label, its score (0 to 1) and, if asked for, the number of letters appended, replacing
+    columns of these names."""
     python_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
-    src = docs.drop(label_out, score_out)
+    names = [label_out, score_out, *([letters_out] if letters_out else [])]
+    src = docs.drop(*names)
     at = src.columns.index(text_col)
-    schema = StructType([*src.schema.fields, StructField(label_out, StringType()), StructField(score_out, DoubleType())])
+    kinds = (StringType(), DoubleType(), LongType())
+    schema = StructType([*src.schema.fields, *(StructField(n, k) for n, k in zip(names, kinds))])
 
     def run(batches):
         scorer = Scorer(shared.value)
         for b in slices(batches):
             got = scorer.score(b.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], [f.name for f in schema])
+            made = [pa.array(c, k) for c, k in zip(zip(*got), (pa.string(), pa.float64(), pa.int64()))] if got else [pa.array([], k) for k in (pa.string(), pa.float64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *made[: len(names)]], [f.name for f in schema])
 
     return src.mapInArrow(run, schema)
 
 
+#: A text of this many letters that every one-versus-rest machine turns down is in none of the languages.
+ENOUGH_LETTERS = 100
+
+
+def in_a_language(label: Column, score: Column, letters: Column) -> Column:
+    """Whether a text is in one of the learned languages.
+
+    A score of 0.5 is a machine's zero: below it the best of them says no.  Shorter texts hold too few
+    n-grams to be turned down for that; only those without a letter are.
+    """
+    return (label != "und") & ((score >= 0.5) | (letters < ENOUGH_LETTERS))
+
+
 def train(docs: DataFrame, modulus: int = 5, held_out: int = 0, label_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> LanguageModel:
     """A model from the labelled rows whose id remainder is not ``held_out``."""
     return fit(training_sample(docs, id_remainder(id_col, modulus) != held_out, label_col, id_col, text_col))

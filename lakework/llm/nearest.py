@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakework.llm.common import materialize, python_workers
+from lakework.llm.common import materialize, python_workers, smallest
 
 #: Centroids of each half, fitted on at most ``SAMPLE`` distinct vectors; all vectors are indexed.
 CENTROIDS = 16
@@ -156,11 +156,12 @@ def search(vectors: DataFrame, query: Column, k: int = 5, id_col: str = "vec_id"
     python_workers(spark, BLOCK)
     rows = materialize(entries(vectors, id_col, vector_col), "vectors")
     key = ["k1", "k2"]
-    smallest = Window.partitionBy(*key).orderBy("id")
-    firsts = rows.distinct().withColumn("no", F.row_number().over(smallest)).filter(F.col("no") <= k + 1)
+    by_id = Window.partitionBy(*key).orderBy("id")
+    firsts = rows.distinct().withColumn("no", F.row_number().over(by_id)).filter(F.col("no") <= k + 1)
     index = materialize(firsts.groupBy(*key).agg(F.array_sort(F.collect_list("id")).alias("ids"), F.first("v").alias("v")), "distinct-vectors")
     asked = materialize(rows.filter(query).select("id", *key).distinct(), "queries")
-    sample = index.orderBy("k1", "k2").limit(SAMPLE).select("v").collect()
+    n_distinct = index.count()
+    sample = smallest(index.select("k1", "k2", "v"), ["k1", "k2"], {None: SAMPLE}, {None: n_distinct})
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not sample:
         return empty

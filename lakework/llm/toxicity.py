@@ -27,11 +27,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lakework.llm.common import id_remainder, slices, python_workers, text_or_empty
+from lakework.llm.common import id_remainder, python_workers, slices, smallest, text_or_empty
 
 #: The classifier is fitted on at most this many labelled rows of each class, of
 #: each at most ``SAMPLE_CHARS`` characters from a place chosen by hash.
@@ -140,10 +140,9 @@ def training_sample(
     marked = labels.filter(learn & F.col(label_col).isin(0, 1)).groupBy("doc_id").agg(F.max(label_col).cast("int").alias("y"))
     totals = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     h = F.xxhash64(F.col("doc_id").cast("string"), F.lit(11))
-    w = Window.partitionBy("y").orderBy("h", "doc_id")
     # Ids are picked first; texts are joined to this bounded number of rows only.
-    top = marked.withColumn("h", h).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= max(TOXIC_ROWS, ORDINARY_ROWS))
-    picked = top.filter(F.col("rank") <= F.when(F.col("y") == 1, TOXIC_ROWS).otherwise(ORDINARY_ROWS))
+    top = smallest(marked.withColumn("h", h), ["h", "doc_id"], {0: ORDINARY_ROWS, 1: TOXIC_ROWS}, totals, by="y")
+    picked = docs.sparkSession.createDataFrame([(r["doc_id"], r["y"], r["h"]) for r in top], "doc_id long, y int, h long")
     text = text_or_empty("text")
     spare = F.greatest(F.length(text) - F.lit(SAMPLE_CHARS), F.lit(0))
     start = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(13)), (spare + 1).cast("long")) + 1).cast("int")

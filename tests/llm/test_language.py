@@ -53,3 +53,41 @@ def test_source_id_and_label_are_no_inputs(spark, documents):
     other = language.identify(documents.select((F.col("doc_id") + 1000).alias("doc_id"), "text", F.lit("zz").alias("lang")), model)
     key = lambda df: sorted((r["lang_pred"], r["score"]) for r in df.collect())
     assert key(plain) == key(other)
+
+
+def test_texts_in_no_language_are_turned_down(spark):
+    """Markup, code and text in other scripts go, texts in the learned languages and short ones stay."""
+    import random
+
+    rng = random.Random(1)
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    junk = [
+        "".join(rng.choice("0123456789abcdef") for _ in range(2000)),
+        "<div class='x'><a href='/p?id=12'>x</a></div>\n" * 40,
+        "for(int i=0;i<n;++i){a[i]=b[i]*c[i];} if(x!=NULL) return x->y;\n" * 20,
+        "Это обычный русский текст о погоде и природе. " * 20,
+        "これは日本語の文章です。今日は天気がいい。" * 20,
+    ]
+    planted = spark.createDataFrame([(-i, t) for i, t in enumerate(junk, 1)] + [(-10, "Ja."), (-11, "12 34")], "doc_id long, text string")
+    found = language.identify(docs.select("doc_id", "text").unionByName(planted), language.train(docs), letters_out="letters")
+    kept = found.filter(language.in_a_language(F.col("lang_pred"), F.col("score"), F.col("letters"))).select("doc_id")
+    ids = {r["doc_id"] for r in kept.collect()}
+    assert {i for i in ids if i < 0} == {-10}
+    assert len([i for i in ids if i >= 0]) >= 0.999 * docs.count()
+
+
+def test_sample_does_not_grow_with_tasks(spark):
+    """The same sample from 4 and from 200 partitions, of which no task hands on more than its share."""
+    from lakework.llm.common import smallest
+
+    rows = spark.range(40_000).select(F.xxhash64("id").alias("h"), (F.col("id") % 2).alias("y"), "id")
+    want = {y: sorted((r["h"], r["id"]) for r in rows.filter(f"y = {y}").collect())[:300] for y in (0, 1)}
+    for parts in (4, 200):
+        dealt = rows.repartition(parts)
+        got = smallest(dealt, ["h", "id"], {0: 300, 1: 300}, {0: 20_000, 1: 20_000}, by="y")
+        assert {y: sorted((r["h"], r["id"]) for r in got if r["y"] == y) for y in (0, 1)} == want
+    # Counts that promise more than there is: the bound is raised until it holds all.
+    few = rows.filter("id < 1000")
+    assert len(smallest(few, ["h", "id"], {0: 300, 1: 900}, {0: 20_000, 1: 20_000}, by="y")) == 300 + 500
+    assert len(smallest(few, ["h"], {None: 50}, {None: 1000})) == 50
+    assert smallest(few, ["h"], {}, {}) == []

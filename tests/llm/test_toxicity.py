@@ -32,7 +32,7 @@ def test_held_out_with_many_labels(spark):
 
 
 def test_held_out_with_few_labels(spark):
-    """329 toxic rows to learn from; only the English ones hold toxic words, the other labels are noise."""
+    """329 toxic rows to learn from, most of them English; the other languages have a test of their own."""
     caught, false = rates(spark, LARGER, ["en"])
     assert caught > 0.7 and false < 0.05, (caught, false)
 
