@@ -18,30 +18,38 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that the compression distance does not take for toxic."""
+    """Texts that the compression distance does not take for toxic.
+
+    Null and empty texts are no more toxic than the labels' share; without labels of both kinds all texts stay or go by
+    it alone.  Rows that repeat are judged alike.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model, out="__toxicity")
     return scored.filter(~toxicity.toxic(F.col("__toxicity"))).select(*docs.columns)
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that are in one of the languages: those without a letter go."""
-    found = language.identify(docs, language.train(docs), label_out="__lang", score_out="__score")
-    return found.filter(F.col("__lang") != "und").select(*docs.columns)
+    """Texts in one of the languages that the labelled documents teach.
+
+    Those go that hold no letter (null and empty ones too), and those of 100 letters or more that every language's classifier turns down.
+    Without labels nothing can be learned, and every text goes.
+    """
+    found = language.identify(docs, language.train(docs), label_out="__lang", score_out="__score", letters_out="__letters")
+    return found.filter(language.in_a_language(F.col("__lang"), F.col("__score"), F.col("__letters"))).select(*docs.columns)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest id."""
+    """Of equal texts the one with the largest id; null equals empty, and rows that repeat id and text leave one."""
     return exact.drop_copies(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the one with the smallest id."""
+    """Of each class of near duplicates the one with the smallest id; a text without words is like no other."""
     return neardup.drop_near_copies(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 2,048 tokens and their places in training sequences."""
+    """Pieces of at most 2,048 tokens and their places in training sequences; an empty or null text is its closing id alone."""
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 
