@@ -2,8 +2,9 @@
 
 A message's lines are parsed into nested quote levels (leading ``>`` marks);
 consecutive lines of a level are a passage.  Quoted passages and the messages' own passages
-are normalised and hashed; a join inside the conversation links each quotation to the
-first earlier message that says it, by the whole passage or else by its first line that matches.
+are normalised and hashed: whole, by paragraph, by sentence and by line, on both sides.  A join inside the conversation links each quotation to the
+first earlier message that says it, by the whole passage or else by its first part that matches, so a quotation may begin and
+end at any sentence or line and be wrapped anew.
 Messages then follow what they reply to, without the quotations.
 
 Order: a message replies to the message that its least nested, first
@@ -29,8 +30,11 @@ from lakework.llm.common import materialize, slices, python_workers, text_or_emp
 MARKS = re.compile(r"[ \t]*((?:>[ \t]?)*)")
 #: A line that only announces a quotation ("On ..., X wrote:") goes with it.
 ATTRIBUTION = re.compile(r"(?i)^\s*(on\b.*\bwrote|.*\b(wrote|schrieb|écrit|escribió))\s*:\s*$")
-#: Single lines of a longer passage or message identify nothing with fewer normalised characters; whole ones always do.
-LEAST_CHARS = 8
+#: Single lines and sentences of a longer passage or message identify nothing with fewer bytes, normalised; whole ones
+#: and whole paragraphs always do.
+LEAST_BYTES = 8
+#: A sentence ends behind its mark and white space, or behind a full-width mark.
+SENTENCE = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])")
 
 
 def normalised(text: str) -> str:
@@ -52,8 +56,8 @@ def passages(text: str) -> list[tuple[int, list[str]]]:
 
 
 def _key(text: str, least: int = 1) -> bytes | None:
-    n = normalised(text)
-    return hashlib.blake2b(n.encode("utf-8", "surrogatepass"), digest_size=16).digest() if len(n) >= least else None
+    n = normalised(text).encode("utf-8", "surrogatepass")
+    return hashlib.blake2b(n, digest_size=16).digest() if len(n) >= least else None
 
 
 def unquoted(parts: list[tuple[int, list[str]]]) -> str:
@@ -71,18 +75,27 @@ def unquoted(parts: list[tuple[int, list[str]]]) -> str:
     return "\n".join(kept).strip()
 
 
+def units(lines: list[str]) -> list[bytes]:
+    """Keys of a passage, most telling first: of the whole, its paragraphs, their sentences, its lines."""
+    paragraphs: list[list[str]] = [[]]
+    for line in lines:
+        if line.strip():
+            paragraphs[-1].append(line)
+        elif paragraphs[-1]:
+            paragraphs.append([])
+    joined = [" ".join(p) for p in paragraphs if p]
+    keys = [_key(" ".join(joined)), *map(_key, joined)]
+    keys += [_key(sentence, LEAST_BYTES) for p in joined for sentence in SENTENCE.split(p)]
+    keys += [_key(line, LEAST_BYTES) for line in lines]
+    return list(dict.fromkeys(k for k in keys if k))
+
+
 def parse(text: str) -> tuple[str, list[tuple[int, int, int, bytes]], list[bytes]]:
     """Own text; keys of its quotations as (level, passage, rank, key); keys of what it says itself."""
     parts = passages(text)
-    quoted, said = [], set()
-    for i, (level, lines) in enumerate(parts):
-        if level:
-            keys = [_key(" ".join(lines)), *(_key(line, LEAST_CHARS) for line in lines)]
-            quoted += [(level, i, rank, k) for rank, k in enumerate(keys) if k]
+    quoted = [(level, i, rank, k) for i, (level, lines) in enumerate(parts) if level for rank, k in enumerate(units(lines))]
     own = unquoted(parts)
-    said.update(k for unit in [own, *re.split(r"\n\s*\n", own)] if (k := _key(unit)))
-    said.update(k for line in own.split("\n") if (k := _key(line, LEAST_CHARS)))
-    return own, quoted, sorted(said)
+    return own, quoted, sorted(units(own.split("\n")))
 
 
 PARSED = "conv_id long, turn long, role string, body string, quoted array<struct<level:int,passage:int,rank:int,key:binary>>, said array<binary>"

@@ -54,3 +54,56 @@ def test_edge_rows(spark):
     got = quotes.reply_order(frame).collect()
     assert len(got) == len(rows) and all(r["reply_to"] is None for r in got)
     assert quotes.reply_order(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_parts_of_messages(spark):
+    """A sentence out of a longer line; two of three paragraphs, wrapped anew; two sentences over a line break."""
+    rows = [
+        (1, 0, "user", "Hi, good morning. Is it done by Friday? Tell me when you know."),
+        (1, 1, "user", "> Is it done by Friday?\nYes."),
+        (1, 2, "user", "The first paragraph is\nabout tables.\n\nThe second one is about\njoins of them.\n\nThe third is about\nnothing."),
+        (1, 3, "user", "> The second one is about joins of\n> them.\n>\n> The third is about nothing.\nI see."),
+        (1, 4, "user", "One is here. Two stands behind it.\nThree begins a line. Four ends it."),
+        (1, 5, "user", ">> Two stands behind it. Three begins a\n>> line.\nI see two."),
+        (1, 6, "user", "我想知道结果。什么时候完成呢？请告诉我。"),
+        (1, 7, "user", "> 什么时候完成呢？请告诉我。\n星期五"),
+    ]
+    got = by_turn(quotes.reply_order(spark.createDataFrame(rows, SCHEMA)), 1)
+    assert {t: r["reply_to"] for t, r in got.items()} == {0: None, 1: 0, 2: None, 3: 2, 4: None, 5: 4, 6: None, 7: 6}
+
+
+def test_recall_against_brute_force(spark):
+    """Quotations of random runs of sentences, wrapped at random widths: each links to the first message that holds it."""
+    import random
+    import textwrap
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
+    sentence = lambda: " ".join(word() for _ in range(rng.randint(3, 9))).capitalize() + rng.choice(".!?")
+    rows, want = [], {}
+    for conv in range(40):
+        said: list[list[list[str]]] = []
+        for turn in range(12):
+            own = [[sentence() for _ in range(rng.randint(1, 5))] for _ in range(rng.randint(1, 3))]
+            if turn > 3 and rng.random() < 0.3:  # somebody repeats an old sentence in their own words
+                own[0][0] = said[1][0][0]
+            text = "\n\n".join(textwrap.fill(" ".join(p), rng.randint(30, 80)) for p in own)
+            want[conv, turn] = None
+            if turn and rng.random() < 0.7:
+                paragraph = rng.choice(rng.choice(said))
+                a = rng.randrange(len(paragraph))
+                part = paragraph[a : rng.randint(a + 1, len(paragraph))]
+                quoted = "\n".join("> " + x for x in textwrap.wrap(" ".join(part), rng.randint(25, 70)))
+                text = f"{quoted}\n{text}"
+                # Brute force: the first message with a paragraph that holds the run of sentences, or else its first sentence.
+                holds = lambda t, run: any(p[i : i + len(run)] == run for p in said[t] for i in range(len(p)))
+                want[conv, turn] = next((t for t in range(turn) if holds(t, part)), None)
+                if len(part) > 1 and not any(p == part for t in range(turn) for p in said[t]):
+                    want[conv, turn] = next(t for t in range(turn) if holds(t, part[:1]))
+            said.append(own)
+            rows.append((conv, turn, "user", text))
+    got = {(r["conv_id"], r["turn"]): r["reply_to"] for r in quotes.reply_order(spark.createDataFrame(rows, SCHEMA)).collect()}
+    linked = [k for k, v in want.items() if v is not None]
+    assert len(linked) > 200 and all(got[k] is not None for k in linked)
+    assert all(got[k] is None for k, v in want.items() if v is None)
+    assert sum(got[k] == want[k] for k in linked) >= 0.99 * len(linked)
