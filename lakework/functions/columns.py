@@ -94,6 +94,14 @@ def conform(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, list[str],
     return df.select(*cols), missing, extra
 
 
+def misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """For each column of the schema that ``df`` has, how many values ``conform`` turns to null because they do not fit."""
+    fields = [f for f in schema.fields if f.name in df.columns]
+    counts = df.agg(*[F.count_if(q(f.name).isNotNull() & q(f.name).try_cast(f.dataType).isNull()).alias(f"n{i}") for i, f in enumerate(fields)])
+    rows = [F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"), F.col(f"n{i}").alias("misfits")) for i, f in enumerate(fields)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def keep_existing(df: DataFrame, keep: Sequence[str], rest: bool = False) -> DataFrame:
     """The listed columns that exist, in order; optionally the others after them."""
     first = [c for c in keep if c in df.columns]

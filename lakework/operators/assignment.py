@@ -95,7 +95,7 @@ def scope_package_columns(columns: Sequence[str]) -> list[tuple[int, str]]:
     """The slot columns and their numbers, ordered by number."""
     hits = []
     for c in columns:
-        m = re.match(SCOPE_PACKAGE_RE.replace("(?i)", ""), c, re.IGNORECASE)
+        m = re.match(SCOPE_PACKAGE_RE, c)
         if m:
             hits.append((int(m.group(1)), c))
     return sorted(hits)
@@ -119,7 +119,7 @@ def unpivot_scope_packages(df: DataFrame, slot_col: str = "scope_package_slot",
         .filter(F.col(value_col).isNotNull() & (F.col(value_col) != ""))
         .withColumn(
             "visit_no",
-            F.regexp_extract(F.col(slot_col), r"(?i)^Scope Package\s*#\s*(\d+)\s*$", 1).try_cast("bigint"),
+            F.regexp_extract(F.col(slot_col), SCOPE_PACKAGE_RE, 1).try_cast("bigint"),
         )
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakework.functions.clean import clean, literal_nulls, to_timestamp_lenient
 from lakework.functions.columns import find_col, q, strip_names
-from lakework.operators.assignment import scope_package_columns
+from lakework.operators.assignment import SCOPE_PACKAGE_RE, scope_package_columns
 from lakework.functions.clean import COMP_SCOPE
 
 # --- fixed values that must equal the reference's -------------------------
@@ -73,7 +73,7 @@ def keyed_transmission(raw: DataFrame, key_cols: Sequence[str] = ("_scope_id", "
         )
         out = out.withColumn(
             "_visit_no",
-            F.regexp_extract("_scope_package_slot", r"(?i)^Scope Package\s*#\s*(\d+)\s*$", 1).try_cast("bigint"),
+            F.regexp_extract("_scope_package_slot", SCOPE_PACKAGE_RE, 1).try_cast("bigint"),
         )
     else:
         scope_c = find_col(df.columns, DIST_SCOPE_NAMES)

@@ -36,7 +36,7 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
         hits = [c for c in df.columns if rx.search(c)]
         rows.append((contract.name, "any_of_regex", pat, bool(hits), ";".join(hits) or None))
     present = [lower[c.lower()] for c in contract.not_all_null if c.lower() in lower]
-    names = ", ".join("name string, check string, target string, ok boolean, detail string".split(", "))
+    names = "name string, check string, target string, ok boolean, detail string"
     static = spark.createDataFrame(rows, names) if rows else None
     checks = None
     if present:

@@ -361,9 +361,8 @@ def grid_lines(spark, sf) -> DataFrame:
 
 def invoice_header(spark, sf) -> DataFrame:
     rd, rid = RUNS["invoices"]
-    cells, emails = _cells(spark, sf), _emails(spark, sf)
     return I.invoice_header_v1(
-        I.header_kv_v1(cells), I.email_fields(emails, "v1"), _attachments(spark, sf), emails,
+        I.header_kv_v1(_cells(spark, sf)), I.email_fields(_emails(spark, sf), "v1"), _attachments(spark, sf),
         run_date=rd, run_id=rid, source_system="ARIBA_EMAIL_EXPORT",
     )
 

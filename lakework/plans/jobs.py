@@ -251,18 +251,22 @@ def invoice_intake_v2(cells: DataFrame, attachment_files: DataFrame, email_files
     att = I.attachment_manifest(attachment_files)
     em = I.email_index(email_files)
     canon = number_rows(I.canonical_lines_v2(I.line_table_v2(cells)), ["message_id"], "row_idx")
-    manifest = I.file_manifest_v2(att, em.drop("html"), canon, run_date=run.run_date, run_id=run.run_id, source_system=source_system)
+    spark, lin = cells.sparkSession, dict(run_date=run.run_date, run_id=run.run_id)
+
+    def publish(df: DataFrame, layer: str, name: str) -> DataFrame:
+        PB.publish_whole_table(df.drop("run_date", "run_id"), root, layer, name, **lin)
+        return RD.read_current(spark, root, layer, name)
+
+    manifest = publish(I.file_manifest_v2(att, em.drop("html"), canon, source_system=source_system, **lin), "bronze", "vendor_invoices_file_manifest")
+    # The verdicts are read back, not derived again.
     ok = manifest.filter(F.col("status") == "PARSED_OK").select("message_id")
     meta = I.email_fields(em, "v2")
-    kv = I.header_kv_v2(cells)
     header = (att.join(em.select("message_id", "html_file"), "message_id").join(ok, "message_id", "left_semi")
-              .join(meta, "message_id", "left").join(kv, "message_id", "left"))
-    lines = canon.join(ok, "message_id", "left_semi").join(meta.select("message_id", "supplier", "supplier_invoice_number"), "message_id", "left")
-    out = {"vendor_invoices_file_manifest": manifest, "vendor_invoice_header": header, "vendor_invoice_line": lines}
-    layers = {name: "bronze" if name.endswith("manifest") else "silver" for name in out}
-    for name, df in out.items():
-        PB.publish_whole_table(df.drop("run_date", "run_id"), root, layers[name], name, run_date=run.run_date, run_id=run.run_id)
-    return {name: RD.read_current(cells.sparkSession, root, layers[name], name) for name in out}
+              .join(meta, "message_id", "left").join(I.header_kv_v2(cells), "message_id", "left"))
+    header = publish(header, "silver", "vendor_invoice_header")
+    meta = header.select("message_id", "supplier", "supplier_invoice_number")
+    lines = publish(canon.join(ok, "message_id", "left_semi").join(meta, "message_id", "left"), "silver", "vendor_invoice_line")
+    return {"vendor_invoices_file_manifest": manifest, "vendor_invoice_header": header, "vendor_invoice_line": lines}
 
 
 def invoice_intake_v1(spark: SparkSession, cells: DataFrame, attachment_files: DataFrame, email_files: DataFrame, *, root: str, run: Run,
@@ -278,16 +282,17 @@ def invoice_intake_v1(spark: SparkSession, cells: DataFrame, attachment_files: D
     em = I.email_index(email_files)
     hdr_rows = I.header_row_v1(cells)
     ok = att.join(em.select("message_id"), "message_id", "left_semi").join(hdr_rows.select("message_id"), "message_id", "left_semi")
-    header = I.invoice_header_v1(I.header_kv_v1(cells), I.email_fields(em, "v1"), ok, em, run_date=run.run_date, run_id=run.run_id,
-                                 source_system=source_system)
-    lines = I.invoice_lines_v1(I.line_table_v1(cells), header, run_date=run.run_date, run_id=run.run_id,
-                               source_system=source_system)
+    out, lin = {}, dict(run_date=run.run_date, run_id=run.run_id)
+
+    def load(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+        """HISTORY of the run and the accumulated CURRENT; returns the rows of the run as written."""
+        history = PB.publish_history(df.drop("run_date", "run_id"), root, "silver", name, **lin)
+        written = RD.read_run(spark, history, df.schema, **lin)
+        out[name] = PB.publish_accumulating(spark, written.withColumn("__load_seq", F.lit(load_seq).cast("bigint")), root, "silver", name, keys, run_id=run.run_id)
+        return written
+
+    header = load(I.invoice_header_v1(I.header_kv_v1(cells), I.email_fields(em, "v1"), ok, source_system=source_system, **lin), "vendor_invoice_header_v1", ["message_id"])
+    lines = load(I.invoice_lines_v1(I.line_table_v1(cells), header, source_system=source_system, **lin), "vendor_invoice_line_v1", ["message_id", "line_number"])
     manifest = I.file_manifest_v1(att, em.drop("html"), hdr_rows, lines)
-    out = {"vendor_invoice_file_status": manifest}
-    for name, df, keys in (("vendor_invoice_header_v1", header, ["message_id"]), ("vendor_invoice_line_v1", lines, ["message_id", "line_number"])):
-        history = PB.publish_history(df.drop("run_date", "run_id"), root, "silver", name, run_date=run.run_date, run_id=run.run_id)
-        written = RD.read_run(spark, history, df.schema, run_date=run.run_date, run_id=run.run_id)
-        out[name] = PB.publish_accumulating(spark, written.withColumn("__load_seq", F.lit(load_seq).cast("bigint")), root, "silver", name, keys,
-                                            run_id=run.run_id)
-    PB.publish_history(manifest, root, "bronze", "vendor_invoice_file_status", run_date=run.run_date, run_id=run.run_id)
-    return out
+    PB.publish_history(manifest, root, "bronze", "vendor_invoice_file_status", **lin)
+    return {"vendor_invoice_file_status": manifest} | out

@@ -8,7 +8,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
+from lakework.functions import columns as COL
 from lakework.operators import delta as D
 from lakework.operators import eligibility as E
 from lakework.operators import evidence as V
@@ -37,6 +39,11 @@ def queries(role: Role, base: Callable[[SparkSession, str, str], DataFrame], own
         parts = [RD.read_optional(spark, RD.dataset_path(root, "silver", name, "CURRENT"), supplier.schema) for name in ("supplier", "never")]
         return parts[0].unionByName(parts[1])
 
+    def schema_misfits(spark, sf) -> DataFrame:
+        """What a schema would lose of the survey export's text columns."""
+        raw = role(spark, sf, "survey_raw").select("createdAt", "readyToSync", F.col("src_pos").cast("string").alias("src_pos"))
+        return COL.misfits(raw, _parse_datatype_string("createdAt timestamp_ntz, readyToSync boolean, src_pos int, absent int"))
+
     def newest_drop(spark, sf) -> DataFrame:
         """The newest of many drop files, of which some carry no time in their name."""
         return RD.newest_drop_file(role(spark, sf, "drop_listing"))
@@ -152,10 +159,9 @@ def queries(role: Role, base: Callable[[SparkSession, str, str], DataFrame], own
         return role(spark, sf, "invoice_cells"), role(spark, sf, "invoice_attachment_files"), role(spark, sf, "invoice_email_files")
 
     def invoice_job_v2(spark, sf) -> DataFrame:
-        """The second variant's job, run twice: the lines of the files that are valid."""
+        """The second variant's job: the lines of the files that are valid."""
         root = scratch(spark, "invoices2")
-        for _ in range(2):
-            J.invoice_intake_v2(*_invoice_inputs(spark, sf), root=root, run=J.Run(*RUNS["invoices"]))
+        J.invoice_intake_v2(*_invoice_inputs(spark, sf), root=root, run=J.Run(*RUNS["invoices"]))
         return RD.read_current(spark, root, "silver", "vendor_invoice_line").select("message_id", "line_number", "floc_id", "scope_id", "unit_rate", "supplier")
 
     def invoice_job_v1(spark, sf) -> DataFrame:

@@ -1104,6 +1104,10 @@ def _contract_sql(name: str, raw: str, required: tuple[str, ...], slots: str | N
 _SLOTS = "Scope Package #1;Scope Package #2"
 _FINAL.update({
     "optional_read": "SELECT * FROM supplier",
+    "schema_misfits": """
+        SELECT "column", dtype, misfits
+        FROM (SELECT count(*) FILTER (WHERE createdAt LIKE '%/%') AS a, count(*) FILTER (WHERE readyToSync = 'maybe') AS b FROM survey_raw) x,
+             LATERAL (VALUES ('createdAt', 'timestamp_ntz', x.a), ('readyToSync', 'boolean', x.b), ('src_pos', 'int', 0)) AS t("column", dtype, misfits)""",
     "newest_drop": """
         SELECT * FROM drop_listing WHERE file_name LIKE 'azure%'
         ORDER BY regexp_extract(file_name, '_([0-9]{8}_[0-9]{6})Z', 1) DESC, file_name DESC LIMIT 1""",

@@ -17,6 +17,12 @@ def _at(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as its file system spells it."""
+    fs, p = _at(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern, in order."""
     fs, p = _at(spark, pattern)

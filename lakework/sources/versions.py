@@ -72,9 +72,9 @@ def publish(df: DataFrame, path: str, *, partitions: Sequence[str] = (), run_id:
 
 def _folders(spark: SparkSession, path: str, depth: int, version: str = "*") -> list[tuple[str, str, str]]:
     """(partition, version, path) of the version folders below ``depth`` partition columns."""
-    out = []
+    out, root = [], commits.qualified(spark, path)
     for p in commits.matching(spark, f"{path}/{'*/' * depth}{VERSION}={version}"):
-        place, found = p.split(f"{path}/", 1)[-1].rsplit(f"{VERSION}=", 1)
+        place, found = p.removeprefix(f"{root}/").rsplit(f"{VERSION}=", 1)
         out.append((place.rstrip("/"), found, p))
     return out
 

@@ -2,6 +2,7 @@
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakework.plans import jobs as J
@@ -86,3 +87,39 @@ def test_invoice_intake_v1_accumulates(spark):
     out2 = J.invoice_intake_v1(spark, cells, att, em, root=root, run=J.Run("2026-02-02", "i2"), load_seq=2)
     assert out2["vendor_invoice_header_v1"].count() == 1
     assert rows(out2["vendor_invoice_header_v1"], "invoice_number", "supplier") == [("INV-1", "ACME")]
+
+
+def test_invoice_intake_v2_twice(spark):
+    """A rerun leaves one copy of everything; a sheet without a line table fails."""
+    root = tempfile.mkdtemp(prefix="lw-inv2-", dir="/tmp")
+    cells = spark.createDataFrame(
+        [("M1", 0, 0, "Invoice Number"), ("M1", 0, 1, "INV-1"), ("M1", 90, 0, "Floc ID"), ("M1", 90, 1, "SCE_STRUCT__"), ("M1", 90, 3, "BlockID"),
+         ("M1", 91, 0, "OH-1"), ("M1", 91, 1, "S1"), ("M1", 91, 3, "D2603-0001"), ("M1", 92, 2, "junk"), ("M1", 93, 0, "OH-3"),
+         ("M2", 0, 0, "nothing here"), ("M3", 0, 0, "FLOCID"), ("M3", 1, 0, "XX-1")],
+        "message_id string, row_idx int, col_idx int, value string",
+    )
+    att = spark.createDataFrame([(f"att__M{k}__INV.xlsx",) for k in (1, 2, 3)], "file_name string")
+    em = spark.createDataFrame([(f"email__M{k}_.html", "<span>Supplier</span><span>ACME</span>") for k in (1, 2, 3)], "file_name string, html string")
+    for _ in range(2):
+        out = J.invoice_intake_v2(cells, att, em, root=root, run=J.Run("2026-02-01", "i1"))
+    assert rows(out["vendor_invoices_file_manifest"], "message_id", "status", "bad_floc_sample") == [
+        ("M1", "PARSED_OK", None), ("M2", "FAILED_VALIDATION_NO_LINES", None), ("M3", "FAILED_VALIDATION_BAD_FLOC", "XX-1"),
+    ]
+    assert rows(out["vendor_invoice_line"], "floc_id", "sce_struct", "scope_id", "line_number", "supplier") == [
+        ("OH-1", "S1", "D2603", 1, "ACME"), ("OH-3", None, None, 2, "ACME"),
+    ]
+    assert rows(out["vendor_invoice_header"], "message_id", "invoice_number_xlsx") == [("M1", "INV-1")]
+    history = RD.read_history(spark, root, "silver", "vendor_invoice_line")
+    assert history.count() == 2
+
+
+def test_a_missing_sheet_is_skipped(spark):
+    root = tempfile.mkdtemp(prefix="lw-wb-", dir="/tmp")
+    sheet = spark.createDataFrame([("A1", "D1", "2026-01-13")], "FLOC string, SCOPE_ID string, SCOPE_REMOVAL_DATE string")
+    metrics = {}
+    run = J.Run("2026-01-15", "w1")
+    out = J.events_workbook_intake({"Distribution": sheet, "Notes": sheet}, root=root, vendor="V", event_type="removal", run=run, metrics=metrics)
+    assert rows(out, "scope_floc_key", "source_sheet") == [("D1|A1", "Distribution")] and metrics == {"Transmission__skipped": "missing sheet"}
+    for book, what in (({}, "none of the sheets"), ({"Distribution": sheet.drop("FLOC")}, "required FLOC")):
+        with pytest.raises(ValueError, match=what):
+            J.events_workbook_intake(book, root=root, vendor="V", event_type="removal", run=run)

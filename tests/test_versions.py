@@ -160,3 +160,15 @@ def test_vendor_export_twice(spark, tmp_path):
     csv = lambda p: spark.read.option("header", True).csv(p)
     assert rows(csv(history), "vendor", "v", "run_id") == [("A", "1", "r1"), ("A", "2", "r1")]
     assert rows(csv(current), "vendor", "v") == [("A", "1"), ("A", "2"), ("B", "3")]
+
+
+def test_paths_in_other_spellings(spark, tmp_path):
+    """A root given as a URI, with values in partition names that a path must escape."""
+    for root in (f"file://{tmp_path}/a", f"file:{tmp_path}/b/", f"{tmp_path}/c"):
+        for k in (1, 2):
+            df = spark.createDataFrame([("A b/c:1%", k), ("D", k), *([("E*", k)] if k == 1 else [])], "vendor string, v int")
+            PB.publish_vendor_partitioned(df, root, "gold", "t", run_date="2026-01-01", run_id="r:1")
+        assert rows(RD.read_current(spark, root, "gold", "t"), "vendor", "v", "run_id") == [("A b/c:1%", 2, "r:1"), ("D", 2, "r:1")]
+        assert rows(RD.read_history(spark, root, "gold", "t"), "vendor", "v", "run_id") == [("A b/c:1%", 2, "r:1"), ("D", 2, "r:1")]
+        path, schema = RD.dataset_path(root, "gold", "t", "HISTORY"), df.schema
+        assert rows(RD.read_previous_run(spark, path, schema, "r9", by_vendor=True, vendor="A b/c:1%"), "vendor", "v") == [("A b/c:1%", 2)]
