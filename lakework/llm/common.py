@@ -99,11 +99,15 @@ def smallest(rows: DataFrame, order: list[str], wanted: dict, counts: dict, by:
         for k, share in shares.items():
             limit = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
             bound = F.when(label.eqNullSafe(F.lit(k)), F.lit(limit)).otherwise(bound)
-        w = Window.partitionBy(label.alias("__label")).orderBy(*order) if by else Window.orderBy(*order)
-        most = F.lit(None).cast("long")
-        for k in shares:
-            most = F.when(label.eqNullSafe(F.lit(k)), F.lit(wanted[k])).otherwise(most)
-        got = rows.filter(F.col(order[0]) <= bound).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).collect()
+        below = rows.filter(F.col(order[0]) <= bound)
+        if by:
+            w = Window.partitionBy(label.alias("__label")).orderBy(*order)
+            most = F.lit(None).cast("long")
+            for k in shares:
+                most = F.when(label.eqNullSafe(F.lit(k)), F.lit(wanted[k])).otherwise(most)
+            got = below.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).collect()
+        else:
+            got = below.orderBy(*order).limit(wanted[None]).collect()
         mine = {k: [r for r in got if (r[by] if by else None) == k] for k in shares}
         done = [k for k, own in mine.items() if len(own) >= wanted[k] or shares[k] >= 1.0]
         for k in done:

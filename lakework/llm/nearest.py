@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 from lakework.llm.common import materialize, python_workers, smallest
 
-#: Centroids of each half, fitted on at most ``SAMPLE`` distinct vectors; all vectors are indexed.
-CENTROIDS = 16
+#: Centroids of each half at least; they grow with the fourth root of the number of distinct vectors, so cells (pairs of them)
+#: and the vectors of a cell both grow with its square root.  Fitted on at most ``SAMPLE`` distinct vectors; all are indexed.
+CENTROIDS, GROWTH = 16, 1.6
 SAMPLE = 20_000
 ITERATIONS = 12
 #: Share of a sample's true neighbours that the walk must reach, and the sample queries that measure it.
@@ -165,7 +166,7 @@ def search(vectors: DataFrame, query: Column, k: int = 5, id_col: str = "vec_id"
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not sample:
         return empty
-    model = fit(np.array([r["v"] for r in sample]), nearest=k)
+    model = fit(np.array([r["v"] for r in sample]), max(CENTROIDS, int(np.ceil(GROWTH * n_distinct**0.25))), nearest=k)
 
     def assign(batches: Iterator[pa.RecordBatch]):
         for b in batches:
