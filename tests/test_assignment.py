@@ -116,3 +116,33 @@ def test_preferred_assignment_helo_wins(spark):
         ("D1|A1", "HELO", "ACTIVE_HELO"),
         ("D1|A2", "DRONE", "ACTIVE_DRONE"),
     ]
+
+
+def test_unknown_event_types_leave_the_status_open(spark):
+    """An event that is neither removal nor move overrides an older one, keeps the base flag and gives no status."""
+    raw = spark.createDataFrame(
+        [("Distribution", "removal", "V", "F1", "D1", "2026-01-02", None, None, "2026-01-02", "r1"),
+         ("Distribution", "inspected", "V", "F1", "D1", None, None, None, "2026-01-03", "r2"),
+         ("Transmission", "move_to_helo", "V", "F2", None, None, None, "T1", "2026-01-02", "r1"),
+         ("Transmission", "removal", "V", "F3", None, None, "nonsense", "T1", "2026-01-02", "r1"),
+         ("Distribution", "removal", "V", "F4", " ", "1/2/2026 3:04:05", None, None, "2026-01-02", "r1")],
+        "asset_class string, event_type string, vendor string, FLOC string, SCOPE_ID string, SCOPE_REMOVAL_DATE string, Date_Removed string, `Scope Package #1` string, run_date string, run_id string",
+    )
+    events = A.event_lines(raw, run_date=F.col("run_date"), run_id=F.col("run_id"))
+    assert rows(events, "scope_floc_key", "event_type", "visit_no", "source_sheet") == [
+        ("COMP|F4", "removal", None, "Distribution"), ("D1|F1", "inspected", None, "Distribution"),
+        ("D1|F1", "removal", None, "Distribution"), ("T1|F2", "move_to_helo", 1, "Transmission"),
+    ]
+    sheets = spark.createDataFrame(
+        [("Distribution", "DRONE", "V", "F1", "D1", None, None, None), ("Transmission", "DRONE", "V", "F2", None, None, None, "T1"),
+         ("Transmission", "HELO", "V", "F2", "T1", None, None, None), ("Transmission", "HELO", "V", "F9", " ", None, None, None),
+         ("Distribution", "DRONE", "V", "F5", "D1", "2026-01-01", None, "T7")],
+        "asset_class string, assignment_method string, vendor string, FLOC string, SCOPE_ID string, SCOPE_REMOVAL_DATE string, Date_Removed string, `Scope Package #1` string",
+    )
+    sources = {(c, m): A.Source("2026-01-01", "r0", "f", f"{c}-{m}") for c in ("Distribution", "Transmission") for m in ("DRONE", "HELO")}
+    current = A.current_assignments(A.assignment_lines(sheets, sources), A.latest_events(events), gold_run_date="d", gold_run_id="g")
+    assert rows(current, "scope_floc_key", "assignment_method", "latest_event_type", "is_active_assignment", "assignment_status", "source_dataset") == [
+        ("D1|F1", "DRONE", "inspected", True, None, "Distribution-DRONE"),
+        ("D1|F5", "DRONE", None, False, "INACTIVE", "Distribution-DRONE"),
+        ("T1|F2", "HELO", "move_to_helo", True, "ACTIVE_HELO", "Transmission-HELO"),
+    ]
