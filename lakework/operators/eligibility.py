@@ -250,13 +250,12 @@ def eligibility_lines(
     source_system: str,
     rule_version: str = "v2",
 ) -> DataFrame:
-    """D12, D13 and D14 for both asset classes at once: ``current`` and ``deliveries`` carry their asset class.
+    """D12, D13 and D14 for both asset classes at once: ``current`` and ``deliveries`` carry their asset class, spelt alike.
 
     The deliveries join finds the assignments where W2 put them; the two joins on floc share one shuffle.  Survey evidence
     counts for distribution only, so transmission lines have none of its columns.
     """
-    df = current.withColumn("asset_class", F.lower("asset_class"))
-    df = _join_deliveries(df, deliveries, rule_version, CLASS_KEY)
+    df = _join_deliveries(current, deliveries, rule_version, CLASS_KEY).withColumn("asset_class", F.lower("asset_class"))
     df = df.join(floc_dim, "floc", "left").join(survey_floc.select("floc", *MDOC_FLAGS), "floc", "left")
     trans = F.col("asset_class") == "transmission"
     flags = {c: F.when(~trans, F.coalesce(F.col(c), F.lit(False))) for c in MDOC_FLAGS}
@@ -296,16 +295,16 @@ def unmatched_deliveries(
 ) -> DataFrame:
     """D15 / J-g: delivery aggregates whose (vendor, scope_floc_key) has no assignment.
 
-    Without ``asset_class`` both sides carry their own, and it is part of the key.
+    Without ``asset_class`` both sides carry their own, spelt alike, and it is part of the key.
     """
-    own = [] if asset_class else [F.lower("asset_class").alias("asset_class")]
+    own = [] if asset_class else ["asset_class"]
     keys = assignments.select(*own, clean("vendor").alias("vendor"), clean("scope_floc_key").alias("scope_floc_key"))
     d = deliveries.withColumns({c: clean(c) for c in ("vendor", "scope_floc_key", "scope_id_any", "floc_any") if c in deliveries.columns})
     out = d.join(keys, list(KEY if asset_class else CLASS_KEY), "left_anti")
     out = rename_if_absent(out, {"floc_any": "floc", "scope_id_any": "scope_id"})
     out = out.withColumns(
         {
-            "asset_class": F.lit(asset_class) if asset_class else F.col("asset_class"),
+            "asset_class": F.lit(asset_class) if asset_class else F.lower("asset_class"),
             "unmatched_reason": F.lit("VENDOR_SCOPE_KEY_NOT_IN_ASSIGNMENTS"),
             **_lineage(run_date, run_id, source_system),
         }

@@ -229,10 +229,16 @@ def pricing_status_counts(spark, sf) -> DataFrame:
 # --- eligibility --------------------------------------------------------------------
 
 
+def _evidence(spark, sf) -> DataFrame:
+    """Deliveries by class as the assignments spell it, so that the join on it needs no other shuffle."""
+    line = deliveries_line(spark, sf).withColumn("asset_class", F.initcap("asset_class"))
+    return V.deliveries_agg(line, min_images=MIN_IMAGES, by_class=True)
+
+
 def _eligibility(spark, sf, rule_version: str) -> DataFrame:
     rd, rid = RUNS["eligibility"]
     return E.eligibility_lines(
-        scope_assignment_current(spark, sf), deliveries_agg(spark, sf), V.standardize_survey_floc(survey_rollup(spark, sf)),
+        scope_assignment_current(spark, sf), _evidence(spark, sf), V.standardize_survey_floc(survey_rollup(spark, sf)),
         floc_dim=floc_dim_ranked(spark, sf), min_images=MIN_IMAGES, run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM, rule_version=rule_version,
     )
 
@@ -253,7 +259,7 @@ def eligibility_scope_summary(spark, sf) -> DataFrame:
 def unmatched_deliveries(spark, sf) -> DataFrame:
     rd, rid = RUNS["eligibility"]
     return E.unmatched_deliveries(
-        scope_assignment_current(spark, sf), deliveries_agg(spark, sf), run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM
+        scope_assignment_current(spark, sf), _evidence(spark, sf), run_date=rd, run_id=rid, source_system=SOURCE_SYSTEM
     )
 
 

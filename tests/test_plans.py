@@ -47,6 +47,23 @@ def test_tables_are_read_once(spark, name, most):
     assert scans(catalog.QUERIES[name](spark, SF)) <= most
 
 
+def test_assignments_are_shuffled_once_by_their_key(spark):
+    """W2, J-a and J-c use one exchange of the assignment lines; the joins on floc another."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        tree = catalog.QUERIES["invoice_eligibility_line"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    exchanges = [line for line in tree.split("\n") if "Exchange hashpartitioning" in line]
+    by_key = [x for x in exchanges if "hashpartitioning(asset_class" in x and "scope_floc_key" in x]
+    # The lines and the latest events; the deliveries stay where their aggregation put them.
+    assert len(by_key) == 2, exchanges
+
+
 def test_invoice_lines_gather_each_sheet_once(spark):
     """Sheets are views of two tables; beside them the line job reads attachments and e-mails."""
     df = catalog.QUERIES["invoice_lines_v1"](spark, SF)
