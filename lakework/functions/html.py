@@ -100,14 +100,11 @@ def lines(tokens: Column) -> Column:
     return F.filter(F.transform(F.split(unescape(text), r"[\r\n]"), nbsp_clean), lambda x: x != "")
 
 
-def element_text(tokens: Column, tag: str) -> Column:
+def element_text(html: Column, tag: str) -> Column:
     """Text of the first ``<tag>`` element that is closed: inner tags removed, references replaced, whitespace collapsed."""
-    at = F.sequence(F.lit(1), F.size(tokens))
-    begin = F.get(F.filter(at, lambda i: F.get(tokens, i - 1).rlike(rf"(?is)^<{tag}\b[^>]*>$")), F.lit(0))
-    end = F.get(F.filter(at, lambda i: (i > begin) & F.get(tokens, i - 1).rlike(rf"(?is)^</{tag}\s*>$")), F.lit(0))
-    inner = F.when(end.isNotNull(), F.slice(tokens, begin + 1, end - begin - 1))
-    text = unescape(F.array_join(F.filter(inner, lambda t: ~is_tag(t)), ""))
-    return F.when(F.size(tokens) > 0, F.nullif(clean(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit("")))
+    inner = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
+    text = unescape(F.array_join(F.filter(tokens(inner), lambda t: ~is_tag(t)), ""))
+    return F.nullif(clean(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit(""))
 
 
 def span_texts(tokens: Column) -> Column:

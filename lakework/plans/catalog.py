@@ -311,13 +311,12 @@ def row_signature(spark, sf) -> DataFrame:
 
 
 def html_fields(spark, sf) -> DataFrame:
-    pages = role(spark, sf, "html_pages").select("page_id", "url", HT.tokens(F.col("html")).alias("tokens"))
-    pages = pages.select("*", HT.lines(F.col("tokens")).alias("lines"))
+    pages = role(spark, sf, "html_pages").select("*", HT.lines(HT.tokens(F.col("html"))).alias("lines"))
     return pages.select(
         "page_id",
         "url",
-        HT.element_text(F.col("tokens"), "title").alias("title"),
-        HT.element_text(F.col("tokens"), "h1").alias("h1"),
+        HT.element_text(F.col("html"), "title").alias("title"),
+        HT.element_text(F.col("html"), "h1").alias("h1"),
         F.size("lines").alias("n_lines"),
         F.get("lines", F.lit(0)).alias("first_line"),
     )

@@ -58,8 +58,8 @@ def test_lines(spark):
 
 def test_elements(spark):
     page = "<title>\n A &amp; <b>B</b>  C</title><H1 class='x'>One</H1><h1>two</h1><h2>open"
-    df = spark.createDataFrame([(page,), ("",), ("<title></title>",)], "html string").select(HT.tokens(F.col("html")).alias("t"))
-    out = df.select(*[HT.element_text(F.col("t"), tag).alias(tag) for tag in ("title", "h1", "h2", "h3")])
+    df = spark.createDataFrame([(page,), ("",), ("<title></title>",)], "html string")
+    out = df.select(*[HT.element_text(F.col("html"), tag).alias(tag) for tag in ("title", "h1", "h2", "h3")])
     assert [tuple(r) for r in out.collect()] == [("A & B C", "One", None, None), (None,) * 4, (None,) * 4]
 
 
