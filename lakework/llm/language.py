@@ -34,6 +34,9 @@ LANDMARKS = 32
 BLOCK = 2000
 RIDGE = 1e-3
 LETTERS = 61
+#: Texts with fewer letters are not turned down; others with less than this part of the sample's least share of known n-grams are.
+ENOUGH_LETTERS = 100
+KNOWN_MARGIN = 0.95
 #: Blocks scored by one matrix product.
 PRODUCT_BLOCKS = 32
 
@@ -72,6 +75,8 @@ class LanguageModel:
     landmark_bits: np.ndarray
     landmark_sizes: np.ndarray
     weights: np.ndarray
+    #: A text with a smaller share of n-grams that landmarks hold is unlike all that was learned from.
+    least_known: float = 0.0
 
     def landmarks(self) -> np.ndarray:
         n = len(self.landmark_sizes)
@@ -91,15 +96,19 @@ class Scorer:
 
     def kernel(self, blocks: list[np.ndarray]) -> np.ndarray:
         """Normalised presence kernel of blocks (character classes) with the landmarks."""
+        return self.kernel_and_known(blocks)[0]
+
+    def kernel_and_known(self, blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The kernel, and the share of each block's n-grams that any landmark holds."""
         present = np.zeros((len(blocks), SPECTRUM), np.uint8)
         for row, b in zip(present, blocks):
             row[spectrum(b)] = 1
         own = np.array([np.count_nonzero(row) for row in present])
-        shared = present[:, self.model.grams].astype(np.float32) @ self.held
-        return shared / np.sqrt(np.maximum(own, 1))[:, None] * self.scale
+        among = present[:, self.model.grams].astype(np.float32)
+        return among @ self.held / np.sqrt(np.maximum(own, 1))[:, None] * self.scale, among.sum(axis=1) / np.maximum(own, 1)
 
-    def score(self, texts: list[str | None]) -> list[tuple[str, float, int]]:
-        """Label, score and number of letters of each text."""
+    def score(self, texts: list[str | None]) -> list[tuple[str, float, int, float]]:
+        """Label, score, number of letters and share of known n-grams of each text."""
         blocks, owner, weight = [], [], []
         for i, text in enumerate(texts):
             if not text:
@@ -113,20 +122,22 @@ class Scorer:
                     owner.append(i)
                     weight.append(w)
         total = np.zeros((len(texts), max(1, len(self.model.labels))))
-        mass = np.zeros(len(texts))
+        mass, known = np.zeros(len(texts)), np.zeros(len(texts))
         if self.model.labels:
             for at in range(0, len(blocks), PRODUCT_BLOCKS):
                 some = slice(at, at + PRODUCT_BLOCKS)
                 w = np.array(weight[some], float)
-                np.add.at(total, owner[some], self.kernel(blocks[some]) @ self.model.weights * w[:, None])
+                kernel, share = self.kernel_and_known(blocks[some])
+                np.add.at(total, owner[some], kernel @ self.model.weights * w[:, None])
+                np.add.at(known, owner[some], share * w)
                 np.add.at(mass, owner[some], w)
         out = []
-        for row, m in zip(total, mass):
+        for row, m, share in zip(total, mass, known):
             if not m:
-                out.append(("und", 0.0, 0))
+                out.append(("und", 0.0, 0, 0.0))
             else:
                 best = int(np.argmax(row))
-                out.append((self.model.labels[best], float(np.clip((row[best] / m + 1) / 2, 0, 1)), int(m)))
+                out.append((self.model.labels[best], float(np.clip((row[best] / m + 1) / 2, 0, 1)), int(m), float(share / m)))
         return out
 
 
@@ -176,43 +187,44 @@ def fit(sample: list[tuple[str, str]]) -> LanguageModel:
     among = k[chosen]
     among = (among + among.T) / 2
     model.weights = np.linalg.solve(k.T @ k + RIDGE * len(sample) * among + 1e-8 * np.eye(len(chosen)), k.T @ y)
+    # Calibrated on the sample's texts that are no landmarks themselves.
+    others = sorted(set(range(len(sample))) - set(chosen))
+    long = [x[3] for x in scorer.score([sample[i][1] for i in others]) if x[2] >= ENOUGH_LETTERS]
+    model.least_known = KNOWN_MARGIN * min(long, default=0.0)
     return model
 
 
 def identify(
-    docs: DataFrame, model: LanguageModel, text_col: str = "text", label_out: str = "lang_pred", score_out: str = "score", letters_out: str | None = None
+    docs: DataFrame, model: LanguageModel, text_col: str = "text", label_out: str = "lang_pred", score_out: str = "score", letters_out: str | None = None, known_out: str | None = None
 ) -> DataFrame:
-    """``docs`` with the predicted label, its score (0 to 1) and, if asked for, the number of letters appended, replacing
-    columns of these names."""
+    """``docs`` with the predicted label, its score (0 to 1) and, if asked for, the number of letters and the share of known
+    n-grams appended, replacing columns of these names."""
     python_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
-    names = [label_out, score_out, *([letters_out] if letters_out else [])]
+    asked = [(label_out, StringType(), pa.string()), (score_out, DoubleType(), pa.float64()), (letters_out, LongType(), pa.int64()), (known_out, DoubleType(), pa.float64())]
+    names = [n for n, _, _ in asked if n]
     src = docs.drop(*names)
     at = src.columns.index(text_col)
-    kinds = (StringType(), DoubleType(), LongType())
-    schema = StructType([*src.schema.fields, *(StructField(n, k) for n, k in zip(names, kinds))])
+    schema = StructType([*src.schema.fields, *(StructField(n, k) for n, k, _ in asked if n)])
 
     def run(batches):
         scorer = Scorer(shared.value)
         for b in slices(batches):
             got = scorer.score(b.column(at).to_pylist())
-            made = [pa.array(c, k) for c, k in zip(zip(*got), (pa.string(), pa.float64(), pa.int64()))] if got else [pa.array([], k) for k in (pa.string(), pa.float64(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *made[: len(names)]], [f.name for f in schema])
+            made = [pa.array([g[i] for g in got], kind) for i, (n, _, kind) in enumerate(asked) if n]
+            yield pa.RecordBatch.from_arrays([*b.columns, *made], [f.name for f in schema])
 
     return src.mapInArrow(run, schema)
 
 
-#: A text of this many letters that every one-versus-rest machine turns down is in none of the languages.
-ENOUGH_LETTERS = 100
-
-
-def in_a_language(label: Column, score: Column, letters: Column) -> Column:
-    """Whether a text is in one of the learned languages.
+def in_a_language(model: LanguageModel, label: Column, score: Column, letters: Column, known: Column) -> Column:
+    """Whether a text is in one of the learned languages, or in several of them.
 
-    A score of 0.5 is a machine's zero: below it the best of them says no.  Shorter texts hold too few
-    n-grams to be turned down for that; only those without a letter are.
+    A score of 0.5 is a machine's zero: below it the best of them says no.  A text in two languages may score so too,
+    but its n-grams are known; markup, code and other scripts have many that no landmark holds.  Texts of few letters
+    hold too few n-grams to be turned down; only those without a letter are.
     """
-    return (label != "und") & ((score >= 0.5) | (letters < ENOUGH_LETTERS))
+    return (label != "und") & ((score >= 0.5) | (known >= F.lit(model.least_known)) | (letters < ENOUGH_LETTERS))
 
 
 def train(docs: DataFrame, modulus: int = 5, held_out: int = 0, label_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> LanguageModel:

@@ -69,11 +69,15 @@ def test_texts_in_no_language_are_turned_down(spark):
         "これは日本語の文章です。今日は天気がいい。" * 20,
     ]
     planted = spark.createDataFrame([(-i, t) for i, t in enumerate(junk, 1)] + [(-10, "Ja."), (-11, "12 34")], "doc_id long, text string")
-    found = language.identify(docs.select("doc_id", "text").unionByName(planted), language.train(docs), letters_out="letters")
-    kept = found.filter(language.in_a_language(F.col("lang_pred"), F.col("score"), F.col("letters"))).select("doc_id")
+    model = language.train(docs)
+    # Two languages in one text: no machine claims it, but it stays.
+    en, de = ("".join(r["text"] for r in docs.filter(f"lang = '{x}' AND length(text) < 3000").orderBy("doc_id").limit(5).collect())[:900] for x in ("en", "de"))
+    planted = planted.unionByName(spark.createDataFrame([(-12, f"{en}\n{de}")], "doc_id long, text string"))
+    found = language.identify(docs.select("doc_id", "text").unionByName(planted), model, letters_out="letters", known_out="known")
+    kept = found.filter(language.in_a_language(model, *(F.col(c) for c in ("lang_pred", "score", "letters", "known")))).select("doc_id")
     ids = {r["doc_id"] for r in kept.collect()}
-    assert {i for i in ids if i < 0} == {-10}
-    assert len([i for i in ids if i >= 0]) >= 0.999 * docs.count()
+    assert {i for i in ids if i < 0} == {-10, -12}
+    assert len([i for i in ids if i >= 0]) == docs.filter(F.col("text").rlike(r"\p{L}")).count()
 
 
 def test_sample_does_not_grow_with_tasks(spark):
