@@ -31,11 +31,14 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts in one of the languages that the labelled documents teach.
 
-    Those go that hold no letter (null and empty ones too), and those of 100 letters or more that every language's classifier turns down.
+    Those go that hold no letter (null and empty ones too), and those of 100 letters or more that every language's classifier turns
+    down and that are made of n-grams unlike those of all languages.  Texts in two of the languages stay.
     Without labels nothing can be learned, and every text goes.
     """
-    found = language.identify(docs, language.train(docs), label_out="__lang", score_out="__score", letters_out="__letters")
-    return found.filter(language.in_a_language(F.col("__lang"), F.col("__score"), F.col("__letters"))).select(*docs.columns)
+    model = language.train(docs)
+    found = language.identify(docs, model, label_out="__lang", score_out="__score", letters_out="__letters", known_out="__known")
+    kept = language.in_a_language(model, F.col("__lang"), F.col("__score"), F.col("__letters"), F.col("__known"))
+    return found.filter(kept).select(*docs.columns)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
