@@ -43,3 +43,15 @@ def test_lines_and_headers(spark):
     assert rows(I.header_row_v2(cells)) == [("A", 3), ("B", None)]
     lines = I.number_lines(I.line_table_v1(cells))
     assert rows(lines, "row_idx", "FLOC_ID", "UNIT_RATE", "line_number") == [(4, "OH-4", "$4", 1), (6, "OH-6", "$6", 2)]
+
+
+def test_a_load_writes_one_file_for_each_bucket(spark, tmp_path):
+    new = spark.range(4000).select(F.col("id").cast("string").alias("k"), F.lit(1).cast("long").alias("__load_seq")).repartition(6)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = PB.publish_accumulating(spark, new, str(tmp_path), "silver", "t", ["k"], run_id="1", buckets=4)
+        assert out.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert len(glob.glob(f"{tmp_path}/silver/t/CURRENT/*/*/*.parquet")) == 4
