@@ -55,3 +55,10 @@ def test_a_load_writes_one_file_for_each_bucket(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
     assert len(glob.glob(f"{tmp_path}/silver/t/CURRENT/*/*/*.parquet")) == 4
+
+
+def test_an_export_computes_its_rows_once(spark, tmp_path):
+    df = spark.range(20).select(F.concat(F.lit("V"), F.col("id") % 2).alias("vendor"), F.expr("uuid()").alias("v"))
+    history, current = PB.vendor_export(df, str(tmp_path), "x", run_date="2026-01-01", run_id="r1")
+    read = lambda p: rows(spark.read.option("header", True).csv(p), "vendor", "v")
+    assert len(read(current)) == 20 and read(history) == read(current) and not df.is_cached
