@@ -62,3 +62,11 @@ def test_an_export_computes_its_rows_once(spark, tmp_path):
     history, current = PB.vendor_export(df, str(tmp_path), "x", run_date="2026-01-01", run_id="r1")
     read = lambda p: rows(spark.read.option("header", True).csv(p), "vendor", "v")
     assert len(read(current)) == 20 and read(history) == read(current) and not df.is_cached
+
+
+def test_page_files_are_in_one_folder(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u1", "h"), (2, "u2", "h"), (2, "u2", "h"), (3, None, "h")], "page_id long, url string, html string")
+    pages.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    df = catalog.QUERIES["whole_documents"](spark, str(tmp_path))
+    assert rows(df) == [("\n",), ("u1\n",), ("u2\nu2\n",)]
+    assert not any("page_id=" in f for f in df.inputFiles())
