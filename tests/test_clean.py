@@ -95,3 +95,27 @@ def test_row_signature_matches_python(spark):
     df = spark.createDataFrame([("b", None, 1.5)], "z string, a string, m double")
     got = df.select(C.row_signature(df.columns)).first()[0]
     assert got == hashlib.sha256("|1.5|b".encode()).hexdigest()
+
+
+def test_clean_column_equals_clean(spark):
+    from lakework.functions.clean import WHITESPACE, clean, clean_column
+
+    texts = [None, "", "a", " ", "\n", "é", "aé", "éa", "a b", "a\nb", "a\n", "　a", "a ", "\x85a b\xa0", "~", "!x~", "\x7fa", "a\x00", *[f"{w}x y{w}" for w in WHITESPACE], "x\U0001f600"]
+    df = spark.createDataFrame([(t,) for t in texts], "`a t` string")
+    assert [tuple(r) for r in df.select(clean("`a t`"), clean_column("a t")).collect() if r[0] != r[1]] == []
+
+
+def test_plain_dates_equal_the_parser(spark):
+    from lakework.functions.clean import _yyyymmdd, clean, to_date_mdy_dash, to_int_truncating
+
+    dates = ["1-2-2001", "01-02-2001", "12-31-1999", "2-29-2000", "2-29-2001", "2-30-2001", "13-45-2001", "0-1-2001", "1-0-2001", "00-01-2001", " 1-2-2001 ",
+             "1-2-2001\n", "001-2-2001", "1-2-201", "1-1-0000", "1-1-+2001", "1/2/2001", "-1-2-2001", "a-b-2001", "", None, "1-2-02001", "12-31-9999"]
+    days = ["20010102", "20010230", "20011301", "20010100", "00000101", "2001010", "200101021", "bad", "abcdefgh", "2001-1-2", "20000229", " 2001010", "+2001010", "", None]
+    df = spark.createDataFrame([(d, y) for d in dates for y in days[:1]] + [(None, y) for y in days], "d string, y string")
+    t = clean("d")
+    old_d = F.when(F.length(t).between(8, 10), F.to_date(F.try_to_timestamp(t, F.lit("M-d-yyyy"))))
+    old_y = F.when(F.length("y") == 8, F.to_date(F.try_to_timestamp(F.col("y"), F.lit("yyyyMMdd"))))
+    got = df.select("d", "y", to_date_mdy_dash("d").cast("string"), old_d.cast("string"), _yyyymmdd(F.col("y")).cast("string"), old_y.cast("string")).collect()
+    assert [tuple(r) for r in got if r[2] != r[3] or r[4] != r[5]] == []
+    numbers = spark.createDataFrame([(x,) for x in ("7.9", " 8 ", "x", "", None, "NaN", "Infinity", "1e3", "0x1p3", "-2.5", "9" * 30)], "n string")
+    assert [r[0] for r in numbers.select(to_int_truncating("n")).collect()][:7] == [7, 8, 0, 0, 0, 0, 0]

@@ -30,3 +30,12 @@ def test_joined_unique_first_appearance(spark):
     df = spark.createDataFrame([("g", 3, "b"), ("g", 1, "a"), ("g", 2, "b"), ("g", 4, None), ("h", 1, None)], "g string, p int, v string")
     out = joined_unique(df.repartition(3), ["g"], {"vals": F.col("v")}, F.col("p"))
     assert rows(out) == [("g", "a;b")]
+
+
+def test_joined_unique_in_one_shuffle_of_rows(spark):
+    """Rows are unpivoted before the first shuffle, which carries distinct values and not combinations of them."""
+    df = spark.createDataFrame([("g", i, f"a{i % 3}", f"b{i % 5}") for i in range(40)] + [("h", 50, None, None)], "g string, p int, v string, w string")
+    out = joined_unique(df, ["g"], {"vs": F.col("v"), "ws": F.col("w")}, F.col("p"), stats={"n": ("count", F.col("v")), "last": ("max", F.col("p"))})
+    assert rows(out) == [("g", "a0;a1;a2", "b0;b1;b2;b3;b4", 40, 39), ("h", None, None, 0, 50)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2
