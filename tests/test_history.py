@@ -94,3 +94,14 @@ def test_views_split_the_ledger(spark):
     parts = [H.approved_view(ledger), H.blocked_view(ledger), H.invoiced_paid_view(ledger)]
     assert sum(p.count() for p in parts) == ledger.count()
     assert ledger.filter(F.col("paid_flg") & ~F.col("invoiced_flg")).count() == 0
+
+
+def test_snapshots_share_one_gathering_of_evidence(spark, monkeypatch):
+    """Both rule versions are published from evidence that was gathered once."""
+    calls, real = [], catalog.E.eligibility_evidence
+    monkeypatch.setattr(catalog.E, "eligibility_evidence", lambda *a, **k: calls.append(1) or real(*a, **k))
+    monkeypatch.setattr(catalog, "_PUBLISHED", {})
+    first = catalog.snapshot_as_of(spark, SF)
+    assert len(calls) == 1
+    v1 = catalog.eligibility_v1(spark, SF)
+    assert first.drop("snapshot_id", "as_of_ts", "rule_version").exceptAll(v1).isEmpty() and first.count() == v1.count()
