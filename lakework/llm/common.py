@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -84,6 +85,24 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
+def give_back() -> None:
+    """Returns memory that this process has freed to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, for mapInArrow, in a worker that gives freed memory back in the end: it stays beside the JVM while other stages run."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return made
+
+
 def smallest(rows: DataFrame, order: list[str], wanted: dict, counts: dict, by: str | None = None) -> list:
     """The first ``wanted[label]`` rows of each label by ``order``, whose first column is a hash (long); a list on the driver.
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from lakework.llm.common import id_remainder, python_workers, slices, smallest
+from lakework.llm.common import id_remainder, lean, python_workers, slices, smallest
 
 #: The classifier is fitted on at most this many rows of each label, of each at
 #: most ``BLOCK`` characters from a place chosen by hash; the first
@@ -214,7 +214,7 @@ def identify(
             made = [pa.array([g[i] for g in got], kind) for i, (n, _, kind) in enumerate(asked) if n]
             yield pa.RecordBatch.from_arrays([*b.columns, *made], [f.name for f in schema])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)
 
 
 def in_a_language(model: LanguageModel, label: Column, score: Column, letters: Column, known: Column) -> Column:

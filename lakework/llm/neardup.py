@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakework.llm.common import materialize, slices, python_workers, text_or_empty
+from lakework.llm.common import lean, materialize, slices, python_workers, text_or_empty
 from lakework.llm.graph import components
 from lakework.llm.words import gram_hashes, lowered, mix, word_hashes
 from lakework.operators.common import top1
@@ -151,7 +151,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     t = text_or_empty(text_col)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(t).alias("text_hash"), t.alias("t"))
-    return src.mapInArrow(run, "id long, text_hash long, node binary, bands array<long>, n int, sketch array<long>")
+    return src.mapInArrow(lean(run), "id long, text_hash long, node binary, bands array<long>, n int, sketch array<long>")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
             sets = [np.unique(shingles(t)[0]).astype(np.int64) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "grams"])
 
-    return texts.select("node", "t").mapInArrow(run, "node binary, grams array<long>")
+    return texts.select("node", "t").mapInArrow(lean(run), "node binary, grams array<long>")
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakework.llm.common import materialize, slices, python_workers, text_or_empty
+from lakework.llm.common import lean, materialize, slices, python_workers, text_or_empty
 
 #: Lengths up to capacity / SMALL are small: placed best-fit after the large ones.
 SMALL = (3, 2.5, 4, 8, 2.05)
@@ -45,8 +45,8 @@ SMALL = (3, 2.5, 4, 8, 2.05)
 GROUPS = (24, 96, 192)
 #: Shares of the sequences, those with most room, that are taken apart and packed again.
 REPACK = (0.05, 0.1, 0.2, 0.3, 0.4, 0.5)
-#: Words kept per worker; the cache is emptied when full and long words are not kept.
-CACHE_WORDS = 1_400_000
+#: Words kept while a task runs; the cache is emptied when full and long words are not kept.
+CACHE_WORDS = 300_000
 CACHED_CHARS = 48
 
 #: White space to the tokenizer; U+001C to U+001F are white space to str.split only.
@@ -76,11 +76,15 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.forget()
         self.tokenize = self.tokenizer.model.tokenize
         self.raw = [int(i).to_bytes(4, "little") for i in range(len(self.ends_word))]
         self.letters = byte_letters()
 
+    def forget(self) -> None:
+        """Leaves the tokenizer alone, without the words it has seen."""
+        self.known: dict[str, bytes] = {"": b""}
+
     def simple_word(self, word: str) -> bytes:
         """Ids of a word of simple letters: the merges alone, on the word as the steps before them leave it."""
         word = word.lower()
@@ -147,7 +151,7 @@ class Encoder:
             if len(p) > CACHED_CHARS or p[-1:] in PUNCTUATION and len(p) > 4:
                 del self.known[p]
         if len(self.known) > CACHE_WORDS:
-            self.known = {"": b""}
+            self.forget()
         return out
 
 
@@ -168,18 +172,16 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
+    """One encoder per worker process and file; the words it learns are kept for one task only (``encoded_pieces``)."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece."""
-    python_workers(docs.sparkSession)
-
-    def run(batches):
-        own = encoder(tokenizer_path)
+def encoded_pieces(batches: Iterator[pa.RecordBatch], tokenizer_path: str, capacity: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of (doc_id, text) batches; the encoder forgets their words in the end, as other stages run beside the idle worker."""
+    own = encoder(tokenizer_path)
+    try:
         for b in slices(batches):
             doc, no, start, size, crc = [], [], [], [], []
             for i, ids in zip(b.column(0).to_pylist(), own.encode(b.column(1).to_pylist())):
@@ -195,9 +197,19 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "d
                 [pa.array(doc, pa.int64()), pa.array(no, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+    finally:
+        own.forget()
+
+
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every piece."""
+    python_workers(docs.sparkSession)
+
+    def run(batches):
+        yield from encoded_pieces(batches, tokenizer_path, capacity)
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("t"))
-    return src.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return src.mapInArrow(lean(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 # --- the plan, from counts of lengths ----------------------------------------

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from lakework.llm.common import id_remainder, python_workers, slices, smallest, text_or_empty
+from lakework.llm.common import id_remainder, lean, python_workers, slices, smallest, text_or_empty
 
 #: The classifier is fitted on at most this many labelled rows of each class, of
 #: each at most ``SAMPLE_CHARS`` characters from a place chosen by hash.
@@ -253,7 +253,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out: st
             got = [scorer.score(t or "") for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.float64())], [f.name for f in schema])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)
 
 
 def toxic(score_: Column) -> Column:

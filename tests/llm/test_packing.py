@@ -4,12 +4,14 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from lakework.llm import packing
+from lakework.llm.common import lean
 from tests.llm.conftest import EDGE_ROWS, texts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -97,3 +99,26 @@ def test_tokens_of_awkward_texts():
     tokenizer = Tokenizer.from_file(PATH)
     for text in ["", " ", "a  b", "It's  don't\u2003x", "e\u0301 E\u0301", "ΣΑΣ ΟΔΟΣ.", "<|endoftext|>x <|ENDOFTEXT|>", "\x1c\x85 a", "x" * 500, "İstanbul", "a.b word., ½. x'll l'll. ,;", "ǅ ª º. ʰ ⅷ é́́.", "word<|startoftext|>,"]:
         assert np.frombuffer(packing.encoder(PATH).encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_workers_keep_no_words_between_tasks(monkeypatch):
+    """A worker stays when its task has ended; what the words take there adds to the memory of later stages."""
+    docs = [f"shared w{i} ora{i % 7}nge, Straße {chr(0x3B1 + i % 20)}lpha{i}" for i in range(600)]
+    rows = [pa.record_batch({"doc_id": range(at, at + 100), "t": docs[at : at + 100]}) for at in range(0, 600, 100)]
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes() for t in docs]
+    for bound in (10, packing.CACHE_WORDS):  # emptied on the way, or not
+        monkeypatch.setattr(packing, "CACHE_WORDS", bound)
+        out = []
+        task = lean(lambda batches: packing.encoded_pieces(batches, PATH, 2048))(iter(rows))
+        for b in task:
+            out += b.column(4).to_pylist()
+            assert bound == 10 or len(packing.encoder(PATH).known) > 100
+        assert out == [zlib.crc32(w) for w in want]
+        assert packing.encoder(PATH).known == {"": b""}
+    # A task that is ended early leaves none either.
+    task = lean(lambda batches: packing.encoded_pieces(batches, PATH, 2048))(iter(rows))
+    next(task)
+    assert len(packing.encoder(PATH).known) > 100
+    task.close()
+    assert packing.encoder(PATH).known == {"": b""}
