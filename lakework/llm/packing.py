@@ -27,12 +27,14 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,10 +50,15 @@ REPACK = (0.05, 0.1, 0.2, 0.3, 0.4, 0.5)
 #: Words kept while a task runs; the cache is emptied when full and long words are not kept.
 CACHE_WORDS = 300_000
 CACHED_CHARS = 48
+#: Bytes of text and rows that are encoded together: each distinct part of theirs is looked up once.
+TOGETHER_BYTES = 2 << 20
+TOGETHER_ROWS = 4096
 
 #: White space to the tokenizer; U+001C to U+001F are white space to str.split only.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 SPACES = re.compile("[^\\S\x1c-\x1f]+")
+#: White space beyond ASCII; the last is U+3000.
+WIDE_SPACES = [c for c in map(chr, range(0x80, 0x3001)) if c.isspace()]
 PUNCTUATION = ".,!?;:%&$*#"
 #: A full stop or comma behind neither letter nor digit: part of a longer run of signs.
 IN_RUN = re.compile(r"[.,](?<![^\W_].)")
@@ -60,9 +67,11 @@ SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿĀ-įıĲ-ɏ]+")
 
 
 def byte_letters() -> dict[int, str]:
-    """The byte-level alphabet: bytes without a printable Latin-1 character, in order, stand for characters from U+0100 on."""
+    """The byte-level alphabet: bytes without a printable Latin-1 character, in order, stand for characters from U+0100 on;
+    the space, which no word has, stays."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    return {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in plain)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(others)} | {0x20: " "}
 
 
 class Encoder:
@@ -85,13 +94,14 @@ class Encoder:
         """Leaves the tokenizer alone, without the words it has seen."""
         self.known: dict[str, bytes] = {"": b""}
 
-    def simple_word(self, word: str) -> bytes:
-        """Ids of a word of simple letters: the merges alone, on the word as the steps before them leave it."""
-        word = word.lower()
-        if not word.isascii():
-            word = word.encode("utf-8").decode("latin-1").translate(self.letters)
+    def simple_words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of simple letters: the merges alone, on the words as the steps before them leave them."""
+        text = " ".join(words).lower()
+        if not text.isascii():
+            text = text.encode("utf-8").decode("latin-1").translate(self.letters)
         raw = self.raw
-        return b"".join([raw[t.id] for t in self.tokenize(word)])
+        for tokens in map(self.tokenize, text.split(" ") if words else ()):
+            yield b"".join([raw[t.id] for t in tokens])
 
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters only: encoded as one text, and told apart by the tokens that end a word."""
@@ -105,24 +115,25 @@ class Encoder:
     def learn(self, parts: set[str]) -> None:
         """Adds the ids of parts that are not known."""
         known = self.known
-        words, marked, others = set(), [], []
-        simple, word = SIMPLE.fullmatch, self.simple_word
+        letters, words, marked, others = [], set(), [], []
+        simple = SIMPLE.fullmatch
         for p in parts:
             if simple(p):
-                known[p] = word(p)
+                letters.append(p)
             elif p.isalpha():
                 words.add(p)
             # Letters and the plain punctuation behind them are always separated by the tokenizer.
             elif (stem := p.rstrip(PUNCTUATION)).isalpha():
                 marked.append(p)
-                if stem not in known:
+                if stem not in known and stem not in parts:
                     if simple(stem):
-                        known[stem] = word(stem)
+                        letters.append(stem)
                     else:
                         words.add(stem)
                 others.append(p[len(stem) :])
             else:
                 others.append(p)
+        known.update(zip(letters, self.simple_words(letters)))
         fresh = list(words)
         for at in range(0, len(fresh), 4096):
             some = fresh[at : at + 4096]
@@ -141,31 +152,44 @@ class Encoder:
         The tokenizer drops white space before its merges and no rule of it
         looks across a space, so a text's ids are those of its parts.
         """
-        split = [parts_of(t) for t in texts]
-        fresh = set().union(*split).difference(self.known)
+        split = pc.ascii_split_whitespace(pa.array(map(spaced, texts), pa.large_string()))
+        parts = split.flatten().dictionary_encode()
+        distinct = strings(parts.dictionary)
+        fresh = set(distinct).difference(self.known)
         if fresh:
             self.learn(fresh)
-        find = self.known.__getitem__
-        out = [b"".join(map(find, parts)) for parts in split]
+        ids = pa.array(map(self.known.__getitem__, distinct), pa.large_binary()).take(parts.indices)
         for p in fresh:  # words stay, words with punctuation are put together again
             if len(p) > CACHED_CHARS or p[-1:] in PUNCTUATION and len(p) > 4:
                 del self.known[p]
         if len(self.known) > CACHE_WORDS:
             self.forget()
-        return out
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, np.int64)[split.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
 
 
-def parts_of(text: str) -> list[str]:
-    """The text's parts between white space, as the tokenizer sees it; where no sign stands next to them, full stops and
-    commas at the end of a part are parts of their own, as the tokenizer has them."""
+def strings(column: pa.LargeStringArray) -> list[str]:
+    """The strings of a column that has some, all without a space, as a list: cut from one string, not made one by one."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column), pa.scalar(" ", pa.large_string()))
+    return joined[0].as_py().split(" ")
+
+
+def spaced(text: str) -> str:
+    """The text with nothing but ASCII white space where the tokenizer sees white space; where no sign stands next to them,
+    full stops and commas at the end of a part are parts of their own, as the tokenizer has them."""
     if SEPARATORS.search(text):
-        return SPACES.split(text)
+        return SPACES.sub(" ", text)
     # The tokenizer lower-cases too, but finds its own marks before; two letters have no lower case of their own.
     if "<|" not in text and "İ" not in text and "Σ" not in text:
         text = text.lower()
     if not IN_RUN.search(text):
         text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
-    return text.split()
+    if not text.isascii():
+        for c in WIDE_SPACES:
+            text = text.replace(c, " ")
+    return text
 
 
 _encoders: dict[str, Encoder] = {}
@@ -178,13 +202,27 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of (doc_id, text) batches, in order, some batches at a time."""
+    docs, texts, size = [], [], 0
+    for b in slices(batches):
+        docs += b.column(0).to_pylist()
+        texts += b.column(1).to_pylist()
+        size += b.column(1).nbytes
+        if size >= TOGETHER_BYTES or len(docs) >= TOGETHER_ROWS:
+            yield docs, texts
+            docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def encoded_pieces(batches: Iterator[pa.RecordBatch], tokenizer_path: str, capacity: int) -> Iterator[pa.RecordBatch]:
     """The pieces of (doc_id, text) batches; the encoder forgets their words in the end, as other stages run beside the idle worker."""
     own = encoder(tokenizer_path)
     try:
-        for b in slices(batches):
+        for docs, texts in together(batches):
             doc, no, start, size, crc = [], [], [], [], []
-            for i, ids in zip(b.column(0).to_pylist(), own.encode(b.column(1).to_pylist())):
+            for i, ids in zip(docs, own.encode(texts)):
                 raw = ids + b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[at : at + 4 * capacity]
@@ -251,17 +289,18 @@ def _best_pattern(sizes: list[int], values: np.ndarray, capacity: int) -> tuple[
     Rooms are valued in blocks no longer than the smallest size, whose values rest on earlier blocks only.
     """
     size, width = np.array(sizes), min(sizes)
-    best = np.zeros(capacity + 1)
+    padded = np.full(2 * capacity + 1, -np.inf)  # rooms below zero stand before the others: no piece fits
+    best = padded[capacity:]
+    best[:] = 0
+    windows = np.lib.stride_tricks.sliding_window_view(padded, width)
     choice = np.full(capacity + 1, -1, np.int64)
     for low in range(width, capacity + 1, width):
-        rooms = np.arange(low, min(low + width, capacity + 1))
-        before = rooms[None, :] - size[:, None]
-        gain = np.where(before >= 0, best[np.maximum(before, 0)] + values[:, None], -1.0)
-        top = gain.max(axis=0)
-        reached = np.maximum.accumulate(np.concatenate([best[low - 1 : low], top]))
-        new = top > reached[:-1]
+        rooms = slice(low, min(low + width, capacity + 1))
+        gain = windows[capacity + low - size, : rooms.stop - low] + values[:, None]
+        chosen = gain.argmax(axis=0)
+        reached = np.maximum.accumulate(np.concatenate([best[low - 1 : low], gain[chosen, np.arange(len(chosen))]]))
+        choice[rooms] = np.where(reached[1:] > reached[:-1], chosen, -1)
         best[rooms] = reached[1:]
-        choice[rooms[new]] = gain.argmax(axis=0)[new]
     pattern, room = np.zeros(len(sizes), np.int64), capacity
     while room > 0:
         if choice[room] < 0:
@@ -329,17 +368,23 @@ def best_fit(runs: list[Run], counts: dict[int, int], capacity: int) -> list[Run
     by_room: dict[int, list[Run]] = {}
     for r in runs:
         by_room.setdefault(r.room, []).append(r)
+    left = sorted(by_room)  # the rooms that runs have, ascending
 
     def put(run: Run, length: int, each: int, n: int) -> None:
         got = Run(n, [*run.items, (length, each)], run.room - each * length)
-        by_room.setdefault(got.room, []).append(got)
+        own = by_room.setdefault(got.room, [])
+        if not own:
+            insort(left, got.room)
+        own.append(got)
 
     for length in sorted(counts, reverse=True):
         n = counts[length]
-        for room in sorted(r for r in by_room if r >= length):
-            while n and by_room[room]:
-                run = by_room[room].pop()
-                each = room // length
+        at = bisect_left(left, length)
+        while n and at < len(left):
+            room = left[at]
+            own, each = by_room[room], room // length
+            while n and own:
+                run = own.pop()
                 full = min(run.count, n // each)
                 rest = min(run.count - full, 1) * (n - full * each if full < run.count else 0)
                 if full:
@@ -349,11 +394,12 @@ def best_fit(runs: list[Run], counts: dict[int, int], capacity: int) -> list[Run
                 n -= full * each + rest
                 over = run.count - full - (1 if rest else 0)
                 if over:
-                    by_room[room].append(Run(over, run.items, room))
-                    if not full and not rest:
-                        break
-            if not n:
-                break
+                    own.append(Run(over, run.items, room))
+            at = bisect_left(left, room)
+            if not own:
+                del left[at]
+            else:
+                at += 1
         while n:
             each = min(n, capacity // length)
             put(Run(0, [], capacity), length, each, n // each)

@@ -122,3 +122,47 @@ def test_workers_keep_no_words_between_tasks(monkeypatch):
     assert len(packing.encoder(PATH).known) > 100
     task.close()
     assert packing.encoder(PATH).known == {"": b""}
+
+
+def test_batches_are_encoded_together(monkeypatch):
+    """A part that many batches hold is looked up once for all of them, within a bound on their bytes and rows."""
+    odd = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    docs = [f"same words, w{i}{odd[i % len(odd)]}Zwölf. ½{odd[-i % len(odd)]} ora{i % 7}nge!! İx {'' if i % 3 else 'Σ'}é." for i in range(1000)]
+    docs[7:9] = ["", " "]
+    rows = [pa.record_batch({"doc_id": range(at, at + 100), "t": docs[at : at + 100]}) for at in range(0, 1000, 100)]
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [(i, zlib.crc32(np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes())) for i, t in enumerate(docs)]
+    asked, encode = [], packing.Encoder.encode
+    monkeypatch.setattr(packing.Encoder, "encode", lambda self, texts: asked.append(len(texts)) or encode(self, texts))
+
+    def run():
+        asked.clear()
+        out = [b for b in packing.encoded_pieces(iter(rows), PATH, 2048)]
+        assert [(i, c) for b in out for i, c in zip(b.column(0).to_pylist(), b.column(4).to_pylist())] == want
+        return asked
+
+    assert run() == [1000]
+    monkeypatch.setattr(packing, "TOGETHER_ROWS", 250)
+    assert run() == [300, 300, 300, 100]
+    monkeypatch.setattr(packing, "TOGETHER_BYTES", 1)
+    assert run() == [100] * 10
+
+
+def test_best_fit_as_piece_by_piece():
+    """Runs are filled as single sequences are, each piece where least room is left."""
+
+    def placed(runs, counts, capacity):  # piece by piece: into the least room that fits
+        rooms = sorted(r.room for r in runs for _ in range(r.count))
+        for length in sorted(counts, reverse=True):
+            for _ in range(counts[length]):
+                k = bisect.bisect_left(rooms, length)
+                bisect.insort(rooms, (rooms.pop(k) if k < len(rooms) else capacity) - length)
+        return rooms
+
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        begun = [packing.Run(int(rng.integers(1, 6)), [(64 - int(room), 1)], int(room)) for room in rng.integers(0, 64, 8)]
+        counts = {int(x): int(rng.integers(1, 20)) for x in rng.integers(1, 65, 12)}
+        got = packing.best_fit(begun, counts, 64)
+        assert sorted(r.room for r in got for _ in range(r.count)) == placed(begun, counts, 64)
+        assert all(r.room + sum(a * b for a, b in r.items) == 64 for r in got)
