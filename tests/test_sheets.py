@@ -70,3 +70,32 @@ def test_page_files_are_in_one_folder(spark, tmp_path):
     df = catalog.QUERIES["whole_documents"](spark, str(tmp_path))
     assert rows(df) == [("\n",), ("u1\n",), ("u2\nu2\n",)]
     assert not any("page_id=" in f for f in df.inputFiles())
+
+
+def cells_shuffled(df) -> int:
+    """Cells written to shuffles by message when the frame is run (an exchange that is read again is written once)."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    text = text.partition("== Initial Plan ==")[0]
+    return sum("Exchange hashpartitioning(message_id" in x and "REPARTITION_BY_COL" in x and "Reused" not in x for x in text.splitlines())
+
+
+def test_what_reads_whole_sheets_shares_one_shuffle(spark):
+    cells = sheet(spark)
+    kv, lines = I.header_kv_v1(cells), I.line_table_v1(cells)
+    assert [cells_shuffled(df) for df in (kv, lines, kv.join(lines, "message_id"))] == [1, 1, 1]
+
+
+def test_cells_keep_their_values_when_they_meet(spark):
+    odd = [("A", 0, 0, "a|b|"), ("A", 0, 1, ""), ("A", 0, 2, None), ("A", None, 3, "|"), ("A", -1, None, "x\ny"), (None, 0, 0, "gone")]
+    met = I.met_cells(spark.createDataFrame(odd, CELLS))
+    assert rows(met) == sorted(odd[:-1], key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert I.met_cells(met) is met
+
+
+def test_names_with_odd_blanks_are_found(spark):
+    names = ["\u2003Floc \xa0 ID\x1c", "sce\tstruct__", "PHOTO_LOC", "FLIGHTDATE", "upload date", "Vendor  Status", "block_id", "unit_rate\n"]
+    cells = [("A", 2, c, n) for c, n in enumerate(names)] + [("A", 3, 0, "OH-1"), ("B", 0, 0, "xfloc_id"), ("B", 1, 0, "flo cid")]
+    df = spark.createDataFrame(cells, CELLS)
+    for own in (df, I.met_cells(df)):
+        assert rows(I.header_v2(own).select("message_id", "header_row", "at.*")) == [("A", 2, *range(8))]
