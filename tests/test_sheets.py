@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakework.operators import invoices as I
 from lakework.plans import catalog
+from lakework.plans import jobs as J
 from lakework.sources import publish as PB
 from tests.conftest import rows
 
@@ -99,3 +100,23 @@ def test_names_with_odd_blanks_are_found(spark):
     df = spark.createDataFrame(cells, CELLS)
     for own in (df, I.met_cells(df)):
         assert rows(I.header_v2(own).select("message_id", "header_row", "at.*")) == [("A", 2, *range(8))]
+
+
+def test_a_job_reads_sheets_once_and_only_those_it_loads(spark, tmp_path):
+    cells, seen = sheet(spark), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    counted = cells.mapInArrow(count, CELLS)
+    files = spark.createDataFrame([("att__A__INV-1.xlsx",), ("att__C__INV-2.xlsx",)], "file_name string")
+    emails = spark.createDataFrame([("email__A_.html", "<span>Supplier</span><b></b><span>ACME</span>")], "file_name string, html string")
+    out = J.invoice_intake_v1(spark, counted, files, emails, root=f"{tmp_path}/1", run=J.Run("2026-01-01", "r1"), load_seq=1)
+    assert seen.value == cells.count()
+    assert rows(out["vendor_invoice_line_v1"], "floc_id", "line_number", "supplier") == [("OH-4", 1, "ACME"), ("OH-6", 2, "ACME")]
+    assert rows(out["vendor_invoice_file_status"], "message_id", "status", "lines") == [("A", "OK", 2), ("C", "SKIPPED_NO_HTML", None)]
+    out = J.invoice_intake_v2(counted, files, emails, root=f"{tmp_path}/2", run=J.Run("2026-01-01", "r1"))
+    assert seen.value == 2 * cells.count()
+    assert rows(out["vendor_invoice_line"], "floc_id", "line_number", "supplier") == [("OH-4", 1, "ACME"), ("OH-6", 2, "ACME")]
