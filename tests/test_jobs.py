@@ -123,3 +123,32 @@ def test_a_missing_sheet_is_skipped(spark):
     for book, what in (({}, "none of the sheets"), ({"Distribution": sheet.drop("FLOC")}, "required FLOC")):
         with pytest.raises(ValueError, match=what):
             J.events_workbook_intake(book, root=root, vendor="V", event_type="removal", run=run)
+
+
+def test_the_eligibility_job_aggregates_deliveries_once(spark, monkeypatch):
+    real, seen = J.V.deliveries_agg, spark.sparkContext.accumulator(0)
+
+    def counted(line, **kw):
+        def count(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        return real(line.mapInArrow(count, line.schema), **kw)
+
+    monkeypatch.setattr(J.V, "deliveries_agg", counted)
+    root, run = tempfile.mkdtemp(prefix="lw-once-", dir="/tmp"), J.Run("2026-02-01", "e1")
+    raw = spark.createDataFrame(
+        [("V", f"A{k}", f"D{k}-B_Assets_20260113", "9", "01-13-2026", "01-13-2026") for k in range(4)],
+        "vendor string, structureId string, folder string, imageCount string, DateUploaded string, flight_date string",
+    )
+    for asset_class in ("distribution", "transmission"):
+        J.deliveries_intake(raw, root=root, asset_class=asset_class, run=run)
+    J.current_assignment_job(spark, root=root, run=run)
+    empty = spark.createDataFrame([], "floc string, object_type string, voltage string")
+    J.PB.publish_whole_table(empty, root, "silver", J.FLOC_DIM, run_date=run.run_date, run_id=run.run_id)
+    flags = "floc string, has_any_mdoc boolean, has_aerial_mdoc boolean, has_ground_mdoc boolean"
+    J.PB.publish_whole_table(spark.createDataFrame([], flags), root, "silver", J.SURVEY_FLOC, run_date=run.run_date, run_id=run.run_id)
+    out = J.eligibility_job(spark, root=root, run=run)
+    assert out["unmatched_gcp_distribution"].count() == out["unmatched_gcp_transmission"].count() == 4
+    assert seen.value == 8
