@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lakework.operators import history as H
 from lakework.plans import catalog
+from lakework.sources import commits
 from lakework.sources import snapshots as SN
 from tests.conftest import rows
 from tests.test_plans import SF, plan_text
@@ -105,3 +106,10 @@ def test_snapshots_share_one_gathering_of_evidence(spark, monkeypatch):
     assert len(calls) == 1
     v1 = catalog.eligibility_v1(spark, SF)
     assert first.drop("snapshot_id", "as_of_ts", "rule_version").exceptAll(v1).isEmpty() and first.count() == v1.count()
+
+
+def test_evidence_goes_when_its_snapshots_are_published(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "_PUBLISHED", {})
+    assert not catalog.eligibility_snapshot(spark, SF).isEmpty()
+    root = next(iter(catalog._PUBLISHED.values()))
+    assert [p.rsplit("/", 1)[-1] for p in commits.matching(spark, f"{root}/*")] == ["gold"]
